@@ -1,23 +1,24 @@
-"""Keyed state for anomalies on a stream: last position and ghost timer per driver."""
+"""Keyed state for anomalies on a stream: the last position and a silence timeout per driver."""
 
 from __future__ import annotations
 
 import hashlib
-import math
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from datetime import timedelta
 
+import numpy as np
+import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from fleetlens.functions.geo import EARTH_RADIUS_M
 from fleetlens.functions.timing import LATENESS, millis, watermarked
 from fleetlens.operators.motion import GHOST, GHOST_GAP, SPEED, SPEED_MPS
 
-# The processor travels with the query, so workers need not have this package.
+# The state function travels with the query, so workers need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ANOMALY_COLUMNS = (
@@ -25,79 +26,84 @@ ANOMALY_COLUMNS = (
     "detected_at_ms bigint, observed_speed_mps double, prev_lat double, prev_lon double, "
     "curr_lat double, curr_lon double, gap_ms bigint"
 )
+_NAMES = [column.split()[0] for column in ANOMALY_COLUMNS.split(", ")]
+_INPUT = ("event_id", "lat", "lon", "at")
+# armed: a silence after this position has not been reported yet.
+STATE_COLUMNS = "lat double, lon double, at bigint, armed boolean"
 
 
-def _metres(lat1: float, lon1: float, lat2: float, lon2: float) -> float:
-    a, b = math.radians(lat1), math.radians(lat2)
-    half_dlat = math.sin(math.radians(lat2 - lat1) / 2)
-    half_dlon = math.sin(math.radians(lon2 - lon1) / 2)
-    chord = half_dlat * half_dlat + math.cos(a) * math.cos(b) * half_dlon * half_dlon
-    return math.asin(min(1.0, math.sqrt(chord))) * (2 * EARTH_RADIUS_M)
+def _metres(lat1, lon1, lat2, lon2):
+    half_dlat = np.sin(np.radians(lat2 - lat1) / 2)
+    half_dlon = np.sin(np.radians(lon2 - lon1) / 2)
+    chord = half_dlat**2 + np.cos(np.radians(lat1)) * np.cos(np.radians(lat2)) * half_dlon**2
+    return np.arcsin(np.minimum(1.0, np.sqrt(chord))) * (2 * EARTH_RADIUS_M)
 
 
-def _anomaly(kind, driver, severity, at, speed, prev, here, gap) -> Row:
+def _anomaly_id(kind: str, driver: str, at: int) -> str:
     digest = hashlib.md5(f"{kind}|{driver}|{at}".encode()).hexdigest()
-    cuts = (digest[:8], digest[8:12], digest[12:16], digest[16:20], digest[20:])
-    return Row("-".join(cuts), kind, driver, severity, at, speed, *prev, *here, gap)
+    return "-".join((digest[:8], digest[8:12], digest[12:16], digest[16:20], digest[20:]))
 
 
-class MotionProcessor(StatefulProcessor):
-    """Checks each ping against the last one and keeps one timer for the silence after it.
+def _ghost(driver, lat, lon, at, gap_ms) -> tuple:
+    due = at + gap_ms
+    return (_anomaly_id(GHOST, driver, due), GHOST, driver, "medium", due, 0.0,
+            lat, lon, lat, lon, gap_ms)
 
-    ``last`` holds (lat, lon, at, armed); ``armed`` is false once the ghost was reported. A
-    ping older than the last one (it came late, but before the watermark) changes nothing.
-    """
-
-    def __init__(self, mps: float, gap_ms: int) -> None:
-        self.mps = mps
-        self.gap_ms = gap_ms
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.last = handle.getValueState("last", "lat double, lon double, at bigint, armed boolean")
+def _track(frames: Iterator[pd.DataFrame], last: tuple | None) -> list[np.ndarray]:
+    """Columns lat, lon and at in event-time order, led by the last known position.
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        (driver,) = key
-        last = self.last.get() if self.last.exists() else None
-        timer = last[2] + self.gap_ms if last is not None and last[3] else None
-        for row in sorted(rows, key=lambda r: (r.at, r.event_id)):
-            here = (row.lat, row.lon)
-            if last is not None:
-                prev, then, armed = (last[0], last[1]), last[2], last[3]
-                if row.at < then:
-                    continue
-                # The next ping may arrive in the batch whose watermark would fire the timer.
-                if armed and row.at > then + self.gap_ms:
-                    yield self._ghost(driver, prev, then)
-                if row.at > then:
-                    elapsed = row.at - then
-                    speed = _metres(*prev, *here) / (elapsed / 1000.0)
-                    if speed > self.mps:
-                        severity = "critical" if speed > 2 * self.mps else "high"
-                        yield _anomaly(
-                            SPEED, driver, severity, row.at, speed, prev, here, elapsed
-                        )
-            last = (row.lat, row.lon, row.at, True)
-        if last is not None and last[3]:
-            if timer is not None:
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer(last[2] + self.gap_ms)
-        if last is not None:
-            self.last.update(tuple(last))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+    Pings older than that one (late, but within the watermark) are left out.
+    """
+    batches = [[frame[name].to_numpy() for name in _INPUT] for frame in frames]
+    event_id, lat, lon, at = (np.concatenate(parts) for parts in zip(*batches))
+    order = np.lexsort((event_id.astype(str), at)) if len(at) > 1 else [0]
+    track = [column[order] for column in (lat, lon, at)]
+    if last is None:
+        return track
+    fresh = track[2] >= last[2]
+    return [np.append(value, column[fresh]) for value, column in zip(last, track)]
+
+
+def _detector(mps: float, gap_ms: int) -> Callable:
+    def found_in(driver: str, track: list[np.ndarray], first_armed: bool) -> Iterator[tuple]:
+        lat, lon, at = track
+        elapsed = np.diff(at)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            speed = _metres(lat[:-1], lon[:-1], lat[1:], lon[1:]) / (elapsed / 1000.0)
+        for i in np.flatnonzero((elapsed > 0) & (speed > mps)):
+            severity = "critical" if speed[i] > 2 * mps else "high"
+            seen = int(at[i + 1])
+            yield (_anomaly_id(SPEED, driver, seen), SPEED, driver, severity, seen,
+                   float(speed[i]), lat[i], lon[i], lat[i + 1], lon[i + 1], int(elapsed[i]))
+        # A silence that both starts and ends before this batch's timeouts are looked at.
+        for i in np.flatnonzero(elapsed > gap_ms):
+            if i > 0 or first_armed:
+                yield _ghost(driver, lat[i], lon[i], int(at[i]), gap_ms)
+
+    def detect(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         (driver,) = key
-        lat, lon, at, armed = self.last.get()
-        if armed and expiredTimerInfo.getExpiryTimeInMs() == at + self.gap_ms:
-            yield self._ghost(driver, (lat, lon), at)
-            self.last.update((lat, lon, at, False))
-
-    def close(self) -> None:
-        pass
-
-    def _ghost(self, driver, here, at) -> Row:
-        due = at + self.gap_ms
-        return _anomaly(GHOST, driver, "medium", due, 0.0, here, here, self.gap_ms)
+        last = state.get if state.exists else None
+        if state.hasTimedOut:
+            lat, lon, at, armed = last
+            found = [_ghost(driver, lat, lon, at, gap_ms)] if armed else []
+            state.update((lat, lon, at, False))
+        else:
+            track = _track(frames, last)
+            found = list(found_in(driver, track, last is None or last[3]))
+            lat, lon, at = (column[-1].item() for column in track)
+            armed = last is None or len(track[2]) > 1 or last[3]
+            due = at + gap_ms
+            if armed and due <= state.getCurrentWatermarkMs():
+                found.append(_ghost(driver, lat, lon, at, gap_ms))
+                armed = False
+            state.update((lat, lon, at, armed))
+            if armed:
+                state.setTimeoutTimestamp(due)
+        if found:
+            yield pd.DataFrame(found, columns=_NAMES)
+
+    return detect
 
 
 def anomaly_stream(
@@ -107,15 +113,20 @@ def anomaly_stream(
     gap: timedelta = GHOST_GAP,
     lateness: timedelta = LATENESS,
 ) -> DataFrame:
-    """Anomalies of a ping stream; needs the RocksDB state store (see session settings).
+    """Anomalies of a ping stream.
 
-    The rows of one driver in one micro-batch are sorted in its task, so the source's
-    per-batch bound (files or offsets) also bounds that sort.
+    Each batch resets its drivers' timeouts; a driver without pings times out once the
+    watermark passes its last ping by ``gap``. The pings of one driver in one micro-batch
+    are sorted in one task, so the source's per-batch bound also bounds that sort.
     """
     flat = watermarked(pings, lateness).where(F.col("driver_id").isNotNull()).select(
         "driver_id", "event_id", "lat", "lon", F.unix_millis("event_time").alias("at"),
         "event_time",
     )
-    return flat.groupBy("driver_id").transformWithState(
-        MotionProcessor(mps, millis(gap)), ANOMALY_COLUMNS, "append", "eventTime"
+    return flat.groupBy("driver_id").applyInPandasWithState(
+        _detector(mps, millis(gap)),
+        ANOMALY_COLUMNS,
+        STATE_COLUMNS,
+        "append",
+        GroupStateTimeout.EventTimeTimeout,
     )
