@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.functions.timing import LATENESS, interval, millis, pane_start, watermarked
 
 BEFORE = timedelta(seconds=60)
 AFTER = timedelta(seconds=120)
+# Time slice of a driver's track in a cell that one task sorts.
+CHUNK = timedelta(hours=1)
 
 
 def match_rides(
@@ -59,13 +61,76 @@ def match_rides(
     return seen.join(asked, on).select("ride_id", "driver_id", "match_time", "h3_cell")
 
 
-def match_candidates(matches: DataFrame) -> DataFrame:
+def reduce_matches(matches: DataFrame) -> DataFrame:
     """Latest match per (ride, driver); combined in the join's own stage before any shuffle."""
     return matches.groupBy("ride_id", "driver_id", "h3_cell").agg(
         F.max(F.unix_millis("match_time")).alias("match_time_ms")
     )
 
 
+def match_candidates(
+    requests: DataFrame,
+    pings: DataFrame,
+    *,
+    before: timedelta = BEFORE,
+    after: timedelta = AFTER,
+    chunk: timedelta = CHUNK,
+) -> DataFrame:
+    """Latest match per (ride, driver) without listing every match. Batch only.
+
+    A ping is a driver's latest in its cell until that driver's next ping there, and counts
+    for requests whose interval ends in that span and began no later than the ping. So the
+    task is to find the spans that hold a point in time. Spans are filed under the smallest
+    pane size that is not shorter (sizes grow eightfold), where a span touches at most two
+    panes, and a request looks once into each size. A request then meets a bounded number of
+    spans of a driver, however often the driver pings. Tracks are cut into chunks that are
+    sorted in separate tasks; at a cut two spans overlap, which the final maximum settles.
+    """
+    width = millis(before + after)
+    sizes = [8]
+    while sizes[-1] <= width:
+        sizes.append(sizes[-1] * 8)
+    size = F.col("size")
+
+    at = F.col("at")
+    track = Window.partitionBy("h3_cell", "driver_id", "chunk").orderBy("at")
+    spans = (
+        pings.where(F.col("h3_cell").isNotNull())
+        .select("h3_cell", "driver_id", F.unix_millis("event_time").alias("at"))
+        .withColumn("chunk", pane_start(at, chunk))
+        .withColumn("next_at", F.lead("at").over(track))
+        .withColumn("until", F.least(at + width, F.col("next_at") - 1))
+        .where("until >= at")
+    )
+    length = F.col("until") - at + 1
+    fitting = F.lit(sizes[-1]).cast("long")
+    for shorter in reversed(sizes[:-1]):
+        fitting = F.when(length <= shorter, F.lit(shorter).cast("long")).otherwise(fitting)
+    first, last = (ms - F.pmod(ms, size) for ms in (at, F.col("until")))
+    filed = spans.withColumn("size", fitting).select(
+        F.col("h3_cell").alias("cell"), "driver_id", "at", "until", "size",
+        F.explode(F.array_distinct(F.array(first, last))).alias("pane"),
+    )
+
+    high = F.unix_millis("event_time") + millis(after)
+    asked = (
+        requests.select("ride_id", "h3_cell", high.alias("high"))
+        .withColumn("look", F.explode(F.array(*(F.lit(s).cast("long") for s in sizes))))
+        .withColumn("look_pane", F.col("high") - F.pmod("high", "look"))
+    )
+    on = (
+        (F.col("cell") == F.col("h3_cell"))
+        & (size == F.col("look"))
+        & (F.col("pane") == F.col("look_pane"))
+        & F.col("high").between(at, F.col("until"))
+    )
+    return (
+        filed.join(asked, on)
+        .groupBy("ride_id", "driver_id", "h3_cell")
+        .agg(F.max("at").alias("match_time_ms"))
+    )
+
+
 def last_match(candidates: DataFrame) -> DataFrame:
     """Per ride: its cell and the time of its last match."""
     return candidates.groupBy("ride_id", "h3_cell").agg(

@@ -194,8 +194,8 @@ def idle_sessions_exact_last(spark, sf_dir):
 # Joins and changelogs
 
 
-def _matches(spark, sf_dir):
-    return joins.match_rides(
+def _match(operator, spark, sf_dir):
+    return operator(
         tables.requests(spark, sf_dir),
         tables.pings(spark, sf_dir),
         before=MATCH_BEFORE,
@@ -205,19 +205,24 @@ def _matches(spark, sf_dir):
 
 @query
 def ride_matches(spark, sf_dir):
-    return _matches(spark, sf_dir).select(
+    return _match(joins.match_rides, spark, sf_dir).select(
         "ride_id", "driver_id", _ms("match_time").alias("match_time_ms"), "h3_cell"
     )
 
 
 @query
 def match_candidates(spark, sf_dir):
-    return joins.match_candidates(_matches(spark, sf_dir))
+    return _match(joins.match_candidates, spark, sf_dir)
+
+
+@query
+def match_candidates_from_matches(spark, sf_dir):
+    return joins.reduce_matches(_match(joins.match_rides, spark, sf_dir))
 
 
 @query
 def last_match(spark, sf_dir):
-    return joins.last_match(joins.match_candidates(_matches(spark, sf_dir)))
+    return joins.last_match(match_candidates(spark, sf_dir))
 
 
 @query

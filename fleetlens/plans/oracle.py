@@ -194,6 +194,7 @@ FROM pings WHERE {_REQUEST_FAULTS} IS NULL""",
     + "SELECT * EXCLUDE (exact_cell) REPLACE (exact_cell AS last_h3_cell) FROM sessions",
     "ride_matches": _with(_MATCHES) + "SELECT * FROM matches",
     "match_candidates": _CANDIDATES,
+    "match_candidates_from_matches": _CANDIDATES,
     "last_match": _with(_MATCHES)
     + """SELECT ride_id, h3_cell, max(match_time_ms) AS last_match_ms
 FROM candidates GROUP BY ALL""",

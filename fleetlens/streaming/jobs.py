@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fleetlens.functions.records import anomaly_events
 from fleetlens.operators.changelog import is_delete
-from fleetlens.operators.joins import enrich_rides, match_candidates, match_rides
+from fleetlens.operators.joins import enrich_rides, match_rides, reduce_matches
 from fleetlens.operators.windows import hot_zones, idle_sessions, surge_zones
 from fleetlens.sources.views import batch_writer, read_keyed_view, upsert_writer
 from fleetlens.streaming.detector import anomaly_stream
@@ -56,7 +56,7 @@ def match_job(requests: DataFrame, pings: DataFrame, view: str, checkpoint: str,
     sink = upsert_writer(view, ["ride_id", "driver_id"], ["match_time_ms"])
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        sink(match_candidates(batch), batch_id)
+        sink(reduce_matches(batch), batch_id)
 
     return start(match_rides(requests, pings, **options), write, checkpoint, drain=drain)
 
