@@ -118,3 +118,19 @@ def upsert_writer(
 def retain(view: DataFrame, as_of_ms: int | Column, ttl: timedelta) -> DataFrame:
     """Rows written less than ``ttl`` before ``as_of_ms``; each row expires on its own."""
     return view.where(F.col("written_at_ms") > as_of_ms - millis(ttl))
+
+
+def drop_folded(spark: SparkSession, path: str) -> None:
+    """Delete batches and snapshots that the newest snapshot replaces.
+
+    Run it when no reader still uses the snapshot before that.
+    """
+    fs, _ = _folder(spark, path)
+    snapshots = _finished(spark, f"{path}/snapshots", "upto")
+    if not snapshots:
+        return
+    old = [f"{path}/snapshots/upto={n}" for n in snapshots[:-1]]
+    old += [f"{path}/batch_id={n}" for n in _finished(spark, path, "batch_id")
+            if n < snapshots[-1]]
+    for folder in old:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(folder), True)
