@@ -20,6 +20,7 @@ from fleetlens.plans import tables
 from fleetlens.schemas import EVIDENCE_KEYS
 from fleetlens.session import work_dir
 from fleetlens.sources import kafka, views
+from fleetlens.sources.events import flatten_pings, flatten_requests
 from fleetlens.streaming import jobs
 
 HOT_WINDOW = timedelta(hours=6)
@@ -53,14 +54,18 @@ def _ms(column: str):
 
 @query
 def pings(spark, sf_dir):
-    return tables.pings(spark, sf_dir).select(
+    """Nested ping events, flattened."""
+    events = tables.ping_events(tables.table(spark, sf_dir, "events"))
+    return flatten_pings(events).select(
         "event_id", "driver_id", "lat", "lon", "h3_cell", _ms("event_time").alias("event_ms")
     )
 
 
 @query
 def ride_requests(spark, sf_dir):
-    return tables.requests(spark, sf_dir).select(
+    """Nested request events, flattened."""
+    events = tables.request_events(tables.table(spark, sf_dir, "events"))
+    return flatten_requests(events).select(
         "ride_id", "rider_id", "h3_cell", _ms("event_time").alias("event_ms")
     )
 

@@ -11,12 +11,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions.timing import to_event_time
 from fleetlens.session import configure
-from fleetlens.sources.events import (
-    flatten_pings,
-    flatten_requests,
-    flatten_transitions,
-    read_files,
-)
+from fleetlens.sources.events import read_files
 
 EVENTS = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
@@ -134,38 +129,56 @@ def request_events(events: DataFrame) -> DataFrame:
     return events.where("event_type = 'purchase'").select(_envelope("RideRequested"), payload)
 
 
-def transition_events(events: DataFrame) -> DataFrame:
-    """Each event moves the ride numbered by its user to the state its type stands for."""
-    nothing = F.lit(None).cast("string")
-    payload = F.struct(
-        _numbered("ride-", 4, F.col("user_id")).alias("ride_id"),
-        nothing.alias("from_state"),
-        _mapped(F.col("event_type"), STATE_OF_EVENT).alias("to_state"),
-        nothing.alias("driver_id"),
-        nothing.alias("reason"),
-        to_event_time(F.col("ts")).alias("changed_at"),
-    ).alias("payload")
-    return events.select(_envelope("RideLifecycleChanged"), payload)
+def flat_pings(events: DataFrame) -> DataFrame:
+    """The columns of flattened ping events, taken straight from the table so that the scan
+    reads only what a query uses."""
+    return events.select(
+        F.col("event_id").cast("string").alias("event_id"),
+        driver_id(F.col("user_id")).alias("driver_id"),
+        _lat().alias("lat"),
+        _lon().alias("lon"),
+        _cell().alias("h3_cell"),
+        to_event_time(F.col("ts")).alias("event_time"),
+    )
+
+
+def flat_requests(events: DataFrame) -> DataFrame:
+    return events.where("event_type = 'purchase'").select(
+        F.col("event_id").cast("string").alias("event_id"),
+        F.col("event_id").cast("string").alias("ride_id"),
+        rider_id(F.col("user_id")).alias("rider_id"),
+        _lat().alias("lat"),
+        _lon().alias("lon"),
+        _cell().alias("h3_cell"),
+        to_event_time(F.col("ts")).alias("event_time"),
+    )
 
 
 def pings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten_pings(ping_events(table(spark, sf_dir, "events")))
+    return flat_pings(table(spark, sf_dir, "events"))
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten_requests(request_events(table(spark, sf_dir, "events")))
+    return flat_requests(table(spark, sf_dir, "events"))
 
 
 def transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten_transitions(transition_events(table(spark, sf_dir, "events")))
+    """Each event moves the ride numbered by its user to the state its type stands for."""
+    return table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("event_id"),
+        _numbered("ride-", 4, F.col("user_id")).alias("ride_id"),
+        F.lit(None).cast("string").alias("from_state"),
+        _mapped(F.col("event_type"), STATE_OF_EVENT).alias("to_state"),
+        to_event_time(F.col("ts")).alias("changed_at"),
+    )
 
 
 def stream_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten_pings(ping_events(table_stream(spark, sf_dir, "events", EVENTS)))
+    return flat_pings(table_stream(spark, sf_dir, "events", EVENTS))
 
 
 def stream_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten_requests(request_events(table_stream(spark, sf_dir, "events", EVENTS)))
+    return flat_requests(table_stream(spark, sf_dir, "events", EVENTS))
 
 
 def _rating(number: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 # Names and symbols that producers and consumers share.
 LOCATION_TOPIC = "driver.location.v1"
 REQUEST_TOPIC = "ride.request.v1"
@@ -11,14 +13,14 @@ PRODUCT_TIERS = ("economy", "comfort", "premium")
 RIDE_STATES = ("requested", "matched", "started", "completed", "cancelled")
 FAILURE_STAGES = ("deserialize", "validate", "business", "sink")
 EVIDENCE_KEYS = ("observed_speed_mps", "prev_lat", "prev_lon", "curr_lat", "curr_lon", "gap_ms")
-# View lifetimes in seconds.
-VIEW_TTL_SECONDS = {
-    "hot_zones": 300,
-    "surge_zones": 600,
-    "idle_drivers": 3600,
-    "ride_matches": 600,
-    "anomalies": 3600,
-    "enriched_rides": 600,
+# How long rows of each view live.
+VIEW_TTL = {
+    "hot_zones": timedelta(seconds=300),
+    "surge_zones": timedelta(seconds=600),
+    "idle_drivers": timedelta(seconds=3600),
+    "ride_matches": timedelta(seconds=600),
+    "anomalies": timedelta(seconds=3600),
+    "enriched_rides": timedelta(seconds=600),
 }
 
 

@@ -37,6 +37,12 @@ def _finished(spark: SparkSession, path: str, prefix: str) -> list[int]:
     return sorted(found)
 
 
+def _batches(spark: SparkSession, path: str, numbers: Sequence[int]) -> DataFrame:
+    folders = [f"{path}/batch_id={n}" for n in numbers]
+    rows = spark.read.option("basePath", path).parquet(*folders)
+    return rows.withColumn("batch_id", F.col("batch_id").cast("bigint"))
+
+
 def batch_writer(path: str, written_at: Column | None = None) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function that appends each micro-batch to the view at ``path``."""
 
@@ -56,8 +62,7 @@ def read_view(spark: SparkSession, path: str) -> DataFrame:
     done = _finished(spark, path, "batch_id")
     if not done:
         raise ValueError(f"no finished batch in {path}")
-    folders = [f"{path}/batch_id={n}" for n in done]
-    return spark.read.option("basePath", path).option("mergeSchema", "false").parquet(*folders)
+    return _batches(spark, path, done)
 
 
 def read_keyed_view(
@@ -66,18 +71,15 @@ def read_keyed_view(
     """The latest row of each key: last snapshot plus the batches written since."""
     snapshots = _finished(spark, f"{path}/snapshots", "upto")
     upto = snapshots[-1] if snapshots else -1
-    parts = [
-        spark.read.parquet(f"{path}/batch_id={n}").withColumn("batch_id", F.lit(n).cast("long"))
-        for n in _finished(spark, path, "batch_id")
-        if n > upto
-    ]
+    since = [n for n in _finished(spark, path, "batch_id") if n > upto]
+    parts = []
+    if since:
+        parts.append(_batches(spark, path, since))
     if snapshots:
         parts.append(spark.read.parquet(f"{path}/snapshots/upto={upto}"))
     if not parts:
         raise ValueError(f"no finished batch in {path}")
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return latest_per_key(rows, keys, order)
 
 
@@ -120,17 +122,31 @@ def retain(view: DataFrame, as_of_ms: int | Column, ttl: timedelta) -> DataFrame
     return view.where(F.col("written_at_ms") > as_of_ms - millis(ttl))
 
 
+def _delete(spark: SparkSession, folders: Sequence[str]) -> None:
+    for folder in folders:
+        fs, target = _folder(spark, folder)
+        fs.delete(target, True)
+
+
+def drop_expired(spark: SparkSession, path: str, as_of_ms: int, ttl: timedelta) -> None:
+    """Delete the batches of an append-only view that were finished ``ttl`` ago or earlier."""
+    old = []
+    for n in _finished(spark, path, "batch_id"):
+        fs, marker = _folder(spark, f"{path}/batch_id={n}/_SUCCESS")
+        if fs.getFileStatus(marker).getModificationTime() <= as_of_ms - millis(ttl):
+            old.append(f"{path}/batch_id={n}")
+    _delete(spark, old)
+
+
 def drop_folded(spark: SparkSession, path: str) -> None:
     """Delete batches and snapshots that the newest snapshot replaces.
 
     Run it when no reader still uses the snapshot before that.
     """
-    fs, _ = _folder(spark, path)
     snapshots = _finished(spark, f"{path}/snapshots", "upto")
     if not snapshots:
         return
     old = [f"{path}/snapshots/upto={n}" for n in snapshots[:-1]]
     old += [f"{path}/batch_id={n}" for n in _finished(spark, path, "batch_id")
             if n < snapshots[-1]]
-    for folder in old:
-        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(folder), True)
+    _delete(spark, old)

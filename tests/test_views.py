@@ -1,11 +1,14 @@
+import time
 from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from fleetlens.schemas import VIEW_TTL
 from fleetlens.session import work_dir
 from fleetlens.sources.views import (
     batch_writer,
+    drop_expired,
     drop_folded,
     fold_view,
     read_keyed_view,
@@ -65,5 +68,17 @@ def test_folding_keeps_the_view(spark, path):
 def test_rows_expire_one_by_one(spark, path):
     write = batch_writer(path, F.col("at"))
     write(spark.createDataFrame([("a", 1, 0), ("b", 2, 1), ("c", 3, 300_000)], COLUMNS), 0)
-    alive = retain(read_view(spark, path), 300_000, timedelta(minutes=5))
+    alive = retain(read_view(spark, path), 300_000, VIEW_TTL["hot_zones"])
     assert sorted(r.k for r in alive.collect()) == ["b", "c"]
+
+
+def test_old_batches_can_be_deleted(spark, path):
+    write = batch_writer(path)
+    for batch in range(2):
+        write(spark.createDataFrame([("a", batch, 0)], COLUMNS), batch)
+        time.sleep(0.5)
+    now = int(time.time() * 1000)
+    drop_expired(spark, path, now, timedelta(hours=1))
+    assert read_view(spark, path).count() == 2
+    drop_expired(spark, path, now, timedelta(seconds=0.75))
+    assert [r.v for r in read_view(spark, path).collect()] == [1]
