@@ -26,38 +26,44 @@ def match_rides(
 ) -> DataFrame:
     """Pings in the pickup cell from ``before`` a request until ``after`` it, both inclusive.
 
-    In batch both sides also meet on a time bucket as wide as the interval: the few requests
-    are copied into the two buckets their interval touches, pings are not copied. A bucket
-    that is still too large is split at run time by AQE's skew join. In a stream the state
-    is bounded by the interval; ``slices`` > 1 spreads a busy cell's pings over that many
-    state partitions, at the price of one request copy for each.
+    Both sides meet on the cell and a time bucket as wide as the interval: the few requests
+    are copied into the two buckets their interval touches, pings are not copied. In batch,
+    AQE's skew join splits a bucket that is still too large. In a stream the state is
+    bounded by the interval, a row is compared with its bucket only, and ``slices`` > 1
+    spreads a busy bucket's pings over that many state partitions, at the price of one
+    request copy for each.
     """
-    asked = watermarked(requests, lateness).select(
-        "ride_id", "h3_cell", F.col("event_time").alias("request_time")
+    width = max(before + after, timedelta(milliseconds=1))
+    asked_ms = F.unix_millis("request_time")
+    touched = F.sequence(
+        pane_start(asked_ms - millis(before), width),
+        pane_start(asked_ms + millis(after), width),
+        F.lit(millis(width)),
     )
-    seen = watermarked(pings, lateness).select(
-        "driver_id", F.col("h3_cell").alias("ping_cell"), F.col("event_time").alias("match_time")
+    asked = (
+        watermarked(requests, lateness)
+        .select("ride_id", "h3_cell", F.col("event_time").alias("request_time"))
+        .withColumn("bucket", F.explode(touched))
     )
-    on = (F.col("h3_cell") == F.col("ping_cell")) & F.col("match_time").between(
-        F.col("request_time") - F.expr(f"INTERVAL {interval(before)}"),
-        F.col("request_time") + F.expr(f"INTERVAL {interval(after)}"),
+    seen = (
+        watermarked(pings, lateness)
+        .select("driver_id", F.col("h3_cell").alias("ping_cell"),
+                F.col("event_time").alias("match_time"))
+        .withColumn("ping_bucket", pane_start(F.unix_millis("match_time"), width))
+    )
+    on = (
+        (F.col("h3_cell") == F.col("ping_cell"))
+        & (F.col("bucket") == F.col("ping_bucket"))
+        & F.col("match_time").between(
+            F.col("request_time") - F.expr(f"INTERVAL {interval(before)}"),
+            F.col("request_time") + F.expr(f"INTERVAL {interval(after)}"),
+        )
     )
     if slices > 1:
         asked = asked.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
         spread = F.pmod(F.xxhash64("driver_id", "match_time"), F.lit(slices)).cast("int")
         seen = seen.withColumn("ping_slice", spread)
         on = on & (F.col("slice") == F.col("ping_slice"))
-    if not (requests.isStreaming or pings.isStreaming):
-        width = max(before + after, timedelta(milliseconds=1))
-        asked_ms = F.unix_millis("request_time")
-        touched = F.sequence(
-            pane_start(asked_ms - millis(before), width),
-            pane_start(asked_ms + millis(after), width),
-            F.lit(millis(width)),
-        )
-        asked = asked.withColumn("bucket", F.explode(touched))
-        seen = seen.withColumn("ping_bucket", pane_start(F.unix_millis("match_time"), width))
-        on = on & (F.col("bucket") == F.col("ping_bucket"))
     return seen.join(asked, on).select("ride_id", "driver_id", "match_time", "h3_cell")
 
 
