@@ -20,7 +20,7 @@ from fleetlens.plans import tables
 from fleetlens.schemas import EVIDENCE_KEYS
 from fleetlens.session import work_dir
 from fleetlens.sources import kafka, views
-from fleetlens.sources.events import flatten_pings, flatten_requests
+from fleetlens.sources.events import flatten_pings, flatten_requests, read_pings
 from fleetlens.streaming import jobs
 
 HOT_WINDOW = timedelta(hours=6)
@@ -503,3 +503,31 @@ def driver_state_stream(spark, sf_dir):
         changes, view, checkpoint, drain=True))
     state = jobs.read_dimension(spark, path)
     return state.withColumn("rating", F.col("rating").cast("string"))
+
+
+@query
+def enriched_rides_latest_stream(spark, sf_dir):
+    """Streamed requests and streamed driver changes, joined when read."""
+    asked = tables.stream_requests(spark, sf_dir)
+    rides = _drain(spark, "requests", lambda view, checkpoint: jobs.request_job(
+        asked, view, checkpoint, drain=True))
+    changes = tables.stream_driver_changes(spark, sf_dir)
+    drivers = _drain(spark, "drivers", lambda view, checkpoint: jobs.dimension_job(
+        changes, view, checkpoint, drain=True))
+    dimension = jobs.read_dimension(spark, drivers).withColumn("vehicle_type", F.lit("economy"))
+    return _flat_enriched(jobs.read_enriched(spark, rides, dimension))
+
+
+@query
+def ingested_zones_stream(spark, sf_dir):
+    """Submitted JSON through checks and the event log to hot zones."""
+    base = work_dir(spark, "ingest")
+    raw = tables.stream_raw_pings(spark, sf_dir)
+    with _state_partitions(spark):
+        for run in jobs.ingest_pings(
+                raw, f"{base}/events", f"{base}/letters", f"{base}/ingest", drain=True):
+            run.awaitTermination()
+        events = read_pings(spark, f"{base}/events", streaming=True)
+        jobs.hot_zones_job(events, f"{base}/view", f"{base}/zones", drain=True,
+                           window=HOT_WINDOW).awaitTermination()
+    return _read(spark, f"{base}/view")

@@ -151,6 +151,11 @@ _CANDIDATES = _with(_MATCHES) + "SELECT * FROM candidates"
 _STATE = _with() + "SELECT * FROM driver_state"
 _ENRICHED_ROWS = _with(_enriched("drivers")) + "SELECT * FROM enriched"
 
+_CHANGED_ROWS = (
+    _with(_enriched("driver_state", "CASE WHEN d.driver_id IS NOT NULL THEN 'economy' END"))
+    + "SELECT * FROM enriched"
+)
+
 ORACLE: dict[str, str] = {
     "pings": _with() + "SELECT event_id, driver_id, lat, lon, h3_cell, t AS event_ms FROM pings",
     "ride_requests": _with()
@@ -209,10 +214,7 @@ FROM candidates GROUP BY ALL""",
            epoch_us(l_shipdate) // 1000 AS ts_ms, l_linenumber * 100000000::BIGINT + l_partkey AS seq
     FROM lineitem)) WHERE rn = 1 AND op <> 'd'""",
     "enriched_rides": _ENRICHED_ROWS,
-    "enriched_rides_from_changes": _with(
-        _enriched("driver_state", "CASE WHEN d.driver_id IS NOT NULL THEN 'economy' END")
-    )
-    + "SELECT * FROM enriched",
+    "enriched_rides_from_changes": _CHANGED_ROWS,
     "enriched_fields": _with(_enriched("drivers"))
     + """SELECT ride_id, field, text FROM (
   SELECT ride_id, rider_id, pickup_h3, CAST(request_ms AS VARCHAR) AS request_ms, driver_id,
@@ -282,5 +284,11 @@ WHERE abs((n * 37 % 240 - 120) * 1000) > {_SKEW}""",
     + f"""{_ROUNDED} found
 WHERE anomaly_type = 'speed_violation' OR detected_at_ms <= {_CLOSED}""",
     "enriched_rides_stream": _ENRICHED_ROWS,
+    "enriched_rides_latest_stream": _CHANGED_ROWS,
     "driver_state_stream": _STATE,
+    # Pings without a time count as of now; they close every earlier window.
+    "ingested_zones_stream": _with()
+    + f"""SELECT CASE WHEN k % 10 = 8 THEN {_GRID} ELSE h3_cell END AS h3_cell,
+  (t // {_HOT} + 1) * {_HOT} AS window_end_ms, count(DISTINCT driver_id) AS driver_count
+FROM pings WHERE {_PING_FAULTS} IS NULL AND k % 10 <> 9 GROUP BY ALL""",
 }

@@ -234,6 +234,14 @@ def ride_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _raw_pings(table(spark, sf_dir, "events"))
+
+
+def stream_raw_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _raw_pings(table_stream(spark, sf_dir, "events", EVENTS))
+
+
+def _raw_pings(events: DataFrame) -> DataFrame:
     """Pings as submitted JSON; the last digit of k picks a fault for some of them."""
     fault = F.col("fault")
     body = F.struct(
@@ -245,8 +253,7 @@ def raw_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.unix_millis(F.col("ts").cast("timestamp")))
         .alias("occurred_at_ms"),
     )
-    events = table(spark, sf_dir, "events").withColumn("fault", _k() % 10)
-    return events.select(
+    return events.withColumn("fault", _k() % 10).select(
         F.col("event_id").cast("string").alias("key"), F.to_json(body).alias("value")
     )
 

@@ -38,6 +38,15 @@ def read_files(
     return reader.schema(schema).format(format).load(path)
 
 
+def read_raw(
+    spark: SparkSession, path: str, *, streaming: bool = False, files_per_batch: int = 1000
+) -> DataFrame:
+    """Submitted JSON, one value per line."""
+    if streaming:
+        return spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path)
+    return spark.read.text(path)
+
+
 def flatten_pings(events: DataFrame) -> DataFrame:
     return events.select(
         "envelope.event_id",

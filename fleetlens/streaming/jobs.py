@@ -4,13 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetlens.functions.records import anomaly_events
 from fleetlens.operators.changelog import is_delete
 from fleetlens.operators.joins import enrich_rides, match_rides, reduce_matches
+from fleetlens.operators.quality import (
+    dead_letters,
+    ping_events,
+    request_events,
+    validate_pings,
+    validate_requests,
+)
 from fleetlens.operators.windows import hot_zones, idle_sessions, surge_zones
+from fleetlens.schemas import LOCATION_TOPIC, REQUEST_TOPIC
 from fleetlens.sources.views import batch_writer, read_keyed_view, upsert_writer
 from fleetlens.streaming.detector import anomaly_stream
 
@@ -35,6 +43,34 @@ def start(
     return writer.trigger(**trigger).start()
 
 
+def append_log(df: DataFrame, path: str, checkpoint: str, *, drain: bool = False,
+               every: str = "10 seconds") -> StreamingQuery:
+    """Append ``df`` to a folder that other streams read; each row appears there once."""
+    trigger = {"availableNow": True} if drain else {"processingTime": every}
+    writer = df.writeStream.format("parquet").option("path", path)
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def ingest_pings(raw: DataFrame, events: str, letters: str, checkpoint: str, *, drain=False):
+    """Submitted pings to the event log and to dead letters; returns both queries."""
+    good, bad = validate_pings(raw)
+    return (
+        append_log(ping_events(good), events, f"{checkpoint}/events", drain=drain),
+        append_log(dead_letters(bad, LOCATION_TOPIC), letters, f"{checkpoint}/letters",
+                   drain=drain),
+    )
+
+
+def ingest_requests(raw: DataFrame, events: str, letters: str, checkpoint: str, *, drain=False):
+    """Submitted ride requests to the event log and to dead letters; returns both queries."""
+    good, bad = validate_requests(raw)
+    return (
+        append_log(request_events(good), events, f"{checkpoint}/events", drain=drain),
+        append_log(dead_letters(bad, REQUEST_TOPIC), letters, f"{checkpoint}/letters",
+                   drain=drain),
+    )
+
+
 def hot_zones_job(pings: DataFrame, view: str, checkpoint: str, *, drain=False, **options):
     """A window's row is final when it appears, so the view only grows."""
     return start(hot_zones(pings, **options), batch_writer(view), checkpoint, drain=drain)
@@ -95,8 +131,8 @@ def enrich_job(requests: DataFrame, drivers: Callable[[], DataFrame], view: str,
                *, drain=False):
     """Enriches each micro-batch with the dimension as it is then.
 
-    A ride keeps the driver values of its arrival; run enrich_rides in batch over the kept
-    requests to apply later driver changes.
+    A ride keeps the driver values of its arrival. Where later driver changes must show,
+    keep the requests with request_job and join them when read (read_enriched).
     """
     sink = upsert_writer(view, ["ride_id"], ["request_time"])
 
@@ -104,3 +140,14 @@ def enrich_job(requests: DataFrame, drivers: Callable[[], DataFrame], view: str,
         sink(enrich_rides(batch, drivers()), batch_id)
 
     return start(requests, write, checkpoint, drain=drain)
+
+
+def request_job(requests: DataFrame, view: str, checkpoint: str, *, drain=False):
+    """Keeps the latest request of each ride."""
+    return start(requests, upsert_writer(view, ["ride_id"], ["event_time"]), checkpoint,
+                 drain=drain)
+
+
+def read_enriched(spark: SparkSession, requests_view: str, drivers: DataFrame) -> DataFrame:
+    """Kept requests with their drivers' values as of now, changes after arrival included."""
+    return enrich_rides(read_keyed_view(spark, requests_view, ["ride_id"]), drivers)

@@ -1,16 +1,20 @@
 """Streams replayed from files against the batch operators."""
 
+import json
+import random
 from datetime import timedelta
 
 import pytest
 from fixtures import ms, pings, requests, rows
+from pyspark.sql import functions as F
 
 from fleetlens.operators.joins import match_rides, reduce_matches
 from fleetlens.operators.lifecycle import first_requests
 from fleetlens.operators.motion import anomalies
+from fleetlens.operators.serving import top_hot_zones
 from fleetlens.operators.windows import hot_zones, idle_sessions, surge_zones
 from fleetlens.session import work_dir
-from fleetlens.sources.events import read_files
+from fleetlens.sources.events import read_files, read_pings, read_raw
 from fleetlens.sources.views import batch_writer, read_keyed_view, read_view
 from fleetlens.streaming import jobs
 
@@ -172,6 +176,49 @@ def test_dimension_follows_changes(spark):
     assert rows(jobs.read_dimension(spark, view), "driver_id", "name") == [("a", "two")]
 
 
+def test_later_driver_changes_show_when_rides_are_read(spark):
+    asked = feed(spark, requests, [("r1", 0, "c1", "rdr-00012")],
+                 [("r1", 9, "c2", "rdr-00012"), ("r2", 9, "c1", "rdr-09990")])
+    view = asked.path("view")
+    jobs.request_job(asked.read(), view, asked.path("checkpoint"), drain=True).awaitTermination()
+    columns = "driver_id string, name string, vehicle_type string, rating string, active boolean"
+    for name in ("old", "new"):
+        drivers = spark.createDataFrame([("drv-0001", name, "economy", "4.5", True)], columns)
+        got = rows(jobs.read_enriched(spark, view, drivers), "ride_id", "pickup_h3", "enriched")
+        assert got == [("r1", "c2", True), ("r2", "c1", False)]
+        known = jobs.read_enriched(spark, view, drivers).where("enriched")
+        assert rows(known, "name") == [(name,)]
+
+
+def test_submitted_pings_reach_the_ranked_read(spark):
+    """A hundred pings of twenty drivers, then one far ahead to close their window."""
+    rng = random.Random(42)
+    base = work_dir(spark, "smoke")
+    lines = [
+        json.dumps({"driver_id": f"smoke-driver-{i % 20:02d}", "lat": rng.uniform(37.70, 37.82),
+                    "lon": rng.uniform(-122.52, -122.37), "occurred_at_ms": ms(i / 10)})
+        for i in range(100)
+    ]
+    lines += ['{"driver_id": "bad", "lon": 1}',
+              json.dumps({"driver_id": "z", "lat": 0, "lon": 0, "occurred_at_ms": ms(FLUSH)})]
+    spark.createDataFrame([(line,) for line in lines], "value string").write.text(f"{base}/raw")
+
+    raw = read_raw(spark, f"{base}/raw", streaming=True)
+    for query in jobs.ingest_pings(raw, f"{base}/events", f"{base}/letters", f"{base}/ingest",
+                                   drain=True):
+        query.awaitTermination()
+    events = read_pings(spark, f"{base}/events", streaming=True)
+    jobs.hot_zones_job(events, f"{base}/view", f"{base}/zones", drain=True).awaitTermination()
+
+    letters = spark.read.parquet(f"{base}/letters")
+    assert rows(letters, "failure_reason") == [("lat: missing",)]
+    top = top_hot_zones(read_view(spark, f"{base}/view"), 10).collect()
+    assert 0 < len(top) <= 10 and {r.window_end_ms for r in top} == {ms(60)}
+    seen = hot_zones(read_pings(spark, f"{base}/events")).where(F.col("window_end_ms") == ms(60))
+    assert rows(read_view(spark, f"{base}/view"), "h3_cell", "driver_count") == rows(
+        seen, "h3_cell", "driver_count")
+
+
 def test_retried_requests_pass_once(spark):
     source = feed(spark, requests, [("r1", 0), ("r1", 3), ("r2", 5)], [("r1", 9), ("r3", 9)])
     view = source.path("view")
