@@ -63,14 +63,24 @@ def _ghost_anomaly(gap: timedelta) -> Column:
     )
 
 
-def _goes_silent(next_at: Column, gap: timedelta, as_of: datetime | None) -> Column:
-    """No ping up to and including one gap later, as far as time has come (``as_of``)."""
+def _as_ms(as_of: datetime | None) -> Column | None:
+    return None if as_of is None else F.unix_millis(F.lit(as_of))
+
+
+def _goes_silent(next_at: Column, gap: timedelta, as_of_ms: Column | None) -> Column:
+    """No ping up to and including one gap later, as far as time has come."""
     due = F.col("at") + millis(gap)
-    reached = F.lit(True) if as_of is None else due <= F.unix_millis(F.lit(as_of))
+    reached = F.lit(True) if as_of_ms is None else due <= as_of_ms
     return F.when(next_at.isNull(), reached).otherwise(next_at > due)
 
 
-def _neighbours(pings: DataFrame, chunk: timedelta, interesting: Column) -> DataFrame:
+def _neighbours(
+    positions: DataFrame,
+    chunk: timedelta,
+    interesting: Column,
+    order: tuple[str, ...] = ("at", "event_id"),
+    carry: tuple[str, ...] = (),
+) -> DataFrame:
     """Each interesting position with the driver's previous and next one in event-time order.
 
     A driver's track is cut into chunks that are sorted in separate tasks. Inside a chunk the
@@ -78,31 +88,27 @@ def _neighbours(pings: DataFrame, chunk: timedelta, interesting: Column) -> Data
     driver meet in a second pass, at most two per chunk. ``interesting`` may use prev_at,
     prev_lat, prev_lon and next_at, and drops every other inner position before that pass.
     """
-    in_chunk = Window.partitionBy("driver_id", "chunk").orderBy("at", "event_id")
-    inner = (
-        _positions(pings)
-        .withColumn("chunk", pane_start(F.col("at"), chunk))
-        .select(
-            "*",
-            F.lag("at").over(in_chunk).alias("prev_at"),
-            F.lag("lat").over(in_chunk).alias("prev_lat"),
-            F.lag("lon").over(in_chunk).alias("prev_lon"),
-            F.lead("at").over(in_chunk).alias("next_at"),
-        )
+    in_chunk = Window.partitionBy("driver_id", "chunk").orderBy(*order)
+    inner = positions.withColumn("chunk", pane_start(F.col("at"), chunk)).select(
+        "*",
+        F.lag("at").over(in_chunk).alias("prev_at"),
+        F.lag("lat").over(in_chunk).alias("prev_lat"),
+        F.lag("lon").over(in_chunk).alias("prev_lon"),
+        F.lead("at").over(in_chunk).alias("next_at"),
     )
     is_end = F.col("prev_at").isNull() | F.col("next_at").isNull()
     kept = inner.where(is_end | interesting).withColumn(
         "lane", F.when(~is_end, F.col("chunk"))
     )
     # Ends share the NULL lane of their driver; inner positions stay spread by chunk.
-    in_lane = Window.partitionBy("driver_id", "lane").orderBy("at", "event_id")
+    in_lane = Window.partitionBy("driver_id", "lane").orderBy(*order)
     is_first, is_last = F.col("prev_at").isNull(), F.col("next_at").isNull()
 
     def earlier(name: str, source: str) -> Column:
         return F.when(is_first, F.lag(source).over(in_lane)).otherwise(F.col(name)).alias(name)
 
     return kept.select(
-        "driver_id", "event_id", "lat", "lon", "at",
+        "driver_id", "event_id", "lat", "lon", "at", *carry,
         earlier("prev_at", "at"),
         earlier("prev_lat", "lat"),
         earlier("prev_lon", "lon"),
@@ -114,7 +120,7 @@ def speed_violations(
     pings: DataFrame, *, mps: float = SPEED_MPS, chunk: timedelta = CHUNK
 ) -> DataFrame:
     """Positions reached from the previous one faster than ``mps``."""
-    moved = _neighbours(pings, chunk, _speed() > mps).withColumn("speed", _speed())
+    moved = _neighbours(_positions(pings), chunk, _speed() > mps).withColumn("speed", _speed())
     fast = moved.where(F.col("speed") > mps)
     return fast.select(_speed_anomaly(mps).alias("a")).select("a.*")
 
@@ -138,7 +144,7 @@ def ghost_drivers(
     )
     next_at = F.lead("first_at").over(Window.partitionBy("driver_id").orderBy("pane"))
     silent = panes.withColumn("next_at", next_at).where(
-        _goes_silent(F.col("next_at"), gap, as_of)
+        _goes_silent(F.col("next_at"), gap, _as_ms(as_of))
     )
     return silent.select(_ghost_anomaly(gap).alias("a")).select("a.*")
 
@@ -152,13 +158,70 @@ def anomalies(
     chunk: timedelta = CHUNK,
 ) -> DataFrame:
     """Speed violations and ghosts from one scan and one full shuffle of the pings."""
-    next_at = F.col("next_at")
-    interesting = (_speed() > mps) | _goes_silent(next_at, gap, as_of)
-    track = _neighbours(pings, chunk, interesting).withColumn("speed", _speed())
+    silent = _goes_silent(F.col("next_at"), gap, _as_ms(as_of))
+    track = _neighbours(_positions(pings), chunk, (_speed() > mps) | silent)
+    return _found(track, mps, gap, silent)
+
+
+def _found(track: DataFrame, mps: float, gap: timedelta, silent: Column) -> DataFrame:
     found = F.array_compact(
         F.array(
             F.when(F.col("speed") > mps, _speed_anomaly(mps)),
-            F.when(_goes_silent(next_at, gap, as_of), _ghost_anomaly(gap)),
+            F.when(silent, _ghost_anomaly(gap)),
         )
     )
-    return track.select(F.explode(found).alias("a")).select("a.*")
+    rows = track.withColumn("speed", _speed()).select(F.explode(found).alias("a"))
+    return rows.select("a.*")
+
+
+# Last position per driver; armed until the silence after it has been reported.
+STATE_COLUMNS = (
+    "driver_id string, event_id string, lat double, lon double, at bigint, armed boolean"
+)
+
+
+def continue_tracks(
+    state: DataFrame,
+    pings: DataFrame,
+    *,
+    as_of_ms: int,
+    mps: float = SPEED_MPS,
+    gap: timedelta = GHOST_GAP,
+    chunk: timedelta = CHUNK,
+) -> DataFrame:
+    """Known last positions continued by newer pings: the positions that matter with their
+    neighbours. Read it with :func:`track_anomalies` and :func:`track_state`.
+
+    Pings older than their driver's last position are left out.
+    """
+    columns = ("driver_id", "event_id", "lat", "lon", "at")
+    seen = state.select("driver_id", F.col("at").alias("seen_at"))
+    fresh = (
+        _positions(pings)
+        .join(seen, "driver_id", "left")
+        .where(F.col("seen_at").isNull() | (F.col("at") >= F.col("seen_at")))
+        .select(*columns, F.lit(True).alias("fresh"), F.lit(True).alias("armed"))
+    )
+    known = state.select(*columns, F.lit(False).alias("fresh"), "armed")
+    silent = _goes_silent(F.col("next_at"), gap, F.lit(as_of_ms))
+    track = _neighbours(
+        known.unionByName(fresh),
+        chunk,
+        (_speed() > mps) | silent,
+        order=("at", "fresh", "event_id"),
+        carry=("fresh", "armed"),
+    )
+    return track.withColumn("silent", F.col("armed") & silent)
+
+
+def track_anomalies(
+    track: DataFrame, *, mps: float = SPEED_MPS, gap: timedelta = GHOST_GAP
+) -> DataFrame:
+    return _found(track, mps, gap, F.col("silent"))
+
+
+def track_state(track: DataFrame) -> DataFrame:
+    """Each driver's newest position."""
+    newest = track.where(F.col("next_at").isNull())
+    armed = (F.col("armed") & ~F.col("silent")).alias("armed")
+    return newest.select("driver_id", "event_id", "lat", "lon", "at", armed)

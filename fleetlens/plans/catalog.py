@@ -486,6 +486,16 @@ def anomalies_stream(spark, sf_dir):
     return _rounded(_read(spark, path))
 
 
+@query
+def anomalies_table_stream(spark, sf_dir):
+    """The same with the drivers' last positions kept in a table."""
+    events = tables.stream_pings(spark, sf_dir)
+    path = _drain(spark, "anomaly-table", lambda view, checkpoint: jobs.anomaly_table_job(
+        events, view, f"{view}-events", f"{view}-state", checkpoint, drain=True, mps=SPEED_MPS,
+        gap=GHOST_GAP, chunk=CHUNK))
+    return _rounded(_read(spark, path))
+
+
 @query
 def enriched_rides_stream(spark, sf_dir):
     events = tables.stream_requests(spark, sf_dir)

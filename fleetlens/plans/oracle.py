@@ -146,6 +146,11 @@ _REQUEST_FAULTS = """CASE k % 10 WHEN 1 THEN 'product_tier: unknown' WHEN 3 THEN
   WHEN 7 THEN 'dropoff.lat: missing; dropoff.lon: missing'
   WHEN 8 THEN 'value: not a JSON object' END"""
 _CLOSED = f"(SELECT max(t) FROM pings) - {_LATE}"
+_CLOSED_ANOMALIES = (
+    _with(_ANOMALIES)
+    + f"""{_ROUNDED} found
+WHERE anomaly_type = 'speed_violation' OR detected_at_ms <= {_CLOSED}"""
+)
 _CLOSED_REQUESTS = f"(SELECT max(t) FROM requests) - {_LATE}"
 _CANDIDATES = _with(_MATCHES) + "SELECT * FROM candidates"
 _STATE = _with() + "SELECT * FROM driver_state"
@@ -280,9 +285,8 @@ WHERE abs((n * 37 % 240 - 120) * 1000) > {_SKEW}""",
   SELECT *, row_number() OVER (PARTITION BY driver_id ORDER BY session_end_ms DESC) AS rn
   FROM sessions WHERE session_end_ms <= {_CLOSED}) WHERE rn = 1""",
     "match_candidates_stream": _CANDIDATES,
-    "anomalies_stream": _with(_ANOMALIES)
-    + f"""{_ROUNDED} found
-WHERE anomaly_type = 'speed_violation' OR detected_at_ms <= {_CLOSED}""",
+    "anomalies_stream": _CLOSED_ANOMALIES,
+    "anomalies_table_stream": _CLOSED_ANOMALIES,
     "enriched_rides_stream": _ENRICHED_ROWS,
     "enriched_rides_latest_stream": _CHANGED_ROWS,
     "driver_state_stream": _STATE,

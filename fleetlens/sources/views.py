@@ -117,6 +117,20 @@ def upsert_writer(
     return upsert
 
 
+def read_version(spark: SparkSession, path: str, upto: int) -> DataFrame | None:
+    """The newest version of a rewritten table that is not after ``upto``, if any."""
+    done = [n for n in _finished(spark, path, "version") if n <= upto]
+    return spark.read.parquet(f"{path}/version={done[-1]}") if done else None
+
+
+def write_version(table: DataFrame, path: str, version: int, *, keep: int = 5) -> None:
+    """Write a table's version and delete those more than ``keep`` versions older."""
+    table.write.mode("overwrite").parquet(f"{path}/version={version}")
+    spark = table.sparkSession
+    old = [n for n in _finished(spark, path, "version") if n < version - keep]
+    _delete(spark, [f"{path}/version={n}" for n in old])
+
+
 def retain(view: DataFrame, as_of_ms: int | Column, ttl: timedelta) -> DataFrame:
     """Rows written less than ``ttl`` before ``as_of_ms``; each row expires on its own."""
     return view.where(F.col("written_at_ms") > as_of_ms - millis(ttl))

@@ -3,13 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetlens.functions.records import anomaly_events
+from fleetlens.functions.timing import LATENESS, millis
 from fleetlens.operators.changelog import is_delete
 from fleetlens.operators.joins import enrich_rides, match_rides, reduce_matches
+from fleetlens.operators.motion import (
+    CHUNK,
+    GHOST_GAP,
+    SPEED_MPS,
+    STATE_COLUMNS,
+    continue_tracks,
+    track_anomalies,
+    track_state,
+)
 from fleetlens.operators.quality import (
     dead_letters,
     ping_events,
@@ -19,7 +31,13 @@ from fleetlens.operators.quality import (
 )
 from fleetlens.operators.windows import hot_zones, idle_sessions, surge_zones
 from fleetlens.schemas import LOCATION_TOPIC, REQUEST_TOPIC
-from fleetlens.sources.views import batch_writer, read_keyed_view, upsert_writer
+from fleetlens.sources.views import (
+    batch_writer,
+    read_keyed_view,
+    read_version,
+    upsert_writer,
+    write_version,
+)
 from fleetlens.streaming.detector import anomaly_stream
 
 Sink = Callable[[DataFrame, int], None]
@@ -114,6 +132,48 @@ def anomaly_job(pings: DataFrame, view: str, events: str, checkpoint: str, *, dr
     return start(anomaly_stream(pings, **options), write, checkpoint, drain=drain)
 
 
+def anomaly_table_job(
+    pings: DataFrame,
+    view: str,
+    events: str,
+    state: str,
+    checkpoint: str,
+    *,
+    mps: float = SPEED_MPS,
+    gap: timedelta = GHOST_GAP,
+    lateness: timedelta = LATENESS,
+    chunk: timedelta = CHUNK,
+    drain: bool = False,
+):
+    """As anomaly_job, with the drivers' last positions in a table instead of keyed state.
+
+    Each micro-batch runs the batch operators: no Python per driver, and a busy driver's
+    share is cut into chunks. It rewrites one row per driver, so it suits larger batches. A
+    ping behind the watermark still counts if it is its driver's newest; keyed state drops it.
+    State version n holds what batches up to n left, which makes a replay repeatable.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = read_version(spark, state, batch_id - 1)
+        if before is None:
+            before = spark.createDataFrame([], STATE_COLUMNS)
+        latest = before.agg(F.max("at")).first()[0]
+        arrived = batch.agg(F.max(F.unix_millis("event_time"))).first()[0]
+        newest = max((t for t in (latest, arrived) if t is not None), default=0)
+        track = continue_tracks(before, batch, as_of_ms=newest - millis(lateness), mps=mps,
+                                gap=gap, chunk=chunk).persist()
+        try:
+            found = track_anomalies(track, mps=mps, gap=gap)
+            batch_writer(view)(found, batch_id)
+            batch_writer(events)(anomaly_events(found), batch_id)
+            write_version(track_state(track), state, batch_id)
+        finally:
+            track.unpersist()
+
+    return start(pings.where(F.col("event_time").isNotNull()), write, checkpoint, drain=drain)
+
+
 def dimension_job(changes: DataFrame, view: str, checkpoint: str, *, keys=("driver_id",),
                   drain=False):
     """Keeps a captured table's latest change per key, deletes included as such."""

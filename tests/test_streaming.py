@@ -113,7 +113,22 @@ def test_match_stream_equals_batch(spark, slices):
     assert rows(got, *columns) == rows(want, *columns) != []
 
 
-def test_anomaly_stream_equals_batch(spark):
+def keyed_job(events, source):
+    return jobs.anomaly_job(events, source.path("view"), source.path("log"),
+                            source.path("checkpoint"), drain=True)
+
+
+def table_job(events, source):
+    return jobs.anomaly_table_job(
+        events, source.path("view"), source.path("log"), source.path("state"),
+        source.path("checkpoint"), drain=True, chunk=timedelta(seconds=500))
+
+
+both_jobs = pytest.mark.parametrize("job", [keyed_job, table_job])
+
+
+@both_jobs
+def test_anomaly_stream_equals_batch(spark, job):
     track = [
         # Two silences of one driver inside one batch, and one that ends in the next.
         [("a", 0), ("a", 400), ("a", 900), ("b", 10, "c1", 37.0, -122.0)],
@@ -125,20 +140,19 @@ def test_anomaly_stream_equals_batch(spark):
     ]
     source = feed(spark, pings, *track)
     view, log = source.path("view"), source.path("log")
-    jobs.anomaly_job(source.read(), view, log, source.path("checkpoint"),
-                     drain=True).awaitTermination()
+    job(source.read(), source).awaitTermination()
     want = [r for r in rows(anomalies(pings(spark, [r for b in track for r in b])), *KEY)
             if r[2] <= ms(2 * FLUSH - 10)]
     assert rows(read_view(spark, view), *KEY) == want
     assert read_view(spark, log).count() == len(want)
 
 
-def test_ping_older_than_the_last_changes_nothing(spark):
+@both_jobs
+def test_ping_older_than_the_last_changes_nothing(spark, job):
     source = feed(spark, pings, [("a", 100)], [("a", 95, "c1", 39.0, -122.4)], [("a", 120)],
                   [("zz", FLUSH)])
     view = source.path("view")
-    jobs.anomaly_job(source.read(), view, source.path("log"), source.path("checkpoint"),
-                     drain=True).awaitTermination()
+    job(source.read(), source).awaitTermination()
     assert rows(read_view(spark, view), *KEY) == [("ghost_driver", "a", ms(420), 300000, "medium")]
 
 
