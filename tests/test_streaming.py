@@ -130,9 +130,10 @@ both_jobs = pytest.mark.parametrize("job", [keyed_job, table_job])
 @both_jobs
 def test_anomaly_stream_equals_batch(spark, job):
     track = [
-        # Two silences of one driver inside one batch, and one that ends in the next.
-        [("a", 0), ("a", 400), ("a", 900), ("b", 10, "c1", 37.0, -122.0)],
-        [("a", 1300), ("b", 20, "c1", 38.0, -122.0), ("b", 20, "c1", 38.5, -122.0)],
+        # Two silences of one driver inside one batch, and one that ends in the next. No
+        # ping comes later than the lateness allows.
+        [("a", 0), ("a", 400), ("a", 900), ("b", 905, "c1", 37.0, -122.0)],
+        [("a", 1300), ("b", 915, "c1", 38.0, -122.0), ("b", 915, "c1", 38.5, -122.0)],
         [("a", 1310, "c1", 37.71, -122.4), ("c", 1320)],
         [("c", 1330), ("a", 9000)],
         [("zz", FLUSH)],
