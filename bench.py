@@ -31,7 +31,13 @@ BATCH = (
     "valid_pings",
     "request_dead_letters",
 )
-STREAMS = ("hot_zones_stream", "surge_zones_stream", "anomalies_stream")
+STREAMS = (
+    "hot_zones_stream",
+    "surge_zones_stream",
+    "match_candidates_stream",
+    "anomalies_stream",
+    "anomalies_table_stream",
+)
 ROUNDS = 2
 
 

@@ -419,12 +419,12 @@ def clock_skew(spark, sf_dir):
 
 @contextmanager
 def _state_partitions(spark):
-    """Keyed state is split by cores where the session leaves Spark's default of 200."""
+    """At most one state partition per core where the session leaves Spark's default of 200."""
     key, default = "spark.sql.shuffle.partitions", "200"
     if spark.conf.get(key) != default:
         yield
         return
-    spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
+    spark.conf.set(key, str(min(int(default), spark.sparkContext.defaultParallelism)))
     try:
         yield
     finally:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.functions.timing import to_event_time
-from fleetlens.session import configure
+from fleetlens.session import configure, size_shuffles
 from fleetlens.sources.events import read_files
 
 EVENTS = (
@@ -41,7 +41,7 @@ OP_OF_STATUS = {"O": "c", "P": "u", "F": "d"}
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     configure(spark)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return size_shuffles(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, schema: str) -> DataFrame:
