@@ -44,7 +44,7 @@ def size_shuffles(source: DataFrame, bytes_per_task: int = 1 << 30) -> DataFrame
     """Let batch shuffles start with a partition per gigabyte of ``source``, if that is more
     than they would have; AQE merges what turns out small."""
     spark = source.sparkSession
-    size = int(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     wanted = -(-size // bytes_per_task)
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     planned = spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions")
