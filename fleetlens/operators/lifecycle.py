@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions.timing import millis, watermarked
+from fleetlens.schemas import RIDE_STATES
 
 
 def first_requests(
@@ -25,7 +26,8 @@ def first_requests(
 
 
 def ride_states(transitions: DataFrame) -> DataFrame:
-    """State of each ride after its last transition."""
+    """State of each ride after its last transition; unknown states are left out."""
+    transitions = transitions.where(F.col("to_state").isin(*RIDE_STATES))
     last = F.max(F.struct("changed_at", "event_id", "from_state", "to_state"))
     return transitions.groupBy("ride_id").agg(
         last.alias("last"), F.count("*").alias("transitions")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions.geo import GRID_DEGREES, cell_or_grid
 from fleetlens.schemas import (
+    FAILURE_STAGES,
     LOCATION_TOPIC,
     PING_INPUT,
     PRODUCT_TIERS,
@@ -124,14 +125,21 @@ def _given(df: DataFrame, name: str, default: Column) -> Column:
     return F.coalesce(F.col(name), default) if name in df.columns else default
 
 
-def dead_letters(bad: DataFrame, topic: str, *, failed_at: Column | None = None) -> DataFrame:
-    """Rejected rows with their original bytes and the reasons."""
+def dead_letters(
+    bad: DataFrame, topic: str, *, stage: str | None = None, failed_at: Column | None = None
+) -> DataFrame:
+    """Rejected rows with their original bytes and the reasons.
+
+    ``stage`` names where rows failed if that was not in the checks above.
+    """
+    if stage is not None and stage not in FAILURE_STAGES:
+        raise ValueError(f"stage must be one of {FAILURE_STAGES}, got {stage!r}")
     return bad.select(
         _given(bad, "topic", F.lit(topic)).alias("original_topic"),
         _given(bad, "key", F.lit("")).cast("binary").alias("original_key_bytes"),
         F.coalesce(F.col("value"), F.lit("")).cast("binary").alias("original_value_bytes"),
         "failure_reason",
-        "failure_stage",
+        F.col("failure_stage") if stage is None else F.lit(stage).alias("failure_stage"),
         (F.current_timestamp() if failed_at is None else failed_at).alias("failed_at"),
         _given(bad, "headers", F.create_map().cast("map<string,string>")).alias(
             "original_headers"

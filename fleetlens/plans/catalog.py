@@ -30,7 +30,7 @@ MATCH_BEFORE, MATCH_AFTER = timedelta(hours=1), timedelta(hours=2)
 SPEED_MPS = 5.0
 GHOST_GAP = timedelta(hours=12)
 CHUNK = timedelta(days=7)
-VIEW_TTL = timedelta(days=2)
+ZONE_TTL = timedelta(days=2)
 SKEW = timedelta(seconds=60)
 CENTRE = (37.7749, -122.4194)
 # A fixed "now" for ingestion, so that results do not depend on the clock.
@@ -379,7 +379,7 @@ def last_enriched_ride(spark, sf_dir):
 def retained_hot_zones(spark, sf_dir):
     """Rows alive at the last window's end, as if each were written when its window closed."""
     view = hot_zones(spark, sf_dir).withColumn("written_at_ms", F.col("window_end_ms"))
-    return views.retain(view, view.select(F.max("written_at_ms")).scalar(), VIEW_TTL)
+    return views.retain(view, view.select(F.max("written_at_ms")).scalar(), ZONE_TTL)
 
 
 # Extensions

@@ -8,7 +8,7 @@ from fleetlens.plans import catalog as c
 from fleetlens.schemas import LOCATION_TOPIC, REQUEST_TOPIC
 
 _HOT, _SIZE, _SLIDE = (millis(x) for x in (c.HOT_WINDOW, c.SURGE_SIZE, c.SURGE_SLIDE))
-_GAP, _GHOST, _TTL = (millis(x) for x in (c.IDLE_GAP, c.GHOST_GAP, c.VIEW_TTL))
+_GAP, _GHOST, _TTL = (millis(x) for x in (c.IDLE_GAP, c.GHOST_GAP, c.ZONE_TTL))
 _BEFORE, _AFTER, _SKEW = (millis(x) for x in (c.MATCH_BEFORE, c.MATCH_AFTER, c.SKEW))
 _LATE = millis(LATENESS)
 

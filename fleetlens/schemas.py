@@ -8,7 +8,6 @@ from datetime import timedelta
 LOCATION_TOPIC = "driver.location.v1"
 REQUEST_TOPIC = "ride.request.v1"
 ANOMALY_TOPIC = "anomaly.detected.v1"
-DRIVER_CHANGE_TOPIC = "dbz.public.drivers"
 PRODUCT_TIERS = ("economy", "comfort", "premium")
 RIDE_STATES = ("requested", "matched", "started", "completed", "cancelled")
 FAILURE_STAGES = ("deserialize", "validate", "business", "sink")

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetlens.schemas import ANOMALY_TOPIC
+
 STARTING = ("earliest", "latest")
 
 
@@ -101,3 +103,10 @@ def write_topic(rows: DataFrame, servers: str, topic: str, checkpoint: str):
         .option("checkpointLocation", checkpoint)
         .start()
     )
+
+
+def write_anomalies(
+    events: DataFrame, servers: str, checkpoint: str, *, topic: str = ANOMALY_TOPIC
+):
+    """Start writing anomaly events, keyed by driver, as JSON."""
+    return write_topic(keyed_json(events, anomaly_key()), servers, topic, checkpoint)

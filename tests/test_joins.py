@@ -95,7 +95,8 @@ def test_enrichment_keeps_unknown_rides(spark):
 
 def test_enriched_map_drops_empty_texts(spark):
     asked = requests(spark, [("r1", 1, "c1", "rdr-00012"), ("r2", 0, None, "rdr-00999")])
-    got = {r.ride_id: r.fields for r in enriched_map(enrich_rides(asked, _drivers(spark))).collect()}
+    maps = enriched_map(enrich_rides(asked, _drivers(spark)))
+    got = {r.ride_id: r.fields for r in maps.collect()}
     assert got["r1"] == {
         "rider_id": "rdr-00012", "pickup_h3": "c1", "request_ms": str(ms(1)),
         "driver_id": "drv-0001", "driver_name": "Ann", "vehicle_type": "economy",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fleetlens.functions.geo import haversine_m
 from fleetlens.functions.records import anomaly_events, evidence_map
 from fleetlens.operators.motion import anomalies, ghost_drivers, speed_violations
+from fleetlens.schemas import ANOMALY_EVENT
 
 CALLS = settings(
     max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
@@ -94,7 +95,10 @@ def test_ids_are_stable_and_evidence_is_text(spark):
 
 
 def test_event_record(spark):
-    event = anomaly_events(ghost_drivers(pings(spark, [("a", 0)]))).first()
+    events = anomaly_events(ghost_drivers(pings(spark, [("a", 0)])))
+    assert events.schema.simpleString() == spark.createDataFrame(
+        [], ANOMALY_EVENT).schema.simpleString()
+    event = events.first()
     envelope, payload = event.envelope, event.payload
     assert envelope.event_id == envelope.trace_id == payload.anomaly_id
     assert envelope.occurred_at == envelope.ingested_at == payload.detected_at

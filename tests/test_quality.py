@@ -1,10 +1,12 @@
 import json
 
+import pytest
 from fixtures import START_MS
 from pyspark.sql import functions as F
 
 from fleetlens.functions.geo import grid_cell
 from fleetlens.operators.quality import (
+    dead_letters,
     ping_dead_letters,
     ping_events,
     request_events,
@@ -78,6 +80,13 @@ def test_dead_letter_keeps_the_bytes(spark):
     assert (row.original_topic, row.failure_stage) == ("driver.location.v1", "deserialize")
 
 
+def test_later_stages_are_named(spark):
+    _, bad = validate_pings(raw(spark, "{"))
+    assert dead_letters(bad, "t", stage="sink").first().failure_stage == "sink"
+    with pytest.raises(ValueError, match="stage"):
+        dead_letters(bad, "t", stage="elsewhere")
+
+
 def same_shape(df, ddl, spark):
     expected = spark.createDataFrame([], ddl).schema
     assert df.schema.simpleString() == expected.simpleString()
