@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions.geo import haversine_m
 from fleetlens.functions.records import anomaly_events, evidence_map
-from fleetlens.operators.motion import anomalies, ghost_drivers, speed_violations
+from fleetlens.operators.motion import (
+    _neighbours,
+    _positions,
+    anomalies,
+    ghost_drivers,
+    speed_violations,
+)
 from fleetlens.schemas import ANOMALY_EVENT
 
 CALLS = settings(
@@ -85,6 +91,17 @@ def test_any_chunk_gives_the_same_anomalies(spark, track, chunk):
     assert rows(speeds.unionByName(ghosts), *KEY) == sorted(want)
 
 
+def test_only_chunk_ends_of_a_busy_driver_meet_again(spark):
+    seconds = spark.range(20_000).select(
+        F.lit("hot").alias("driver_id"), F.col("id").cast("string").alias("event_id"),
+        F.lit(37.7).alias("lat"), F.lit(-122.4).alias("lon"),
+        F.timestamp_seconds("id").alias("event_time"))
+    kept = _neighbours(_positions(seconds), timedelta(hours=1), F.lit(False))
+    assert kept.count() == 2 * 6
+    assert kept.where("next_at - at > 1000 or at - prev_at > 1000").count() == 0
+    assert anomalies(seconds).count() == 1
+
+
 def test_ids_are_stable_and_evidence_is_text(spark):
     df = pings(spark, [("a", 0, "c1", 37.5, -122.25)])
     first, again = (ghost_drivers(df).select("anomaly_id").first()[0] for _ in range(2))
