@@ -17,7 +17,7 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.QUERIES) == set(entry.ORACLE)
 
 
 def test_entry(spark):
@@ -26,6 +26,6 @@ def test_entry(spark):
     assert result.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.QUERIES))
 def test_query(spark, con, name):
     assert differences(entry.queries()[name](spark, SF_DIR), con, entry.oracle_sql()[name]) == ""
