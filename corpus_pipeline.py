@@ -23,10 +23,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.learn(docs.where(bucket_of(F.col("doc_id"), 4) != 2))
     if not model.languages:
         return docs.where(langid.has_letter(F.col("text")))
-    judged = langid.predict(docs, model, keys=tuple(docs.columns))
-    kept = judged.where(
-        (F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SHARE)
-    )
+    judged = docs.withColumn("_language", langid.judged(docs, model))
+    leading = F.col("_language.score") >= LEAST_LANGUAGE_SHARE
+    kept = judged.where((F.col("_language.lang_pred") != langid.UNDETERMINED) & leading)
     return kept.select(*docs.columns)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.llm import text as tx
-from fleetlens.llm.common import map_arrow
+from fleetlens.llm.common import map_arrow, small_batches
 
 UNDETERMINED = "und"
 BITS = 16
@@ -192,6 +192,27 @@ def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
+def _judge(texts: pa.Array, letter: np.ndarray, model: Model) -> dict[str, list | np.ndarray]:
+    """lang_pred, score and langs of some texts."""
+    n = len(texts)
+    languages = np.array(model.languages, dtype=object)
+    if not len(languages):
+        return {"lang_pred": [UNDETERMINED] * n, "score": [0.0] * n, "langs": [""] * n}
+    free, chosen = mixtures(texts, model)
+    best = chosen.argmax(axis=1)
+    known = letter & (chosen.sum(axis=1) > 0)
+    langs = []
+    for row, ok in zip(chosen, known):
+        order = [i for i in np.argsort(-row, kind="stable") if ok and row[i] > 0]
+        langs.append(",".join(f"{languages[i]}:{row[i]:.3f}" for i in order))
+    score = np.clip(free[np.arange(n), best], 0.0, 1.0)
+    return {
+        "lang_pred": np.where(known, languages[best], UNDETERMINED),
+        "score": np.where(known, score, 0.0),
+        "langs": langs,
+    }
+
+
 def predict(
     documents: DataFrame, model: Model, text: str = "text", keys: tuple[str, ...] = ("doc_id",)
 ) -> DataFrame:
@@ -203,27 +224,26 @@ def predict(
     """
     schema = documents.select(*keys).schema
     rows = documents.select(*keys, has_letter(F.col(text)).alias("_letter"), F.col(text).alias("_text"))
-    languages = np.array(model.languages, dtype=object)
     share = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batch: pa.RecordBatch) -> dict:
-        n, letter = batch.num_rows, batch.column(len(keys)).to_numpy(zero_copy_only=False)
+        letter = batch.column(len(keys)).to_numpy(zero_copy_only=False)
         out = {name: batch.column(i) for i, name in enumerate(keys)}
-        if not len(languages):
-            return out | {"lang_pred": [UNDETERMINED] * n, "score": [0.0] * n, "langs": [""] * n}
-        free, chosen = mixtures(batch.column(len(keys) + 1), share.value)
-        best = chosen.argmax(axis=1)
-        known = letter & (chosen.sum(axis=1) > 0)
-        langs = []
-        for row, ok in zip(chosen, known):
-            order = [i for i in np.argsort(-row, kind="stable") if ok and row[i] > 0]
-            langs.append(",".join(f"{languages[i]}:{row[i]:.3f}" for i in order))
-        score = np.clip(free[np.arange(n), best], 0.0, 1.0)
-        return out | {
-            "lang_pred": np.where(known, languages[best], UNDETERMINED),
-            "score": np.where(known, score, 0.0),
-            "langs": langs,
-        }
+        return out | _judge(batch.column(len(keys) + 1), letter, share.value)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     return map_arrow(rows, run, f"{fields}, lang_pred string, score double, langs string")
+
+
+def judged(documents: DataFrame, model: Model, text: str = "text") -> Column:
+    """``predict`` as a struct column, for filters: only the text goes to Python."""
+    small_batches(documents.sparkSession)
+    share = documents.sparkSession.sparkContext.broadcast(model)
+
+    @F.arrow_udf("struct<lang_pred:string,score:double,langs:string>")
+    def judge(texts: pa.Array, letter: pa.Array) -> pa.Array:
+        found = _judge(texts, letter.to_numpy(zero_copy_only=False), share.value)
+        kinds = {"lang_pred": pa.string(), "score": pa.float64(), "langs": pa.string()}
+        return pa.StructArray.from_arrays([pa.array(found[k], t) for k, t in kinds.items()], list(kinds))
+
+    return judge(F.col(text), has_letter(F.col(text)))
