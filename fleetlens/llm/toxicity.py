@@ -94,7 +94,7 @@ def learn(
     text: str = "text",
     key: str = "doc_id",
     label: str = "toxic",
-    fit_bytes: int = 48_000_000,
+    fit_bytes: int = 32_000_000,
     n_features: int = 4096,
     counterfactual: float = 1.0,
     terms=IDENTITY_TERMS,
@@ -125,9 +125,9 @@ def learn(
             packed += _packed(features_of(pa.array([s for pair in pairs for s in pair])))
         return {"kind": kinds, "features": packed}
 
-    sample = map_arrow(rows, encode, "kind int, features binary").toPandas()
+    sample = map_arrow(rows, encode, "kind int, features binary").toArrow()
     kind = sample["kind"].to_numpy()
-    found = [np.frombuffer(x, "<i4") for x in sample["features"]]
+    found = [np.frombuffer(x.as_buffer(), "<i4") for x in sample["features"]]
     texts = [(found[i], kind[i]) for i in range(len(found)) if kind[i] < 2]
     # Both sentences of a pair follow each other in their batch.
     pairs = [(found[i], found[i + 1]) for i in range(len(found)) if kind[i] == 2]
