@@ -15,13 +15,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.llm import text as tx
-from fleetlens.llm.common import map_arrow, stored
+from fleetlens.llm.common import bitmap, in_bitmap, map_arrow, stored
 
 TILE = 5
 COVERAGE = 0.8
-# The bitmap has 2^BITMAP_BITS bits (2 MB) however many items there are; more items only let more
-# stretches through to the join.
-BITMAP_BITS = 24
 _MOD = (1 << 61) - 1
 _RADIX = 0x1F3D5B79A2C4E6
 
@@ -116,20 +113,6 @@ def _items(batch: pa.RecordBatch) -> dict:
     return out
 
 
-def _bitmap(seeds: DataFrame) -> np.ndarray:
-    """A bit per value of the seeds' leading bits, gathered by buckets of a bitmap aggregation: at most
-    2^BITMAP_BITS bits reach the driver."""
-    place = F.shiftrightunsigned("seed", 64 - BITMAP_BITS) + 1
-    cells = seeds.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("bucket"))
-    cells = cells.agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
-    out = np.zeros(1 << BITMAP_BITS, dtype=bool)
-    for bucket, bits in cells.toLocalIterator():
-        # Bit i of bucket k, which counts from 1, stands for the value (k - 1) * bits + i + 1.
-        flags = np.unpackbits(np.frombuffer(bytes(bits), np.uint8), bitorder="little")
-        out[(bucket - 1) * len(flags) : bucket * len(flags)] = flags
-    return np.packbits(out)
-
-
 def contaminated(
     documents: DataFrame,
     benchmark: DataFrame,
@@ -153,13 +136,12 @@ def contaminated(
     bench = stored(bench.withColumn("row", F.xxhash64("item", "words")), "bench")
     seeds = bench.select("row", F.size("words").alias("n"), F.explode("seeds").alias("seed"))
     seeds = seeds.groupBy("row", "n", "seed").agg(F.count("*").alias("times"))
-    bits = documents.sparkSession.sparkContext.broadcast(_bitmap(seeds.select("seed").distinct()))
+    bits = documents.sparkSession.sparkContext.broadcast(bitmap(seeds.select("seed").distinct(), "seed"))
 
     def stretches(batch: pa.RecordBatch) -> dict | None:
         words = tx.hash_words(batch.column(1))
         seed, whole = _seeds(words)
-        place = (seed >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
-        hit = whole & ((bits.value[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1).astype(bool)
+        hit = whole & in_bitmap(bits.value, seed)
         at = np.flatnonzero(hit)
         if not len(at):
             return None
