@@ -36,3 +36,20 @@ def current_state(
     """Current rows of a captured table: the latest change per key, deletes removed."""
     latest = latest_per_key(changes, keys, order)
     return latest.where(~is_delete(latest)).drop(*_MARKS)
+
+
+def topic_changes(rows: DataFrame, table: str) -> DataFrame:
+    """Change rows from a capture topic's key, value and offset: columns of ``table`` (DDL) plus op,
+    ts_ms, seq and ``__deleted``.
+
+    Values are flattened JSON rows with ``__op``, ``__ts_ms`` and ``__deleted``; decimals and times may be
+    text. The offset orders changes (``current_state(..., order=("seq",))``). A tombstone, a null value, adds nothing
+    after the rewritten delete it follows. A value without marks is no change row and stops the job.
+    """
+    marks = "__op string, __ts_ms bigint, __deleted string"
+    body = F.from_json(F.col("value").cast("string"), f"{table}, {marks}", {"mode": "PERMISSIVE"})
+    read = rows.where("value is not null").select(body.alias("body"), F.col("offset").alias("seq"))
+    read = read.select("body.*", "seq")
+    missing = F.raise_error(F.concat(F.lit("no change marks at offset "), F.col("seq").cast("string")))
+    op = F.when(F.col("__op").isNull(), missing.cast("string")).otherwise(F.col("__op"))
+    return read.withColumn("op", op).withColumnRenamed("__ts_ms", "ts_ms").drop("__op")

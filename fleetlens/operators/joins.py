@@ -69,8 +69,19 @@ def match_rides(
 
 def reduce_matches(matches: DataFrame) -> DataFrame:
     """Latest match per (ride, driver); combined in the join's own stage before any shuffle."""
-    return matches.groupBy("ride_id", "driver_id", "h3_cell").agg(
-        F.max(F.unix_millis("match_time")).alias("match_time_ms")
+    at = F.unix_millis("match_time")
+    return _latest(matches.select("ride_id", "driver_id", "h3_cell", at.alias("at")))
+
+
+def _latest(matches: DataFrame) -> DataFrame:
+    """One row per (ride, driver): the latest match, and of matches at one instant the one in
+    the greatest cell. A ride requested again from another cell still is one ride."""
+    last = F.max(F.struct("at", "h3_cell")).alias("last")
+    return matches.groupBy("ride_id", "driver_id").agg(last).select(
+        "ride_id",
+        "driver_id",
+        F.col("last.h3_cell").alias("h3_cell"),
+        F.col("last.at").alias("match_time_ms"),
     )
 
 
@@ -130,17 +141,16 @@ def match_candidates(
         & (F.col("pane") == F.col("look_pane"))
         & F.col("high").between(at, F.col("until"))
     )
-    return (
-        filed.join(asked, on)
-        .groupBy("ride_id", "driver_id", "h3_cell")
-        .agg(F.max("at").alias("match_time_ms"))
-    )
+    return _latest(filed.join(asked, on).select("ride_id", "driver_id", "h3_cell", "at"))
 
 
 def last_match(candidates: DataFrame) -> DataFrame:
-    """Per ride: its cell and the time of its last match."""
-    return candidates.groupBy("ride_id", "h3_cell").agg(
-        F.max("match_time_ms").alias("last_match_ms")
+    """One row per ride: the time of its last match, and its cell then."""
+    last = F.max(F.struct("match_time_ms", "h3_cell")).alias("last")
+    return candidates.groupBy("ride_id").agg(last).select(
+        "ride_id",
+        F.col("last.h3_cell").alias("h3_cell"),
+        F.col("last.match_time_ms").alias("last_match_ms"),
     )
 
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions.timing import millis, watermarked
-from fleetlens.schemas import RIDE_STATES
+from fleetlens.schemas import RIDE_STATES, STATE_ALIASES
 
 
 def first_requests(
@@ -25,9 +25,27 @@ def first_requests(
     return first.select(*(F.col(f"row.{c}") for c in requests.columns))
 
 
+def _state(name: str) -> Column:
+    """A state by its usual name."""
+    named = F.col(name)
+    for other, usual in STATE_ALIASES.items():
+        named = F.when(F.col(name) == other, usual).otherwise(named)
+    return named
+
+
+def unknown_transitions(transitions: DataFrame) -> DataFrame:
+    """Transitions to a state that is not known, with the reason: for the dead letters."""
+    known = F.coalesce(_state("to_state").isin(*RIDE_STATES), F.lit(False))
+    reason = F.concat(F.lit("to_state: unknown state "), F.coalesce("to_state", F.lit("null")))
+    return transitions.where(~known).withColumn("failure_reason", reason)
+
+
 def ride_states(transitions: DataFrame) -> DataFrame:
-    """State of each ride after its last transition; unknown states are left out."""
-    transitions = transitions.where(F.col("to_state").isin(*RIDE_STATES))
+    """State of each ride after its last transition to a known state; ``unknown_transitions``
+    has the others."""
+    transitions = transitions.withColumns(
+        {"from_state": _state("from_state"), "to_state": _state("to_state")}
+    ).where(F.col("to_state").isin(*RIDE_STATES))
     last = F.max(F.struct("changed_at", "event_id", "from_state", "to_state"))
     return transitions.groupBy("ride_id").agg(
         last.alias("last"), F.count("*").alias("transitions")

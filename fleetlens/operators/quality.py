@@ -19,6 +19,11 @@ from fleetlens.schemas import (
 _CORRUPT = "_corrupt"
 
 
+# How a number is written, without a type suffix; and the instants of the years 1 to 9999.
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+_INSTANTS = (-62_135_596_800_000, 253_402_300_799_999)
+
+
 def _computed_once(df: DataFrame, **columns: Column) -> DataFrame:
     """Adds columns behind a generator, which keeps the optimizer from copying their
     expressions into every later filter and field access."""
@@ -46,15 +51,26 @@ def _in_range(field: str, bound: float) -> Column:
     number = text.try_cast("double")
     return (
         F.when(text.isNull(), f"{field}: missing")
-        .when(number.isNull(), f"{field}: not a number")
+        .when(~text.rlike(_NUMBER) | number.isNull(), f"{field}: not a number")
         .when(~number.between(-bound, bound), f"{field}: out of range")
     )
 
 
 def _optional(field: str, kind: str) -> Column:
     text = F.col(f"body.{field}")
-    what = "a number" if kind == "double" else "an integer"
-    return F.when(text.isNotNull() & text.try_cast(kind).isNull(), f"{field}: not {what}")
+    if kind == "double":
+        bad = ~text.rlike(_NUMBER) | text.try_cast("double").isNull()
+        return F.when(text.isNotNull() & bad, f"{field}: not a number")
+    whole = _whole(text)
+    return F.when(text.isNotNull() & whole.isNull(), f"{field}: not an integer").when(
+        ~whole.between(*_INSTANTS), f"{field}: out of range"
+    )
+
+
+def _whole(text: Column) -> Column:
+    """A whole number, also one written as 12.0; null for other text."""
+    number = F.when(text.rlike(_NUMBER), text.try_cast("decimal(38,6)"))
+    return F.when(number == F.floor(number), number.try_cast("bigint"))
 
 
 def _checked(raw: DataFrame, schema: str, checks: list[Column]) -> DataFrame:
@@ -149,7 +165,7 @@ def dead_letters(
 
 def _or_now(ms: str, now: Column) -> Column:
     """The given instant; a missing one or zero means now."""
-    given = F.col(f"body.{ms}").cast("bigint")
+    given = _whole(F.col(f"body.{ms}"))
     return F.coalesce(F.when(given != 0, F.timestamp_millis(given)), now)
 
 

@@ -7,7 +7,6 @@ Times leave as epoch milliseconds and nested records as flat columns.
 from __future__ import annotations
 
 from collections.abc import Callable
-from contextlib import contextmanager
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -225,6 +224,19 @@ def match_candidates_from_matches(spark, sf_dir):
     return joins.reduce_matches(_match(joins.match_rides, spark, sf_dir))
 
 
+@query
+def repeated_ride_candidates(spark, sf_dir):
+    """A rider's requests as retries of one ride, in whatever cell each of them was made."""
+    asked = tables.requests(spark, sf_dir).withColumn("ride_id", F.col("rider_id"))
+    pings = tables.pings(spark, sf_dir)
+    return joins.match_candidates(asked, pings, before=MATCH_BEFORE, after=MATCH_AFTER)
+
+
+@query
+def repeated_ride_last_match(spark, sf_dir):
+    return joins.last_match(repeated_ride_candidates(spark, sf_dir))
+
+
 @query
 def last_match(spark, sf_dir):
     return joins.last_match(match_candidates(spark, sf_dir))
@@ -417,25 +429,10 @@ def clock_skew(spark, sf_dir):
 # Streams: the same operators over a file stream, run until the input is processed.
 
 
-@contextmanager
-def _state_partitions(spark):
-    """At most one state partition per core where the session leaves Spark's default of 200."""
-    key, default = "spark.sql.shuffle.partitions", "200"
-    if spark.conf.get(key) != default:
-        yield
-        return
-    spark.conf.set(key, str(min(int(default), spark.sparkContext.defaultParallelism)))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, default)
-
-
 def _drain(spark, name, run) -> str:
     """Runs ``run(view, checkpoint)`` to the end of its input and returns the view's path."""
     base = work_dir(spark, name)
-    with _state_partitions(spark):
-        run(f"{base}/view", f"{base}/checkpoint").awaitTermination()
+    run(f"{base}/view", f"{base}/checkpoint").awaitTermination()
     return f"{base}/view"
 
 
@@ -533,11 +530,10 @@ def ingested_zones_stream(spark, sf_dir):
     """Submitted JSON through checks and the event log to hot zones."""
     base = work_dir(spark, "ingest")
     raw = tables.stream_raw_pings(spark, sf_dir)
-    with _state_partitions(spark):
-        for run in jobs.ingest_pings(
-                raw, f"{base}/events", f"{base}/letters", f"{base}/ingest", drain=True):
-            run.awaitTermination()
-        events = read_pings(spark, f"{base}/events", streaming=True)
-        jobs.hot_zones_job(events, f"{base}/view", f"{base}/zones", drain=True,
-                           window=HOT_WINDOW).awaitTermination()
+    for run in jobs.ingest_pings(
+            raw, f"{base}/events", f"{base}/letters", f"{base}/ingest", drain=True):
+        run.awaitTermination()
+    events = read_pings(spark, f"{base}/events", streaming=True)
+    jobs.hot_zones_job(events, f"{base}/view", f"{base}/zones", drain=True,
+                       window=HOT_WINDOW).awaitTermination()
     return _read(spark, f"{base}/view")

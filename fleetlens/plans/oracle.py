@@ -75,8 +75,11 @@ _MATCHES = f"""matches AS (
   FROM requests r JOIN pings p ON r.h3_cell = p.h3_cell
    AND p.t BETWEEN r.t - {_BEFORE} AND r.t + {_AFTER}),
 candidates AS (
-  SELECT ride_id, driver_id, h3_cell, max(match_time_ms) AS match_time_ms
-  FROM matches GROUP BY ALL)"""
+  SELECT ride_id, driver_id, arg_max(h3_cell, (match_time_ms, h3_cell)) AS h3_cell,
+         max(match_time_ms) AS match_time_ms
+  FROM matches GROUP BY ride_id, driver_id)"""
+# A rider's requests as retries of one ride.
+_RETRIED = _MATCHES.replace("r.ride_id, p.driver_id", "r.rider_id AS ride_id, p.driver_id")
 
 
 def _enriched(source: str, vehicle: str = "d.vehicle_type") -> str:
@@ -205,6 +208,11 @@ FROM pings WHERE {_REQUEST_FAULTS} IS NULL""",
     "ride_matches": _with(_MATCHES) + "SELECT * FROM matches",
     "match_candidates": _CANDIDATES,
     "match_candidates_from_matches": _CANDIDATES,
+    "repeated_ride_candidates": _with(_RETRIED)
+    + "SELECT ride_id, driver_id, h3_cell, match_time_ms FROM candidates",
+    "repeated_ride_last_match": _with(_RETRIED)
+    + """SELECT ride_id, arg_max(h3_cell, (match_time_ms, h3_cell)) AS h3_cell,
+         max(match_time_ms) AS last_match_ms FROM candidates GROUP BY ride_id""",
     "last_match": _with(_MATCHES)
     + """SELECT ride_id, h3_cell, max(match_time_ms) AS last_match_ms
 FROM candidates GROUP BY ALL""",

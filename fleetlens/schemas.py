@@ -21,6 +21,8 @@ VIEW_TTL = {
     "anomalies": timedelta(seconds=3600),
     "enriched_rides": timedelta(seconds=600),
 }
+# The table of rides names one state otherwise than the events do.
+STATE_ALIASES = {"picked_up": "started"}
 
 
 ENVELOPE = (

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 RUNTIME_CONF = {
     # Event times are UTC; zone-less Parquet timestamps are read as such.
@@ -40,27 +39,10 @@ def build_session(app: str = "fleetlens", master: str | None = None, **conf: str
     return configure(builder.getOrCreate())
 
 
-def size_shuffles(source: DataFrame, bytes_per_task: int = 1 << 30) -> DataFrame:
-    """Let batch shuffles start with a partition per gigabyte of ``source``, if that is more
-    than they would have; AQE merges what turns out small."""
-    spark = source.sparkSession
-    size = int(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    wanted = -(-size // bytes_per_task)
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    planned = spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions")
-    if wanted > int(planned):
-        spark.conf.set(key, str(wanted))
-    return source
-
-
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder.
-
-    Only a local session without that setting falls back to a temporary folder.
-    """
+    """A fresh folder below the cluster's shared checkpoint folder, or, where none is set,
+    below the warehouse, which executors share as well."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="run-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/work"
     return f"{root.rstrip('/')}/fleetlens/{name}-{uuid4().hex}"

@@ -34,9 +34,15 @@ def read_topic(
     *,
     group: str | None = None,
     streaming: bool = True,
-    starting: str = "latest",
+    starting: str | None = None,
     rows_per_batch: int = 5_000_000,
 ) -> DataFrame:
+    """Rows of a topic: a stream from the latest offsets on, or a batch of all of them, unless
+    ``starting`` says otherwise; a batch can't start at the latest ones."""
+    if starting is None:
+        starting = "latest" if streaming else "earliest"
+    if not streaming and starting == "latest":
+        raise ValueError("a batch read of a topic can't start at the latest offsets")
     options = kafka_options(servers, topic, starting=starting, rows_per_batch=rows_per_batch)
     if group:
         options["kafka.group.id"] = group

@@ -12,6 +12,7 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from fleetlens.functions.timing import millis
 from fleetlens.operators.changelog import latest_per_key
@@ -57,16 +58,28 @@ def batch_writer(path: str, written_at: Column | None = None) -> Callable[[DataF
     return write
 
 
-def read_view(spark: SparkSession, path: str) -> DataFrame:
-    """Every row of an append-only view."""
+def _empty(spark: SparkSession, path: str, schema: StructType | None) -> DataFrame:
+    """A view without a finished batch has no rows; its columns must then be given."""
+    if schema is None:
+        raise ValueError(f"no finished batch in {path}, and no schema given")
+    extra = StructType.fromDDL("written_at_ms bigint, batch_id bigint")
+    return spark.createDataFrame([], StructType([*schema.fields, *extra.fields]))
+
+
+def read_view(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """Every row of an append-only view; ``schema`` has the columns of a view not yet written."""
     done = _finished(spark, path, "batch_id")
     if not done:
-        raise ValueError(f"no finished batch in {path}")
+        return _empty(spark, path, schema)
     return _batches(spark, path, done)
 
 
 def read_keyed_view(
-    spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str] = ("batch_id",)
+    spark: SparkSession,
+    path: str,
+    keys: Sequence[str],
+    order: Sequence[str] = ("batch_id",),
+    schema: StructType | None = None,
 ) -> DataFrame:
     """The latest row of each key: last snapshot plus the batches written since."""
     snapshots = _finished(spark, f"{path}/snapshots", "upto")
@@ -78,7 +91,7 @@ def read_keyed_view(
     if snapshots:
         parts.append(spark.read.parquet(f"{path}/snapshots/upto={upto}"))
     if not parts:
-        raise ValueError(f"no finished batch in {path}")
+        return _empty(spark, path, schema)
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return latest_per_key(rows, keys, order)
 
@@ -99,20 +112,22 @@ def upsert_writer(
     keys: Sequence[str],
     order: Sequence[str],
     *,
+    between: Sequence[str] = ("batch_id",),
     fold_every: int = 50,
     written_at: Column | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function that replaces rows by key.
 
-    A batch is first reduced to its latest row per key by ``order``; between batches the
-    later one wins. Every ``fold_every`` batches the view is folded into a snapshot.
+    A batch is first reduced to its latest row per key by ``order``. Between batches
+    ``between`` decides, by default the later batch; readers must pass the same. Every
+    ``fold_every`` batches the view is folded into a snapshot in that order.
     """
     write = batch_writer(path, written_at)
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         write(latest_per_key(batch, keys, order), batch_id)
         if fold_every and batch_id % fold_every == fold_every - 1:
-            fold_view(batch.sparkSession, path, keys)
+            fold_view(batch.sparkSession, path, keys, between)
 
     return upsert
 

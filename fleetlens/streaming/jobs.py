@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fleetlens.functions.records import anomaly_events
 from fleetlens.functions.timing import LATENESS, millis
-from fleetlens.operators.changelog import is_delete
+from fleetlens.operators.changelog import CHANGE_ORDER, is_delete
 from fleetlens.operators.joins import enrich_rides, match_rides, reduce_matches
 from fleetlens.operators.motion import (
     CHUNK,
@@ -177,7 +177,7 @@ def anomaly_table_job(
 def dimension_job(changes: DataFrame, view: str, checkpoint: str, *, keys=("driver_id",),
                   drain=False):
     """Keeps a captured table's latest change per key, deletes included as such."""
-    sink = upsert_writer(view, list(keys), ["ts_ms", "seq"])
+    sink = upsert_writer(view, list(keys), CHANGE_ORDER, between=CHANGE_ORDER)
     return start(changes, sink, checkpoint, drain=drain)
 
 
@@ -204,7 +204,7 @@ def enrich_job(requests: DataFrame, drivers: Callable[[], DataFrame], view: str,
 
 def request_job(requests: DataFrame, view: str, checkpoint: str, *, drain=False):
     """Keeps the latest request of each ride."""
-    return start(requests, upsert_writer(view, ["ride_id"], ["event_time"]), checkpoint,
+    return start(requests, upsert_writer(view, ["ride_id"], ["event_time", "event_id"]), checkpoint,
                  drain=drain)
 
 

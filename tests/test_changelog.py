@@ -1,4 +1,8 @@
-from fleetlens.operators.changelog import current_state
+import json
+
+import pytest
+
+from fleetlens.operators.changelog import current_state, topic_changes
 
 COLUMNS = "driver_id string, name string, op string, ts_ms bigint, seq bigint, __deleted string"
 
@@ -25,3 +29,29 @@ def test_rewritten_delete_and_tombstone(spark):
 def test_log_offset_breaks_ties(spark):
     changes = [("a", "old", "u", 5, 1, None), ("a", "new", "u", 5, 2, None)]
     assert state(spark, changes) == {"a": "new"}
+
+
+def topic(spark, *values):
+    rows = [(b"k", None if v is None else json.dumps(v).encode(), i) for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, "key binary, value binary, offset bigint")
+
+
+def test_changes_as_the_topic_holds_them(spark):
+    def row(who, rating, op, ts, deleted="false"):
+        at = "2024-01-01T00:00:00Z"
+        return {"driver_id": who, "rating": rating, "updated_at": at, "__op": op, "__ts_ms": ts, "__deleted": deleted}
+
+    rows = topic(
+        spark, row("a", "4.50", "c", 9), row("b", "3.25", "c", 5), row("a", "4.75", "u", 1),
+        row("b", "3.25", "d", 6, "true"), None, row("c", "1.00", "c", 7), row("c", "1.00", "d", 7, "true"),
+        None, row("c", "2.00", "c", 7),
+    )
+    changes = topic_changes(rows, "driver_id string, rating decimal(3,2), updated_at timestamp")
+    got = {r.driver_id: (str(r.rating), r.updated_at is not None) for r in current_state(changes, ["driver_id"], ["seq"]).collect()}
+    assert got == {"a": ("4.75", True), "c": ("2.00", True)}
+
+
+def test_values_without_marks_stop_the_job(spark):
+    changes = topic_changes(topic(spark, {"driver_id": "a"}), "driver_id string")
+    with pytest.raises(Exception, match="no change marks at offset 0"):
+        changes.collect()

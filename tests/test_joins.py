@@ -103,3 +103,18 @@ def test_enriched_map_drops_empty_texts(spark):
         "rating": "4.50", "active": "false", "enriched": "true"}
     assert got["r2"] == {"rider_id": "rdr-00999", "request_ms": str(ms(0)),
                          "driver_id": "drv-0099", "enriched": "false"}
+
+
+def test_a_ride_requested_again_is_one_ride(spark):
+    requests = spark.createDataFrame(
+        [("r", "c1", 100), ("r", "c2", 150)], "ride_id string, h3_cell string, s long"
+    ).withColumn("event_time", F.timestamp_seconds("s"))
+    pings = spark.createDataFrame(
+        [("d", "c1", 100), ("d", "c2", 160)], "driver_id string, h3_cell string, s long"
+    ).withColumn("event_time", F.timestamp_seconds("s"))
+    want = [("r", "d", "c2", 160_000)]
+    columns = ("ride_id", "driver_id", "h3_cell", "match_time_ms")
+    found = match_candidates(requests, pings)
+    assert rows(found, *columns) == want
+    assert rows(reduce_matches(match_rides(requests, pings)), *columns) == want
+    assert rows(last_match(found), "ride_id", "h3_cell", "last_match_ms") == [("r", "c2", 160_000)]

@@ -27,3 +27,8 @@ def test_json_rows(spark):
     df = spark.createDataFrame([("k", 1)], "k string, v int")
     row = kafka.keyed_json(df, F.col("k")).first()
     assert (bytes(row.key), bytes(row.value)) == (b"k", b'{"k":"k","v":1}')
+
+
+def test_a_batch_cannot_start_at_the_latest_offsets(spark):
+    with pytest.raises(ValueError, match="latest"):
+        kafka.read_topic(spark, "h:1", "t", streaming=False, starting="latest")

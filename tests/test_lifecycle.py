@@ -2,7 +2,7 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from fleetlens.operators.lifecycle import clock_skew, duplicate_events, ride_states
+from fleetlens.operators.lifecycle import clock_skew, duplicate_events, ride_states, unknown_transitions
 
 
 def test_last_known_state(spark):
@@ -28,3 +28,15 @@ def test_skew_beyond_the_bound_either_way(spark):
     found = clock_skew(df, most=timedelta(seconds=60))
     assert sorted((r.event_id, r.skew_ms) for r in found.collect()) == [
         ("b", 61000), ("c", -100000)]
+
+
+def test_other_names_of_a_state_and_unknown_ones(spark):
+    moves = spark.createDataFrame(
+        [("1", "r", "requested", "matched", 1), ("2", "r", "matched", "picked_up", 2),
+         ("3", "r", "started", "flying", 3)],
+        "event_id string, ride_id string, from_state string, to_state string, s long",
+    ).withColumn("changed_at", F.timestamp_seconds("s"))
+    row = ride_states(moves).first()
+    assert (row.state, row.previous_state, row.transitions) == ("started", "matched", 2)
+    lost = unknown_transitions(moves).collect()
+    assert [(r.event_id, r.failure_reason) for r in lost] == [("3", "to_state: unknown state flying")]

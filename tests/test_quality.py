@@ -114,3 +114,10 @@ def test_request_events(spark):
     row = events.first()
     assert (row.payload.product_tier, row.envelope.trace_id) == ("economy", "t1")
     assert row.payload.requested_at == row.envelope.occurred_at
+
+
+def test_odd_numbers(spark):
+    assert reason(spark, PING | {"occurred_at_ms": 9223372036854775807}) == "occurred_at_ms: out of range"
+    assert reason(spark, PING | {"lat": "1d"}) == "lat: not a number"
+    events = ping_events(validate_pings(raw(spark, PING | {"occurred_at_ms": 12.0}))[0], now=now())
+    assert events.select(F.unix_millis("envelope.occurred_at")).first()[0] == 12

@@ -2,6 +2,7 @@ import time
 from datetime import timedelta
 
 import pytest
+from pyspark.sql.types import StructType
 from pyspark.sql import functions as F
 
 from fleetlens.schemas import VIEW_TTL
@@ -40,6 +41,7 @@ def test_replayed_batch_changes_nothing(spark, path):
 def test_empty_view_is_reported(spark, path):
     with pytest.raises(ValueError, match="no finished batch"):
         read_view(spark, path)
+    assert read_view(spark, path, StructType.fromDDL(COLUMNS)).count() == 0
 
 
 def test_later_batch_replaces_earlier(spark, path):
@@ -82,3 +84,13 @@ def test_old_batches_can_be_deleted(spark, path):
     assert read_view(spark, path).count() == 2
     drop_expired(spark, path, now, timedelta(seconds=0.75))
     assert [r.v for r in read_view(spark, path).collect()] == [1]
+
+
+def test_folding_keeps_the_declared_order(spark, path):
+    """Changes that arrive out of order: the fold must not let a later batch win."""
+    upsert = upsert_writer(path, ["k"], ["at"], between=["at"], fold_every=2)
+    arrivals = [("new", 10), ("old", 1), ("older", 0), ("newest", 12), ("late", 11)]
+    for batch, (value, at) in enumerate(arrivals):
+        upsert(spark.createDataFrame([("a", value, at)], "k string, v string, at long"), batch)
+        got = read_keyed_view(spark, path, ["k"], ["at"]).first()
+        assert got.v == max(arrivals[: batch + 1], key=lambda x: x[1])[0]
