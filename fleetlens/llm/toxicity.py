@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -72,20 +73,24 @@ def _packed(found: tx.Words) -> list[bytes]:
 
 
 def swapped_sentences(text: str, terms=IDENTITY_TERMS) -> list[tuple[str, str]]:
-    """Each sentence that names a group, with each copy in which that name is the next of its kind."""
-    pattern, after = _swaps(terms)
+    """Each sentence that names a group, with each copy that names another group of that kind instead;
+    names of other kinds in it stay."""
     out = []
     for sentence in re.split(r"(?<=[.!?])\s+|\n+", text):
-        if pattern.search(sentence):
-            turned = pattern.sub(lambda m: after[m[0].lower()], sentence)
-            out.append((sentence, turned))
+        for group in terms:
+            pattern = _names((group,))
+            if not pattern.search(sentence):
+                continue
+            for shift in range(1, len(group)):
+                other = dict(zip(group, group[shift:] + group[:shift]))
+                out.append((sentence, pattern.sub(lambda m: other[m[0].lower()], sentence)))
     return out
 
 
-def _swaps(terms):
-    after = {a: b for group in terms for a, b in zip(group, group[1:] + group[:1])}
-    names = "|".join(sorted(map(re.escape, after), key=len, reverse=True))
-    return re.compile(rf"(?<!\w)(?:{names})(?!\w)", re.IGNORECASE), after
+@cache
+def _names(terms) -> re.Pattern:
+    names = sorted((re.escape(name) for group in terms for name in group), key=len, reverse=True)
+    return re.compile(rf"(?<!\w)(?:{'|'.join(names)})(?!\w)", re.IGNORECASE)
 
 
 def learn(
@@ -114,7 +119,7 @@ def learn(
     sizes = rows.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 1
     draw = F.pmod(F.xxhash64(F.col("key")), F.lit(1 << 30)) / float(1 << 30)
     rows = rows.where(draw < min(1.0, fit_bytes / sizes)).select("label", "text")
-    pattern, _ = _swaps(terms)
+    pattern = _names(terms)
 
     def encode(batch: pa.RecordBatch) -> dict:
         label_, texts = batch.column(0).to_pylist(), batch.column(1)
