@@ -10,7 +10,6 @@ double precision, and recall is audited against brute force for some queries.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
