@@ -251,7 +251,7 @@ def _sharded(vectors: DataFrame, overlap: int) -> DataFrame:
     rows = map_arrow(vectors.select("id", "x"), assign, "dim int, cluster int, id bigint, x array<double>")
     rows = stored(rows, "assigned")
     size = rows.groupBy("dim", "cluster").agg(F.ceil(F.count("*") / F.lit(MOST_IN_BLOCK)).cast("int").alias("blocks"))
-    rows = rows.join(F.broadcast(size) if n <= 1 << 20 else size, ["dim", "cluster"])
+    rows = rows.join(size, ["dim", "cluster"])
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     # A block meets every block of its shard, itself included when it is alone.
     pairs = F.transform(
