@@ -144,6 +144,20 @@ def match_candidates(
     return _latest(filed.join(asked, on).select("ride_id", "driver_id", "h3_cell", "at"))
 
 
+def pings_in_reach(
+    requests: DataFrame,
+    pings: DataFrame,
+    *,
+    before: timedelta = BEFORE,
+    after: timedelta = AFTER,
+) -> DataFrame:
+    """The pings that match some request, each once: what a look at few rides needs. Batch only."""
+    asked = requests.select(F.col("h3_cell").alias("cell"), F.unix_millis("event_time").alias("asked"))
+    at = F.unix_millis("event_time")
+    near = at.between(F.col("asked") - millis(before), F.col("asked") + millis(after))
+    return pings.join(asked, (F.col("h3_cell") == F.col("cell")) & near, "left_semi")
+
+
 def last_match(candidates: DataFrame) -> DataFrame:
     """One row per ride: the time of its last match, and its cell then."""
     last = F.max(F.struct("match_time_ms", "h3_cell")).alias("last")

@@ -15,6 +15,17 @@ def _window_end_ms() -> Column:
     return F.unix_millis(F.col("window.end")).alias("window_end_ms")
 
 
+def newest_events(events: DataFrame, step: timedelta) -> DataFrame:
+    """The events from the start of the newest event's step on. Batch only.
+
+    With a tumbling window as step these are all events of the newest window, with the slide of a
+    hopping window all those of the window that starts last; older windows are not complete
+    then. Null times fall into no window and are left out.
+    """
+    newest = events.select(F.max(F.unix_millis("event_time"))).scalar()
+    return events.where(F.unix_millis("event_time") >= pane_start(newest, step))
+
+
 def hot_zones(
     pings: DataFrame,
     *,

@@ -340,19 +340,27 @@ def anomaly_records(spark, sf_dir):
 # Ranked reads
 
 
+def _newest_hot_zones(spark, sf_dir):
+    """The view's newest window, from its own pings alone."""
+    newest = windows.newest_events(tables.pings(spark, sf_dir), HOT_WINDOW)
+    return windows.hot_zones(newest, window=HOT_WINDOW)
+
+
 @query
 def latest_hot_window(spark, sf_dir):
-    return serving.latest_window(hot_zones(spark, sf_dir))
+    return _newest_hot_zones(spark, sf_dir)
 
 
 @query
 def top_hot_zones(spark, sf_dir):
-    return serving.top_hot_zones(hot_zones(spark, sf_dir), 10)
+    return serving.top_hot_zones(_newest_hot_zones(spark, sf_dir), 10)
 
 
 @query
 def top_surge_zones(spark, sf_dir):
-    return serving.top_surge_zones(surge_zones(spark, sf_dir), 10)
+    newest = windows.newest_events(tables.requests(spark, sf_dir), SURGE_SLIDE)
+    view = windows.surge_zones(newest, size=SURGE_SIZE, slide=SURGE_SLIDE)
+    return serving.top_surge_zones(view, 10)
 
 
 @query
@@ -372,8 +380,12 @@ def _last_ride(spark, sf_dir):
 
 @query
 def matches_for_last_ride(spark, sf_dir):
+    """Only the ride's own request and the pings in its reach are matched."""
     ride = _last_ride(spark, sf_dir)
-    return serving.matches_for_ride(match_candidates(spark, sf_dir), ride, 10)
+    asked = tables.requests(spark, sf_dir).where(F.col("ride_id") == ride)
+    reach = {"before": MATCH_BEFORE, "after": MATCH_AFTER}
+    seen = joins.pings_in_reach(asked, tables.pings(spark, sf_dir), **reach)
+    return serving.matches_for_ride(joins.match_candidates(asked, seen, **reach), ride, 10)
 
 
 @query
@@ -512,6 +524,16 @@ def driver_state_stream(spark, sf_dir):
     return state.withColumn("rating", F.col("rating").cast("string"))
 
 
+@query
+def driver_state_batches_stream(spark, sf_dir):
+    """The same from several micro-batches out of order, with a fold after every second one."""
+    changes = tables.stream_shuffled_driver_changes(spark, sf_dir, 6)
+    path = _drain(spark, "driver-batches", lambda view, checkpoint: jobs.dimension_job(
+        changes, view, checkpoint, drain=True, fold_every=2))
+    state = jobs.read_dimension(spark, path)
+    return state.withColumn("rating", F.col("rating").cast("string"))
+
+
 @query
 def enriched_rides_latest_stream(spark, sf_dir):
     """Streamed requests and streamed driver changes, joined when read."""

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.functions.timing import to_event_time
-from fleetlens.session import configure
+from fleetlens.session import configure, work_dir
 from fleetlens.sources.events import read_files
 
 EVENTS = (
@@ -216,6 +216,17 @@ def stream_driver_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _driver_changes(table_stream(spark, sf_dir, "orders", ORDERS))
 
 
+def stream_shuffled_driver_changes(spark: SparkSession, sf_dir: str, parts: int) -> DataFrame:
+    """The changes as a stream of files, one per micro-batch, that are not in the order of time: every file
+    holds changes of the whole span, and a driver's changes lie in several of them."""
+    path = work_dir(spark, "shuffled-orders")
+    part = F.pmod(F.xxhash64("o_orderkey"), F.lit(parts))
+    orders = table(spark, sf_dir, "orders").withColumn("part", part)
+    orders.write.partitionBy("part").parquet(path)
+    given = read_files(spark, f"{path}/part=*", ORDERS, streaming=True, files_per_batch=1)
+    return _driver_changes(given)
+
+
 def ride_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as changes of the ride numbered by their order; returns count as deletes."""
     op = F.when(F.col("l_returnflag") == "R", "d").otherwise("u")

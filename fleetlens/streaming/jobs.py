@@ -175,9 +175,9 @@ def anomaly_table_job(
 
 
 def dimension_job(changes: DataFrame, view: str, checkpoint: str, *, keys=("driver_id",),
-                  drain=False):
+                  fold_every: int = 50, drain=False):
     """Keeps a captured table's latest change per key, deletes included as such."""
-    sink = upsert_writer(view, list(keys), CHANGE_ORDER, between=CHANGE_ORDER)
+    sink = upsert_writer(view, list(keys), CHANGE_ORDER, between=CHANGE_ORDER, fold_every=fold_every)
     return start(changes, sink, checkpoint, drain=drain)
 
 

@@ -12,6 +12,7 @@ from fleetlens.operators.joins import (
     last_match,
     match_candidates,
     match_rides,
+    pings_in_reach,
     reduce_matches,
 )
 
@@ -118,3 +119,12 @@ def test_a_ride_requested_again_is_one_ride(spark):
     assert rows(found, *columns) == want
     assert rows(reduce_matches(match_rides(requests, pings)), *columns) == want
     assert rows(last_match(found), "ride_id", "h3_cell", "last_match_ms") == [("r", "c2", 160_000)]
+
+
+def test_pings_in_reach_are_those_that_match(spark):
+    asked = requests(spark, [("r1", 100), ("r1", 130), ("r2", 100, None)])
+    seen = pings(spark, [("a", 39.999), ("a", 40), ("b", 250), ("b", 250.001), ("c", 100, "c2"), ("d", 100, None)])
+    near = pings_in_reach(asked, seen)
+    assert rows(near, "driver_id", "event_id") == [("a", "e00001"), ("b", "e00002")]
+    columns = ("ride_id", "driver_id", "h3_cell", "match_time_ms")
+    assert rows(match_candidates(asked, near), *columns) == rows(match_candidates(asked, seen), *columns)
