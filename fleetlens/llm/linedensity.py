@@ -2,13 +2,16 @@
 
 Markup is stripped to lines, one per block element. A line weighs its text outside links; lines of menus,
 footers, adverts, forms, comments and the like weigh nothing. Sums over sliding windows of lines make
-the distribution; text begins where it surges and ends where it dives to zero. The edges of
-containers count as empty lines, so a window doesn't reach from the article into what surrounds it.
+the distribution; text begins where it surges and ends where it dives to zero. The edges of left-out
+containers and of articles count as empty lines, so a window doesn't reach from the main text into what
+surrounds it; what lies in one container with a surge is judged together with it.
 """
 
 from __future__ import annotations
 
+import bisect
 import html
+import itertools
 import re
 from collections import Counter
 
@@ -19,8 +22,10 @@ from pyspark.sql import functions as F
 from fleetlens.llm.common import map_arrow
 
 WINDOW = 3
-# A stretch of lines surges if some window holds that many characters.
-SURGE = 86
+# A stretch surges if some window holds this share of the window that a character of the page lies in on average.
+SURGE_SHARE = 0.5
+# A stretch belongs to the innermost container that holds this share of its weight.
+HELD_SHARE = 0.8
 # A line with a larger share of link text is navigation.
 MOST_LINK_SHARE = 0.5
 
@@ -54,6 +59,15 @@ HINTS = {
     "notices", "pagination", "popup", "promo", "promotion", "related", "replies", "search", "share", "sharing",
     "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "topbar", "widget",
 }
+# Others' text has the distribution of an article: these words decide alone.
+REPLIES = {"comment", "comments", "disqus", "replies"}
+# Words before a hint that make it a property of what bears it, and words that name a main text.
+PROPERTIES = {"has", "with", "without", "no", "category", "cat", "tag", "tagged", "topic", "format", "type"}
+CONTENT = {"article", "body", "content", "entry", "main", "post", "story", "text"}
+CONTAINERS = {
+    "article", "body", "center", "details", "div", "fieldset", "figure", "header", "hgroup", "html", "main", "search",
+    "section",
+}
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*(?:>|\Z)", re.S)
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 _MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -61,24 +75,47 @@ _HIDDEN = re.compile(r"\bhidden\b(?!-)|aria-hidden\s*=\s*[\"']?true|display\s*:\
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
-def _hinted(attributes: str) -> bool:
-    if _HIDDEN.search(re.sub(r"=\s*\"[^\"]*hidden[^\"]*\"", "=", attributes)):
-        return True
-    for marks in _MARKS.findall(attributes):
-        if any(w.lower() in HINTS for w in _WORDS.findall("".join(marks))):
-            return True
-    return False
+def _hidden(attributes: str) -> bool:
+    return bool(_HIDDEN.search(re.sub(r"=\s*\"[^\"]*hidden[^\"]*\"", "=", attributes)))
+
+
+def _hint(attributes: str) -> str:
+    """What class, id and role say: "replies", "strong", "weak" beside a name of a main text, or nothing."""
+    found, content = "", False
+    for mark in " ".join("".join(m) for m in _MARKS.findall(attributes)).split():
+        words = [w.lower() for w in _WORDS.findall(mark)]
+        hints = [w for i, w in enumerate(words) if w in HINTS and not PROPERTIES & set(words[:i])]
+        if REPLIES & set(hints):
+            return "replies"
+        if hints:
+            found = "strong"
+        elif CONTENT & set(words):
+            content = True
+    return "weak" if found and content else found
+
+
+class _Region:
+    """A container that a hint names, with the text of its own lines: it is judged when the page is read."""
+
+    def __init__(self, hint: str, parent: int) -> None:
+        self.hint, self.parent, self.gone = hint, parent, False
+        self.size = self.linked = self.weight = self.lines = 0
 
 
 class _Lines:
-    """Lines of a page: (text, characters outside links, in an article); None stands for an edge."""
+    """Lines of a page: (text, weight, container, region); None stands for an edge."""
 
     def __init__(self) -> None:
-        self.lines: list[tuple[str, int, bool] | None] = []
+        self.lines: list[tuple[str, int, int, int] | None] = []
         self.text: list[str] = []
         self.linked = 0
-        # Open elements: name, whether its text is left out, whether it lies in an article.
-        self.open: list[tuple[str, bool, bool]] = []
+        # Open elements: name, whether its text is left out, whether it lies in an article, whether its edge
+        # counts, its container and region.
+        self.open: list[tuple[str, bool, bool, bool, int, int]] = []
+        # Containers as [parent, first line, line after the last, whether it is the page]; the first is the page.
+        self.containers: list[list] = [[-1, 0, None, True]]
+        self.regions: list[_Region] = []
+        self.closed: list[int] = []
         self.count: Counter[str] = Counter()
         self.links = 0
 
@@ -90,6 +127,14 @@ class _Lines:
     def article(self) -> bool:
         return bool(self.open) and self.open[-1][2]
 
+    @property
+    def container(self) -> int:
+        return self.open[-1][4] if self.open else 0
+
+    @property
+    def region(self) -> int:
+        return self.open[-1][5] if self.open else -1
+
     def add(self, raw: str) -> None:
         if raw and not self.dropped:
             if "&" in raw:
@@ -104,7 +149,13 @@ class _Lines:
             if text:
                 size = len(text.replace(" ", ""))
                 weight = 0 if self.linked > MOST_LINK_SHARE * size else size
-                self.lines.append((text, weight, self.article))
+                self.lines.append((text, weight, self.container, self.region))
+                if self.region >= 0:
+                    own = self.regions[self.region]
+                    own.size += size
+                    own.linked += self.linked
+                    own.weight += weight
+                    own.lines += weight > 0
             self.text, self.linked = [], 0
 
     def pop(self, name: str) -> None:
@@ -112,12 +163,19 @@ class _Lines:
         if not self.count[name]:
             return
         while self.open:
-            top, out, _ = self.open.pop()
+            top, _, _, edge, container, region = self.open[-1]
+            if edge:
+                self.end_line()
+            self.open.pop()
             self.count[top] -= 1
             if top == "a":
                 self.links -= 1
-            if out or top in ("article", "main"):
+            if edge:
                 self.lines.append(None)
+            if container != self.container:
+                self.containers[container][2] = len(self.lines)
+            if region != self.region:
+                self.closed.append(region)
             if top == name:
                 return
 
@@ -140,27 +198,42 @@ class _Lines:
             self.add(" ")
         if name in VOID or closed:
             return
-        inside, out = self.article, self.dropped
-        hinted = name not in ("html", "body") and bool(attributes) and _hinted(attributes)
-        if name in ("article", "main") and not hinted:
+        inside, out, edge = self.article, self.dropped, False
+        container, region = self.container, self.region
+        named = name not in ("html", "body") and bool(attributes)
+        hint = _hint(attributes) if named and not out else ""
+        if hint and (name in ("article", "main") or not block):
+            # The name of an article outweighs a hint; a weak one of a few words in a line says nothing.
+            hint = "weak" if block else hint.replace("weak", "")
+        if name in ("article", "main"):
             # A form around a whole page doesn't hide its article.
-            if out and all(top == "form" for top, dropped, _ in self.open if dropped and top in DROPPED):
+            if out and all(top[0] == "form" for top in self.open if top[1] and top[0] in DROPPED):
                 out = False
-            inside = True
+            inside = edge = True
+        if named and _hidden(attributes) or hint or name in DROPPED or (name == "header" and not inside):
+            edge, out = edge or not out, True
+        if edge:
+            self.end_line()
             self.lines.append(None)
-        elif name in DROPPED or hinted or (name == "header" and not inside):
-            if not out:
-                self.end_line()
-                self.lines.append(None)
-            out = True
-        self.open.append((name, out, inside))
+        if name in CONTAINERS:
+            self.containers.append([container, len(self.lines), None, name in ("html", "body")])
+            container = len(self.containers) - 1
+        self.open.append((name, out, inside, edge, container, region))
         self.count[name] += 1
         if name == "a":
             self.links += 1
 
+    def finish(self) -> None:
+        self.end_line()
+        while self.open:
+            self.pop(self.open[-1][0])
+        for container in self.containers:
+            if container[2] is None:
+                container[2] = len(self.lines)
+
 
-def lines_of(page: str) -> list[tuple[str, int, bool] | None]:
-    """The lines of a page without those of left-out containers; None marks a container's edge."""
+def lines_of(page: str) -> _Lines:
+    """The lines of a page without those of elements that hold no main text; None marks an edge."""
     out, at = _Lines(), 0
     while True:
         m = _TAG.search(page, at)
@@ -187,8 +260,8 @@ def lines_of(page: str) -> list[tuple[str, int, bool] | None]:
             continue
         out.start(name, attributes, attributes.endswith("/"))
     out.add(page[at:])
-    out.end_line()
-    return out.lines
+    out.finish()
+    return out
 
 
 def stretches(weights: list[int], window: int = WINDOW) -> list[tuple[int, int, int]]:
@@ -207,36 +280,93 @@ def stretches(weights: list[int], window: int = WINDOW) -> list[tuple[int, int,
     return found
 
 
+def surge_level(weights: list[int], window: int = WINDOW) -> float:
+    """The height from which a window surges: a share of the mean height over the page's characters."""
+    total = first = second = 0
+    for i in range(len(weights) + window):
+        total += weights[i] if i < len(weights) else 0
+        total -= weights[i - window] if i >= window else 0
+        first += total
+        second += total * total
+    return SURGE_SHARE * second / first if first else 0.0
+
+
+def _judge(page: _Lines) -> None:
+    """Let a hint drop its container only if the container's own lines look like boilerplate too.
+
+    Mostly links do, and so does what is too small to surge. Beside a name of a main text that is all; a
+    strong hint stands unless the container holds most of the page in several lines.
+    """
+    shaded = []
+    for own in page.regions:
+        shaded.append(own.hint != "weak" or (own.parent >= 0 and shaded[own.parent]))
+    weights = []
+    for line in page.lines:
+        weights += [0] * WINDOW if line is None else [0 if line[3] >= 0 and shaded[line[3]] else line[1]]
+    level, total = surge_level(weights), sum(line[1] for line in page.lines if line)
+    for i in page.closed:
+        own = page.regions[i]
+        small = own.weight < level if own.hint == "weak" else own.lines < WINDOW or 2 * own.weight <= total
+        own.gone = own.hint == "replies" or small or own.linked > MOST_LINK_SHARE * own.size
+        if not own.gone and own.parent >= 0:
+            outer = page.regions[own.parent]
+            outer.size += own.size
+            outer.linked += own.linked
+            outer.weight += own.weight
+            outer.lines += own.lines
+    for own in page.regions:
+        own.gone = own.gone or (own.parent >= 0 and page.regions[own.parent].gone)
+
+
 def main_text(page: str) -> str:
     """The main text: blocks in order, joined by an empty line.
 
-    If the page marks an article or main part with text, only its lines weigh. The lines between the first
-    surge and the last dive stay, but for those of left-out containers. Without such a mark, stretches whose
-    distribution reaches the surge level stay, or else the one with the highest sum.
+    Stretches whose distribution reaches the page's surge level stay, and with each all from the first surge
+    to the last dive in its container, links between kept lines included. Where the container is the page
+    itself, only lines right in it count as its first and last.
     """
-    lines = lines_of(page)
-    marked = any(line and line[2] for line in lines)
-    texts, weights = [], []
-    for line in lines:
-        if line is None:
-            texts += [""] * WINDOW
-            weights += [0] * WINDOW
-        elif marked:
-            texts.append(line[0] if line[2] else "")
-            # A link in the article is part of it.
-            weights.append(len(line[0]) if line[2] else 0)
+    read = lines_of(page)
+    _judge(read)
+    texts, weights, homes, place = [], [], [], []
+    for line in read.lines:
+        place.append(len(texts))
+        gone = line is None or (line[3] >= 0 and read.regions[line[3]].gone)
+        texts += [""] * WINDOW if line is None else [""] if gone else [line[0]]
+        weights += [0] * WINDOW if line is None else [0] if gone else [line[1]]
+        homes += [-1] * WINDOW if line is None else [line[2]]
+    place.append(len(texts))
+    level = surge_level(weights)
+    before = [0, *itertools.accumulate(weights)]
+    rooted: dict[int, list[int]] = {}
+    for i, weight in enumerate(weights):
+        if weight and read.containers[homes[i]][3]:
+            rooted.setdefault(homes[i], []).append(i)
+    keep: set[tuple[int, int]] = set()
+    for a, b, peak in stretches(weights):
+        if peak < level:
+            continue
+        keep.add((a, b))
+        weight = before[b] - before[a]
+        # A container of over half the weight holds the line at its middle.
+        home = homes[bisect.bisect_left(before, before[a] + (weight + 1) // 2, a + 1, b + 1) - 1]
+        while True:
+            outer, low, high, whole = read.containers[home]
+            low, high = place[low], place[high]
+            if outer < 0 or before[min(high, b)] - before[max(low, a)] >= HELD_SHARE * weight:
+                break
+            home = outer
+        if whole:
+            own = rooted.get(home, [])
+            keep.update([(own[0], own[-1] + 1)] if own else [])
         else:
-            texts.append(line[0])
-            weights.append(line[1])
-    found = stretches(weights)
-    if not found:
-        return ""
-    if marked:
-        keep = [(found[0][0], found[-1][1])]
-    else:
-        most = max(peak for _, _, peak in found)
-        keep = [(a, b) for a, b, peak in found if peak >= min(SURGE, most)]
-    return "\n\n".join(t for a, b in keep for t, w in zip(texts[a:b], weights[a:b]) if t and (w or marked))
+            first = bisect.bisect_right(before, before[low]) - 1
+            last = bisect.bisect_left(before, before[high])
+            keep.add((first, last))
+    out, at = [], 0
+    for a, b in sorted(keep):
+        out += [t for t in texts[max(a, at) : b] if t]
+        at = max(at, b)
+    return "\n\n".join(out)
 
 
 def extract(pages: DataFrame, text: str = "html", keys: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

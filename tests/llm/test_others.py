@@ -65,6 +65,39 @@ def test_main_text_of_an_unmarked_page():
     assert "many words" not in linedensity.main_text(page) and "Site" not in linedensity.main_text(page)
 
 
+LONG = [f"Paragraph {i} of the main text says " + "something of some length " * 12 for i in range(6)]
+
+
+def paragraphs(texts):
+    return "".join(f"<p>{t}</p>" for t in texts)
+
+
+def test_teaser_articles_do_not_hide_the_main_text():
+    cards = "".join(f"<article><h3><a href=x>Card {i}</a></h3><p>A teaser of a few words.</p></article>" for i in range(8))
+    page = f"<body><div class=story><h1>Head</h1>{paragraphs(LONG)}</div><div>{cards}</div></body>"
+    assert linedensity.main_text(page) == "\n\n".join(["Head", *map(str.strip, LONG)])
+
+
+def test_given_pages_without_marks(spark):
+    import re
+
+    for r in table(spark, SF, "pages").collect():
+        plain = re.sub(r"(</?)(?:article|main)\b", r"\1div", r.html)
+        assert linedensity.main_text(plain) == linedensity.main_text(r.html) != ""
+
+
+@pytest.mark.parametrize("inline", ["<div class=ad>buy</div>", "<div id=notice>note</div>", "<form>mail <input></form>"])
+def test_parts_beside_an_inline_container_stay(inline):
+    for before, after in (("<div class=content>", "</div>"), ("<article>", "</article>"), ("", "")):
+        page = f"<body>{before}<h2>Start</h2>{inline}{paragraphs(LONG)}{inline}<p>The end.</p>{after}<footer>f</footer></body>"
+        assert linedensity.main_text(page) == "\n\n".join(["Start", *map(str.strip, LONG), "The end."])
+
+
+def test_link_lines_between_kept_lines_stay():
+    page = f"<body><ul><li><a href=a>Menu</a></ul><div>{paragraphs(LONG[:3])}<p><a href=x>See this page</a></p>{paragraphs(LONG[3:])}</div></body>"
+    assert linedensity.main_text(page) == "\n\n".join([*map(str.strip, LONG[:3]), "See this page", *map(str.strip, LONG[3:])])
+
+
 def test_surge_and_dive():
     assert linedensity.stretches([0, 0, 5, 0, 9, 0, 0, 0, 4, 0]) == [(2, 5, 14), (8, 9, 4)]
 
