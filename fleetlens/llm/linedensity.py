@@ -210,8 +210,11 @@ class _Lines:
             if out and all(top[0] == "form" for top in self.open if top[1] and top[0] in DROPPED):
                 out = False
             inside = edge = True
-        if named and _hidden(attributes) or hint or name in DROPPED or (name == "header" and not inside):
+        if named and _hidden(attributes) or name in DROPPED or (name == "header" and not inside):
             edge, out = edge or not out, True
+        elif hint:
+            edge, region = True, len(self.regions)
+            self.regions.append(_Region(hint, self.region))
         if edge:
             self.end_line()
             self.lines.append(None)

@@ -98,6 +98,19 @@ def test_link_lines_between_kept_lines_stay():
     assert linedensity.main_text(page) == "\n\n".join([*map(str.strip, LONG[:3]), "See this page", *map(str.strip, LONG[3:])])
 
 
+@pytest.mark.parametrize("start", ["<div class='content has-sidebar'>", "<article class='post category-social'>", "<div class=widget>", "<article class='post social'>"])
+def test_a_hint_does_not_drop_the_main_text(start):
+    page = f"<body><div class=sidebar><p>Other things</p></div>{start}{paragraphs(LONG)}</{start[1:].split()[0]}><div class=ad>buy</div></body>"
+    assert linedensity.main_text(page) == "\n\n".join(map(str.strip, LONG))
+
+
+def test_hinted_boilerplate_goes():
+    comments = "<div id=comments>" + paragraphs(LONG * 3) + "</div>"
+    related = "<div class='content related'>" + "<p><a href=x>Some other page with a long title</a></p>" * 9 + "</div>"
+    page = f"<body><div class=post>{paragraphs(LONG[:2])}</div>{related}{comments}</body>"
+    assert linedensity.main_text(page) == "\n\n".join(map(str.strip, LONG[:2]))
+
+
 def test_surge_and_dive():
     assert linedensity.stretches([0, 0, 5, 0, 9, 0, 0, 0, 4, 0]) == [(2, 5, 14), (8, 9, 4)]
 
