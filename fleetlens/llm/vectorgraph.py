@@ -5,11 +5,13 @@ batches of growing size: a greedy beam search finds a vector's surroundings, and
 neighbours in different directions. Adjacency lists of all shards are united per vector. Every
 vector then searches from the shard's medoids, and once in range it expands all neighbours in range. Links
 across shards follow from united edges that lead out of a shard. All links are checked by cosine in
-double precision, and recall is audited against brute force for some queries.
+double precision, and recall is audited against brute force until enough vectors with links were asked; if
+more overlapping shards don't reach it either, all vectors are compared.
 """
 
 from __future__ import annotations
 
+import functools
 
 import numpy as np
 import pandas as pd
@@ -32,6 +34,10 @@ MEDOIDS = 12
 # Nodes this far below the threshold are still expanded.
 MARGIN = 0.08
 AUDITED, LEAST_RECALL = 200, 0.95
+# A vector with more links is dense. So many vectors are compared with all others at a time, at first and at most.
+DENSE, ASKED, MOST_ASKED = 64, 2048, 16_384
+# Groups of audited vectors below this size are judged together.
+LEAST_GROUP = 20
 
 
 class Graph:
@@ -320,35 +326,94 @@ def _cosine(u: str, v: str):
     return dot / (norm(u) * norm(v))
 
 
-def audit(vectors: DataFrame, links: DataFrame, queries: int = AUDITED) -> float:
-    """Recall of the links of some queries, drawn by hash, against brute force over all vectors."""
-    drawn = vectors.orderBy(F.xxhash64("id", F.lit(9)), "id").limit(queries).toPandas()
-    if drawn.empty:
-        return 1.0
-    asked = vectors.sparkSession.sparkContext.broadcast({i: np.array(x) for i, x in zip(drawn["id"], drawn["x"])})
+def _asked(vectors: DataFrame, low: float, high: float) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """The vectors whose hash lies in a range of [0, 1), by length: ids and unit vectors."""
+    place = F.pmod(F.xxhash64("id", F.lit(9)), F.lit(1 << 30)) / float(1 << 30)
+    drawn = vectors.where((place >= low) & (place < high)).select("id", "x").toPandas()
+    out = {}
+    for dim, own in drawn.groupby(drawn["x"].map(len)):
+        out[dim] = own["id"].to_numpy(), _matrix(own["x"])
+    return out
+
+
+def _compared(vectors: DataFrame, asked: dict, schema: str, write) -> DataFrame:
+    """Compare vectors with all: ``write`` gets ids asked, ids of a batch, and which pairs of them are links."""
+    share = vectors.sparkSession.sparkContext.broadcast(asked)
 
     def compare(batch: pa.RecordBatch) -> dict:
-        out = {"a": [], "b": []}
-        ids, xs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for dim in {len(x) for x in xs}:
-            mine = [i for i, x in enumerate(xs) if len(x) == dim]
-            keys = [k for k, x in asked.value.items() if len(x) == dim]
-            if not keys:
+        out = {f.split()[0]: [] for f in schema.split(", ")}
+        ids, xs = np.array(batch.column(0).to_pylist(), dtype=np.int64), batch.column(1).to_pylist()
+        size = np.array([len(x) for x in xs])
+        for dim in np.unique(size).tolist():
+            if dim not in share.value:
                 continue
+            mine = np.flatnonzero(size == dim)
+            keys, queries = share.value[dim]
             rows = _matrix(pd.Series([xs[i] for i in mine]))
-            sims = rows @ _matrix(pd.Series([asked.value[k] for k in keys])).T
-            for r, c in zip(*np.nonzero(sims >= THRESHOLD)):
-                if ids[mine[r]] != keys[c]:
-                    out["a"].append(min(ids[mine[r]], keys[c]))
-                    out["b"].append(max(ids[mine[r]], keys[c]))
+            for at in range(0, len(mine), 512):
+                part, own = rows[at : at + 512], ids[mine[at : at + 512]]
+                sims = queries.astype(np.float32) @ part.astype(np.float32).T
+                hit = sims >= THRESHOLD + 1e-5
+                # What single precision can't tell is settled in double.
+                q, r = np.nonzero(~hit & (sims >= THRESHOLD - 1e-5))
+                hit[q, r] = np.einsum("nd,nd->n", queries[q], part[r]) >= THRESHOLD
+                hit &= keys[:, None] != own[None, :]
+                write(out, keys, own, hit)
         return out
 
-    true = map_arrow(vectors.select("id", "x"), compare, "a bigint, b bigint").distinct()
-    row = true.join(links.withColumn("found", F.lit(1)), ["a", "b"], "left").agg(
-        F.count("*").alias("n"), F.count("found").alias("found")
-    )
-    n, found = row.first()
-    return found / n if n else 1.0
+    return map_arrow(vectors.select("id", "x"), compare, schema)
+
+
+def audit(vectors: DataFrame, links: DataFrame, queries: int = AUDITED) -> float:
+    """Recall of the links per vector, the mean over vectors drawn by hash, against brute force.
+
+    More are drawn until so many vectors that aren't dense have a link, or all were asked. Vectors with
+    one link, some, many and very many form groups, and the group with the least recall decides.
+    """
+    n = vectors.count()
+    both = links.select("a").union(links.select("b")).toDF("id")
+    degree = stored(both.groupBy("id").agg(F.count("*").alias("found")), "degrees")
+
+    def count(out: dict, keys: np.ndarray, own: np.ndarray, hit: np.ndarray) -> None:
+        total = hit.sum(axis=1)
+        out["id"] += keys[total > 0].tolist()
+        out["n"] += total[total > 0].tolist()
+
+    true, share, low, size = [], [], 0.0, ASKED
+    while low < 1.0 and sum(t <= DENSE for t in true) < queries:
+        high = min(1.0, low + size / max(n, 1))
+        asked = _asked(vectors, low, high)
+        linked = _compared(vectors, asked, "id bigint, n bigint", count).groupBy("id").agg(F.sum("n").alias("n"))
+        for row in linked.join(degree, "id", "left").select("n", F.coalesce("found", F.lit(0))).toLocalIterator():
+            true.append(row[0])
+            share.append(min(1.0, row[1] / row[0]))
+        low, size = high, min(2 * size, MOST_ASKED)
+    if not true:
+        return 1.0
+    group, share = np.digitize(true, [2, 8, DENSE + 1]), np.array(share)
+    count_of = np.bincount(group, minlength=4)
+    small = count_of[group] < LEAST_GROUP
+    means = [share[group == g].mean() for g in range(4) if count_of[g] >= LEAST_GROUP]
+    return float(min([*means, *([share[small].mean()] if small.any() else [])]))
+
+
+def exact_links(vectors: DataFrame) -> DataFrame:
+    """All links, by comparing block after block of the vectors with all."""
+
+    def pairs(out: dict, keys: np.ndarray, own: np.ndarray, hit: np.ndarray) -> None:
+        for k in np.flatnonzero(hit.any(axis=1)):
+            more = own[hit[k] & (own > keys[k])]
+            if len(more):
+                out["a"].append(int(keys[k]))
+                out["b"].append(more.tolist())
+
+    n = vectors.count()
+    blocks = max(1, -(-n // MOST_ASKED))
+    found = []
+    for i in range(blocks):
+        asked = _asked(vectors, i / blocks, (i + 1) / blocks)
+        found.append(stored(_compared(vectors, asked, "a bigint, b array<bigint>", pairs), "exact"))
+    return functools.reduce(DataFrame.union, found).select("a", F.explode("b").alias("b"))
 
 
 def near_vectors(rows: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -357,7 +422,8 @@ def near_vectors(rows: DataFrame, key: str = "vec_id", vector: str = "embedding"
     Vectors that are null, empty or zero, or hold null or non-finite components, link with nothing, and
     neither do vectors of different lengths. Equal vectors are searched once and count as links of one
     another. A key that comes again counts once with its least vector; rows with a null key are left out.
-    If the audit finds less than 0.95 of the links, the search runs again over more overlapping shards.
+    If the audit finds less than 0.95 of the links, the search runs again over more overlapping shards, and
+    after the last overlap all vectors are compared.
     """
     small_batches(rows.sparkSession)
     given = rows.select(F.col(key).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("x"))
@@ -386,6 +452,8 @@ def near_vectors(rows: DataFrame, key: str = "vec_id", vector: str = "embedding"
         links = stored(links.union(cross).distinct(), "links")
         if audit(vectors, links) >= LEAST_RECALL:
             break
+    else:
+        links = stored(exact_links(vectors), "links")
     group = components(links)
     both = links.union(links.select("b", "a")).toDF("leader", "other")
     weight = classes.select(F.col("leader").alias("other"), F.col("copies").alias("weight"))

@@ -157,6 +157,50 @@ def test_links_match_brute_force(spark, monkeypatch, block):
     assert np.mean([got[i] == want[i] for i in want]) > 0.95
 
 
+def vectors_of(spark, x):
+    return spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, x array<double>")
+
+
+def pairs_of(x):
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    return sorted((int(a), int(b)) for a, b in np.argwhere(np.triu(unit @ unit.T >= 0.9, 1)))
+
+
+def test_the_audit_sees_pairs_beside_a_dense_ball(spark):
+    rng = np.random.default_rng(4)
+    ball = rng.normal(size=64) + 0.01 * rng.normal(size=(80, 64))
+    single = rng.normal(size=(30, 64))
+    x = np.concatenate([ball, single, single + 0.01 * rng.normal(size=(30, 64))])
+    vectors, true = vectors_of(spark, x), pairs_of(x)
+    assert len(true) == 80 * 79 // 2 + 30
+    for links, least, most in ((true, 1, 1), (true[:-30], 0, 0.1), (true[-30:], 0, 0.1)):
+        assert least <= vectorgraph.audit(vectors, spark.createDataFrame(links, "a bigint, b bigint")) <= most
+
+
+def test_the_audit_looks_for_rare_links(spark, monkeypatch):
+    monkeypatch.setattr(vectorgraph, "ASKED", 200)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 32))
+    x[2999] = x[0] + 0.01 * rng.normal(size=32)
+    vectors = vectors_of(spark, x)
+    none = spark.createDataFrame([], "a bigint, b bigint")
+    assert vectorgraph.audit(vectors, none) == 0
+    assert vectorgraph.audit(vectors, spark.createDataFrame([(0, 2999)], "a bigint, b bigint")) == 1
+
+
+def test_all_vectors_are_compared_where_the_graph_finds_too_little(spark, monkeypatch):
+    import pandas as pd
+
+    nothing = lambda frame: pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype=object)})
+    monkeypatch.setattr(vectorgraph, "_searched", nothing)
+    monkeypatch.setattr(vectorgraph, "OVERLAPS", (1,))
+    monkeypatch.setattr(vectorgraph, "MOST_ASKED", 50)
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(size=(100, 16)), *(rng.normal(size=16) + 0.25 * rng.normal(size=(n, 16)) for n in (40, 5, 2))])
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectorgraph.near_vectors(vectors_of(spark, x).toDF("vec_id", "embedding")).collect()}
+    assert got == brute(list(range(len(x))), x)
+
+
 def test_odd_vectors(spark):
     nan, big = float("nan"), float("inf")
     vectors = [[1.0, 0.0], [1.0, 0.0], [2.0, 0.0], None, [], [0.0, 0.0], [nan, 1.0], [big, 0.0], [None, 1.0], [1.0, 0.0, 0.0], [1e-30, 1e-30]]
