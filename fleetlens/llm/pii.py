@@ -10,6 +10,9 @@ aggregations.
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +35,19 @@ _NEEDS = {
     "card": lambda text: text.rlike(r"[0-9](?:[\x20-]?[0-9]){12}"),
     "phone": lambda text: F.contains(text, F.lit("+")),
 }
-_CANDIDATE = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
+# Addresses that the rule misses: name@host, name (at) host, name at host dot net.
+_DOT = r"(?:\x20?[\[({<]\x20?(?:dot|DOT)\x20?[\])}>]\x20?|\x20(?:dot|DOT)\x20|\.)[A-Za-z][A-Za-z0-9-]++"
+_AT = r"(?:@|\x20?[\[({<]\x20?(?:at|AT)\x20?[\])}>]\x20?)"
+_ADDRESS = rf"[A-Za-z0-9][{_LOCAL}]*+(?:{_AT}[A-Za-z0-9-]++(?:{_DOT})*+|\x20(?:at|AT)\x20[A-Za-z0-9-]++(?:{_DOT})++)"
+# Adjacent groups of digits, as many as a card number may have; else a token with a digit.
+_GROUP = r"[0-9](?:[()./-]*+[0-9])*+\)?+(?![^\s\p{Punct}\p{IsPunctuation}])"
+_GROUPS = rf"{_GROUP}(?:[\x20\u00a0\u202f]\(?+{_GROUP}){{1,18}}"
+_LEAD = r"[^\s\p{L}\p{N}]*+"
+_CANDIDATE = rf"(?<!\S)(?:{_LEAD}(?:{_ADDRESS}|{_GROUPS})|[^\s0-9]*+[0-9]\S*+)"
+# What a text must hold for a candidate: three digits in one token or adjacent ones, or an address.
+_NEAR_DIGITS = r"[0-9][^\s0-9]*+(?:[\x20\u00a0\u202f][^\s0-9]*+)?+[0-9][^\s0-9]*+(?:[\x20\u00a0\u202f][^\s0-9]*+)?+[0-9]"
+_NEAR_ADDRESS = rf"{_AT}|\x20(?:at|AT)\x20[A-Za-z0-9-]++{_DOT}"
+_PUNCT = r"[\p{Punct}\p{IsPunctuation}]"
 _SPANS = "array<struct<start:int,end:int,value:string>>"
 # An unseen identifier has so many characters and digits at least.
 LEAST_CHARS, LEAST_DIGITS = 5, 3
@@ -100,14 +115,15 @@ def named(spans: Column, kind: str) -> Column:
 
 
 def _before(text: Column, start: Column) -> Column:
-    """The two words before a place, lower-cased; null if there aren't two within 64 characters."""
+    """The two words before a place and the punctuation right before it, lower-cased; null if there aren't
+    two within 64 characters."""
     left = F.substring(text, F.greatest(start - 63, F.lit(1)), F.least(start, F.lit(64)))
-    words = F.regexp_extract(left, r"(?:^|\s)(\S+\s+\S+\s+)$", 1)
+    words = F.regexp_extract(left, rf"(?:^|\s)(\S+\s+\S+\s+){_PUNCT}*\z", 1)
     return F.nullif(F.regexp_replace(F.lower(F.trim(words)), r"\s+", " "), F.lit(""))
 
 
 def _mentions(text: Column, base: dict[str, Column]) -> Column:
-    """Seeds and candidate tokens with their patterns."""
+    """Seeds and candidates outside of them with their patterns."""
     text = F.coalesce(text, F.lit(""))
 
     def row(s: Column, kind: Column) -> Column:
@@ -120,20 +136,26 @@ def _mentions(text: Column, base: dict[str, Column]) -> Column:
         )
 
     def trimmed(s: Column) -> Column:
-        lead = F.length(F.regexp_extract(s["value"], r"^\p{Punct}*", 0))
-        core = F.regexp_replace(s["value"], r"^\p{Punct}++|\p{Punct}++$", "")
+        lead = F.length(F.regexp_extract(s["value"], rf"^{_PUNCT}*", 0))
+        core = F.regexp_replace(s["value"], rf"^{_PUNCT}++|{_PUNCT}++$", "")
         begin = s["start"] + lead
         return F.struct(begin.alias("start"), (begin + F.length(core)).alias("end"), core.alias("value"))
 
     def likely(s: Column) -> Column:
         digits = F.length(F.regexp_replace(s["value"], "[^0-9]", ""))
-        return (F.length(s["value"]) >= LEAST_CHARS) & (digits >= LEAST_DIGITS)
+        long = (F.length(s["value"]) >= LEAST_CHARS) & (digits >= LEAST_DIGITS)
+        return long | s["value"].rlike(rf"^{_ADDRESS}")
+
+    def clear(s: Column) -> Column:
+        overlaps = lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])
+        return ~functools.reduce(operator.or_, (F.exists(spans, overlaps) for spans in base.values()))
 
-    # Only tokens with enough digits take part; the first check is cheap and drops most texts.
+    # Only addresses and what has enough digits take part; the first check is cheap and drops most texts.
     tokens = F.when(
-        text.rlike(r"[0-9][^\s0-9]*+[0-9][^\s0-9]*+[0-9]"), _matches(text, _CANDIDATE)
+        text.rlike(_NEAR_DIGITS) | text.rlike(_NEAR_ADDRESS), _matches(text, _CANDIDATE)
     ).otherwise(F.array().cast(_SPANS))
-    tokens = F.filter(F.transform(tokens, trimmed), likely)
+    tokens = F.filter(F.transform(tokens, trimmed), lambda s: likely(s) & clear(s))
+
     def seeds(kind: str) -> Column:
         return F.transform(base[kind], lambda s: row(s, F.lit(kind)))
 

@@ -295,6 +295,25 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert got[None] == "call me at [PHONE]"
 
 
+def test_unseen_identifiers_of_other_shapes(spark):
+    rows = [(i, f'please call me at +1 (555) 123-{4000 + i} or write to "user{i}@ex.com" ok') for i in range(100, 140)]
+    shapes = {
+        20: ('please call me at "0555-778899" now', 'please call me at "[PHONE]" now'),
+        21: ("please call me at (0555-778900) now", "please call me at ([PHONE]) now"),
+        22: ("please call me at <0555-778901>, thanks", "please call me at <[PHONE]>, thanks"),
+        23: ("please call me at «0555-778902» now", "please call me at «[PHONE]» now"),
+        24: ("please call me at 0555 77 89 03, thanks", "please call me at [PHONE], thanks"),
+        25: ("please or write to ann at host dot org today", "please or write to [EMAIL] today"),
+        26: ("please or write to [ann.bo(at)host.org] today", "please or write to [[EMAIL]] today"),
+        27: ("please or write to ann@localhost, thanks", "please or write to [EMAIL], thanks"),
+        28: ("the sum of 12 34 56 and 'abc12345' at home", "the sum of 12 34 56 and 'abc12345' at home"),
+    }
+    rows += [(i, text) for i, (text, _) in shapes.items()]
+    got = {r.doc_id: r.text for r in pii.redact(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert {i: got[i] for i in shapes} == {i: want for i, (_, want) in shapes.items()}
+    assert got[103] == 'please call me at [PHONE] or write to "[EMAIL]" ok'
+
+
 def test_personal_data_of_odd_rows(spark, odd):
     assert sorted(pii.redact(odd).columns) == sorted(odd.columns)
     assert Counter((r.doc_id, r.text) for r in pii.redact(odd).collect()) == Counter(ODD)
