@@ -29,25 +29,35 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.select(*docs.columns)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``_key``: the id, or for rows without one a number above all ids from the values of the row."""
+    own = F.xxhash64(row_key(*(F.col(c) for c in docs.columns)))
+    own = own.bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    return docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("bigint"), own))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group; of rows with the same id the one that was compared. Rows
-    without an id can't be told apart and stay."""
-    kept = bagminhash.near_duplicates(docs).where("kept").select("doc_id")
-    rows = docs.join(kept, "doc_id", "left_semi")
-    once = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
-    twice = stored(once.select("doc_id"), "repeated")
+    """Keep one document of each group. Of rows with the same id the one with the least text is compared and
+    stays; rows without an id are documents of their own."""
+    rows = _keyed(docs)
+    # Equal rows without an id are copies if they have a word.
+    several = rows.where(F.col("doc_id").isNotNull() | F.col("text").rlike("[A-Za-z0-9]|[^\\x00-\\x7f]"))
+    once = several.groupBy("_key").agg(F.count("*").alias("n")).where("n > 1")
+    twice = stored(once.select("_key"), "repeated")
     if not twice.isEmpty():
-        least = rows.join(twice, "doc_id", "left_semi")
+        least = several.join(twice, "_key", "left_semi")
         key = row_key(*(F.col(c) for c in docs.columns))
-        first = least.groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.struct("text", key)).alias("r"))
-        rows = rows.join(twice, "doc_id", "left_anti").unionByName(first.select("r.*"))
-    return rows.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+        first = least.groupBy("_key").agg(F.min_by(F.struct(*docs.columns), F.struct("text", key)).alias("r"))
+        rows = rows.join(twice, "_key", "left_anti").unionByName(first.select("r.*", "_key"))
+    kept = bagminhash.near_duplicates(rows, key="_key").where("kept").select("_key")
+    return rows.join(kept, "_key", "left_semi").select(*docs.columns)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that cover a benchmark item."""
-    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    rows = _keyed(docs)
+    found = decontaminate.contaminated(rows, table(spark, sf_dir, "benchmark"), key="_key")
+    return rows.join(found.select("_key").distinct(), "_key", "left_anti").select(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -90,3 +90,21 @@ def test_rows_of_one_id_become_one(spark, sf_dir):
     out = cp.near_duplicates(spark, docs, sf_dir)
     assert sorted(r.doc_id for r in out.collect()) == [1, 2]
     assert out.where(F.col("doc_id") == 1).first().text == "a c d e f g h"
+
+
+def test_rows_without_an_id_are_checked(spark, sf_dir):
+    one, two = EN + words(1), EN + words(2)
+    texts = [(1, one), (None, one), (None, two), (None, two), (None, ITEM + " " + words(3)), (None, None), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, "x", 1) for i, t in texts], SCHEMA)
+    out = cp.near_duplicates(spark, docs, sf_dir)
+    assert out.columns == docs.columns
+    assert sorted(map(str, ((r.doc_id, r.text) for r in out.collect()))) == sorted(map(str, [texts[0], texts[2], *texts[4:]]))
+    assert ITEM not in str(cp.benchmark(spark, out, sf_dir).collect()) and cp.benchmark(spark, out, sf_dir).count() == 4
+
+
+def test_the_compared_text_of_an_id_stays(spark, sf_dir):
+    one = EN + words(1)
+    docs = [(1, one), *((i, t) for i in range(10, 22) for t in (one, f"a{i} " + words(i)))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, "x", 1) for i, t in docs], SCHEMA)
+    got = {r.doc_id: r.text for r in cp.near_duplicates(spark, docs, sf_dir).collect()}
+    assert got == {1: one} | {i: f"a{i} " + words(i) for i in range(10, 22)}
