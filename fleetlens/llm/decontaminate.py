@@ -28,7 +28,7 @@ def tiles(text: list[list[int]], item: list[int], least: int = TILE) -> list[tup
     the item, length), longest first and, among equals, first in the item, then in the document.
 
     Each pass looks for matches of at least some length by Karp-Rabin hashes, extends them and
-    marks the longest ones; the length falls until the least one.
+    marks the longest ones; the length falls until the least one, whose pass is repeated until it finds nothing.
     """
     free_item = [True] * len(item)
     free_text = [[True] * len(run) for run in text]
@@ -62,7 +62,7 @@ def tiles(text: list[list[int]], item: list[int], least: int = TILE) -> list[tup
                 free_item[j : j + k] = [False] * k
                 free_text[r][i : i + k] = [False] * k
                 out.append((r, i, j, k))
-        if not found or longest < size or not _more(found, free_item, free_text):
+        if not found or (size > least and not _more(found, free_item, free_text)):
             size = least if size > least and size // 2 < least else size // 2
     return out
 

@@ -108,6 +108,12 @@ def test_tiles_find_reordered_passages():
     assert sum(t[3] for t in decontaminate.tiles([[5] * 7], same)) == 7
 
 
+def test_tiles_take_what_longer_tiles_leave():
+    item = list(range(40))
+    runs = [item[10:17], item[15:23], [99] * 9]
+    assert sorted((j, k) for _, _, j, k in decontaminate.tiles(runs, item)) == [(10, 5), (15, 8)]
+
+
 def test_contamination(spark, odd):
     item = "one two three four five six seven eight nine ten eleven twelve"
     words = item.split()
