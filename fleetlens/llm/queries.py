@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.llm import (
+    alignment,
     bagminhash,
     chat,
     decontaminate,
@@ -16,9 +17,11 @@ from fleetlens.llm import (
     tokenstore,
     toxicity,
     vectorgraph,
+    whitening,
+    wordtable,
 )
 from fleetlens.llm.common import bucket_of, table
-from fleetlens.llm.tokens import word_vocabulary
+from fleetlens.llm.tokens import byte_vocabulary, piece_model, word_vocabulary
 from fleetlens.session import work_dir
 
 # Fixed value: a conversation whose texts hold the template's own control strings.
@@ -88,6 +91,26 @@ def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linedensity.extract(table(spark, sf_dir, "pages"))
 
 
+def whitened_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.agreement(table(spark, sf_dir, "documents"), byte_vocabulary(), piece_model())
+
+
+def piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = wordtable.encode(table(spark, sf_dir, "documents"), piece_model())
+    both = wordtable.decode(encoded, piece_model())
+    said = F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(said, 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_chat_formatting": chat_formatting,
     "op2_toxicity": toxicity_scores,
@@ -99,6 +122,9 @@ QUERIES = {
     "op8_personal_data": personal_data,
     "op9_near_vectors": near_vectors,
     "op10_main_text": main_texts,
+    "op11_whitening": whitened_vectors,
+    "op12_tokenizer_alignment": tokenizer_alignment,
+    "op13_piece_encoding": piece_round_trip,
 }
 
 # The other operators' results can't be written in SQL, so each is tested against a brute-force version.

@@ -76,8 +76,22 @@ def pieces(path: str) -> Pieces:
     return _LOADED[path]
 
 
+def _public(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def word_vocabulary() -> str:
     """The place of the public word-level vocabulary that the registered queries use."""
-    import public_tokenizers
+    return _public("word_bpe_49k.json")
+
+
+def byte_vocabulary() -> str:
+    """The place of the public byte-level vocabulary."""
+    return _public("byte_bpe_50k.json")
+
 
-    return public_tokenizers.path("word_bpe_49k.json")
+def piece_model() -> str:
+    """The place of the public model of marked pieces."""
+    return _public("piece_bpe_32k.model")
