@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,13 +25,15 @@ from fleetlens.llm.common import map_arrow, small_batches
 
 MARK = "▁"
 # A block closes at the first document that brings it to this many characters or distinct words.
-BLOCK_CHARS = 32_000_000
-BLOCK_WORDS = 1_000_000
+BLOCK_CHARS = 12_000_000
+BLOCK_WORDS = 500_000
 # Text per packet group, and the least and most groups.
 GROUP_CHARS = 64_000_000
 LEAST_GROUPS, MOST_GROUPS = 512, 65_536
 # Words a segmenting task remembers between packets.
-MOST_WORDS = 1_000_000
+MOST_WORDS = 300_000
+# Words of a block whose ids are put together at once.
+SLICE_WORDS = 200_000
 _MARKED = re.compile(" +[^ ]*")
 # Never part of UTF-8.
 _BETWEEN = b"\xff"
@@ -126,11 +129,10 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
         yield block
 
 
-def _flat(lists: list[list[int]]) -> bytes:
-    """Lists of numbers as one compressed string: their sizes, then their numbers."""
-    sizes = np.fromiter(map(len, lists), "<u4", len(lists))
-    values = np.fromiter((i for one in lists for i in one), "<u4", int(sizes.sum()))
-    return zlib.compress(sizes.tobytes() + values.tobytes(), 1)
+def _flat(lists: list[bytes]) -> bytes:
+    """Lists of 32-bit numbers as one compressed string: their sizes, then their numbers."""
+    sizes = np.fromiter(map(len, lists), "<u4", len(lists)) // 4
+    return zlib.compress(sizes.tobytes() + b"".join(lists), 1)
 
 
 def _packets(rows: DataFrame, groups: int) -> DataFrame:
@@ -158,7 +160,7 @@ def _segmented(packets: DataFrame, path: str) -> DataFrame:
     """The packets with ids instead of words. The rows of a group of words meet in one task, one per block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list[int]] = {}
+        known: dict[str, bytes] = {}
         for batch in batches:
             out = []
             for packed in batch.column(2):
@@ -166,7 +168,7 @@ def _segmented(packets: DataFrame, path: str) -> DataFrame:
                 if len(known) > MOST_WORDS:
                     known.clear()
                 new = [w for w in words if w not in known]
-                known.update(zip(new, segment(new, path)))
+                known.update((w, array("I", ids).tobytes()) for w, ids in zip(new, segment(new, path)))
                 out.append(_flat([known[w] for w in words]))
             arrays = [batch.column(0), batch.column(1), pa.array(out, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names=["block", "group", "ids"])
@@ -215,19 +217,24 @@ def _joined(documents: pa.Table, found: pa.Table, key: str, end_id: int) -> pa.T
         start = np.zeros(len(group), np.int64)
         start[order] = np.cumsum(size[order]) - size[order]
         value = np.concatenate(values)
-        # Ids of all words of all documents, in order.
-        each = size[at]
-        ends = np.cumsum(each)
-        place = np.repeat(start[at] - (ends - each), each) + np.arange(int(each.sum()))
-        flat = value[place].astype(np.int32)
-        words = np.concatenate(([0], np.cumsum(documents.column("counts")[row].values.to_numpy())))
-        bounds = np.concatenate(([0], ends))[words]
-        # An end id after each document.
-        flat = np.insert(flat, bounds[1:], end_id)
-        bounds = (bounds + np.arange(len(bounds))).astype(np.int32)
-        ids.append(pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)))
+        counts = documents.column("counts")[row].values.to_numpy()
+        bounds = np.concatenate(([0], np.cumsum(counts)))
+        first = 0
+        while first < len(counts):
+            # As many documents as have SLICE_WORDS words, one at least.
+            last = max(int(np.searchsorted(bounds, bounds[first] + SLICE_WORDS, side="right")) - 1, first + 1)
+            words = at[bounds[first] : bounds[last]]
+            each = size[words]
+            ends = np.cumsum(each)
+            place = np.repeat(start[words] - (ends - each), each) + np.arange(int(each.sum()))
+            stops = np.concatenate(([0], ends))[bounds[first : last + 1] - bounds[first]]
+            # An end id after each document.
+            flat = np.insert(value[place].astype(np.int32), stops[1:], end_id)
+            stops = (stops + np.arange(len(stops))).astype(np.int32)
+            ids.append(pa.ListArray.from_arrays(pa.array(stops), pa.array(flat)))
+            first = last
         keys.append(documents.column("keys")[row].values)
-    return pa.table({key: pa.concat_arrays(keys), "ids": pa.concat_arrays(ids)})
+    return pa.table({key: pa.concat_arrays(keys), "ids": pa.chunked_array(ids, pa.list_(pa.int32()))})
 
 
 def encode(documents: DataFrame, path: str, text: str = "text", key: str = "doc_id", end_id: int = 2) -> DataFrame:
@@ -262,7 +269,11 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", name: str = "decoded
 
     def run(batch: pa.RecordBatch) -> dict:
         read = model(path).decode
-        texts = [read(one.as_py() or []) if one.as_py() else "" for one in batch.column(place)]
+        lists = batch.column(place)
+        values, bounds = lists.values.to_numpy(), lists.offsets.to_pylist()
+        # Null lists span nothing.
+        spans = (values[a:b].tolist() for a, b in zip(bounds, bounds[1:]))
+        texts = [read(span) if span else "" for span in spans]
         return {**dict(zip((f.name for f in columns), batch.columns)), name: texts}
 
     return map_arrow(encoded, run, schema)

@@ -152,6 +152,7 @@ def expected(text):
 def test_pieces_of_odd_texts(spark, monkeypatch):
     texts = [None, *ODD, *long_texts(), "a", "a"]
     frame = spark.createDataFrame([(f"t{i}" if i else None, t, 1, "k", 2, "p") for i, t in enumerate(texts)], DOCUMENTS)
+    monkeypatch.setattr(wordtable, "SLICE_WORDS", 40)
     for chars in (wordtable.BLOCK_CHARS, 50):
         monkeypatch.setattr(wordtable, "BLOCK_CHARS", chars)
         found = wordtable.decode(wordtable.encode(frame.repartition(3), piece_model()), piece_model())
