@@ -15,8 +15,12 @@ import hashlib
 import json
 import os
 import re
-from collections.abc import Iterator
+from array import array
+from collections import Counter
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +37,12 @@ RANGE = 1 << 15
 # Characters of a segment, which ends at the next safe space.
 SEGMENT = 1 << 16
 FAN = 16
-# Words with their groups that a task remembers.
-MOST_WORDS = 300_000
+# Words with their ids that a task remembers, and characters of short texts that it aligns at once.
+MOST_WORDS = 500_000
+SLICE = 1_500_000
+BATCH_BYTES = 16_000_000
+# Links of a group that are listed one by one.
+MOST_LISTED = 4096
 # Id pairs (about 40 bytes each in memory) up to which their counts are broadcast; beyond, they are joined by shuffle.
 MOST_BROADCAST = 1_000_000
 # Neither tokenizer has a token across a space behind such a character.
@@ -74,43 +82,49 @@ def _both(left: tuple[Ids, Ids], right: tuple[Ids, Ids]) -> tuple[Ids, Ids]:
     return left[0] + right[0], left[1] + right[1]
 
 
-def fragment(a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray) -> Fragment:
+def fragment(a: Sequence[int], a_ends: Sequence[int], b: Sequence[int], b_ends: Sequence[int]) -> Fragment:
     """The fragment of tokens whose ends, rising byte offsets, lie in one range."""
-    cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
-    sides = [
-        [tuple(part.tolist()) for part in np.split(ids, np.searchsorted(ends, cuts, side="right"))]
-        for ids, ends in ((a, a_ends), (b, b_ends))
-    ]
-    parts = list(zip(*sides))
-    if not len(cuts):
-        return Fragment(parts[0])
-    return Fragment(parts[0], True, parts[-1], parts[1:-1])
+    parts, i, j, i0, j0 = [], 0, 0, 0, 0
+    while i < len(a_ends) and j < len(b_ends):
+        x, y = a_ends[i], b_ends[j]
+        i += x <= y
+        j += y <= x
+        if x == y:
+            parts.append((tuple(a[i0:i]), tuple(b[j0:j])))
+            i0, j0 = i, j
+    rest = tuple(a[i0:]), tuple(b[j0:])
+    return Fragment(parts[0], True, rest, parts[1:]) if parts else Fragment(rest)
 
 
 def written(groups: list[tuple[Ids, Ids]]) -> str:
     return ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups)
 
 
-def links(groups: list[tuple[Ids, Ids]]) -> tuple[np.ndarray, np.ndarray]:
-    """Id pairs (A id << 32 | B id), rising, and how many token occurrences of the groups each links."""
-    pairs, times = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+def links(groups: list[tuple[Ids, Ids]]) -> dict[int, int]:
+    """Id pairs (A id << 32 | B id) and how many token occurrences of the groups each links."""
+    out: dict[int, int] = {}
     for a, b in groups:
-        if len(a) == len(b) == 1:
-            pairs.append(np.array([a[0] << 32 | b[0]], np.int64))
-            times.append(np.ones(1, np.int64))
-            continue
-        left, n_left = np.unique(np.array(a, np.int64), return_counts=True)
-        right, n_right = np.unique(np.array(b, np.int64), return_counts=True)
-        pairs.append((left[:, None] << 32 | right).ravel())
-        times.append((n_left[:, None] * n_right).ravel())
-    return _summed(np.concatenate(pairs), np.concatenate(times))
+        # Many tokens on both sides are counted, not listed pair by pair.
+        several = len(a) * len(b) > MOST_LISTED
+        left, right = (Counter(x).items() if several else [(i, 1) for i in x] for x in (a, b))
+        for x, n in left:
+            for y, m in right:
+                pair = x << 32 | y
+                out[pair] = out.get(pair, 0) + n * m
+    return out
 
 
 def _summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, rising, and the sums of their times. Most times are one."""
+    once = times == 1
+    found, sums = np.unique(keys[once], return_counts=True)
+    if once.all():
+        return found, sums
+    keys, times = np.concatenate((found, keys[~once])), np.concatenate((sums, times[~once]))
     order = np.argsort(keys, kind="stable")
     keys, times = keys[order], times[order]
     first = np.flatnonzero(np.diff(keys, prepend=-1))
-    return keys[first], np.add.reduceat(times, first) if len(first) else times
+    return keys[first], np.add.reduceat(times, first)
 
 
 def _counts(groups: list[tuple[Ids, Ids]]) -> tuple[int, int, int, int]:
@@ -154,26 +168,27 @@ class Tokenizers:
             bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace(wordtable.MARK, " ").encode()
             for i, p in enumerate(map(b.id_to_piece, range(b.get_piece_size())))
         ]
+        self.a_size = np.zeros(max(self.a_bytes) + 1, np.int64)
+        for i, t in self.a_bytes.items():
+            self.a_size[i] = len(t)
+        self.b_size = np.array([len(t) for t in self.b_bytes], np.int64)
 
     def encode(self, words: list[str]) -> list[tuple[list[int], list[int], bool]]:
         """A ids, B ids, and whether the bytes of both are a space and the word."""
         batch = getattr(self.a, "encode_batch_fast", self.a.encode_batch)
         left = [e.ids for e in batch([" " + w for w in words], add_special_tokens=False)]
-        out = []
-        for word, a, b in zip(words, left, wordtable.segment(words, self.pieces)):
-            given = b" " + word.encode()
-            same = b"".join(map(self.a_bytes.__getitem__, a)) == given
-            out.append((a, b, same and b"".join(map(self.b_bytes.__getitem__, b)) == given))
-        return out
-
-    def ends(self, a: list[int], b: list[int], start: int = 0) -> tuple[np.ndarray, np.ndarray]:
-        """Byte offsets at which the tokens end."""
-        sizes = ([len(self.a_bytes[i]) for i in a], [len(self.b_bytes[i]) for i in b])
-        return start + np.cumsum(sizes[0], dtype=np.int64), start + np.cumsum(sizes[1], dtype=np.int64)
+        right = wordtable.segment(words, self.pieces)
+        given = [b" " + w.encode() for w in words]
+        sides = ((left, self.a_bytes), (right, self.b_bytes))
+        # One comparison for all words; they are looked at one by one only if it fails.
+        if all(b"".join([of[i] for ids in side for i in ids]) == b"".join(given) for side, of in sides):
+            return [(a, b, True) for a, b in zip(left, right)]
+        back = [[b"".join([of[i] for i in ids]) for ids in side] for side, of in sides]
+        return [(a, b, x == y == z) for a, b, x, y, z in zip(left, right, *back, given)]
 
 
 class _Words(dict):
-    """Per word: its groups as text, their links and counts, None if its bytes differ."""
+    """A and B ids per word, as bytes of unsigned 32-bit numbers; None if its bytes differ."""
 
     def __init__(self, tokenizers: Tokenizers) -> None:
         self.tokenizers = tokenizers
@@ -183,12 +198,7 @@ class _Words(dict):
             self.clear()
         new = [w for w in words if w not in self]
         for word, (a, b, same) in zip(new, self.tokenizers.encode(new)):
-            if not same:
-                self[word] = None
-                continue
-            ends = self.tokenizers.ends(a, b)
-            groups = (START + fragment(np.array(a), ends[0], np.array(b), ends[1])).groups
-            self[word] = (written(groups), *links(groups), _counts(groups))
+            self[word] = (array("I", a).tobytes(), array("I", b).tobytes()) if same else None
 
 
 _LOADED: dict[tuple[str, str], _Words] = {}
@@ -201,54 +211,158 @@ def _words(byte_level: str, pieces: str) -> _Words:
     return _LOADED[byte_level, pieces]
 
 
-def _link_lists(bounds: np.ndarray, pairs: np.ndarray, times: np.ndarray) -> pa.Array:
-    items = pa.StructArray.from_arrays([pa.array(pairs), pa.array(times)], names=["pair", "m"])
-    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), items)
+def _laid(words: list[bytes], at: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all words of all texts, in order, and the texts they belong to."""
+    flat = np.frombuffer(b"".join(words), "<u4").astype(np.int64)
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) // 4
+    starts = np.cumsum(sizes) - sizes
+    many = sizes[at]
+    place = np.repeat(starts[at] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+    return flat[place], np.repeat(owner, many)
+
+
+def _linked(p: np.ndarray, q: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Group, A id, B id and times of the links of groups with p and q tokens."""
+    a_first, b_first = np.cumsum(p) - p, np.cumsum(q) - q
+    listed = np.flatnonzero(p * q <= MOST_LISTED)
+    n = (p * q)[listed]
+    group = np.repeat(listed, n)
+    k = np.arange(len(group)) - np.repeat(np.cumsum(n) - n, n)
+    parts = [(group, a[a_first[group] + k // q[group]], b[b_first[group] + k % q[group]], np.ones(len(group), np.int64))]
+    for g in np.flatnonzero(p * q > MOST_LISTED).tolist():
+        # Many tokens on both sides are counted, not listed pair by pair.
+        x, n_x = np.unique(a[a_first[g] : a_first[g] + p[g]], return_counts=True)
+        y, n_y = np.unique(b[b_first[g] : b_first[g] + q[g]], return_counts=True)
+        parts.append((np.full(len(x) * len(y), g), np.repeat(x, len(y)), np.tile(y, len(x)), np.outer(n_x, n_y).ravel()))
+    return tuple(np.concatenate(one) for one in zip(*parts))
+
+
+@cache
+def _digits(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Digits of the numbers below n with room for one character more, which bytes count, and how many."""
+    width = len(str(n - 1))
+    values, tens = np.arange(n)[:, None], 10 ** np.arange(width - 1, -1, -1)
+    digits = np.hstack((48 + values // tens % 10, np.zeros((n, 1), np.int64))).astype(np.uint8)
+    # Leading zeros go, all but the last digit.
+    shown = np.hstack((values >= tens, np.ones((n, 1), bool)))
+    shown[:, width - 1] = True
+    return digits, shown, shown.sum(axis=1)
+
+
+def _decimal(ids: np.ndarray, ends: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers below n in decimal, each followed by its character of ``ends``; the bytes and where each number stops."""
+    digits, shown, sizes = _digits(n)
+    lines = digits[ids]
+    lines[:, -1] = ends
+    return lines[shown[ids]], np.cumsum(sizes[ids])
+
+
+def _cuts(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Group of each token of both sides: how many cuts lie before its end."""
+    place = np.searchsorted(b_ends, a_ends)
+    a_cut = np.zeros(len(a_ends), np.int64)
+    inside = place < len(b_ends)
+    a_cut[inside] = b_ends[place[inside]] == a_ends[inside]
+    b_cut = np.zeros(len(b_ends), np.int64)
+    b_cut[place[a_cut == 1]] = 1
+    return np.cumsum(a_cut) - a_cut, np.cumsum(b_cut) - b_cut
+
+
+@dataclass(frozen=True)
+class _Measured:
+    """Of closed groups, per text: n_a, n_b, n_groups, n_links; the groups as bytes; links."""
+
+    counts: list[np.ndarray]
+    said: list[bytes]
+    links: pa.Array
+
+
+def _measured(
+    a: np.ndarray, a_group: np.ndarray, b: np.ndarray, b_group: np.ndarray, text: np.ndarray, n: int, t: Tokenizers
+) -> _Measured:
+    """Measure closed groups of ``n`` texts; ``text`` is each group's text, rising."""
+    p, q = (np.bincount(g, minlength=len(text)) for g in (a_group, b_group))
+    counts = [np.bincount(text, weights=w, minlength=n).astype(np.int64) for w in (p, q, np.ones(len(text)), p * q)]
+    # Both sides of all groups in one line, A tokens of a group before its B tokens.
+    a_at = np.arange(len(a)) + (np.cumsum(q) - q)[a_group]
+    b_at = np.arange(len(b)) + np.cumsum(p)[b_group]
+    ids, ends = np.empty(len(a) + len(b), np.int64), np.full(len(a) + len(b), ord(","), np.uint8)
+    ids[a_at], ids[b_at] = a, b
+    ends[a_at[np.cumsum(p) - 1]], ends[b_at[np.cumsum(q) - 1]] = ord("|"), ord(";")
+    line, stops = _decimal(ids, ends, max(len(t.a_size), len(t.b_size)))
+    bounds = np.concatenate(([0], stops))[np.concatenate(([0], np.cumsum(counts[0] + counts[1])))].tolist()
+    # Without the last semicolon.
+    said = [line[x : max(x, y - 1)].tobytes() for x, y in zip(bounds, bounds[1:])]
+    group, left, right, times = _linked(p, q, a, b)
+    n_a, n_b = len(t.a_size), len(t.b_size)
+    keys, m = _summed((text[group] * n_a + left) * n_b + right, times)
+    of, left, right = keys // (n_a * n_b), keys // n_b % n_a, keys % n_b
+    items = pa.StructArray.from_arrays([pa.array(left << 32 | right), pa.array(m)], names=["pair", "m"])
+    starts = np.searchsorted(of, np.arange(n + 1)).astype(np.int32)
+    return _Measured(counts, said, pa.ListArray.from_arrays(pa.array(starts), items))
+
+
+def _sliced(rows: DataFrame, run: Callable[[list[list], list[list[str]], _Words], dict], files: tuple, schema: str) -> DataFrame:
+    """Apply a function of columns, the last one text, their words (none if their bytes differ) and
+    all words' ids, to a few rows at a time."""
+    spark = rows.sparkSession
+    small_batches(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    fields = to_arrow_schema(StructType.fromDDL(schema))
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _words(*files)
+        for batch in batches:
+            columns = [c.to_pylist() for c in batch.columns]
+            given, first = columns[-1], 0
+            while first < len(given):
+                last, chars = first, 0
+                while last < len(given) and chars < SLICE:
+                    chars += len(given[last] or "")
+                    last += 1
+                texts = [safe_words(t) if t else [] for t in given[first:last]]
+                used = set().union(*texts)
+                known.learn(used)
+                odd = {w for w in used if known[w] is None}
+                texts = [t if odd.isdisjoint(t) else [] for t in texts]
+                out = run([c[first:last] for c in columns], texts, known)
+                arrays = [pa.array(out[f.name], f.type) if not isinstance(out[f.name], pa.Array) else out[f.name] for f in fields]
+                arrays = [x.cast(f.type) for x, f in zip(arrays, fields)]
+                yield pa.RecordBatch.from_arrays(arrays, schema=fields)
+                first = last
+
+    return rows.mapInArrow(each, schema)
+
+
+def _end_to_end(texts: list[list[str]], known: _Words) -> tuple[tuple[np.ndarray, ...], ...]:
+    """For A and B: ids of all texts, the text of each, and their ends when the texts lie end to end."""
+    number = {w: i for i, w in enumerate(set().union(*texts))}
+    lengths = np.array([len(t) for t in texts], np.int64)
+    at = np.fromiter(map(number.__getitem__, chain.from_iterable(texts)), np.int64, int(lengths.sum()))
+    owner = np.repeat(np.arange(len(texts)), lengths)
+    out = []
+    for side, size in ((0, known.tokenizers.a_size), (1, known.tokenizers.b_size)):
+        ids, own = _laid([known[w][side] for w in number], at, owner)
+        out.append((ids, own, np.cumsum(size[ids])))
+    return tuple(out)
 
 
 def _short(rows: DataFrame, byte_level: str, pieces: str) -> DataFrame:
-    """``row``, ``key``, counts, digest and links of each text, all of it one fragment."""
-
-    def run(batch: pa.RecordBatch) -> dict:
-        known = _words(byte_level, pieces)
-        texts = [safe_words(t) if t else [] for t in batch.column(2).to_pylist()]
-        used = set().union(*texts)
-        known.learn(used)
-        number = {w: i for i, w in enumerate(used)}
-        each = [known[w] for w in number]
-        blank = ("", np.zeros(0, np.int64), np.zeros(0, np.int64), (0, 0, 0, 0))
-        fine = [e is not None for e in each]
-        each = [e or blank for e in each]
-        texts = [t if all(fine[number[w]] for w in t) else [] for t in texts]
-        # Links of all words of all texts, keyed by (text, place of the pair among all pairs).
-        sizes = np.array([len(e[1]) for e in each], np.int64)
-        starts = np.cumsum(sizes) - sizes
-        pairs = np.concatenate([e[1] for e in each]) if each else np.zeros(0, np.int64)
-        times = np.concatenate([e[2] for e in each]) if each else np.zeros(0, np.int64)
-        distinct, place = np.unique(pairs, return_inverse=True)
-        at = np.array([number[w] for t in texts for w in t], np.int64)
-        owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-        many = sizes[at]
-        ends = np.cumsum(many)
-        take = np.repeat(starts[at] - (ends - many), many) + np.arange(int(many.sum()))
-        keys, m = _summed(np.repeat(owner, many) * (len(distinct) + 1) + place[take], times[take])
-        owners, which = keys // (len(distinct) + 1), keys % (len(distinct) + 1)
-        bounds = np.searchsorted(owners, np.arange(len(texts) + 1))
-        counts = np.array([e[3] for e in each], np.int64).reshape(len(each), 4)
-        sums = np.zeros((len(texts), 4), np.int64)
-        np.add.at(sums, owner, counts[at])
-        said = [";".join([known[w][0] for w in t]) for t in texts]
-        return {
-            "row": batch.column(0),
-            "key": batch.column(1),
-            **{name: sums[:, i] for i, name in enumerate(_COUNTS)},
-            "groups_sha256": [hashlib.sha256(s.encode()).hexdigest() if s else "" for s in said],
-            "links": _link_lists(bounds, distinct[which], m),
-        }
+    """``row``, ``key``, counts, digest and links of each text, which is one fragment."""
+
+    def run(columns: list[list], texts: list[list[str]], known: _Words) -> dict:
+        (a, a_text, a_ends), (b, _, b_ends) = _end_to_end(texts, known)
+        a_group, b_group = _cuts(a_ends, b_ends)
+        text = a_text[np.flatnonzero(np.diff(a_group, append=len(a) + 1))]
+        found = _measured(a, a_group, b, b_group, text, len(texts), known.tokenizers)
+        digests = [hashlib.sha256(said).hexdigest() if said else "" for said in found.said]
+        head = {"row": columns[0], "key": columns[1], "groups_sha256": digests, "links": found.links}
+        return {**head, **dict(zip(_COUNTS, found.counts))}
 
     kind = rows.schema["key"].dataType.simpleString()
     counts = ", ".join(f"{c} bigint" for c in _COUNTS)
-    return map_arrow(rows, run, f"row bigint, key {kind}, {counts}, groups_sha256 string, links {_LINKS}")
+    schema = f"row bigint, key {kind}, {counts}, groups_sha256 string, links {_LINKS}"
+    return _sliced(rows.select("row", "key", "text"), run, (byte_level, pieces), schema)
 
 
 def _segments(rows: DataFrame, segment: int) -> DataFrame:
@@ -277,7 +391,7 @@ _FOUND = f"fine boolean, n_a bigint, n_b bigint, n_groups bigint, n_links bigint
 def _part(row: int, at: int, first: int | None, piece: Fragment, fine: bool, joint: bool) -> dict:
     """One row of the tree's tables: open ends, or closed groups of a range or a joint."""
     counts = dict(zip(_COUNTS, _counts(piece.groups)))
-    pairs = [{"pair": p, "m": m} for p, m in zip(*(x.tolist() for x in links(piece.groups)))]
+    pairs = [{"pair": p, "m": m} for p, m in links(piece.groups).items()]
     ends = {"a0": piece.prefix[0], "b0": piece.prefix[1], "a1": piece.suffix[0], "b1": piece.suffix[1]}
     said = {"fine": fine, "said": written(piece.groups), "links": pairs, "joint": joint}
     return {"row": row, "at": at, "first": first, "cut": piece.cut, **ends, **counts, **said}
@@ -289,25 +403,60 @@ _PART = f"row bigint, at bigint, first bigint, joint boolean, {_ENDS}, {_FOUND}"
 def _fragments(segments: DataFrame, byte_level: str, pieces: str, width: int) -> DataFrame:
     """A row per segment and byte range. Tokens belong to the range in which they end."""
 
-    def run(batch: pa.RecordBatch) -> dict | None:
-        tokenizers = _words(byte_level, pieces).tokenizers
-        out: list[dict] = []
-        for row, start, text in zip(*(c.to_pylist() for c in batch.columns)):
-            words = safe_words(text)
-            known = dict(zip(used := list(dict.fromkeys(words)), tokenizers.encode(used)))
-            fine = all(k[2] for k in known.values())
-            a, b = ([i for w in words for i in known[w][side]] for side in (0, 1))
-            a_ends, b_ends = tokenizers.ends(a, b, start)
-            a_at, b_at = ((ends - 1) // width for ends in (a_ends, b_ends))
-            a, b = np.array(a, np.int64), np.array(b, np.int64)
-            for number in np.union1d(a_at, b_at).tolist():
-                left, right = a_at == number, b_at == number
-                piece = fragment(a[left], a_ends[left], b[right], b_ends[right])
-                at = max(start, number * width)
-                out.append(_part(row, at, at if piece.cut else None, piece, fine, False))
-        return {name: [p[name] for p in out] for name in out[0]} if out else None
-
-    return map_arrow(segments, run, _PART)
+    def run(columns: list[list], texts: list[list[str]], known: _Words) -> dict:
+        rows, start = columns[0], np.array(columns[1], np.int64)
+        (a, a_text, a_ends), (b, b_text, b_ends) = _end_to_end(texts, known)
+        a_group, b_group = _cuts(a_ends, b_ends)
+        # Ends within the whole text say the range; segment and range together are a fragment.
+        total = np.bincount(a_text, weights=known.tokenizers.a_size[a], minlength=len(texts)).astype(np.int64)
+        shift = start - (np.cumsum(total) - total)
+        ranges = [(ends + shift[own] - 1) // width for ends, own in ((a_ends, a_text), (b_ends, b_text))]
+        far = 1 + max((int(r.max(initial=0)) for r in ranges), default=0)
+        names = np.concatenate([own * far + r for own, r in zip((a_text, b_text), ranges)])
+        names, of = np.unique(names, return_inverse=True)
+        a_of, b_of = of[: len(a)], of[len(a) :]
+        # The fragment of each cut; its first one ends the open prefix.
+        at_cut = a_of[np.flatnonzero(np.diff(a_group, append=len(a) + 1))]
+        has_cut, first = np.unique(at_cut, return_index=True)
+        closed = np.ones(len(at_cut), bool)
+        closed[first] = False
+        number = np.cumsum(closed) - 1
+        a_in, b_in = closed[a_group], closed[b_group]
+        inner = [a[a_in], number[a_group[a_in]], b[b_in], number[b_group[b_in]]]
+        found = _measured(*inner, at_cut[closed], len(names), known.tokenizers)
+        cut = np.zeros(len(names), bool)
+        cut[has_cut] = True
+        ends = {}
+        for ids, group, own, left, right in ((a, a_group, a_of, "a0", "a1"), (b, b_group, b_of, "b0", "b1")):
+            after = cut[own] & (at_cut[group] != own)
+            before = ~after & ~closed[group]
+            low, high = np.searchsorted(own, np.arange(len(names))), np.searchsorted(own, np.arange(len(names)), "right")
+            n_before, n_after = (np.bincount(own[x], minlength=len(names)) for x in (before | ~cut[own], after))
+            ends[left] = [ids[x : x + n].tolist() for x, n in zip(low.tolist(), n_before.tolist())]
+            ends[right] = [ids[y - n : y].tolist() for y, n in zip(high.tolist(), n_after.tolist())]
+        owner = names // far
+        begin = np.maximum(start[owner], names % far * width)
+        said = [x.decode() for x in found.said]
+        out = {
+            "row": [rows[i] for i in owner.tolist()],
+            "at": begin.tolist(),
+            "first": [x if y else None for x, y in zip(begin.tolist(), cut.tolist())],
+            "joint": [False] * len(names),
+            "cut": cut.tolist(),
+            "fine": [True] * len(names),
+            "said": said,
+            **ends,
+            **{name: x.tolist() for name, x in zip(_COUNTS, found.counts)},
+        }
+        # A segment whose bytes differ has one row that says so.
+        odd = [i for i, t in enumerate(texts) if not t]
+        bare = _part(0, 0, None, Fragment(), False, False)
+        rest = {name: [bare[name]] * len(odd) for name in out} | {"row": [rows[i] for i in odd]}
+        rest["at"] = start[odd].tolist()
+        lists = pa.concat_arrays([found.links, pa.array([[]] * len(odd), found.links.type)])
+        return {**{name: out[name] + rest[name] for name in out}, "links": lists}
+
+    return _sliced(segments.select("row", "start", "text"), run, (byte_level, pieces), _PART)
 
 
 def _joined(parts: DataFrame, span: int) -> DataFrame:

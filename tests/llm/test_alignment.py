@@ -79,12 +79,12 @@ def test_fragments_form_a_monoid(left, right, seed):
     rng = random.Random(seed)
     a, b = np.cumsum(left, dtype=np.int64), np.cumsum(right, dtype=np.int64)
     a_ids, b_ids = np.arange(len(a)), 100 + np.arange(len(b))
-    whole = fragment(a_ids, a, b_ids, b)
+    whole = fragment(a_ids.tolist(), a.tolist(), b_ids.tolist(), b.tolist())
     cuts = sorted(rng.sample(range(130), rng.randint(0, 6)))
     parts = []
     for low, high in zip([-1, *cuts], [*cuts, 200]):
         x, y = (a > low) & (a <= high), (b > low) & (b <= high)
-        parts.append(fragment(a_ids[x], a[x], b_ids[y], b[y]))
+        parts.append(fragment(a_ids[x].tolist(), a[x].tolist(), b_ids[y].tolist(), b[y].tolist()))
     assert sum(parts, Fragment()) == whole
     while len(parts) > 1:
         at = rng.randrange(len(parts) - 1)
