@@ -29,6 +29,9 @@ MATCH_BEFORE, MATCH_AFTER = timedelta(hours=1), timedelta(hours=2)
 SPEED_MPS = 5.0
 GHOST_GAP = timedelta(hours=12)
 CHUNK = timedelta(days=7)
+SLICE = timedelta(minutes=1)
+# Of streams in several micro-batches, whose rows come late by up to three quarters of it.
+BATCH_LATENESS = timedelta(hours=1)
 ZONE_TTL = timedelta(days=2)
 SKEW = timedelta(seconds=60)
 CENTRE = (37.7749, -122.4194)
@@ -495,6 +498,16 @@ def anomalies_stream(spark, sf_dir):
     return _rounded(_read(spark, path))
 
 
+@query
+def anomalies_sliced_stream(spark, sf_dir):
+    """Six micro-batches with late pings and a driver with a third of all pings in one hour, in slices and timers."""
+    events = tables.in_batches(tables.busy_pings(spark, sf_dir), 6, BATCH_LATENESS * 3 // 4)
+    path = _drain(spark, "sliced-anomalies", lambda view, checkpoint: jobs.sliced_anomaly_job(
+        events, view, f"{view}-events", checkpoint, drain=True, mps=SPEED_MPS, gap=GHOST_GAP,
+        width=SLICE, lateness=BATCH_LATENESS))
+    return _rounded(_read(spark, path))
+
+
 @query
 def anomalies_table_stream(spark, sf_dir):
     """The same with the drivers' last positions kept in a table."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from fleetlens.functions.geo import EARTH_RADIUS_M, GRID_DEGREES
 from fleetlens.functions.timing import LATENESS, millis
 from fleetlens.plans import catalog as c
+from fleetlens.plans import tables
 from fleetlens.schemas import LOCATION_TOPIC, REQUEST_TOPIC
 
 _HOT, _SIZE, _SLIDE = (millis(x) for x in (c.HOT_WINDOW, c.SURGE_SIZE, c.SURGE_SLIDE))
@@ -154,6 +155,21 @@ _CLOSED_ANOMALIES = (
     + f"""{_ROUNDED} found
 WHERE anomaly_type = 'speed_violation' OR detected_at_ms <= {_CLOSED}"""
 )
+# The pings, every third of them given to one driver in one hour.
+_BUSY = f"""busy AS (
+  SELECT * REPLACE (
+    CASE WHEN n % 3 = 0 THEN '{tables.BUSY_DRIVER}' ELSE driver_id END AS driver_id,
+    CASE WHEN n % 3 = 0 THEN {tables.BUSY_FROM_MS} + n * 7919 % {tables.BUSY_SPAN_MS} ELSE t END AS t)
+  FROM pings)"""
+_BUSY_ANOMALIES = _with(_BUSY, _ANOMALIES.replace("FROM pings WINDOW", "FROM busy WINDOW"))
+_SLICE = millis(c.SLICE)
+# An anomaly is reported once the slice of its time is closed.
+_SLICED_ANOMALIES = (
+    _BUSY_ANOMALIES
+    + f"""{_ROUNDED} found
+WHERE (detected_at_ms // {_SLICE} + 1) * {_SLICE}
+      <= (SELECT max(t) FROM busy) - {millis(c.BATCH_LATENESS)}"""
+)
 _CLOSED_REQUESTS = f"(SELECT max(t) FROM requests) - {_LATE}"
 _CANDIDATES = _with(_MATCHES) + "SELECT * FROM candidates"
 _STATE = _with() + "SELECT * FROM driver_state"
@@ -295,6 +311,7 @@ WHERE abs((n * 37 % 240 - 120) * 1000) > {_SKEW}""",
     "match_candidates_stream": _CANDIDATES,
     "anomalies_stream": _CLOSED_ANOMALIES,
     "anomalies_table_stream": _CLOSED_ANOMALIES,
+    "anomalies_sliced_stream": _SLICED_ANOMALIES,
     "enriched_rides_stream": _ENRICHED_ROWS,
     "enriched_rides_latest_stream": _CHANGED_ROWS,
     "driver_state_stream": _STATE,

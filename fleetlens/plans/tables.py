@@ -6,10 +6,12 @@ orders the captured changes of drivers and line items those of rides.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.functions.timing import to_event_time
+from fleetlens.functions.timing import millis, to_event_time
 from fleetlens.session import configure, work_dir
 from fleetlens.sources.events import read_files
 
@@ -177,6 +179,37 @@ def stream_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_pings(table_stream(spark, sf_dir, "events", EVENTS))
 
 
+# A driver with a third of all pings, all of them in one hour.
+BUSY_DRIVER = "drv-busy"
+BUSY_FROM_MS, BUSY_SPAN_MS = 1_705_320_000_000, 3_600_000
+
+
+def busy_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pings, every third of them given to one driver in one hour."""
+    number = F.col("event_id").cast("bigint")
+    busy = number % 3 == 0
+    at = F.timestamp_millis(F.lit(BUSY_FROM_MS) + number * 7919 % BUSY_SPAN_MS)
+    return pings(spark, sf_dir).withColumns({
+        "driver_id": F.when(busy, BUSY_DRIVER).otherwise(F.col("driver_id")),
+        "event_time": F.when(busy, at).otherwise(F.col("event_time")),
+    })
+
+
+def in_batches(rows: DataFrame, parts: int, most_late: timedelta) -> DataFrame:
+    """Rows as a stream of ``parts`` micro-batches. A row may come after rows up to ``most_late`` later than it,
+    and batches overlap in time that far, so rows arrive late and out of order."""
+    spark, base = rows.sparkSession, work_dir(rows.sparkSession, "batches")
+    at = F.unix_millis("event_time")
+    low, high = rows.agg(F.min(at), F.max(at)).first()
+    spread = F.pmod(F.xxhash64("event_id"), F.lit(millis(most_late)))
+    step = max((high - low) // parts + 1, 1) if low is not None else 1
+    part = F.least(F.lit(parts - 1), F.floor((at + spread - F.lit(low or 0)) / step))
+    # One part after the other: a file source takes the oldest file first.
+    for i in range(parts):
+        rows.where(part == i).coalesce(1).write.parquet(f"{base}/part{i:03d}")
+    return read_files(spark, f"{base}/part*", rows.schema, streaming=True, files_per_batch=1)
+
+
 def stream_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_requests(table_stream(spark, sf_dir, "events", EVENTS))
 

@@ -39,6 +39,7 @@ from fleetlens.sources.views import (
     write_version,
 )
 from fleetlens.streaming.detector import anomaly_stream
+from fleetlens.streaming.slices import sliced_anomaly_stream
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -118,6 +119,16 @@ def match_job(requests: DataFrame, pings: DataFrame, view: str, checkpoint: str,
 def anomaly_job(pings: DataFrame, view: str, events: str, checkpoint: str, *, drain=False,
                 **options):
     """Flat rows to the view for ranked reads, nested events to the outgoing log."""
+    return _start_anomalies(anomaly_stream(pings, **options), view, events, checkpoint, drain)
+
+
+def sliced_anomaly_job(pings: DataFrame, view: str, events: str, checkpoint: str, *, drain=False,
+                       **options):
+    """As anomaly_job; a busy driver's pings are sorted by slice, in many tasks."""
+    return _start_anomalies(sliced_anomaly_stream(pings, **options), view, events, checkpoint, drain)
+
+
+def _start_anomalies(found: DataFrame, view: str, events: str, checkpoint: str, drain: bool):
     to_view, to_events = batch_writer(view), batch_writer(events)
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -129,7 +140,7 @@ def anomaly_job(pings: DataFrame, view: str, events: str, checkpoint: str, *, dr
         finally:
             batch.unpersist()
 
-    return start(anomaly_stream(pings, **options), write, checkpoint, drain=drain)
+    return start(found, write, checkpoint, drain=drain)
 
 
 def anomaly_table_job(

@@ -155,6 +155,61 @@ def test_ping_older_than_the_last_changes_nothing(spark, job):
     assert rows(read_view(spark, view), *KEY) == [("ghost_driver", "a", ms(420), 300000, "medium")]
 
 
+def sliced(source, gap=300, lateness=10, width=60):
+    return jobs.sliced_anomaly_job(
+        source.read(), source.path("view"), source.path("log"), source.path("checkpoint"), drain=True,
+        gap=timedelta(seconds=gap), lateness=timedelta(seconds=lateness), width=timedelta(seconds=width))
+
+
+def closed(track, flush, gap=300, width=60_000):
+    """The batch result, as far as the slice of an anomaly's time ends by ``flush`` seconds."""
+    found = rows(anomalies(track, gap=timedelta(seconds=gap)), *KEY)
+    return [r for r in found if (r[2] // width + 1) * width <= ms(flush)]
+
+
+def test_sliced_anomalies_equal_batch(spark):
+    """Late pings within the lateness, equal times, silences inside and across batches, and one that a ping
+    exactly one gap later, in a slice still open at that time, prevents."""
+    track = [
+        [("a", 0), ("a", 400), ("a", 900), ("b", 905, "c1", 37.0, -122.0), (None, 5)],
+        [("a", 1300), ("b", 915, "c1", 38.0, -122.0), ("b", 915, "c1", 38.5, -122.0), ("a", 890)],
+        [("a", 1310, "c1", 37.71, -122.4), ("c", 1320), ("b", 1214), ("b", 1215), ("d", 1330)],
+        [("c", 1330), ("d", 1630), ("a", 9000), ("a", 8995, "c1", 37.9, -122.4)],
+        [("zz", FLUSH)],
+        [("a", FLUSH + 5), ("zz", 2 * FLUSH)],
+    ]
+    source = feed(spark, pings, *track)
+    # A restart between batches changes nothing.
+    sliced(source, lateness=400).awaitTermination()
+    source.add([("zz", 3 * FLUSH)])
+    sliced(source, lateness=400).awaitTermination()
+    everything = pings(spark, [r for b in [*track, [("zz", 3 * FLUSH)]] for r in b])
+    got = rows(read_view(spark, source.path("view")), *KEY)
+    assert got == closed(everything, 3 * FLUSH - 400) and len({r[0] for r in got}) == 2
+    assert read_view(spark, source.path("log")).count() == len(got)
+
+
+def test_sliced_anomalies_drop_what_comes_too_late(spark):
+    source = feed(spark, pings, [("a", 0)], [("a", 1000)], [("b", 1001)], [("a", 30, "c1", 39.0, -122.4)], [("zz", FLUSH)])
+    sliced(source).awaitTermination()
+    got = rows(read_view(spark, source.path("view")), *KEY)
+    assert got == closed(pings(spark, [("a", 0), ("a", 1000), ("b", 1001), ("zz", FLUSH)]), FLUSH - 10) != []
+    with pytest.raises(ValueError):
+        sliced(source, gap=30)
+
+
+def test_a_busy_driver_is_sorted_in_many_groups(spark):
+    """One driver with all pings of a few minutes: no state row of the first stage holds more than a slice of them."""
+    busy = [("a", i / 10, "c1", 37.0 + i % 7 * 0.001, -122.0) for i in range(6000)]
+    source = feed(spark, pings, busy[:3000], busy[3000:], [("zz", FLUSH)])
+    query = sliced(source, width=60)
+    query.awaitTermination()
+    state = [op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"]]
+    assert max(state) >= 5
+    got = rows(read_view(spark, source.path("view")), *KEY)
+    assert got == closed(pings(spark, [*busy, ("zz", FLUSH)]), FLUSH - 10) and len(got) > 3000
+
+
 def test_restart_continues_from_the_checkpoint(spark):
     source = feed(spark, pings, *TRACK[:2])
     view, checkpoint = source.path("view"), source.path("checkpoint")
