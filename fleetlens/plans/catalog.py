@@ -33,6 +33,7 @@ SLICE = timedelta(minutes=1)
 # Of streams in several micro-batches, whose rows come late by up to three quarters of it.
 BATCH_LATENESS = timedelta(hours=1)
 ZONE_TTL = timedelta(days=2)
+RIDE_KEEP = timedelta(hours=6)
 SKEW = timedelta(seconds=60)
 CENTRE = (37.7749, -122.4194)
 # A fixed "now" for ingestion, so that results do not depend on the clock.
@@ -477,7 +478,7 @@ def idle_drivers_stream(spark, sf_dir):
     events = tables.stream_pings(spark, sf_dir)
     path = _drain(spark, "idle", lambda view, checkpoint: jobs.idle_job(
         events, view, checkpoint, drain=True, gap=IDLE_GAP))
-    return views.read_keyed_view(spark, path, ["driver_id"]).drop("batch_id", "written_at_ms")
+    return views.read_keyed_view(spark, path, *jobs.IDLE_VIEW).drop("batch_id", "written_at_ms")
 
 
 @query
@@ -486,7 +487,20 @@ def match_candidates_stream(spark, sf_dir):
     path = _drain(spark, "matches", lambda view, checkpoint: jobs.match_job(
         asked, seen, view, checkpoint, drain=True, before=MATCH_BEFORE, after=MATCH_AFTER,
         slices=2))
-    view = views.read_keyed_view(spark, path, ["ride_id", "driver_id"])
+    view = views.read_keyed_view(spark, path, *jobs.MATCH_VIEW)
+    return view.drop("batch_id", "written_at_ms")
+
+
+@query
+def match_candidates_batches_stream(spark, sf_dir):
+    """The same from five micro-batches each of requests and pings, late and out of order."""
+    late = BATCH_LATENESS * 3 // 4
+    asked = tables.in_batches(tables.requests(spark, sf_dir), 5, late)
+    seen = tables.in_batches(tables.pings(spark, sf_dir), 5, late)
+    path = _drain(spark, "match-batches", lambda view, checkpoint: jobs.match_job(
+        asked, seen, view, checkpoint, drain=True, before=MATCH_BEFORE, after=MATCH_AFTER,
+        lateness=BATCH_LATENESS))
+    view = views.read_keyed_view(spark, path, *jobs.MATCH_VIEW)
     return view.drop("batch_id", "written_at_ms")
 
 
@@ -523,8 +537,19 @@ def enriched_rides_stream(spark, sf_dir):
     events = tables.stream_requests(spark, sf_dir)
     path = _drain(spark, "enriched", lambda view, checkpoint: jobs.enrich_job(
         events, lambda: tables.drivers(spark, sf_dir), view, checkpoint, drain=True))
-    view = views.read_keyed_view(spark, path, ["ride_id"]).drop("batch_id", "written_at_ms")
-    return _flat_enriched(view)
+    return _flat_enriched(jobs.read_rides(spark, path).drop("batch_id", "written_at_ms"))
+
+
+@query
+def enriched_rides_changed_stream(spark, sf_dir):
+    """Rides in three micro-batches, their drivers' changes in six and not in order; rides are sent again
+    when their driver changes."""
+    asked = tables.in_batches(tables.requests(spark, sf_dir), 3, BATCH_LATENESS)
+    changes = tables.stream_shuffled_driver_changes(spark, sf_dir, 6)
+    changes = changes.withColumn("vehicle_type", F.lit("economy"))
+    path = _drain(spark, "changed-rides", lambda view, checkpoint: jobs.reenrich_job(
+        asked, changes, view, checkpoint, drain=True, keep=RIDE_KEEP))
+    return _flat_enriched(jobs.read_rides(spark, path).drop("batch_id", "written_at_ms"))
 
 
 @query

@@ -309,11 +309,13 @@ WHERE abs((n * 37 % 240 - 120) * 1000) > {_SKEW}""",
   SELECT *, row_number() OVER (PARTITION BY driver_id ORDER BY session_end_ms DESC) AS rn
   FROM sessions WHERE session_end_ms <= {_CLOSED}) WHERE rn = 1""",
     "match_candidates_stream": _CANDIDATES,
+    "match_candidates_batches_stream": _CANDIDATES,
     "anomalies_stream": _CLOSED_ANOMALIES,
     "anomalies_table_stream": _CLOSED_ANOMALIES,
     "anomalies_sliced_stream": _SLICED_ANOMALIES,
     "enriched_rides_stream": _ENRICHED_ROWS,
     "enriched_rides_latest_stream": _CHANGED_ROWS,
+    "enriched_rides_changed_stream": _CHANGED_ROWS,
     "driver_state_stream": _STATE,
     "driver_state_batches_stream": _STATE,
     # Pings without a time count as of now; they close every earlier window.

@@ -39,10 +39,18 @@ from fleetlens.sources.views import (
     write_version,
 )
 from fleetlens.streaming.detector import anomaly_stream
+from fleetlens.streaming.enrichment import reenriched_rides
 from fleetlens.streaming.slices import sliced_anomaly_stream
 
 Sink = Callable[[DataFrame, int], None]
 
+# Keys and order of the keyed views: of a key's rows the last one by this order counts, within a
+# batch and between batches, whichever comes first. Enriched rides of one request are told apart by batch.
+IDLE_VIEW = (["driver_id"], ["session_end_ms"])
+MATCH_VIEW = (["ride_id", "driver_id"], ["match_time_ms", "h3_cell"])
+REQUEST_VIEW = (["ride_id"], ["event_time", "event_id"])
+ENRICHED_VIEW = (["ride_id"], ["request_time", "rider_id", "pickup_h3"])
+
 
 def start(
     df: DataFrame,
@@ -101,14 +109,14 @@ def surge_job(requests: DataFrame, view: str, checkpoint: str, *, drain=False, *
 
 def idle_job(pings: DataFrame, view: str, checkpoint: str, *, drain=False, **options):
     """Keeps each driver's latest session."""
-    sink = upsert_writer(view, ["driver_id"], ["session_end_ms"])
+    sink = upsert_writer(view, *IDLE_VIEW, between=IDLE_VIEW[1])
     return start(idle_sessions(pings, **options), sink, checkpoint, drain=drain)
 
 
 def match_job(requests: DataFrame, pings: DataFrame, view: str, checkpoint: str, *, drain=False,
               **options):
     """Keeps the latest match per (ride, driver); a batch is reduced before it is written."""
-    sink = upsert_writer(view, ["ride_id", "driver_id"], ["match_time_ms"])
+    sink = upsert_writer(view, *MATCH_VIEW, between=MATCH_VIEW[1])
 
     def write(batch: DataFrame, batch_id: int) -> None:
         sink(reduce_matches(batch), batch_id)
@@ -194,7 +202,7 @@ def dimension_job(changes: DataFrame, view: str, checkpoint: str, *, keys=("driv
 
 def read_dimension(spark, view: str, keys=("driver_id",)) -> DataFrame:
     """Current rows of a captured table kept by :func:`dimension_job`."""
-    latest = read_keyed_view(spark, view, list(keys), ["ts_ms", "seq", "batch_id"])
+    latest = read_keyed_view(spark, view, list(keys), CHANGE_ORDER)
     return latest.where(~is_delete(latest)).drop("op", "__deleted", "batch_id", "written_at_ms")
 
 
@@ -205,7 +213,7 @@ def enrich_job(requests: DataFrame, drivers: Callable[[], DataFrame], view: str,
     A ride keeps the driver values of its arrival. Where later driver changes must show,
     keep the requests with request_job and join them when read (read_enriched).
     """
-    sink = upsert_writer(view, ["ride_id"], ["request_time"])
+    sink = upsert_writer(view, *ENRICHED_VIEW, between=[*ENRICHED_VIEW[1], "batch_id"])
 
     def write(batch: DataFrame, batch_id: int) -> None:
         sink(enrich_rides(batch, drivers()), batch_id)
@@ -215,10 +223,33 @@ def enrich_job(requests: DataFrame, drivers: Callable[[], DataFrame], view: str,
 
 def request_job(requests: DataFrame, view: str, checkpoint: str, *, drain=False):
     """Keeps the latest request of each ride."""
-    return start(requests, upsert_writer(view, ["ride_id"], ["event_time", "event_id"]), checkpoint,
-                 drain=drain)
+    sink = upsert_writer(view, *REQUEST_VIEW, between=REQUEST_VIEW[1])
+    return start(requests, sink, checkpoint, drain=drain)
 
 
 def read_enriched(spark: SparkSession, requests_view: str, drivers: DataFrame) -> DataFrame:
     """Kept requests with their drivers' values as of now, changes after arrival included."""
-    return enrich_rides(read_keyed_view(spark, requests_view, ["ride_id"]), drivers)
+    return enrich_rides(read_keyed_view(spark, requests_view, *REQUEST_VIEW), drivers)
+
+
+def reenrich_job(requests: DataFrame, changes: DataFrame, view: str, checkpoint: str, *, drain=False,
+                 **options):
+    """Keeps each ride with its driver's current values; a change of the driver replaces the ride's row.
+
+    State with a lifetime asks for a batch after every batch, so a run that drains its input would never
+    end: it goes without batches that bring no data."""
+    sink = upsert_writer(view, *ENRICHED_VIEW, between=[*ENRICHED_VIEW[1], "batch_id"])
+    conf, name = requests.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = conf.get(name)
+    conf.set(name, "false" if drain else before)
+    try:
+        # A query keeps the settings that it started with.
+        return start(reenriched_rides(requests, changes, **options), sink, checkpoint, drain=drain)
+    finally:
+        conf.set(name, before)
+
+
+def read_rides(spark: SparkSession, view: str) -> DataFrame:
+    """The current rows of a view kept by :func:`enrich_job` or :func:`reenrich_job`."""
+    keys, order = ENRICHED_VIEW
+    return read_keyed_view(spark, view, keys, [*order, "batch_id"])
