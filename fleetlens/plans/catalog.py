@@ -548,7 +548,7 @@ def enriched_rides_changed_stream(spark, sf_dir):
     changes = tables.stream_shuffled_driver_changes(spark, sf_dir, 6)
     changes = changes.withColumn("vehicle_type", F.lit("economy"))
     path = _drain(spark, "changed-rides", lambda view, checkpoint: jobs.reenrich_job(
-        asked, changes, view, checkpoint, drain=True, keep=RIDE_KEEP))
+        asked, changes, view, checkpoint, drain=True, keep=RIDE_KEEP, spread=2))
     return _flat_enriched(jobs.read_rides(spark, path).drop("batch_id", "written_at_ms"))
 
 
