@@ -8,6 +8,7 @@ score little. Features are presences, chosen by chi-square among hashed words an
 from __future__ import annotations
 
 import re
+import zlib
 from dataclasses import dataclass
 from functools import cache
 
@@ -87,6 +88,11 @@ def swapped_sentences(text: str, terms=IDENTITY_TERMS) -> list[tuple[str, str]]:
     return out
 
 
+def _drawn(pairs: list[tuple[str, str]], most: int) -> list[tuple[str, str]]:
+    """At most so many pairs, those of the least digests."""
+    return sorted(pairs, key=lambda p: zlib.crc32("\0".join(p).encode()))[:most] if len(pairs) > most else pairs
+
+
 @cache
 def _names(terms) -> re.Pattern:
     names = sorted((re.escape(name) for group in terms for name in group), key=len, reverse=True)
@@ -103,28 +109,31 @@ def learn(
     n_features: int = 4096,
     counterfactual: float = 1.0,
     terms=IDENTITY_TERMS,
+    text_pairs: int = 16,
 ) -> Model:
     """Fit on a bounded sample of labelled texts: about ``fit_bytes`` bytes of whole texts, drawn by a
-    hash of the key, or all if there are fewer.
+    hash of the key, or all if there are fewer; ``text_pairs`` swapped sentences of a text at most, drawn by a hash too.
 
     Rows without text, key or label teach nothing; a label other than 0 counts as 1; a key labelled
-    more than once takes the larger label. Without both classes the model scores every text alike, by
+    more than once takes the larger label; repeated rows of a document each count. Without both classes the model scores every text alike, by
     the share of the class.
     """
     marked = labels.select(F.col(key).alias("key"), (F.col(label) != 0).cast("int").alias("label"))
     marked = marked.where("key is not null and label is not null")
     marked = marked.groupBy("key").agg(F.max("label").alias("label"))
-    rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    rows = rows.where("text is not null").join(marked, "key")
-    sizes = rows.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 1
+    rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text")).where("text is not null")
+    # Sizes meet the labels without the texts, and only drawn texts meet them at all.
+    sizes = rows.select("key", F.octet_length("text").alias("bytes")).join(marked, "key")
+    total = sizes.agg(F.sum("bytes")).first()[0] or 1
     draw = F.pmod(F.xxhash64(F.col("key")), F.lit(1 << 30)) / float(1 << 30)
-    rows = rows.where(draw < min(1.0, fit_bytes / sizes)).select("label", "text")
+    rows = rows.where(draw < min(1.0, fit_bytes / total)).join(marked, "key").select("label", "text")
     pattern = _names(terms)
 
     def encode(batch: pa.RecordBatch) -> dict:
         label_, texts = batch.column(0).to_pylist(), batch.column(1)
         packed = _packed(features_of(texts))
-        pairs = [p for t in texts.to_pylist() if pattern.search(t) for p in swapped_sentences(t, terms)]
+        named = (t for t in texts.to_pylist() if pattern.search(t))
+        pairs = [p for t in named for p in _drawn(swapped_sentences(t, terms), text_pairs)]
         kinds = label_ + [2, 3] * len(pairs)
         if pairs:
             packed += _packed(features_of(pa.array([s for pair in pairs for s in pair])))

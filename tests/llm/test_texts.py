@@ -186,8 +186,53 @@ def test_counterfactuals_calm_group_names(spark):
     assert "A straight man." in turned and "A gay girl." in turned and len(turned) == 7
 
 
+def test_counterfactuals_spare_neutral_mentions_in_given_texts(spark):
+    """The given labelled texts name no group, so names are planted: half of the toxic texts and few others name one.
+    The penalty lowers the share of clean held-out texts that are flagged for naming it."""
+    sf = "/root/testdata/sf0.1"
+    docs = table(spark, sf, "documents").select("doc_id", "text").join(table(spark, sf, "labels"), "doc_id")
+    named = F.when((F.col("toxic") == 1) & (F.col("doc_id") % 2 == 0), " The muslim family sat there.")
+    other = F.when((F.col("toxic") == 0) & (F.col("doc_id") % 9 == 0), " The christian family sat there.")
+    masked = F.regexp_replace("text", "(?i)\\b(trash|pathetic|idiot|disgusting|worthless|stupid)\\b", "word")
+    docs = docs.withColumn("text", F.concat(masked, F.coalesce(named, other, F.lit("")))).cache()
+    train, held = docs.where("doc_id % 5 <> 0").select("doc_id", "text"), docs.where("doc_id % 5 = 0 and toxic = 0")
+    neutral = held.withColumn("text", F.concat(F.substring("text", 1, 300), F.lit(" The muslim family came home.")))
+
+    def flagged(weight):
+        model = toxicity.learn(train, docs.select("doc_id", "toxic"), counterfactual=weight)
+        return toxicity.score(neutral, model).agg(F.avg("score"), F.avg("predicted")).first()
+
+    without, with_penalty = flagged(0.0), flagged(20.0)
+    assert with_penalty[0] < 0.5 * without[0] and with_penalty[1] <= without[1]
+
+
+def test_fit_reaches_the_least_of_its_loss():
+    """Against plain descent in dense arrays on a small table."""
+    rng = np.random.default_rng(0)
+    texts = [(np.flatnonzero(rng.random(6) < 0.5).astype("<i4"), int(rng.random() < 0.4)) for _ in range(200)]
+    texts = [(f, int(t or 0 in f and rng.random() < 0.6)) for f, t in texts]
+    pairs = [(np.array([0, 2], "<i4"), np.array([1, 2], "<i4"))] * 3
+    model = toxicity._fit(texts, pairs, 6, 2.0, steps=4000)
+    x = np.zeros((200, len(model.features)))
+    for i, (f, _) in enumerate(texts):
+        x[i] = np.isin(model.features, f)
+    y = np.array([t for _, t in texts])
+    turn = np.isin(model.features, [0, 2]).astype(float) - np.isin(model.features, [1, 2])
+
+    def loss(w, b):
+        z = x @ w + b
+        return np.mean(np.log1p(np.exp(z)) - y * z) + 1e-5 * w @ w + (turn @ w) ** 2
+
+    w, b = np.zeros(len(model.features)), 0.0
+    for _ in range(20000):
+        gap = (1 / (1 + np.exp(-(x @ w + b))) - y) / 200
+        w, b = w - 0.1 * (x.T @ gap + 2e-5 * w + 2 * turn * (turn @ w)), b - 0.1 * gap.sum()
+    assert len(w) and abs(loss(model.weights, model.bias) - loss(w, b)) < 1e-6
+
+
 def test_toxicity_of_odd_rows(spark, odd):
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
+    assert toxicity.score(odd.limit(0), toxicity.learn(odd.limit(0), none)).count() == 0
     got = toxicity.score(odd, toxicity.learn(odd, none)).collect()
     assert len(got) == len(ODD) and all(0 <= r.score <= 1 for r in got)
 
