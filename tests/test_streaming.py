@@ -5,6 +5,7 @@ from datetime import timedelta
 
 import pytest
 from fixtures import ms, pings, requests, rows
+from pyspark.sql import functions as F
 
 from fleetlens.operators.joins import match_rides, reduce_matches
 from fleetlens.operators.lifecycle import first_requests
@@ -210,6 +211,29 @@ def test_a_busy_driver_is_sorted_in_many_groups(spark):
     assert got == closed(pings(spark, [*busy, ("zz", FLUSH)]), FLUSH - 10) and len(got) > 3000
 
 
+CHANGE = "driver_id string, name string, rating decimal(3,2), active boolean, op string, ts_ms bigint, seq bigint"
+
+
+def changes(spark, rows):
+    """Rows (driver, name, op, seq); rows of a feed's schema probe have no more than a driver."""
+    full = [(r[0], r[1], None, True, r[2], r[3], r[3]) for r in rows if len(r) == 4]
+    return spark.createDataFrame(full, CHANGE).withColumn("vehicle_type", F.lit("economy"))
+
+
+def test_rides_are_sent_again_when_their_driver_changes(spark):
+    """A change, a delete, a later insert, and an older change that comes last; one ride has no driver."""
+    asked = feed(spark, requests, [("r1", 0, "c1", "rdr-00010"), ("r2", 5, "c1", "rdr-00020")],
+                 [("r3", 9, "c1", "rdr-00011"), ("r4", 9, "c1", None)])
+    turned = feed(spark, changes, [("drv-0001", "old", "c", 2)], [("drv-0002", "two", "c", 3)],
+                  [("drv-0001", "new", "u", 7), ("drv-0002", "two", "d", 8)], [("drv-0001", "older", "u", 5)])
+    view = asked.path("view")
+    jobs.reenrich_job(asked.read(), turned.read(), view, asked.path("checkpoint"), drain=True, spread=2,
+                      keep=timedelta(hours=1)).awaitTermination()
+    got = {r.ride_id: (r.driver_id, r.name, r.enriched) for r in jobs.read_rides(spark, view).collect()}
+    assert got == {"r1": ("drv-0001", "new", True), "r3": ("drv-0001", "new", True),
+                   "r2": ("drv-0002", None, False), "r4": (None, None, False)}
+
+
 def test_restart_continues_from_the_checkpoint(spark):
     source = feed(spark, pings, *TRACK[:2])
     view, checkpoint = source.path("view"), source.path("checkpoint")
