@@ -15,6 +15,8 @@ SPEED_MPS = 50.0
 GHOST_GAP = timedelta(minutes=5)
 # Time slice of a driver's track that one task sorts.
 CHUNK = timedelta(hours=1)
+# A driver with fewer positions is never split by rows.
+TRACK_ROWS = 1_000_000
 SPEED = "speed_violation"
 GHOST = "ghost_driver"
 
@@ -74,12 +76,38 @@ def _goes_silent(next_at: Column, gap: timedelta, as_of_ms: Column | None) -> Co
     return F.when(next_at.isNull(), reached).otherwise(next_at > due)
 
 
+def _cut(
+    positions: DataFrame, chunk: timedelta | None, rows: int, order: tuple[str, ...]
+) -> DataFrame:
+    """Positions with the ``chunk`` of their driver's track that one task sorts.
+
+    Tracks are cut by time, or not at all without a ``chunk``. A driver who would fill a shuffle
+    partition alone is cut by rows instead: range partitioning samples (driver, order) and
+    makes pieces of about equal size, so that a burst is split too, whatever its span. There are
+    fewer such drivers than shuffle partitions, which bounds the list that is collected.
+    """
+    spark = positions.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by_time = F.lit(0).cast("long") if chunk is None else pane_start(F.col("at"), chunk)
+    size = max(rows, positions.count() / parts)
+    held = positions.groupBy("driver_id").count()
+    busy = held.where(F.col("count") > size).collect()
+    if not busy:
+        return positions.withColumn("chunk", by_time)
+    is_busy = F.col("driver_id").isin([row["driver_id"] for row in busy])
+    pieces = 1 + int(sum(row["count"] for row in busy) / size)
+    by_rows = positions.where(is_busy).repartitionByRange(pieces, "driver_id", *order)
+    by_rows = by_rows.withColumn("chunk", F.spark_partition_id().cast("long"))
+    return positions.where(~is_busy).withColumn("chunk", by_time).unionByName(by_rows)
+
+
 def _neighbours(
     positions: DataFrame,
-    chunk: timedelta,
+    chunk: timedelta | None,
     interesting: Column,
     order: tuple[str, ...] = ("at", "event_id"),
     carry: tuple[str, ...] = (),
+    rows: int = TRACK_ROWS,
 ) -> DataFrame:
     """Each interesting position with the driver's previous and next one in event-time order.
 
@@ -89,7 +117,7 @@ def _neighbours(
     prev_lat, prev_lon and next_at, and drops every other inner position before that pass.
     """
     in_chunk = Window.partitionBy("driver_id", "chunk").orderBy(*order)
-    inner = positions.withColumn("chunk", pane_start(F.col("at"), chunk)).select(
+    inner = _cut(positions, chunk, rows, order).select(
         "*",
         F.lag("at").over(in_chunk).alias("prev_at"),
         F.lag("lat").over(in_chunk).alias("prev_lat"),
@@ -117,10 +145,19 @@ def _neighbours(
 
 
 def speed_violations(
-    pings: DataFrame, *, mps: float = SPEED_MPS, chunk: timedelta = CHUNK
+    pings: DataFrame,
+    *,
+    mps: float = SPEED_MPS,
+    chunk: timedelta | None = CHUNK,
+    rows: int = TRACK_ROWS,
 ) -> DataFrame:
-    """Positions reached from the previous one faster than ``mps``."""
-    moved = _neighbours(_positions(pings), chunk, _speed() > mps).withColumn("speed", _speed())
+    """Positions reached from the previous one faster than ``mps``.
+
+    Counts the pings of each driver first: tracks above ``rows`` are cut by rows if one of them would
+    fill a shuffle partition, all others by ``chunk`` (None: not at all).
+    """
+    moved = _neighbours(_positions(pings), chunk, _speed() > mps, rows=rows)
+    moved = moved.withColumn("speed", _speed())
     fast = moved.where(F.col("speed") > mps)
     return fast.select(_speed_anomaly(mps).alias("a")).select("a.*")
 
@@ -155,11 +192,15 @@ def anomalies(
     mps: float = SPEED_MPS,
     gap: timedelta = GHOST_GAP,
     as_of: datetime | None = None,
-    chunk: timedelta = CHUNK,
+    chunk: timedelta | None = CHUNK,
+    rows: int = TRACK_ROWS,
 ) -> DataFrame:
-    """Speed violations and ghosts from one scan and one full shuffle of the pings."""
+    """Speed violations and ghosts from one full shuffle of the pings, two for drivers cut by rows.
+
+    ``chunk`` and ``rows`` as in :func:`speed_violations`.
+    """
     silent = _goes_silent(F.col("next_at"), gap, _as_ms(as_of))
-    track = _neighbours(_positions(pings), chunk, (_speed() > mps) | silent)
+    track = _neighbours(_positions(pings), chunk, (_speed() > mps) | silent, rows=rows)
     return _found(track, mps, gap, silent)
 
 
@@ -187,7 +228,8 @@ def continue_tracks(
     as_of_ms: int,
     mps: float = SPEED_MPS,
     gap: timedelta = GHOST_GAP,
-    chunk: timedelta = CHUNK,
+    chunk: timedelta | None = CHUNK,
+    rows: int = TRACK_ROWS,
 ) -> DataFrame:
     """Known last positions continued by newer pings: the positions that matter with their
     neighbours. Read it with :func:`track_anomalies` and :func:`track_state`.
@@ -210,6 +252,7 @@ def continue_tracks(
         (_speed() > mps) | silent,
         order=("at", "fresh", "event_id"),
         carry=("fresh", "armed"),
+        rows=rows,
     )
     return track.withColumn("silent", F.col("armed") & silent)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fleetlens.functions.geo import haversine_m
 from fleetlens.functions.records import anomaly_events, evidence_map
 from fleetlens.operators.motion import (
+    _cut,
     _neighbours,
     _positions,
     anomalies,
@@ -89,6 +90,49 @@ def test_any_chunk_gives_the_same_anomalies(spark, track, chunk):
     assert rows(anomalies(df, chunk=cut), *KEY) == sorted(want)
     speeds, ghosts = speed_violations(df, chunk=cut), ghost_drivers(df)
     assert rows(speeds.unionByName(ghosts), *KEY) == sorted(want)
+    by_rows = anomalies(df, chunk=cut if chunk < 3600 else None, rows=3)
+    assert rows(by_rows, *KEY) == sorted(want)
+
+
+def _burst(spark):
+    """A driver with a third of 30,000 pings inside one minute, several at the same millisecond, and one jump."""
+    n = F.col("id")
+    hot = n % 3 == 0
+    return spark.range(30_000).select(
+        F.when(hot, "hot").otherwise(F.concat(F.lit("d"), n % 500)).alias("driver_id"),
+        F.format_string("%06d", n).alias("event_id"),
+        F.when(n == 15_000, 38.7).otherwise(37.7).alias("lat"),
+        F.lit(-122.4).alias("lon"),
+        F.timestamp_millis(F.when(hot, n * 7919 % 60_000 - n * 7919 % 60_000 % 12).otherwise(n * 1000)).alias("event_time"),
+    )
+
+
+def test_a_burst_of_one_driver_is_cut_by_rows(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        cut = _cut(_positions(_burst(spark)), timedelta(hours=1), 1000, ("at", "event_id"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    sizes = cut.where("driver_id = 'hot'").groupBy("chunk").count()
+    largest, pieces = sizes.agg(F.max("count"), F.count("*")).first()
+    assert pieces >= 4 and largest <= 2 * 30_000 / 16
+    assert cut.count() == 30_000
+    calm = cut.where("driver_id <> 'hot'").groupBy("driver_id", "chunk").count()
+    assert calm.agg(F.max("count")).first()[0] <= 40
+
+
+def test_a_burst_gives_the_same_anomalies_by_rows_and_whole(spark):
+    df = _burst(spark)
+    whole, cut = (anomalies(df, chunk=None, rows=r) for r in (10**9, 1000))
+    assert rows(cut, *KEY) == rows(whole, *KEY)
+    # The jump shares its millisecond with another ping: only one side of it takes time.
+    assert whole.where("anomaly_type = 'speed_violation' and driver_id = 'hot'").count() == 1
+
+
+def test_null_and_empty_tracks_by_rows(spark):
+    assert anomalies(pings(spark, [("a", 0)]).where("false"), chunk=None, rows=1).count() == 0
+    assert anomalies(pings(spark, [("a", 0), ("a", 0)]), chunk=None, rows=1).count() == 1
 
 
 def test_only_chunk_ends_of_a_busy_driver_meet_again(spark):
