@@ -32,66 +32,133 @@ def _computed_once(df: DataFrame, **columns: Column) -> DataFrame:
 
 
 def _parsed(raw: DataFrame, schema: str) -> DataFrame:
+    """``body``: the submitted object with its fields as variants; null unless the value is one object.
+
+    A parser stops at the end of a value, so what follows goes unseen. In an array, text after
+    the value is an error unless it begins with "]"; in an object, unless it begins with "}": together
+    they leave only a value that ends where the text ends.
+    """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     text = F.col("value").cast("string")
-    body = F.from_json(text, f"{schema}, {_CORRUPT} string", options)
-    return _computed_once(raw, body=body)
+    inner = F.concat(F.lit('{"body":'), text, F.lit("}"))
+    read = F.from_json(inner, f"body struct<{schema}>, {_CORRUPT} string", options)
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    parsed = _computed_once(raw, _read=read, _alone=alone)
+    whole = F.col("_alone") & F.col(f"_read.{_CORRUPT}").isNull()
+    return _computed_once(parsed, body=F.when(whole, F.col("_read.body"))).drop("_read", "_alone")
+
+
+def _kind(field: str) -> Column:
+    """The JSON type of a field: STRING, a number's, BOOLEAN, VOID for null, and so on; null if missing."""
+    return F.schema_of_variant(F.col(f"body.{field}"))
+
+
+def _as(field: str, kind: str) -> Column:
+    return F.try_variant_get(F.col(f"body.{field}"), "$", kind)
+
+
+def _is_number(field: str) -> Column:
+    kind = _kind(field)
+    return kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+
+
+def _text(field: str) -> Column:
+    return F.when(_kind(field) == "STRING", _as(field, "string"))
+
+
+def _double(field: str) -> Column:
+    """A JSON number, or text that is written like one."""
+    text = _text(field)
+    return F.when(_is_number(field), _as(field, "double")).when(
+        text.rlike(_NUMBER), text.try_cast("double")
+    )
+
+
+def _whole(field: str) -> Column:
+    """A whole number, also one written as 12.0 or as text."""
+    decimal = F.when(_is_number(field), _as(field, "decimal(38,6)")).when(
+        _text(field).rlike(_NUMBER), _text(field).try_cast("decimal(38,6)")
+    )
+    other = F.when(decimal == F.floor(decimal), decimal.try_cast("bigint"))
+    return F.when(_kind(field) == "BIGINT", _as(field, "bigint")).otherwise(other)
+
+
+def _is_given(field: str) -> Column:
+    return _kind(field).isNotNull() & (_kind(field) != "VOID")
 
 
 def _non_empty(field: str) -> Column:
-    value = F.col(f"body.{field}")
     return (
-        F.when(value.isNull(), f"{field}: missing")
-        .when(F.length(value) < 1, f"{field}: empty")
+        F.when(~_is_given(field), f"{field}: missing")
+        .when(_kind(field) != "STRING", f"{field}: not text")
+        .when(F.length(F.col(f"typed.{field}")) < 1, f"{field}: empty")
     )
 
 
+def _text_or_none(field: str) -> Column:
+    return F.when(_is_given(field) & (_kind(field) != "STRING"), f"{field}: not text")
+
+
 def _in_range(field: str, bound: float) -> Column:
-    text = F.col(f"body.{field}")
-    number = text.try_cast("double")
+    number = F.col(f"typed.{field}")
     return (
-        F.when(text.isNull(), f"{field}: missing")
-        .when(~text.rlike(_NUMBER) | number.isNull(), f"{field}: not a number")
+        F.when(~_is_given(field), f"{field}: missing")
+        .when(number.isNull(), f"{field}: not a number")
         .when(~number.between(-bound, bound), f"{field}: out of range")
     )
 
 
 def _optional(field: str, kind: str) -> Column:
-    text = F.col(f"body.{field}")
+    value = F.col(f"typed.{field}")
     if kind == "double":
-        bad = ~text.rlike(_NUMBER) | text.try_cast("double").isNull()
-        return F.when(text.isNotNull() & bad, f"{field}: not a number")
-    whole = _whole(text)
-    return F.when(text.isNotNull() & whole.isNull(), f"{field}: not an integer").when(
-        ~whole.between(*_INSTANTS), f"{field}: out of range"
+        return F.when(_is_given(field) & value.isNull(), f"{field}: not a number")
+    return F.when(_is_given(field) & value.isNull(), f"{field}: not an integer").when(
+        ~value.between(*_INSTANTS), f"{field}: out of range"
     )
 
 
-def _whole(text: Column) -> Column:
-    """A whole number, also one written as 12.0; null for other text."""
-    number = F.when(text.rlike(_NUMBER), text.try_cast("decimal(38,6)"))
-    return F.when(number == F.floor(number), number.try_cast("bigint"))
+def _values(fields: dict, prefix: str = "") -> Column:
+    """The fields with their types, nested ones too."""
+    return F.struct(*(
+        (_values(of, f"{prefix}{name}.") if isinstance(of, dict) else of(prefix + name)).alias(name)
+        for name, of in fields.items()
+    ))
 
 
-def _checked(raw: DataFrame, schema: str, checks: list[Column]) -> DataFrame:
-    parsed = _parsed(raw, schema)
-    unreadable = F.col("body").isNull() | F.col(f"body.{_CORRUPT}").isNotNull()
+def _checked(raw: DataFrame, schema: str, fields: dict, checks: list[Column]) -> DataFrame:
+    """``body`` with typed fields, and what is wrong with the value."""
+    parsed = _computed_once(_parsed(raw, schema), typed=_values(fields))
+    unreadable = F.col("body").isNull()
     reason = F.when(unreadable, "value: not a JSON object").otherwise(
         F.concat_ws("; ", *checks)
     )
     stage = F.when(unreadable, "deserialize").otherwise("validate")
-    return _computed_once(parsed, failure_reason=reason, failure_stage=stage)
+    found = _computed_once(parsed, failure_reason=reason, failure_stage=stage)
+    return found.drop("body").withColumnRenamed("typed", "body")
+
+
+_POINT = {"lat": _double, "lon": _double, "h3_cell": _text}
+_PING = {
+    "driver_id": _text, **_POINT, "heading_degrees": _double, "speed_mps": _double,
+    "accuracy_meters": _double, "occurred_at_ms": _whole,
+}
+_REQUEST = {
+    "ride_id": _text, "rider_id": _text, "pickup": _POINT, "dropoff": _POINT, "product_tier": _text,
+    "requested_at_ms": _whole, "occurred_at_ms": _whole,
+}
 
 
 def check_pings(raw: DataFrame) -> DataFrame:
-    """Parsed pings with all their failures as text; an empty text means valid."""
+    """Pings with typed fields and all their failures as text; an empty text means valid."""
     return _checked(
         raw,
         PING_INPUT,
+        _PING,
         [
             _non_empty("driver_id"),
             _in_range("lat", 90.0),
             _in_range("lon", 180.0),
+            _text_or_none("h3_cell"),
             _optional("heading_degrees", "double"),
             _optional("speed_mps", "double"),
             _optional("accuracy_meters", "double"),
@@ -101,21 +168,28 @@ def check_pings(raw: DataFrame) -> DataFrame:
 
 
 def check_requests(raw: DataFrame) -> DataFrame:
-    """Parsed ride requests with all their failures as text; the tier defaults to the first."""
-    tier = F.col("body.product_tier")
+    """Ride requests with typed fields and all their failures as text; the tier defaults to the first."""
+    tier = F.col("typed.product_tier")
+    given = _kind("product_tier").isNotNull()
     points = [
         check
         for point in ("pickup", "dropoff")
-        for check in (_in_range(f"{point}.lat", 90.0), _in_range(f"{point}.lon", 180.0))
+        for check in (
+            _in_range(f"{point}.lat", 90.0),
+            _in_range(f"{point}.lon", 180.0),
+            _text_or_none(f"{point}.h3_cell"),
+        )
     ]
+    known = F.coalesce(tier.isin(*PRODUCT_TIERS), F.lit(False))
     return _checked(
         raw,
         REQUEST_INPUT,
+        _REQUEST,
         [
             _non_empty("ride_id"),
             _non_empty("rider_id"),
             *points,
-            F.when(tier.isNotNull() & ~tier.isin(*PRODUCT_TIERS), "product_tier: unknown"),
+            F.when(given & ~known, "product_tier: unknown"),
             _optional("requested_at_ms", "bigint"),
             _optional("occurred_at_ms", "bigint"),
         ],
@@ -165,7 +239,7 @@ def dead_letters(
 
 def _or_now(ms: str, now: Column) -> Column:
     """The given instant; a missing one or zero means now."""
-    given = _whole(F.col(f"body.{ms}"))
+    given = F.col(f"body.{ms}")
     return F.coalesce(F.when(given != 0, F.timestamp_millis(given)), now)
 
 
@@ -200,14 +274,14 @@ def ping_events(
     Pass ``event_id`` built from a log position where rows may be written twice (a retried
     job); by default each row gets a random one.
     """
-    lat, lon = (F.col(f"body.{name}").cast("double") for name in ("lat", "lon"))
+    lat, lon = F.col("body.lat"), F.col("body.lon")
     payload = F.struct(
         F.col("body.driver_id"),
         lat.alias("lat"),
         lon.alias("lon"),
         cell_or_grid(F.col("body.h3_cell"), lat, lon, degrees).alias("h3_cell"),
         *(
-            F.col(f"body.{name}").cast("double").alias(name)
+            F.col(f"body.{name}")
             for name in ("heading_degrees", "speed_mps", "accuracy_meters")
         ),
     ).alias("payload")
@@ -226,7 +300,7 @@ def request_events(
     """Valid ride requests as events; ``event_id`` as in :func:`ping_events`."""
 
     def point(name: str) -> Column:
-        lat, lon = (F.col(f"body.{name}.{axis}").cast("double") for axis in ("lat", "lon"))
+        lat, lon = (F.col(f"body.{name}.{axis}") for axis in ("lat", "lon"))
         cell = cell_or_grid(F.col(f"body.{name}.h3_cell"), lat, lon, degrees)
         return F.struct(lat.alias("lat"), lon.alias("lon"), cell.alias("h3_cell")).alias(name)
 

@@ -29,6 +29,8 @@ MATCH_BEFORE, MATCH_AFTER = timedelta(hours=1), timedelta(hours=2)
 SPEED_MPS = 5.0
 GHOST_GAP = timedelta(hours=12)
 CHUNK = timedelta(days=7)
+# Drivers of more pings are cut by rows.
+TRACK_ROWS = 200
 SLICE = timedelta(minutes=1)
 # Of streams in several micro-batches, whose rows come late by up to three quarters of it.
 BATCH_LATENESS = timedelta(hours=1)
@@ -175,6 +177,19 @@ def request_dead_letters(spark, sf_dir):
     return _letters(quality.request_dead_letters(raw, failed_at=_now()))
 
 
+@query
+def mistyped_ping_letters(spark, sf_dir):
+    """Numbers and objects for text, text for an integer, text after the object."""
+    raw = tables.mistyped_pings(spark, sf_dir)
+    return _letters(quality.ping_dead_letters(raw, failed_at=_now()))
+
+
+@query
+def mistyped_request_letters(spark, sf_dir):
+    raw = tables.mistyped_requests(spark, sf_dir)
+    return _letters(quality.request_dead_letters(raw, failed_at=_now()))
+
+
 # Windows
 
 
@@ -297,17 +312,29 @@ def _rounded(found: DataFrame) -> DataFrame:
 
 def _anomalies(spark, sf_dir):
     return motion.anomalies(
-        tables.pings(spark, sf_dir), mps=SPEED_MPS, gap=GHOST_GAP, chunk=CHUNK
+        tables.pings(spark, sf_dir), mps=SPEED_MPS, gap=GHOST_GAP, chunk=None
     )
 
 
 @query
 def speed_violations(spark, sf_dir):
     return _rounded(
-        motion.speed_violations(tables.pings(spark, sf_dir), mps=SPEED_MPS, chunk=CHUNK)
+        motion.speed_violations(tables.pings(spark, sf_dir), mps=SPEED_MPS, chunk=None)
     )
 
 
+def _busy_anomalies(spark, sf_dir):
+    return motion.anomalies(
+        tables.busy_pings(spark, sf_dir), mps=SPEED_MPS, gap=GHOST_GAP, chunk=None, rows=TRACK_ROWS
+    )
+
+
+@query
+def busy_anomalies(spark, sf_dir):
+    """A driver with a third of all pings in one hour, cut by rows."""
+    return _rounded(_busy_anomalies(spark, sf_dir))
+
+
 @query
 def ghost_drivers(spark, sf_dir):
     return motion.ghost_drivers(tables.pings(spark, sf_dir), gap=GHOST_GAP)

@@ -149,6 +149,15 @@ _REQUEST_FAULTS = """CASE k % 10 WHEN 1 THEN 'product_tier: unknown' WHEN 3 THEN
   WHEN 4 THEN 'rider_id: missing' WHEN 5 THEN 'pickup.lat: out of range'
   WHEN 7 THEN 'dropoff.lat: missing; dropoff.lon: missing'
   WHEN 8 THEN 'value: not a JSON object' END"""
+_MISTYPED_PINGS = """CASE k % 10 WHEN 0 THEN 'driver_id: not text' WHEN 1 THEN 'driver_id: not text'
+  WHEN 2 THEN 'h3_cell: not text' WHEN 3 THEN 'value: not a JSON object'
+  WHEN 4 THEN 'value: not a JSON object' WHEN 5 THEN 'value: not a JSON object'
+  WHEN 7 THEN 'speed_mps: not a number' END"""
+_MISTYPED_REQUESTS = """CASE k % 10 WHEN 0 THEN 'ride_id: not text' WHEN 1 THEN 'rider_id: not text'
+  WHEN 2 THEN 'pickup.h3_cell: not text; dropoff.h3_cell: not text' WHEN 3 THEN 'value: not a JSON object'
+  WHEN 4 THEN 'product_tier: unknown' WHEN 5 THEN 'product_tier: unknown' END"""
+_MISTYPED_STAGE = "CASE WHEN k % 10 IN (3, 4, 5) THEN 'deserialize' ELSE 'validate' END"
+_MISTYPED_REQUEST_STAGE = "CASE WHEN k % 10 = 3 THEN 'deserialize' ELSE 'validate' END"
 _CLOSED = f"(SELECT max(t) FROM pings) - {_LATE}"
 _CLOSED_ANOMALIES = (
     _with(_ANOMALIES)
@@ -203,6 +212,10 @@ ORACLE: dict[str, str] = {
 FROM pings WHERE {_PING_FAULTS} IS NULL""",
     "ping_dead_letters": _letters(LOCATION_TOPIC, _PING_FAULTS, "'validate'")
     + f"{_PING_FAULTS} IS NOT NULL",
+    "mistyped_ping_letters": _letters(LOCATION_TOPIC, _MISTYPED_PINGS, _MISTYPED_STAGE)
+    + f"{_MISTYPED_PINGS} IS NOT NULL",
+    "mistyped_request_letters": _letters(REQUEST_TOPIC, _MISTYPED_REQUESTS, _MISTYPED_REQUEST_STAGE)
+    + f"{_MISTYPED_REQUESTS} IS NOT NULL",
     "valid_requests": _with()
     + f"""SELECT event_id, t AS occurred_ms, event_id AS ride_id,
   printf('rdr-%05d', user_id) AS rider_id,
@@ -254,6 +267,7 @@ UNPIVOT (text FOR field IN (rider_id, pickup_h3, request_ms, driver_id, driver_n
     "speed_violations": _with(_ANOMALIES) + f"{_ROUNDED} speeding",
     "ghost_drivers": _with(_ANOMALIES) + "SELECT * FROM ghosts",
     "anomalies": _with(_ANOMALIES) + f"{_ROUNDED} found",
+    "busy_anomalies": _BUSY_ANOMALIES + f"{_ROUNDED} found",
     "anomaly_records": _with(_ANOMALIES)
     + f"""SELECT anomaly_id AS event_id, 'AnomalyDetected' AS event_type,
   detected_at_ms AS occurred_ms, anomaly_type, 'driver' AS entity_type,

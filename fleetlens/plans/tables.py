@@ -302,6 +302,52 @@ def _raw_pings(events: DataFrame) -> DataFrame:
     )
 
 
+def mistyped_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pings as submitted JSON that a lenient reader would take: by the last digit of k another type in a
+    field, or text after the object."""
+    good = F.col("good")
+    value = (
+        F.when(F.col("fault") == 0, F.regexp_replace(good, '"driver_id":"[^"]*"', '"driver_id":5'))
+        .when(F.col("fault") == 1, F.regexp_replace(good, '"driver_id":"[^"]*"', '"driver_id":{"x":1}'))
+        .when(F.col("fault") == 2, F.regexp_replace(good, '"h3_cell":"[^"]*"', '"h3_cell":7'))
+        .when(F.col("fault") == 3, F.concat(good, F.lit(" trailing")))
+        .when(F.col("fault") == 4, F.concat(good, F.lit(","), good))
+        .when(F.col("fault") == 5, F.concat(good, F.lit("] [")))
+        .when(F.col("fault") == 6, F.regexp_replace(good, '"lat":', '"speed_mps":"12.5","lat":'))
+        .when(F.col("fault") == 7, F.regexp_replace(good, '"lat":', '"speed_mps":true,"lat":'))
+        .otherwise(good)
+    )
+    body = F.struct(
+        driver_id(F.col("user_id")).alias("driver_id"), _lat().alias("lat"), _lon().alias("lon"),
+        _cell().alias("h3_cell"),
+    )
+    events = table(spark, sf_dir, "events")
+    events = events.withColumns({"fault": _k() % 10, "good": F.to_json(body)})
+    return events.select(F.col("event_id").cast("string").alias("key"), value.alias("value"))
+
+
+def mistyped_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As :func:`mistyped_pings`, for ride requests."""
+    good = F.col("good")
+    value = (
+        F.when(F.col("fault") == 0, F.regexp_replace(good, '"ride_id":"[^"]*"', '"ride_id":5'))
+        .when(F.col("fault") == 1, F.regexp_replace(good, '"rider_id":"[^"]*"', '"rider_id":[1]'))
+        .when(F.col("fault") == 2, F.regexp_replace(good, '"h3_cell":"[^"]*"', '"h3_cell":7'))
+        .when(F.col("fault") == 3, F.concat(good, F.lit("} {")))
+        .when(F.col("fault") == 4, F.regexp_replace(good, '"pickup":', '"product_tier":null,"pickup":'))
+        .when(F.col("fault") == 5, F.regexp_replace(good, '"pickup":', '"product_tier":2,"pickup":'))
+        .otherwise(good)
+    )
+    point = F.struct(_lat().alias("lat"), _lon().alias("lon"), _cell().alias("h3_cell"))
+    body = F.struct(
+        F.col("event_id").cast("string").alias("ride_id"), rider_id(F.col("user_id")).alias("rider_id"),
+        point.alias("pickup"), point.alias("dropoff"),
+    )
+    events = table(spark, sf_dir, "events")
+    events = events.withColumns({"fault": _k() % 10, "good": F.to_json(body)})
+    return events.select(F.col("event_id").cast("string").alias("key"), value.alias("value"))
+
+
 def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ride requests as submitted JSON; the last digit of k picks a fault for some of them."""
     fault = F.col("fault")

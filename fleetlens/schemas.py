@@ -71,14 +71,14 @@ CHANGE_MARKS = "op string, ts_ms bigint, seq bigint, __deleted string"
 DRIVER_CHANGE = f"{DRIVER}, {CHANGE_MARKS}"
 RIDE_CHANGE = f"{RIDE}, {CHANGE_MARKS}"
 
-# Submitted JSON is read as text first, so that "37.7" and 37.7 are both numbers
-# and anything else can be reported with the field it stands in.
+# Submitted JSON keeps its types, so that text and numbers can be told apart and each fault be
+# reported with the field it stands in.
 PING_INPUT = (
-    "driver_id string, lat string, lon string, h3_cell string, heading_degrees string, "
-    "speed_mps string, accuracy_meters string, occurred_at_ms string"
+    "driver_id variant, lat variant, lon variant, h3_cell variant, heading_degrees variant, "
+    "speed_mps variant, accuracy_meters variant, occurred_at_ms variant"
 )
-_POINT_INPUT = "struct<lat string, lon string, h3_cell string>"
+_POINT_INPUT = "struct<lat variant, lon variant, h3_cell variant>"
 REQUEST_INPUT = (
-    f"ride_id string, rider_id string, pickup {_POINT_INPUT}, dropoff {_POINT_INPUT}, "
-    "product_tier string, requested_at_ms string, occurred_at_ms string"
+    f"ride_id variant, rider_id variant, pickup {_POINT_INPUT}, dropoff {_POINT_INPUT}, "
+    "product_tier variant, requested_at_ms variant, occurred_at_ms variant"
 )

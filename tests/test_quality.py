@@ -59,6 +59,31 @@ def test_unreadable_values(spark):
         assert [r.failure_stage for r in bad.collect()] == ["deserialize"]
 
 
+def test_types_are_kept(spark):
+    assert reason(spark, PING | {"driver_id": 5}) == "driver_id: not text"
+    assert reason(spark, PING | {"driver_id": {"x": 1}}) == "driver_id: not text"
+    assert reason(spark, PING | {"h3_cell": 7}) == "h3_cell: not text"
+    assert reason(spark, PING | {"h3_cell": None, "speed_mps": None}) == ""
+    assert reason(spark, PING | {"lat": True}) == "lat: not a number"
+    assert reason(spark, PING | {"occurred_at_ms": [1]}) == "occurred_at_ms: not an integer"
+    assert reason(spark, PING | {"occurred_at_ms": "12"}) == ""
+    assert reason(spark, PING | {"occurred_at_ms": 12.0}) == ""
+    check = validate_requests
+    assert reason(spark, RIDE | {"ride_id": 1}, check) == "ride_id: not text"
+    assert reason(spark, RIDE | {"product_tier": None}, check) == "product_tier: unknown"
+    assert reason(spark, RIDE | {"product_tier": 3}, check) == "product_tier: unknown"
+    assert reason(spark, RIDE | {"pickup": POINT | {"h3_cell": 1}}, check) == "pickup.h3_cell: not text"
+
+
+def test_the_whole_value_is_one_object(spark):
+    body = json.dumps(PING)
+    tails = (" trailing", "{}", ",{}", ", " + body, "]", "] []", "}", "} {", "]}", "}]", ":1", " 1", '"')
+    for tail in tails:
+        good, bad = validate_pings(raw(spark, body + tail))
+        assert (good.count(), [r.failure_stage for r in bad.collect()]) == (0, ["deserialize"]), tail
+    assert reason(spark, f" \n{body}\t ") == ""
+
+
 def test_request_fields(spark):
     check = validate_requests
     assert reason(spark, RIDE, check) == ""
