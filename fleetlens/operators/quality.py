@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,7 +52,7 @@ def _parsed(raw: DataFrame, schema: str) -> DataFrame:
 
 def _kind(field: str) -> Column:
     """The JSON type of a field: STRING, a number's, BOOLEAN, VOID for null, and so on; null if missing."""
-    return F.schema_of_variant(F.col(f"body.{field}"))
+    return F.col(f"kinds.{field}")
 
 
 def _as(field: str, kind: str) -> Column:
@@ -117,24 +119,30 @@ def _optional(field: str, kind: str) -> Column:
     )
 
 
-def _values(fields: dict, prefix: str = "") -> Column:
-    """The fields with their types, nested ones too."""
+def _values(fields: dict, read: Callable[[str], Column] | None = None, prefix: str = "") -> Column:
+    """A struct of the fields, nested ones too, each by ``read`` or by its own function."""
     return F.struct(*(
-        (_values(of, f"{prefix}{name}.") if isinstance(of, dict) else of(prefix + name)).alias(name)
-        for name, of in fields.items()
+        (
+            _values(own, read, f"{prefix}{name}.")
+            if isinstance(own, dict)
+            else (read or own)(prefix + name)
+        ).alias(name)
+        for name, own in fields.items()
     ))
 
 
 def _checked(raw: DataFrame, schema: str, fields: dict, checks: list[Column]) -> DataFrame:
     """``body`` with typed fields, and what is wrong with the value."""
-    parsed = _computed_once(_parsed(raw, schema), typed=_values(fields))
+    kinds = _values(fields, lambda field: F.schema_of_variant(F.col(f"body.{field}")))
+    parsed = _computed_once(_parsed(raw, schema), kinds=kinds)
+    parsed = _computed_once(parsed, typed=_values(fields))
     unreadable = F.col("body").isNull()
     reason = F.when(unreadable, "value: not a JSON object").otherwise(
         F.concat_ws("; ", *checks)
     )
     stage = F.when(unreadable, "deserialize").otherwise("validate")
     found = _computed_once(parsed, failure_reason=reason, failure_stage=stage)
-    return found.drop("body").withColumnRenamed("typed", "body")
+    return found.drop("body", "kinds").withColumnRenamed("typed", "body")
 
 
 _POINT = {"lat": _double, "lon": _double, "h3_cell": _text}
