@@ -9,6 +9,9 @@ tiles may stand in any order, reordered passages count.
 
 from __future__ import annotations
 
+import heapq
+from collections.abc import Iterable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,67 +30,71 @@ def tiles(text: list[list[int]], item: list[int], least: int = TILE) -> list[tup
     """Greedy string tiling of an item by runs of words of a document: (run, start in the run, start in
     the item, length), longest first and, among equals, first in the item, then in the document.
 
-    Each pass looks for matches of at least some length by Karp-Rabin hashes, extends them and
-    marks the longest ones; the length falls until the least one, whose pass is repeated until it finds nothing.
+    Karp-Rabin hashes of the least length find the diagonals (start in the run less start in the item) that hold a
+    match. Each is compared word by word, which gives every match that can't be extended; there is at most one per place
+    of a diagonal, also where one word repeats. The longest one is marked if all of it is free. What earlier
+    tiles leave of one goes back into the queue at its own length, so the order is that of marking again and
+    again the longest match of free words.
     """
-    free_item = [True] * len(item)
-    free_text = [[True] * len(run) for run in text]
+    if len(item) < least:
+        return []
+    table: dict[int, list[int]] = {}
+    for j, h in _windows(item, least):
+        table.setdefault(h, []).append(j)
+    words = np.array(item, dtype=np.int64)
+    queue: list[tuple[int, int, int, int]] = []
+    for r, run in enumerate(text):
+        row = np.array(run, dtype=np.int64)
+        for shift in _diagonals(run, len(item), table, least):
+            i, j = max(shift, 0), max(-shift, 0)
+            n = min(len(run) - i, len(item) - j)
+            for at, k in _stretches(row[i : i + n] == words[j : j + n], least):
+                queue.append((-k, j + at, r, i + at))
+    heapq.heapify(queue)
+    free_item = np.ones(len(item), dtype=bool)
+    free_text = [np.ones(len(run), dtype=bool) for run in text]
     out: list[tuple[int, int, int, int]] = []
-    size = max(least, min(len(item), max((len(run) for run in text), default=0)))
-    while size >= least:
-        table: dict[int, list[int]] = {}
-        for j, h in _windows(item, free_item, size):
-            table.setdefault(h, []).append(j)
-        found, longest = [], 0
-        for r, run in enumerate(text):
-            marks = free_text[r]
-            for i, h in _windows(run, marks, size):
-                for j in table.get(h, ()):
-                    k = 0
-                    while (
-                        i + k < len(run) and j + k < len(item) and run[i + k] == item[j + k]
-                        and marks[i + k] and free_item[j + k]
-                    ):
-                        k += 1
-                    if k >= size:
-                        found.append((-k, j, r, i))
-                        longest = max(longest, k)
-        if longest > 2 * size:
-            size = longest
-            continue
-        for k, j, r, i in sorted(found):
-            k = -k
-            # What an earlier tile took shortens a match; the rest comes up in a later pass.
-            if all(free_item[j : j + k]) and all(free_text[r][i : i + k]):
-                free_item[j : j + k] = [False] * k
-                free_text[r][i : i + k] = [False] * k
-                out.append((r, i, j, k))
-        if not found or (size > least and not _more(found, free_item, free_text)):
-            size = least if size > least and size // 2 < least else size // 2
+    while queue:
+        k, j, r, i = heapq.heappop(queue)
+        k = -k
+        free = free_item[j : j + k] & free_text[r][i : i + k]
+        if free.all():
+            free_item[j : j + k] = free_text[r][i : i + k] = False
+            out.append((r, i, j, k))
+        else:
+            for at, left in _stretches(free, least):
+                heapq.heappush(queue, (-left, j + at, r, i + at))
     return out
 
 
-def _more(found, free_item, free_text) -> bool:
-    """Whether a match found in this pass still has its whole length free."""
-    return any(
-        all(free_item[j : j - k]) and all(free_text[r][i : i - k]) for k, j, r, i in found
-    )
+def _diagonals(run: list[int], item_words: int, table: dict[int, list[int]], least: int) -> Iterable[int]:
+    """The diagonals of a run with a common window; all of them where there are many more windows than those."""
+    every = range(least - item_words, len(run) - least + 1)
+    found, pairs = set(), 0
+    for i, h in _windows(run, least):
+        starts = table.get(h, ())
+        pairs += len(starts)
+        if pairs > 4 * len(every):
+            return every
+        found.update(i - j for j in starts)
+    return sorted(found)
+
+
+def _stretches(same: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """Start and length of each stretch of at least that many marks."""
+    edge = np.flatnonzero(np.diff(np.concatenate(([False], same, [False])).astype(np.int8)))
+    return [(int(a), int(b - a)) for a, b in zip(edge[::2], edge[1::2]) if b - a >= least]
 
 
-def _windows(words: list[int], free: list[bool], size: int):
-    """Karp-Rabin hashes of all windows of free words."""
+def _windows(words: list[int], size: int):
+    """Karp-Rabin hashes of all windows."""
     lead = pow(_RADIX, size - 1, _MOD)
-    h = length = 0
+    h = 0
     for i, word in enumerate(words):
-        if not free[i]:
-            h = length = 0
-            continue
-        if length == size:
+        if i >= size:
             h = (h - words[i - size] * lead) % _MOD
-            length -= 1
         h = (h * _RADIX + word) % _MOD
-        length += 1
-        if length == size:
+        if i >= size - 1:
             yield i - size + 1, h
 
 

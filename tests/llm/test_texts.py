@@ -1,6 +1,8 @@
 """Operators over texts: edge cases, and brute-force versions on small tables."""
 
+import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -369,3 +371,41 @@ def test_personal_data_of_odd_rows(spark, odd):
     assert sorted(pii.redact(odd).columns) == sorted(odd.columns)
     assert Counter((r.doc_id, r.text) for r in pii.redact(odd).collect()) == Counter(ODD)
     assert pii.redact(odd.limit(0)).count() == 0
+
+
+def _longest_first(text, item, least):
+    """Greedy string tiling as it is defined: look for the longest free match anew for each tile."""
+    free, marks, out = [True] * len(item), [[True] * len(run) for run in text], []
+    while True:
+        best = None
+        for r, run in enumerate(text):
+            for i in range(len(run)):
+                for j in range(len(item)):
+                    k = 0
+                    while (
+                        i + k < len(run) and j + k < len(item) and run[i + k] == item[j + k]
+                        and marks[r][i + k] and free[j + k]
+                    ):
+                        k += 1
+                    if k >= least and (best is None or (-k, j, r, i) < best):
+                        best = (-k, j, r, i)
+        if best is None:
+            return out
+        k, j, r, i = -best[0], *best[1:]
+        free[j : j + k] = marks[r][i : i + k] = [False] * k
+        out.append((r, i, j, k))
+
+
+def test_tiles_are_those_of_the_definition():
+    rng = random.Random(5)
+    for _ in range(1500):
+        kinds = rng.choice([1, 2, 3, 6])
+        text = [[rng.randrange(kinds) for _ in range(rng.randrange(25))] for _ in range(rng.randrange(1, 4))]
+        item, least = [rng.randrange(kinds) for _ in range(rng.randrange(22))], rng.choice([2, 3, 5])
+        assert decontaminate.tiles(text, item, least) == _longest_first(text, item, least)
+
+
+def test_a_word_repeated_ten_thousand_times_is_tiled_fast():
+    start = time.perf_counter()
+    assert decontaminate.tiles([[7] * 10_000], [7] * 1200) == [(0, 0, 0, 1200)]
+    assert time.perf_counter() - start < 10
