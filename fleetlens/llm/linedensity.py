@@ -14,6 +14,7 @@ import html
 import itertools
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,6 +46,7 @@ BLOCKS = {
     "head", "header", "hgroup", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "p", "pre",
     "search", "section", "summary", "table", "tbody", "tfoot", "thead", "tr", "ul", "caption",
 }
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 SPACES = {"br", "td", "th", "option", "img", "input"}
 # An element that starts closes an open one of these.
 CLOSED_BY = {
@@ -59,7 +61,7 @@ HINTS = {
     "notices", "pagination", "popup", "promo", "promotion", "related", "replies", "search", "share", "sharing",
     "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "topbar", "widget",
 }
-# Others' text has the distribution of an article: these words decide alone.
+# Others' text has the distribution of an article: these words decide unless a main text is named beside them.
 REPLIES = {"comment", "comments", "disqus", "replies"}
 # Words before a hint that make it a property of what bears it, and words that name a main text.
 PROPERTIES = {"has", "with", "without", "no", "category", "cat", "tag", "tagged", "topic", "format", "type"}
@@ -68,8 +70,12 @@ CONTAINERS = {
     "article", "body", "center", "details", "div", "fieldset", "figure", "header", "hgroup", "html", "main", "search",
     "section",
 }
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*(?:>|\Z)", re.S)
-_LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
+# Words after a hint that make it a state of what bears it.
+STATES = {"open", "opened", "closed", "enabled", "disabled", "allowed", "on", "off", "count", "none"}
+_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+# Quotes count after an equals sign only, as in "title=it's"; an unclosed one is an ordinary character.
+_ATTRIBUTES = re.compile(r"(?:[^>=]+|=\s*(?:\"[^\"]*\"|'[^']*'|))*+>")
+_COMMENTS = re.compile(r"(?:\d+ )?(?:(?:reader|readers'?|user|all|your) )?(?:comments?|replies|responses)(?: ?\(\d+\))?:?", re.I)
 _MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"\bhidden\b(?!-)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -81,16 +87,21 @@ def _hidden(attributes: str) -> bool:
 
 def _hint(attributes: str) -> str:
     """What class, id and role say: "replies", "strong", "weak" beside a name of a main text, or nothing."""
-    found, content = "", False
+    found, content, replies = "", False, False
     for mark in " ".join("".join(m) for m in _MARKS.findall(attributes)).split():
         words = [w.lower() for w in _WORDS.findall(mark)]
-        hints = [w for i, w in enumerate(words) if w in HINTS and not PROPERTIES & set(words[:i])]
-        if REPLIES & set(hints):
-            return "replies"
+        hints = [
+            w for i, w in enumerate(words)
+            if w in HINTS and not PROPERTIES & set(words[:i]) and not STATES & set(words[i + 1 : i + 2])
+        ]
         if hints:
             found = "strong"
+            replies = replies or bool(REPLIES & set(hints))
         elif CONTENT & set(words):
             content = True
+    if replies:
+        # Beside a name of a main text they decide only for what is not most of the page.
+        return "strong" if content else "replies"
     return "weak" if found and content else found
 
 
@@ -147,6 +158,8 @@ class _Lines:
         if self.text:
             text = " ".join("".join(self.text).split())
             if text:
+                if self.open and self.open[-1][0] in HEADINGS and _COMMENTS.fullmatch(text):
+                    self.mark_replies()
                 size = len(text.replace(" ", ""))
                 weight = 0 if self.linked > MOST_LINK_SHARE * size else size
                 self.lines.append((text, weight, self.container, self.region))
@@ -158,6 +171,24 @@ class _Lines:
                     own.lines += weight > 0
             self.text, self.linked = [], 0
 
+    def mark_replies(self) -> None:
+        """A section or div that begins with a heading "Comments" holds replies."""
+        home = self.container
+        outer, first, _, whole = self.containers[home]
+        if whole or outer < 0 or any(self.lines[first:]):
+            return
+        at = len(self.open)
+        while at and self.open[at - 1][4] == home:
+            at -= 1
+        if self.open[at][0] not in ("section", "div"):
+            return
+        before = self.open[at - 1][5] if at else -1
+        if any(top[5] != before for top in self.open[at:]):
+            return
+        self.regions.append(_Region("replies", before))
+        region = len(self.regions) - 1
+        self.open[at:] = [(*top[:5], region) for top in self.open[at:]]
+
     def pop(self, name: str) -> None:
         """Close the innermost open element of that name, and what is open inside it."""
         if not self.count[name]:
@@ -235,33 +266,56 @@ class _Lines:
                 container[2] = len(self.lines)
 
 
+def _markup(page: str) -> Iterator[tuple[int, int, str, str, bool]]:
+    """Tags in order: (start, end, name, attributes, whether it closes); comments and declarations without a
+    name, scripts and the like up to the end of their closing tag.
+
+    The page is read once from left to right. A tag ends at the first ">" outside quoted values; from the first
+    tag on whose quotes leave none, the page's tags end at the first ">" of all, or with the page.
+    """
+    at, quoted = page.find("<"), True
+    while at >= 0:
+        m = _NAME.match(page, at)
+        if m:
+            strict = _ATTRIBUTES.match(page, m.end()) if quoted else None
+            quoted = strict is not None
+            end = strict.end() - 1 if quoted else page.find(">", m.end())
+            end = len(page) if end < 0 else end
+            name, closes = m[1].lower(), page[at + 1] == "/"
+            attributes, end = page[m.end() : end], min(end + 1, len(page))
+            if name in RAW and not closes:
+                # What it holds is no markup.
+                close = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, end)
+                end = close.end() if close else len(page)
+            yield at, end, name, attributes, closes
+            at = page.find("<", end)
+            continue
+        if page.startswith(("<!", "<?"), at):
+            comment = page.startswith("<!--", at)
+            end = page.find("-->", at + 4) + 2 if comment else page.find(">", at)
+            end = len(page) if end < at else end + 1
+            yield at, end, "", "", False
+            at = page.find("<", end)
+            continue
+        at = page.find("<", at + 1)
+
+
 def lines_of(page: str) -> _Lines:
     """The lines of a page without those of elements that hold no main text; None marks an edge."""
     out, at = _Lines(), 0
-    while True:
-        m = _TAG.search(page, at)
-        if not m:
-            loose = _LOOSE.search(page, at)
-            if not loose:
-                break
-            m = loose
-        out.add(page[at : m.start()])
-        at = m.end()
-        if not m.lastindex or m[2] is None:
+    for start, end, name, attributes, closes in _markup(page):
+        out.add(page[at:start])
+        at = end
+        if not name or (name in RAW and not closes):
             continue
-        name, attributes = m[2].lower(), m[3] or ""
-        if m[1]:
+        if closes:
             if name in BLOCKS:
                 out.end_line()
             elif name in SPACES:
                 out.add(" ")
             out.pop(name)
-            continue
-        if name in RAW:
-            end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-            at = end.end() if end else len(page)
-            continue
-        out.start(name, attributes, attributes.endswith("/"))
+        else:
+            out.start(name, attributes, attributes.endswith("/"))
     out.add(page[at:])
     out.finish()
     return out

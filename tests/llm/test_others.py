@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -72,6 +73,34 @@ def paragraphs(texts):
     return "".join(f"<p>{t}</p>" for t in texts)
 
 
+@pytest.mark.parametrize("start", ["post comments-open", "comments-open", "entry comments-closed"])
+def test_a_state_of_comments_is_no_comment(start):
+    page = f"<body><div class='{start}'>" + "".join(f"<p>{t}</p>" for t in LONG) + "</div></body>"
+    assert linedensity.main_text(page) == "\n\n".join(map(str.strip, LONG))
+
+
+def test_reader_comments_go_with_or_without_a_class():
+    text = "".join(f"<p>{t}</p>" for t in LONG)
+    reply = "<p>I liked this a lot and will surely come back for more of it soon.</p>" * 3
+    for start in ("<div class='comments'>", "<section><h2>Reader comments</h2>", "<div><h3>3 replies</h3>"):
+        end = f"</{start[1:start.index('>')].split()[0]}>"
+        page = f"<body><article>{text}</article>{start}{reply}{end}</body>"
+        assert linedensity.main_text(page) == "\n\n".join(map(str.strip, LONG))
+
+
+def test_quotes_count_in_values_only():
+    page = "<body><p title=it's>" + LONG[0] + "</p><p alt=\"a > b\">" + LONG[1] + "</p><p>it's 1 < 2</p></body>"
+    got = linedensity.main_text(page)
+    assert got == "\n\n".join([LONG[0].strip(), LONG[1].strip(), "it's 1 < 2"])
+
+
+@pytest.mark.parametrize("bit", ["<a ", '<a x="', '<a =">="', "<", "<a x='>", "<script>", "<!--", "<p>", "</", "&"])
+def test_a_megabyte_of_broken_markup_is_read_once(bit):
+    start = time.perf_counter()
+    linedensity.main_text(bit * (10**6 // len(bit)))
+    assert time.perf_counter() - start < 20
+
+
 def test_teaser_articles_do_not_hide_the_main_text():
     cards = "".join(f"<article><h3><a href=x>Card {i}</a></h3><p>A teaser of a few words.</p></article>" for i in range(8))
     page = f"<body><div class=story><h1>Head</h1>{paragraphs(LONG)}</div><div>{cards}</div></body>"
