@@ -7,48 +7,47 @@ returns the packed pieces.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.llm import bagminhash, decontaminate, langid, packing, pii
 from fleetlens.llm.common import bucket_of, row_key, stored, table
 from fleetlens.llm.tokens import word_vocabulary
 
-# A document goes if no language has this share of it; clean texts of one or two words reach it.
-LEAST_LANGUAGE_SHARE = 0.4
-
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a letter or without a leading language; a null text goes too."""
+    """Drop documents whose language can't be told: those without a letter, a null text too. Mixtures stay."""
     model = langid.learn(docs.where(bucket_of(F.col("doc_id"), 4) != 2))
     if not model.languages:
         return docs.where(langid.has_letter(F.col("text")))
     judged = docs.withColumn("_language", langid.judged(docs, model))
-    leading = F.col("_language.score") >= LEAST_LANGUAGE_SHARE
-    kept = judged.where((F.col("_language.lang_pred") != langid.UNDETERMINED) & leading)
+    kept = judged.where(F.col("_language.lang_pred") != langid.UNDETERMINED)
     return kept.select(*docs.columns)
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """``_key``: the id, or for rows without one a number above all ids from the values of the row."""
+def _own_key(docs: DataFrame) -> Column:
+    """A number above all ids from the values of the row."""
     own = F.xxhash64(row_key(*(F.col(c) for c in docs.columns)))
-    own = own.bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
-    return docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("bigint"), own))
+    return own.bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``_key``: the id, or for rows without one a number of their own."""
+    return docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("bigint"), _own_key(docs)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group. Of rows with the same id the one with the least text is compared and
-    stays; rows without an id are documents of their own."""
+    """Keep one document of each group. Rows without an id, or that share one, are documents of their own, but
+    equal rows are copies."""
     rows = _keyed(docs)
-    # Equal rows without an id are copies if they have a word.
+    # Equal rows without an id are copies only if they have a word.
     several = rows.where(F.col("doc_id").isNotNull() | F.col("text").rlike("[A-Za-z0-9]|[^\\x00-\\x7f]"))
     once = several.groupBy("_key").agg(F.count("*").alias("n")).where("n > 1")
     twice = stored(once.select("_key"), "repeated")
     if not twice.isEmpty():
-        least = several.join(twice, "_key", "left_semi")
-        key = row_key(*(F.col(c) for c in docs.columns))
-        first = least.groupBy("_key").agg(F.min_by(F.struct(*docs.columns), F.struct("text", key)).alias("r"))
-        rows = rows.join(twice, "_key", "left_anti").unionByName(first.select("r.*", "_key"))
+        shared = several.join(twice, "_key", "left_semi").withColumn("_key", _own_key(docs))
+        first = shared.dropDuplicates(["_key"])
+        rows = rows.join(twice, "_key", "left_anti").unionByName(first)
     kept = bagminhash.near_duplicates(rows, key="_key").where("kept").select("_key")
     return rows.join(kept, "_key", "left_semi").select(*docs.columns)
 
