@@ -110,13 +110,6 @@ def test_the_compared_text_of_an_id_stays(spark, sf_dir):
     assert got == {1: one} | {i: f"a{i} " + words(i) for i in range(10, 22)}
 
 
-def test_rows_that_share_an_id_stay_if_their_texts_differ(spark, sf_dir):
-    rows = [(1, f"{EN}{words(1)}", "en", "s", 1, "x", 1), (1, f"{DE}{words(2)}", "de", "s", 1, "x", 1)] * 2
-    rows += [(2, f"{EN}{words(3)}", "en", "s", 1, "x", 1), (3, f"{EN}{words(3)}", "en", "s", 1, "x", 1)]
-    kept = cp.near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), sf_dir)
-    assert sorted((r.doc_id, r.text[:9]) for r in kept.collect()) == [(1, "der schne"), (1, "the quick"), (2, "the quick")]
-
-
 def test_mixtures_and_short_texts_keep_their_place(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     more = [(201, f"{EN}{DE}", None, "s", 1, "x", 1), (202, "the", None, "s", 1, "x", 1), (203, "7 !", None, "s", 1, "x", 1)]
