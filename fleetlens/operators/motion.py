@@ -89,7 +89,10 @@ def _cut(
     spark = positions.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     by_time = F.lit(0).cast("long") if chunk is None else pane_start(F.col("at"), chunk)
-    size = max(rows, positions.count() / parts)
+    total = positions.count()
+    if total <= rows:
+        return positions.withColumn("chunk", by_time)
+    size = max(rows, total / parts)
     held = positions.groupBy("driver_id").count()
     busy = held.where(F.col("count") > size).collect()
     if not busy:
