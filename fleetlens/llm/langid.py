@@ -90,9 +90,12 @@ def learn(
     """
     rows = documents.select(F.col(text).alias("text"), F.col(lang).alias("lang"))
     rows = rows.where("text is not null and lang is not null and text != ''")
-    share = rows.groupBy("lang").agg((fit_chars / F.sum(F.length("text"))).alias("share"))
+    # One row per language, as the model has: as literals, so that no text is hashed by its language.
+    sizes = rows.groupBy("lang").agg((fit_chars / F.sum(F.length("text"))).alias("share")).collect()
+    shares = F.create_map(*(F.lit(value) for row in sizes for value in row))
+    share = F.element_at(shares, F.col("lang")) if sizes else F.lit(0.0)
     draw = (F.xxhash64("text").bitwiseAND((1 << 30) - 1)) / float(1 << 30)
-    drawn = rows.join(share, "lang").where(draw < F.col("share")).select("lang", "text")
+    drawn = rows.where(draw < share).select("lang", "text")
 
     def count(batch: pa.RecordBatch) -> dict | None:
         langs = batch.column(0).dictionary_encode()
