@@ -7,8 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetlens.operators.quality import dead_letters
+
 CHANGE_ORDER = ("ts_ms", "seq")
+# Of one key's changes in its partition of the log.
+LOG_ORDER = ("seq",)
 _MARKS = ("op", "__deleted")
+# The marks of a flattened change row and its operations (create, update, delete, snapshot read).
+_CAPTURED = "__op string, __ts_ms bigint, __deleted string"
+_OPS = ("c", "u", "d", "r")
+_CORRUPT = "_corrupt"
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -38,18 +46,78 @@ def current_state(
     return latest.where(~is_delete(latest)).drop(*_MARKS)
 
 
+def split_changes(
+    rows: DataFrame, table: str, keys: Sequence[str], *, topic: str, failed_at: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(changes, dead letters) from a capture topic's key, value, partition and offset.
+
+    Values are flattened JSON rows with ``__op``, ``__ts_ms`` and ``__deleted``; decimals and times may be
+    text. A change has the columns of ``table`` (DDL) plus op, ts_ms, ``__deleted``, log_partition and seq, the
+    offset. A tombstone, a null value, adds nothing after the rewritten delete it follows. A value that is no
+    JSON object, has a field of another type, no known operation or no key goes to the letters with its original bytes.
+    """
+    text = F.col("value").cast("string")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    body = F.from_json(text, f"{table}, {_CAPTURED}, {_CORRUPT} string", options)
+    held = rows.where("value is not null").withColumn("_body", body)
+    # Parsers stop at the end of a value: one object alone is one both inside an array and inside an object.
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    inside = F.schema_of_variant(F.try_parse_json(F.concat(F.lit('{"body":'), text, F.lit("}"))))
+    whole = alone & F.startswith(inside, F.lit("OBJECT<body: OBJECT"))
+    op = F.col("_body.__op")
+    reason = (
+        F.when(~F.coalesce(whole, F.lit(False)), "value: not a JSON object")
+        .when(F.col(f"_body.{_CORRUPT}").isNotNull(), "value: a field of another type")
+        .when(op.isNull(), "__op: missing")
+        .when(~op.isin(*_OPS), "__op: unknown")
+    )
+    for key in keys:
+        reason = F.coalesce(reason, F.when(F.col(f"_body.{key}").isNull(), f"{key}: missing"))
+    checked = held.select("*", F.inline(F.array(F.struct(reason.alias("failure_reason")))))
+    good = checked.where("failure_reason is null").select(
+        "_body.*", F.col("partition").alias("log_partition"), F.col("offset").alias("seq")
+    )
+    good = good.withColumnsRenamed({"__op": "op", "__ts_ms": "ts_ms"}).drop(_CORRUPT)
+    bad = checked.where("failure_reason is not null").drop("_body")
+    return good, dead_letters(bad, topic, stage="deserialize", failed_at=failed_at)
+
+
 def topic_changes(rows: DataFrame, table: str) -> DataFrame:
     """Change rows from a capture topic's key, value and offset: columns of ``table`` (DDL) plus op,
     ts_ms, seq and ``__deleted``.
 
-    Values are flattened JSON rows with ``__op``, ``__ts_ms`` and ``__deleted``; decimals and times may be
-    text. The offset orders changes (``current_state(..., order=("seq",))``). A tombstone, a null value, adds nothing
-    after the rewritten delete it follows. A value without marks is no change row and stops the job.
+    For topics that hold change rows only: a value without marks stops the job, where :func:`split_changes`
+    puts it aside. The offset orders changes (``current_state(..., order=("seq",))``) of one partition.
     """
-    marks = "__op string, __ts_ms bigint, __deleted string"
-    body = F.from_json(F.col("value").cast("string"), f"{table}, {marks}", {"mode": "PERMISSIVE"})
+    body = F.from_json(F.col("value").cast("string"), f"{table}, {_CAPTURED}", {"mode": "PERMISSIVE"})
     read = rows.where("value is not null").select(body.alias("body"), F.col("offset").alias("seq"))
     read = read.select("body.*", "seq")
     missing = F.raise_error(F.concat(F.lit("no change marks at offset "), F.col("seq").cast("string")))
     op = F.when(F.col("__op").isNull(), missing.cast("string")).otherwise(F.col("__op"))
     return read.withColumn("op", op).withColumnRenamed("__ts_ms", "ts_ms").drop("__op")
+
+
+def moved_keys(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys whose changes lie in several partitions of their log, with the first and last of them."""
+    spans = changes.groupBy(*keys).agg(
+        F.min("log_partition").alias("first_partition"), F.max("log_partition").alias("last_partition")
+    )
+    return spans.where("first_partition < last_partition")
+
+
+def log_state(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Current rows of a captured table whose log has several partitions.
+
+    Offsets order the changes of one partition only, so a key must stay in one: a key found in two stops the
+    job (``moved_keys`` lists them). Both come from one aggregate, which runs ahead of the shuffle as well.
+    """
+    values = F.struct(*(name for name in changes.columns if name not in keys))
+    latest = changes.groupBy(*keys).agg(
+        F.max_by(values, "seq").alias("last"),
+        F.min("log_partition").alias("first"),
+        F.max("log_partition").alias("other"),
+    )
+    moved = F.concat(F.lit("in several log partitions: "), F.to_json(F.struct(*keys)))
+    stays = F.when(F.col("first") == F.col("other"), True).otherwise(F.raise_error(moved).cast("boolean"))
+    state = latest.where(stays).select(*keys, "last.*")
+    return state.where(~is_delete(state)).drop(*_MARKS)

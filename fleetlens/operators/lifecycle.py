@@ -7,9 +7,13 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.functions.timing import millis, watermarked
+from fleetlens.functions.records import stable_id
+from fleetlens.functions.timing import LATENESS, interval, millis, watermarked
 from fleetlens.schemas import RIDE_STATES, STATE_ALIASES
 
+# Kinds of anomalies.
+DUPLICATE, SKEWED = "dup_event", "clock_skew"
+
 
 def first_requests(
     requests: DataFrame, *, horizon: timedelta = timedelta(hours=1)
@@ -69,3 +73,48 @@ def clock_skew(events: DataFrame, *, most: timedelta = timedelta(minutes=1)) ->
     return events.withColumn("skew_ms", skew).where(F.abs("skew_ms") > millis(most))
 
 
+def event_faults(
+    events: DataFrame,
+    *,
+    most: timedelta = timedelta(minutes=1),
+    horizon: timedelta = timedelta(hours=1),
+    lateness: timedelta = LATENESS,
+) -> DataFrame:
+    """Anomaly rows, once per event id, of events sent more than once (``dup_event``) and of those whose
+    ingestion and occurrence lie further apart than ``most`` (``clock_skew``).
+
+    Wants event_id, driver_id, lat, lon, event_time and ingested_at. Copies belong together while no more than
+    ``horizon`` of event time lies between one and the next. Window state holds one row per event id and forgets
+    it ``horizon`` after its last copy, which is when the stream reports it; nothing runs outside the JVM. ``gap_ms`` is
+    the time from the first ingestion to the last, or the greatest skew. Events without an id or a time are
+    left out.
+    """
+    at, skew = F.unix_millis("event_time"), F.unix_millis("ingested_at") - F.unix_millis("event_time")
+    arrived = F.unix_millis("ingested_at")
+    copy = F.struct(at.alias("at"), arrived.alias("arrived"), "driver_id", "lat", "lon")
+    sent = watermarked(events, lateness).where("event_id is not null and event_time is not null")
+    sent = sent.select("event_id", "event_time", copy.alias("copy"), arrived.alias("arrived"), skew.alias("skew"))
+    seen = sent.groupBy("event_id", F.session_window("event_time", interval(horizon)).alias("session")).agg(
+        F.count("*").alias("copies"),
+        F.min("copy").alias("first"),
+        F.max("copy").alias("last"),
+        (F.max("arrived") - F.min("arrived")).alias("apart"),
+        F.max(F.struct(F.abs("skew").alias("size"), "skew")).alias("worst"),
+    )
+    faults = F.array_compact(F.array(
+        F.when(F.col("copies") > 1, _fault(DUPLICATE, F.col("apart"))),
+        F.when(F.col("worst.size") > millis(most), _fault(SKEWED, F.col("worst.skew"))),
+    ))
+    return seen.select(F.inline(faults))
+
+
+def _fault(kind: str, gap: Column) -> Column:
+    """A row with the columns of an anomaly: the first and last copy as positions."""
+    first, last, at = F.col("first"), F.col("last"), F.col("last.at")
+    return F.struct(
+        stable_id(F.lit(kind), F.col("event_id"), at.cast("string")).alias("anomaly_id"),
+        F.lit(kind).alias("anomaly_type"), last["driver_id"].alias("driver_id"), F.lit("low").alias("severity"),
+        at.alias("detected_at_ms"), F.lit(0.0).alias("observed_speed_mps"),
+        first["lat"].alias("prev_lat"), first["lon"].alias("prev_lon"),
+        last["lat"].alias("curr_lat"), last["lon"].alias("curr_lon"), gap.alias("gap_ms"),
+    )

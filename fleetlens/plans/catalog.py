@@ -16,7 +16,7 @@ from fleetlens.functions.geo import haversine_m, with_cell
 from fleetlens.functions.records import anomaly_events, enriched_map
 from fleetlens.operators import changelog, joins, lifecycle, motion, quality, serving, windows
 from fleetlens.plans import tables
-from fleetlens.schemas import EVIDENCE_KEYS
+from fleetlens.schemas import EVIDENCE_KEYS, LOCATION_TOPIC
 from fleetlens.session import work_dir
 from fleetlens.sources import kafka, views
 from fleetlens.sources.events import flatten_pings, flatten_requests, read_pings
@@ -32,11 +32,14 @@ CHUNK = timedelta(days=7)
 # Drivers of more pings are cut by rows.
 TRACK_ROWS = 200
 SLICE = timedelta(minutes=1)
+# Sketched panes, and the wide windows they are merged into.
+PANE, WIDE_WINDOW, SMALL_BITS = timedelta(hours=1), timedelta(days=7), 8
 # Of streams in several micro-batches, whose rows come late by up to three quarters of it.
 BATCH_LATENESS = timedelta(hours=1)
 ZONE_TTL = timedelta(days=2)
 RIDE_KEEP = timedelta(hours=6)
 SKEW = timedelta(seconds=60)
+HORIZON = timedelta(hours=1)
 CENTRE = (37.7749, -122.4194)
 # A fixed "now" for ingestion, so that results do not depend on the clock.
 NOW_MS = 1_760_000_000_000
@@ -97,6 +100,30 @@ def framed_values(spark, sf_dir):
     )
 
 
+def _decode_json(body):
+    return F.from_json(body.cast("string"), "event_id string, driver_id string")
+
+
+def _split_frames(spark, sf_dir):
+    return kafka.split_frames(
+        tables.ping_frames(spark, sf_dir), _decode_json, topic=LOCATION_TOPIC,
+        schema_ids=[tables.FRAME_ID], required=["driver_id"], failed_at=_now(),
+    )
+
+
+@query
+def framed_events(spark, sf_dir):
+    """Events of the frames that can be read."""
+    return _split_frames(spark, sf_dir)[0]
+
+
+@query
+def frame_letters(spark, sf_dir):
+    """Frames that are missing, cut, of another schema or not of theirs, with their bytes."""
+    letters = _split_frames(spark, sf_dir)[1]
+    return _letters(letters.withColumn("bytes", F.hex("original_value_bytes")), "bytes")
+
+
 # Scalar functions
 
 
@@ -122,8 +149,9 @@ def _now():
     return F.timestamp_millis(F.lit(NOW_MS).cast("bigint"))
 
 
-def _letters(letters: DataFrame) -> DataFrame:
+def _letters(letters: DataFrame, *more: str) -> DataFrame:
     return letters.select(
+        *more,
         "original_topic",
         F.col("original_key_bytes").cast("string").alias("original_key"),
         "failure_reason",
@@ -198,6 +226,26 @@ def hot_zones(spark, sf_dir):
     return windows.hot_zones(tables.pings(spark, sf_dir), window=HOT_WINDOW)
 
 
+@query
+def hot_zones_from_sketches(spark, sf_dir):
+    """The same windows from sketches of their panes; exact, as cells have fewer drivers than a sketch lists."""
+    panes = windows.zone_sketches(tables.pings(spark, sf_dir), pane=PANE)
+    return windows.zones_from_sketches(panes, HOT_WINDOW)
+
+
+@query
+def wide_zone_bounds(spark, sf_dir):
+    """Wide windows from small sketches: the exact count, and whether the estimate is within four standard errors."""
+    seen = tables.pings(spark, sf_dir)
+    panes = windows.zone_sketches(seen, pane=PANE, bits=SMALL_BITS)
+    estimate = windows.zones_from_sketches(panes, WIDE_WINDOW).withColumnRenamed("driver_count", "estimate")
+    exact = windows.hot_zones(seen, window=WIDE_WINDOW)
+    most = 4 * 1.04 / 2 ** (SMALL_BITS / 2)
+    within = F.abs(F.col("estimate") - F.col("driver_count")) <= most * F.col("driver_count")
+    return exact.join(estimate, ["h3_cell", "window_end_ms"], "left").select(
+        "h3_cell", "window_end_ms", "driver_count", within.alias("within"))
+
+
 @query
 def surge_zones(spark, sf_dir):
     requests = tables.requests(spark, sf_dir)
@@ -273,6 +321,32 @@ def ride_state(spark, sf_dir):
     return state.withColumn("fare", F.col("fare").cast("string"))
 
 
+def _driver_log(spark, sf_dir):
+    rows = tables.driver_topic(spark, sf_dir)
+    return changelog.split_changes(
+        rows, tables.DRIVER_ROW, ["driver_id"], topic=tables.DRIVER_TOPIC, failed_at=_now())
+
+
+@query
+def topic_driver_state(spark, sf_dir):
+    """Current drivers from their capture topic in several partitions, unreadable values left out."""
+    state = changelog.log_state(_driver_log(spark, sf_dir)[0], ["driver_id"])
+    return state.withColumn("rating", F.col("rating").cast("string"))
+
+
+@query
+def topic_change_letters(spark, sf_dir):
+    """The topic's values that can't be read."""
+    return _letters(_driver_log(spark, sf_dir)[1])
+
+
+@query
+def topic_ride_state(spark, sf_dir):
+    rows = tables.ride_topic(spark, sf_dir)
+    changes, _ = changelog.split_changes(rows, tables.RIDE_ROW, ["ride_id"], topic=tables.RIDE_TOPIC)
+    return changelog.log_state(changes, ["ride_id"]).withColumn("fare", F.col("fare").cast("string"))
+
+
 def _enriched(spark, sf_dir):
     return joins.enrich_rides(tables.requests(spark, sf_dir), tables.drivers(spark, sf_dir))
 
@@ -469,6 +543,12 @@ def clock_skew(spark, sf_dir):
     return lifecycle.clock_skew(events, most=SKEW).select("event_id", "skew_ms")
 
 
+@query
+def event_faults(spark, sf_dir):
+    """Events sent twice and skewed clocks, as anomalies."""
+    return lifecycle.event_faults(tables.sent_events(spark, sf_dir), most=SKEW, horizon=HORIZON)
+
+
 # Streams: the same operators over a file stream, run until the input is processed.
 
 
@@ -624,3 +704,73 @@ def ingested_zones_stream(spark, sf_dir):
     jobs.hot_zones_job(events, f"{base}/view", f"{base}/zones", drain=True,
                        window=HOT_WINDOW).awaitTermination()
     return _read(spark, f"{base}/view")
+
+
+@query
+def zone_sketches_stream(spark, sf_dir):
+    """Panes kept by a stream of five micro-batches and merged when read."""
+    seen = tables.in_batches(tables.pings(spark, sf_dir), 5, BATCH_LATENESS * 3 // 4)
+    path = _drain(spark, "sketches", lambda view, checkpoint: jobs.zone_sketch_job(
+        seen, view, checkpoint, drain=True, pane=PANE, lateness=BATCH_LATENESS))
+    return windows.zones_from_sketches(_read(spark, path), WIDE_WINDOW)
+
+
+@query
+def event_faults_stream(spark, sf_dir):
+    """Five micro-batches; an event and its copy may lie in two of them."""
+    sent = tables.in_batches(tables.sent_events(spark, sf_dir), 5, BATCH_LATENESS * 3 // 4, by="row_id")
+    path = _drain(spark, "event-faults", lambda view, checkpoint: jobs.event_fault_job(
+        sent, view, f"{view}-events", checkpoint, drain=True, most=SKEW, horizon=HORIZON,
+        lateness=BATCH_LATENESS))
+    return _read(spark, path)
+
+
+@query
+def topic_driver_state_stream(spark, sf_dir):
+    """The capture topic in six micro-batches out of order, with folds."""
+    rows = tables.stream_shuffled_driver_topic(spark, sf_dir, 6)
+    path = _drain(spark, "driver-log", lambda view, checkpoint: jobs.change_log_job(
+        rows, tables.DRIVER_ROW, view, f"{view}-letters", checkpoint, topic=tables.DRIVER_TOPIC,
+        drain=True, fold_every=2))
+    state = jobs.read_dimension(spark, path, order=changelog.LOG_ORDER)
+    return state.withColumn("rating", F.col("rating").cast("string"))
+
+
+def _frames(spark, path, payload: str):
+    """Key and value of kept frames, the value taken apart again."""
+    value = F.col("value").cast("string")
+    event = F.from_json(value, f"envelope struct<event_id string, event_type string>, payload struct<{payload}>")
+    frames = views.read_view(spark, path).select(
+        F.col("key").cast("string").alias("topic_key"),
+        F.array_join(F.array_sort(F.json_object_keys(value)), ",").alias("fields"), event.alias("event"))
+    return frames.select("topic_key", "fields", "event.envelope.*", "event.payload.*")
+
+
+@query
+def anomaly_frames_stream(spark, sf_dir):
+    """What the anomaly job sends to its topic."""
+    events, base = tables.stream_pings(spark, sf_dir), work_dir(spark, "anomaly-frames")
+    to_topic = views.frame_writer(f"{base}/frames", kafka.anomaly_key())
+    jobs.anomaly_job(events, f"{base}/view", f"{base}/events", f"{base}/checkpoint", drain=True,
+                     to_topic=to_topic, mps=SPEED_MPS, gap=GHOST_GAP).awaitTermination()
+    return _frames(spark, f"{base}/frames", "anomaly_type string, severity string")
+
+
+@query
+def ping_frames_stream(spark, sf_dir):
+    """What checked pings are sent as."""
+    raw, base = tables.stream_raw_pings(spark, sf_dir), work_dir(spark, "ping-frames")
+    to_topic = views.frame_writer(f"{base}/frames", kafka.ping_key())
+    jobs.publish_pings(raw, to_topic, f"{base}/letters", f"{base}/checkpoint", drain=True,
+                       event_id=F.col("key")).awaitTermination()
+    return _frames(spark, f"{base}/frames", "driver_id string, lon double")
+
+
+@query
+def request_frames_stream(spark, sf_dir):
+    """What checked ride requests are sent as."""
+    raw, base = tables.stream_raw_requests(spark, sf_dir), work_dir(spark, "request-frames")
+    to_topic = views.frame_writer(f"{base}/frames", kafka.request_key())
+    jobs.publish_requests(raw, to_topic, f"{base}/letters", f"{base}/checkpoint", drain=True,
+                          event_id=F.col("key")).awaitTermination()
+    return _frames(spark, f"{base}/frames", "ride_id string, product_tier string")

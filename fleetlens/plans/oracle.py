@@ -189,6 +189,37 @@ _CHANGED_ROWS = (
     + "SELECT * FROM enriched"
 )
 
+_PANE, _WIDE, _HORIZON = (millis(x) for x in (c.PANE, c.WIDE_WINDOW, c.HORIZON))
+_BATCHES_CLOSED = f"(SELECT max(t) FROM pings) - {millis(c.BATCH_LATENESS)}"
+# Driver changes with what is wrong with their value in the topic.
+_LOG = """topic AS (
+  SELECT *, CASE WHEN seq % 23 = 0 THEN 'value: not a JSON object'
+    WHEN seq % 23 = 2 THEN 'value: a field of another type'
+    WHEN seq % 23 = 1 OR (op IS NULL AND seq % 23 <> 3) THEN '__op: missing'
+    WHEN seq % 23 = 3 THEN '__op: unknown' WHEN seq % 23 = 4 THEN 'driver_id: missing' END AS reason
+  FROM driver_log)"""
+_LOG_STATE = _with(_LOG) + f"""SELECT driver_id, name, rating, active, ts_ms,
+  CAST(CAST(substr(driver_id, 5) AS BIGINT) % {tables.LOG_PARTITIONS} AS INTEGER) AS log_partition, 2 * seq AS seq
+FROM (SELECT *, row_number() OVER (PARTITION BY driver_id ORDER BY seq DESC) AS rn FROM topic
+      WHERE reason IS NULL) WHERE rn = 1 AND op <> 'd'"""
+_BODY = """'{"event_id":"' || event_id || '","driver_id":"' || driver_id || '"}'"""
+_FRAMES = f"""frames AS (
+  SELECT *, hex({_BODY}) AS body, printf('00%08X', {tables.FRAME_ID}) || hex({_BODY}) AS good FROM pings)"""
+
+
+def _fault(kind: str, gap: str, kept: str) -> str:
+    digest = _anomaly_id(kind, "t").replace("driver_id", "event_id")
+    return f"""SELECT {digest} AS anomaly_id, '{kind}' AS anomaly_type, driver_id, 'low' AS severity,
+  t AS detected_at_ms, 0e0 AS observed_speed_mps, lat AS prev_lat, lon AS prev_lon, lat AS curr_lat,
+  lon AS curr_lon, CAST({gap} AS BIGINT) AS gap_ms FROM pings WHERE {kept}"""
+
+
+_WORST = f"((n * 37 % 240 - 120) * 1000 + CASE WHEN n % 5 = 0 THEN {tables.RESENT_MS} ELSE 0 END)"
+_FAULTS = _with(
+    "faults AS (" + _fault("dup_event", str(tables.RESENT_MS), "n % 5 = 0")
+    + " UNION ALL " + _fault("clock_skew", _WORST, f"abs({_WORST}) > {_SKEW}") + ")"
+) + "SELECT * FROM faults"
+
 ORACLE: dict[str, str] = {
     "pings": _with() + "SELECT event_id, driver_id, lat, lon, h3_cell, t AS event_ms FROM pings",
     "ride_requests": _with()
@@ -337,4 +368,48 @@ WHERE abs((n * 37 % 240 - 120) * 1000) > {_SKEW}""",
     + f"""SELECT CASE WHEN k % 10 = 8 THEN {_GRID} ELSE h3_cell END AS h3_cell,
   (t // {_HOT} + 1) * {_HOT} AS window_end_ms, count(DISTINCT driver_id) AS driver_count
 FROM pings WHERE {_PING_FAULTS} IS NULL AND k % 10 <> 9 GROUP BY ALL""",
+    "framed_events": _with() + "SELECT event_id, driver_id FROM pings WHERE k % 10 > 4",
+    "frame_letters": _with(_FRAMES)
+    + f"""SELECT CASE k % 10 WHEN 0 THEN body WHEN 1 THEN left(good, 8)
+    WHEN 2 THEN printf('00%08X', {tables.FRAME_ID + 1}) || body WHEN 3 THEN left(good, 24) ELSE '' END AS bytes,
+  '{LOCATION_TOPIC}' AS original_topic, driver_id AS original_key,
+  CASE k % 10 WHEN 2 THEN 'value: unknown schema id {tables.FRAME_ID + 1}' WHEN 3 THEN 'value: not of its schema'
+    WHEN 4 THEN 'value: missing' ELSE 'value: not a frame' END AS failure_reason,
+  'deserialize' AS failure_stage, CAST({c.NOW_MS} AS BIGINT) AS failed_at_ms FROM frames WHERE k % 10 <= 4""",
+    "topic_driver_state": _LOG_STATE,
+    "topic_driver_state_stream": _LOG_STATE,
+    "topic_change_letters": _with(_LOG)
+    + f"""SELECT '{tables.DRIVER_TOPIC}' AS original_topic, driver_id AS original_key, reason AS failure_reason,
+  'deserialize' AS failure_stage, CAST({c.NOW_MS} AS BIGINT) AS failed_at_ms FROM topic WHERE reason IS NOT NULL""",
+    "topic_ride_state": f"""SELECT * EXCLUDE (op, rn) REPLACE (2 * seq AS seq),
+  CAST(CAST(substr(ride_id, 6) AS BIGINT) % {tables.LOG_PARTITIONS} AS INTEGER) AS log_partition FROM (
+  SELECT *, row_number() OVER (PARTITION BY ride_id ORDER BY seq DESC) AS rn FROM (
+    SELECT printf('ride-%04d', l_orderkey) AS ride_id, printf('rdr-%05d', l_suppkey) AS rider_id,
+           printf('drv-%04d', l_partkey) AS driver_id,
+           CASE WHEN l_linestatus = 'O' THEN 'matched' ELSE 'completed' END AS state,
+           printf('%.2f', l_extendedprice) AS fare,
+           CASE WHEN l_returnflag = 'R' THEN 'd' ELSE 'u' END AS op,
+           epoch_us(l_shipdate) // 1000 AS ts_ms,
+           epoch_us(l_shipdate) // 86400000000 * 10000000000 + l_linenumber * 100000000::BIGINT + l_partkey AS seq
+    FROM lineitem)) WHERE rn = 1 AND op <> 'd'""",
+    "hot_zones_from_sketches": _with(_ZONES) + "SELECT * FROM hot",
+    "wide_zone_bounds": _with(_ZONES.replace(str(_HOT), str(_WIDE))) + "SELECT *, true AS within FROM hot",
+    "zone_sketches_stream": _with()
+    + f"""SELECT h3_cell, (t // {_WIDE} + 1) * {_WIDE} AS window_end_ms, count(DISTINCT driver_id) AS driver_count
+FROM pings WHERE (t // {_PANE} + 1) * {_PANE} <= {_BATCHES_CLOSED} GROUP BY ALL""",
+    "event_faults": _FAULTS,
+    "event_faults_stream": f"{_FAULTS} WHERE detected_at_ms + {_HORIZON} <= {_BATCHES_CLOSED}",
+    "anomaly_frames_stream": _with(_ANOMALIES)
+    + f"""SELECT driver_id AS topic_key, 'envelope,payload' AS fields, anomaly_id AS event_id,
+  'AnomalyDetected' AS event_type, anomaly_type, severity FROM found
+WHERE anomaly_type = 'speed_violation' OR detected_at_ms <= {_CLOSED}""",
+    "ping_frames_stream": _with()
+    + f"""SELECT driver_id AS topic_key, 'envelope,payload' AS fields, event_id,
+  'DriverLocationPinged' AS event_type, driver_id, CASE WHEN k % 10 = 6 THEN -180e0 ELSE lon END AS lon
+FROM pings WHERE {_PING_FAULTS} IS NULL""",
+    "request_frames_stream": _with()
+    + f"""SELECT printf('rdr-%05d', user_id) AS topic_key, 'envelope,payload' AS fields, event_id,
+  'RideRequested' AS event_type, event_id AS ride_id,
+  CASE WHEN k % 10 = 2 THEN 'premium' ELSE 'economy' END AS product_tier
+FROM pings WHERE {_REQUEST_FAULTS} IS NULL""",
 }

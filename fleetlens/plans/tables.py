@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from fleetlens.functions.timing import millis, to_event_time
 from fleetlens.session import configure, work_dir
 from fleetlens.sources.events import read_files
+from fleetlens.sources.kafka import framed
 
 EVENTS = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
@@ -195,13 +196,30 @@ def busy_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
-def in_batches(rows: DataFrame, parts: int, most_late: timedelta) -> DataFrame:
+# Sent again that much later.
+RESENT_MS = 2_700_000
+
+
+def sent_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pings as they were ingested, every fifth of them sent twice; ``row_id`` tells copies apart."""
+    number = F.col("event_id").cast("bigint")
+    copies = F.when(number % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    lag_ms = (number * 37 % 240 - 120) * 1000 + F.col("copy") * RESENT_MS
+    sent = pings(spark, sf_dir).select("*", F.explode(copies).alias("copy"))
+    return sent.select(
+        "event_id", "driver_id", "lat", "lon", "event_time",
+        F.timestamp_millis(F.unix_millis("event_time") + lag_ms).alias("ingested_at"),
+        F.concat_ws("-", "event_id", "copy").alias("row_id"),
+    )
+
+
+def in_batches(rows: DataFrame, parts: int, most_late: timedelta, by: str = "event_id") -> DataFrame:
     """Rows as a stream of ``parts`` micro-batches. A row may come after rows up to ``most_late`` later than it,
-    and batches overlap in time that far, so rows arrive late and out of order."""
+    by a hash of ``by``, and batches overlap in time that far, so rows arrive late and out of order."""
     spark, base = rows.sparkSession, work_dir(rows.sparkSession, "batches")
     at = F.unix_millis("event_time")
     low, high = rows.agg(F.min(at), F.max(at)).first()
-    spread = F.pmod(F.xxhash64("event_id"), F.lit(millis(most_late)))
+    spread = F.pmod(F.xxhash64(by), F.lit(millis(most_late)))
     step = max((high - low) // parts + 1, 1) if low is not None else 1
     part = F.least(F.lit(parts - 1), F.floor((at + spread - F.lit(low or 0)) / step))
     # One part after the other: a file source takes the oldest file first.
@@ -250,14 +268,17 @@ def stream_driver_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_shuffled_driver_changes(spark: SparkSession, sf_dir: str, parts: int) -> DataFrame:
+    return _driver_changes(_stream_shuffled_orders(spark, sf_dir, parts))
+
+
+def _stream_shuffled_orders(spark: SparkSession, sf_dir: str, parts: int) -> DataFrame:
     """The changes as a stream of files, one per micro-batch, that are not in the order of time: every file
     holds changes of the whole span, and a driver's changes lie in several of them."""
     path = work_dir(spark, "shuffled-orders")
     part = F.pmod(F.xxhash64("o_orderkey"), F.lit(parts))
     orders = table(spark, sf_dir, "orders").withColumn("part", part)
     orders.write.partitionBy("part").parquet(path)
-    given = read_files(spark, f"{path}/part=*", ORDERS, streaming=True, files_per_batch=1)
-    return _driver_changes(given)
+    return read_files(spark, f"{path}/part=*", ORDERS, streaming=True, files_per_batch=1)
 
 
 def ride_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -277,6 +298,89 @@ def ride_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LOG_PARTITIONS = 4
+DAY_MS = 86_400_000
+DRIVER_TOPIC, RIDE_TOPIC = "cdc.drivers", "cdc.rides"
+DRIVER_ROW = "driver_id string, name string, rating decimal(3,2), active boolean"
+RIDE_ROW = "ride_id string, rider_id string, driver_id string, state string, fare decimal(10,2)"
+
+
+def _as_topic(changes: DataFrame, key: str, value: Column) -> DataFrame:
+    """Changes as rows of a capture topic in several partitions; a tombstone follows each delete."""
+    number = F.regexp_extract(key, r"(\d+)$", 1).cast("bigint")
+    log = changes.withColumns({"key": F.col(key), "value": value, "partition": (number % LOG_PARTITIONS).cast("int")})
+    held = F.struct(F.col("value"), (F.col("seq") * 2).alias("offset"))
+    tombstone = F.struct(F.lit(None).cast("string").alias("value"), (F.col("seq") * 2 + 1).alias("offset"))
+    rows = F.when(F.col("op") == "d", F.array(held, tombstone)).otherwise(F.array(held))
+    log = log.select("key", "partition", F.inline(rows))
+    return log.select(
+        F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"), "partition", "offset"
+    )
+
+
+def _captured(changes: DataFrame, names: list[str], **given: Column) -> Column:
+    """The flattened JSON row of a change; ``given`` replaces some of its fields."""
+    marks = {
+        "__op": F.col("op"), "__ts_ms": F.col("ts_ms"),
+        "__deleted": F.when(F.col("op") == "d", "true").otherwise("false"),
+    }
+    fields = {**{name: F.col(name) for name in names}, **marks, **given}
+    return F.to_json(F.struct(*(value.alias(name) for name, value in fields.items())))
+
+
+def _driver_topic(orders: DataFrame) -> DataFrame:
+    """Driver changes as their topic holds them; by its number some value can't be read."""
+    changes = _driver_changes(orders).withColumn("rating", F.col("rating").cast("string"))
+    fault = F.col("seq") % 23
+    value = _captured(
+        changes, ["driver_id", "name", "rating", "active"],
+        driver_id=F.when(fault != 4, F.col("driver_id")),
+        active=F.when(fault == 2, "maybe").otherwise(F.col("active").cast("string")),
+        __op=F.when(fault == 3, "x").when(fault != 1, F.col("op")),
+    )
+    # Booleans are JSON booleans, apart from the faulty one.
+    value = F.regexp_replace(value, '"active":"(true|false)"', '"active":$1')
+    value = F.when(fault == 0, F.substring(value, 1, 20)).otherwise(value)
+    return _as_topic(changes, "driver_id", value)
+
+
+def driver_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _driver_topic(table(spark, sf_dir, "orders"))
+
+
+def stream_shuffled_driver_topic(spark: SparkSession, sf_dir: str, parts: int) -> DataFrame:
+    return _driver_topic(_stream_shuffled_orders(spark, sf_dir, parts))
+
+
+def ride_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Offsets follow the ship date, then the order within it.
+    offset = F.floor(F.col("ts_ms") / DAY_MS) * F.lit(10_000_000_000) + F.col("seq")
+    changes = ride_changes(spark, sf_dir).withColumns({"fare": F.col("fare").cast("string"), "seq": offset})
+    return _as_topic(changes, "ride_id", _captured(changes, [c.split()[0] for c in RIDE_ROW.split(", ")]))
+
+
+FRAME_ID = 258
+
+
+def ping_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pings as framed values of a topic; the last digit of k picks a fault for some of them."""
+    fault = F.col("fault")
+    body = F.to_json(F.struct("event_id", "driver_id")).cast("binary")
+    good = framed(body, FRAME_ID)
+    value = (
+        F.when(fault == 0, body)
+        .when(fault == 1, F.substring(good, 1, 4))
+        .when(fault == 2, framed(body, FRAME_ID + 1))
+        .when(fault == 3, F.substring(good, 1, 12))
+        .when(fault != 4, good)
+    )
+    events = table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("event_id"), driver_id(F.col("user_id")).alias("driver_id"),
+        (_k() % 10).alias("fault"),
+    )
+    return events.select(F.col("driver_id").cast("binary").alias("key"), value.alias("value"))
+
+
 def raw_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw_pings(table(spark, sf_dir, "events"))
 
@@ -349,6 +453,14 @@ def mistyped_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _raw_requests(table(spark, sf_dir, "events"))
+
+
+def stream_raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _raw_requests(table_stream(spark, sf_dir, "events", EVENTS))
+
+
+def _raw_requests(events: DataFrame) -> DataFrame:
     """Ride requests as submitted JSON; the last digit of k picks a fault for some of them."""
     fault = F.col("fault")
     point = F.struct(_lat().alias("lat"), _lon().alias("lon"), _cell().alias("h3_cell"))
@@ -363,6 +475,6 @@ def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         tier.alias("product_tier"),
         F.unix_millis(F.col("ts").cast("timestamp")).alias("occurred_at_ms"),
     )
-    events = table(spark, sf_dir, "events").withColumn("fault", _k() % 10)
+    events = events.withColumn("fault", _k() % 10)
     text = F.when(fault == 8, "{not json").otherwise(F.to_json(body))
     return events.select(F.col("event_id").cast("string").alias("key"), text.alias("value"))

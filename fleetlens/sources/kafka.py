@@ -5,12 +5,16 @@ A framed value is one zero byte, a four-byte schema id and the Avro body.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetlens.operators.quality import dead_letters
 from fleetlens.schemas import ANOMALY_TOPIC
 
 STARTING = ("earliest", "latest")
+_SAFE = {"kafka.acks": "all", "kafka.enable.idempotence": "true"}
 
 
 def kafka_options(
@@ -68,12 +72,55 @@ def framed(body: Column, schema_id: int) -> Column:
     return F.concat(head, body)
 
 
-def decode_events(rows: DataFrame, avro_schema: str) -> DataFrame:
-    """Framed Avro values as event columns; ``avro_schema`` is the registered JSON text."""
+def split_frames(
+    rows: DataFrame,
+    decode: Callable[[Column], Column],
+    *,
+    topic: str,
+    schema_ids: Sequence[int],
+    required: Sequence[str] = (),
+    failed_at: Column | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(events, dead letters) from a topic's key, value and headers.
+
+    ``decode`` turns a frame's body into a struct. A value goes to the letters with its original bytes where it is
+    missing, no frame, of a schema id not in ``schema_ids``, or not decoded: a lenient decoder gives a struct
+    without any value then, and one whose ``required`` fields are null is none either.
+    """
+    value, event = F.col("value"), F.col("_event")
+    found = frame_schema_id(value)
+    known = found.isin(*schema_ids)
+    read = rows.withColumn("_event", F.when(known, decode(frame_body(value))))
+    fields = read.schema["_event"].dataType.names
+    blank = F.lit(True)
+    for name in fields:
+        blank = blank & event[name].isNull()
+    for path in required:
+        blank = blank | F.col(f"_event.{path}").isNull()
+    wrong_id = F.concat(F.lit("value: unknown schema id "), found.cast("string"))
+    reason = (
+        F.when(value.isNull(), "value: missing")
+        .when(found.isNull(), "value: not a frame")
+        .when(~known, wrong_id)
+        .when(event.isNull() | blank, "value: not of its schema")
+    )
+    # Behind a generator, the optimizer decodes once and not again in every filter and field.
+    checked = read.select("*", F.inline(F.array(F.struct(reason.alias("failure_reason")))))
+    good = checked.where("failure_reason is null").select("_event.*")
+    bad = checked.where("failure_reason is not null").drop("_event")
+    return good, dead_letters(bad, topic, stage="deserialize", failed_at=failed_at)
+
+
+def decode_events(
+    rows: DataFrame, avro_schema: str, *, topic: str, schema_ids: Sequence[int], required: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """(events, dead letters) of framed Avro values; ``avro_schema`` is the registered JSON text."""
     from pyspark.sql.avro.functions import from_avro
 
-    event = from_avro(frame_body(F.col("value")), avro_schema, {"mode": "PERMISSIVE"})
-    return rows.select(event.alias("event")).select("event.*")
+    return split_frames(
+        rows, lambda body: from_avro(body, avro_schema, {"mode": "PERMISSIVE"}), topic=topic,
+        schema_ids=schema_ids, required=required,
+    )
 
 
 def keyed_json(events: DataFrame, key: Column) -> DataFrame:
@@ -98,14 +145,34 @@ def anomaly_key() -> Column:
     return F.col("payload.entity_id")
 
 
+def ping_key() -> Column:
+    """Pings are keyed by driver."""
+    return F.col("payload.driver_id")
+
+
+def request_key() -> Column:
+    """Ride requests are keyed by rider."""
+    return F.col("payload.rider_id")
+
+
+def topic_writer(servers: str, topic: str, key: Column) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function that writes a batch's events to a topic as JSON. A batch that is run again is
+    sent again: the log keeps events at least once."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        options = {**_SAFE, "kafka.bootstrap.servers": servers, "topic": topic}
+        keyed_json(batch, key).write.format("kafka").options(**options).save()
+
+    return write
+
+
 def write_topic(rows: DataFrame, servers: str, topic: str, checkpoint: str):
     """Start writing Kafka rows with full acknowledgement and producer idempotence."""
     return (
         rows.writeStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("topic", topic)
-        .option("kafka.acks", "all")
-        .option("kafka.enable.idempotence", "true")
+        .options(**_SAFE)
         .option("checkpointLocation", checkpoint)
         .start()
     )

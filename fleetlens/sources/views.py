@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 
 from fleetlens.functions.timing import millis
 from fleetlens.operators.changelog import latest_per_key
+from fleetlens.sources.kafka import keyed_json
 
 
 def _folder(spark: SparkSession, path: str):
@@ -58,6 +59,15 @@ def batch_writer(path: str, written_at: Column | None = None) -> Callable[[DataF
     return write
 
 
+def frame_writer(path: str, key: Column) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function that keeps events as a topic would: rows of key and JSON value, and nothing else."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        keyed_json(batch, key).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return write
+
+
 def _empty(spark: SparkSession, path: str, schema: StructType | None) -> DataFrame:
     """A view without a finished batch has no rows; its columns must then be given."""
     if schema is None:

@@ -11,8 +11,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fleetlens.functions.records import anomaly_events
 from fleetlens.functions.timing import LATENESS, millis
-from fleetlens.operators.changelog import CHANGE_ORDER, is_delete
+from fleetlens.operators.changelog import CHANGE_ORDER, LOG_ORDER, is_delete, split_changes
 from fleetlens.operators.joins import enrich_rides, match_rides, reduce_matches
+from fleetlens.operators.lifecycle import event_faults
 from fleetlens.operators.motion import (
     CHUNK,
     GHOST_GAP,
@@ -23,13 +24,15 @@ from fleetlens.operators.motion import (
     track_state,
 )
 from fleetlens.operators.quality import (
+    check_pings,
+    check_requests,
     dead_letters,
     ping_events,
     request_events,
     validate_pings,
     validate_requests,
 )
-from fleetlens.operators.windows import hot_zones, idle_sessions, surge_zones
+from fleetlens.operators.windows import hot_zones, idle_sessions, surge_zones, zone_sketches
 from fleetlens.schemas import LOCATION_TOPIC, REQUEST_TOPIC
 from fleetlens.sources.views import (
     batch_writer,
@@ -98,11 +101,43 @@ def ingest_requests(raw: DataFrame, events: str, letters: str, checkpoint: str,
     )
 
 
+def publish_pings(raw: DataFrame, to_topic: Sink, letters: str, checkpoint: str, *, drain=False,
+                  **options):
+    """Submitted pings to a topic and to dead letters, from one check of each; ``to_topic`` is a
+    ``kafka.topic_writer`` or a ``views.frame_writer`` keyed by driver, ``options`` go to ``ping_events``."""
+    return _publish(check_pings, ping_events, raw, to_topic, letters, LOCATION_TOPIC, checkpoint, drain, options)
+
+
+def publish_requests(raw: DataFrame, to_topic: Sink, letters: str, checkpoint: str, *, drain=False,
+                     **options):
+    """As :func:`publish_pings`, for ride requests, keyed by rider."""
+    return _publish(check_requests, request_events, raw, to_topic, letters, REQUEST_TOPIC, checkpoint, drain, options)
+
+
+def _publish(check, events, raw, to_topic, letters, topic, checkpoint, drain, options):
+    to_letters = batch_writer(letters)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        checked = check(batch).persist()
+        try:
+            to_topic(events(checked.where("failure_reason = ''"), **options), batch_id)
+            to_letters(dead_letters(checked.where("failure_reason != ''"), topic), batch_id)
+        finally:
+            checked.unpersist()
+
+    return start(raw, write, checkpoint, drain=drain)
+
+
 def hot_zones_job(pings: DataFrame, view: str, checkpoint: str, *, drain=False, **options):
     """A window's row is final when it appears, so the view only grows."""
     return start(hot_zones(pings, **options), batch_writer(view), checkpoint, drain=drain)
 
 
+def zone_sketch_job(pings: DataFrame, view: str, checkpoint: str, *, drain=False, **options):
+    """Keeps sketches per pane, which ``windows.zones_from_sketches`` merges into any wider window."""
+    return start(zone_sketches(pings, **options), batch_writer(view), checkpoint, drain=drain)
+
+
 def surge_job(requests: DataFrame, view: str, checkpoint: str, *, drain=False, **options):
     return start(surge_zones(requests, **options), batch_writer(view), checkpoint, drain=drain)
 
@@ -125,26 +160,37 @@ def match_job(requests: DataFrame, pings: DataFrame, view: str, checkpoint: str,
 
 
 def anomaly_job(pings: DataFrame, view: str, events: str, checkpoint: str, *, drain=False,
-                **options):
-    """Flat rows to the view for ranked reads, nested events to the outgoing log."""
-    return _start_anomalies(anomaly_stream(pings, **options), view, events, checkpoint, drain)
+                to_topic: Sink | None = None, **options):
+    """Flat rows to the view for ranked reads, nested events to the outgoing log and, keyed by driver, to
+    ``to_topic`` if given (``kafka.topic_writer`` or ``views.frame_writer``)."""
+    return _start_anomalies(anomaly_stream(pings, **options), view, events, checkpoint, drain, to_topic)
 
 
 def sliced_anomaly_job(pings: DataFrame, view: str, events: str, checkpoint: str, *, drain=False,
-                       **options):
+                       to_topic: Sink | None = None, **options):
     """As anomaly_job; a busy driver's pings are sorted by slice, in many tasks."""
-    return _start_anomalies(sliced_anomaly_stream(pings, **options), view, events, checkpoint, drain)
+    found = sliced_anomaly_stream(pings, **options)
+    return _start_anomalies(found, view, events, checkpoint, drain, to_topic)
+
+
+def event_fault_job(sent: DataFrame, view: str, events: str, checkpoint: str, *, drain=False,
+                    to_topic: Sink | None = None, **options):
+    """Events sent more than once or with a skewed clock, as anomalies, to the same outputs as anomaly_job."""
+    return _start_anomalies(event_faults(sent, **options), view, events, checkpoint, drain, to_topic)
 
 
-def _start_anomalies(found: DataFrame, view: str, events: str, checkpoint: str, drain: bool):
+def _start_anomalies(found: DataFrame, view: str, events: str, checkpoint: str, drain: bool,
+                     to_topic: Sink | None = None):
     to_view, to_events = batch_writer(view), batch_writer(events)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # Both outputs come from one evaluation of the stateful stage.
+        # All outputs come from one evaluation of the stateful stage.
         batch.persist()
         try:
             to_view(batch, batch_id)
             to_events(anomaly_events(batch), batch_id)
+            if to_topic is not None:
+                to_topic(anomaly_events(batch), batch_id)
         finally:
             batch.unpersist()
 
@@ -200,9 +246,30 @@ def dimension_job(changes: DataFrame, view: str, checkpoint: str, *, keys=("driv
     return start(changes, sink, checkpoint, drain=drain)
 
 
-def read_dimension(spark, view: str, keys=("driver_id",)) -> DataFrame:
-    """Current rows of a captured table kept by :func:`dimension_job`."""
-    latest = read_keyed_view(spark, view, list(keys), CHANGE_ORDER)
+def change_log_job(rows: DataFrame, table: str, view: str, letters: str, checkpoint: str, *, topic: str,
+                   keys=("driver_id",), fold_every: int = 50, drain=False):
+    """As dimension_job, from a capture topic's own rows (``changelog.split_changes``): changes are ordered by
+    offset, and values that can't be read go to the letters and stop nothing. A key must stay in one
+    partition; ``changelog.log_state`` checks that, a stream does not."""
+    sink = upsert_writer(view, list(keys), LOG_ORDER, between=LOG_ORDER, fold_every=fold_every)
+    to_letters = batch_writer(letters)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            good, bad = split_changes(batch, table, keys, topic=topic)
+            sink(good, batch_id)
+            to_letters(bad, batch_id)
+        finally:
+            batch.unpersist()
+
+    return start(rows, write, checkpoint, drain=drain)
+
+
+def read_dimension(spark, view: str, keys=("driver_id",), order=CHANGE_ORDER) -> DataFrame:
+    """Current rows of a captured table kept by :func:`dimension_job`, or with ``order=LOG_ORDER``
+    by :func:`change_log_job`."""
+    latest = read_keyed_view(spark, view, list(keys), order)
     return latest.where(~is_delete(latest)).drop("op", "__deleted", "batch_id", "written_at_ms")
 
 

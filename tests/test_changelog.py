@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from fleetlens.operators.changelog import current_state, topic_changes
+from fleetlens.operators.changelog import current_state, log_state, moved_keys, split_changes, topic_changes
 
 COLUMNS = "driver_id string, name string, op string, ts_ms bigint, seq bigint, __deleted string"
 
@@ -55,3 +55,48 @@ def test_values_without_marks_stop_the_job(spark):
     changes = topic_changes(topic(spark, {"driver_id": "a"}), "driver_id string")
     with pytest.raises(Exception, match="no change marks at offset 0"):
         changes.collect()
+
+
+LOG = "key binary, value binary, partition int, offset bigint"
+MARKS = '"__op":"u","__ts_ms":1,"__deleted":"false"'
+
+
+def split(spark, *values, partitions=None):
+    rows = [(b"k", None if v is None else v.encode(), (partitions or [0] * len(values))[i], i) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, LOG)
+    return split_changes(df, "driver_id string, rating decimal(3,2)", ["driver_id"], topic="t")
+
+
+def test_unreadable_changes_go_to_the_letters(spark):
+    good, bad = split(
+        spark, '{"driver_id":"a","rating":"4.50",%s}' % MARKS, '{"driver_id":', '[1]', "", None, '{"driver_id":"a"}',
+        '{"rating":"1.00",%s}' % MARKS, '{"driver_id":"a","rating":"much",%s}' % MARKS,
+        '{"driver_id":"a","__op":"t","__ts_ms":1}', '{"driver_id":"a",%s} more' % MARKS,
+    )
+    assert [(r.driver_id, str(r.rating), r.op, r.log_partition, r.seq) for r in good.collect()] == [("a", "4.50", "u", 0, 0)]
+    letters = [(bytes(r.original_value_bytes).decode(), r.failure_reason) for r in bad.collect()]
+    assert letters == [
+        ('{"driver_id":', "value: not a JSON object"), ("[1]", "value: not a JSON object"),
+        ("", "value: not a JSON object"), ('{"driver_id":"a"}', "__op: missing"),
+        ('{"rating":"1.00",%s}' % MARKS, "driver_id: missing"),
+        ('{"driver_id":"a","rating":"much",%s}' % MARKS, "value: a field of another type"),
+        ('{"driver_id":"a","__op":"t","__ts_ms":1}', "__op: unknown"),
+        ('{"driver_id":"a",%s} more' % MARKS, "value: not a JSON object"),
+    ]
+    assert {(r.failure_stage, r.original_topic, bytes(r.original_key_bytes)) for r in bad.collect()} == {("deserialize", "t", b"k")}
+
+
+def test_a_key_in_two_partitions_is_found(spark):
+    values = ['{"driver_id":"%s",%s}' % (who, MARKS) for who in "aabb"]
+    good, _ = split(spark, *values, partitions=[0, 0, 1, 2])
+    assert [tuple(r) for r in moved_keys(good, ["driver_id"]).collect()] == [("b", 1, 2)]
+    stays = log_state(good.where("driver_id = 'a'"), ["driver_id"])
+    assert [(r.driver_id, r.seq) for r in stays.collect()] == [("a", 1)]
+    with pytest.raises(Exception, match="several log partitions"):
+        log_state(good, ["driver_id"]).collect()
+
+
+def test_state_of_no_changes(spark):
+    good, bad = split_changes(
+        spark.createDataFrame([], LOG), "driver_id string", ["driver_id"], topic="t")
+    assert log_state(good, ["driver_id"]).count() == bad.count() == moved_keys(good, ["driver_id"]).count() == 0

@@ -32,3 +32,18 @@ def test_json_rows(spark):
 def test_a_batch_cannot_start_at_the_latest_offsets(spark):
     with pytest.raises(ValueError, match="latest"):
         kafka.read_topic(spark, "h:1", "t", streaming=False, starting="latest")
+
+
+def test_frames_that_cannot_be_read_are_letters(spark):
+    body, head = b'{"a":"x"}', bytes([0, 0, 0, 0, 7])
+    values = [head + body, None, b"", body, head[:4], bytes([0, 0, 0, 0, 8]) + body, head + body[:4], head + b'{"b":1}', head]
+    df = spark.createDataFrame([(b"k", v, {"h": "1"}) for v in values], "key binary, value binary, headers map<string,string>")
+    good, bad = kafka.split_frames(
+        df, lambda b: F.from_json(b.cast("string"), "a string, b int"), topic="t", schema_ids=[7], required=["a"])
+    assert [tuple(r) for r in good.collect()] == [("x", None)]
+    assert [r.failure_reason for r in bad.collect()] == [
+        "value: missing", "value: not a frame", "value: not a frame", "value: not a frame",
+        "value: unknown schema id 8", "value: not of its schema", "value: not of its schema", "value: not of its schema"]
+    row = bad.where("failure_reason = 'value: unknown schema id 8'").first()
+    assert (row.failure_stage, row.original_headers) == ("deserialize", {"h": "1"})
+    assert bytes(row.original_value_bytes) == values[5] and bytes(row.original_key_bytes) == b"k"

@@ -2,7 +2,7 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from fleetlens.operators.lifecycle import clock_skew, duplicate_events, ride_states, unknown_transitions
+from fleetlens.operators.lifecycle import clock_skew, duplicate_events, event_faults, ride_states, unknown_transitions
 
 
 def test_last_known_state(spark):
@@ -40,3 +40,15 @@ def test_other_names_of_a_state_and_unknown_ones(spark):
     assert (row.state, row.previous_state, row.transitions) == ("started", "matched", 2)
     lost = unknown_transitions(moves).collect()
     assert [(r.event_id, r.failure_reason) for r in lost] == [("3", "to_state: unknown state flying")]
+
+
+def test_faults_once_per_event(spark):
+    rows = [("a", 0, 1), ("a", 0, 40), ("a", 0, 90), ("b", 5, 5), ("c", 100, 20), ("d", 0, 0), ("d", 7200, 7200), (None, 0, 99)]
+    df = spark.createDataFrame(
+        [(i, "drv", 1.0, 2.0, o, n) for i, o, n in rows], "event_id string, driver_id string, lat double, lon double, o long, n long")
+    df = df.select("*", F.timestamp_seconds("o").alias("event_time"), F.timestamp_seconds("n").alias("ingested_at"))
+    found = event_faults(df, most=timedelta(seconds=60)).collect()
+    assert sorted((r.anomaly_type, r.detected_at_ms, r.gap_ms) for r in found) == [
+        ("clock_skew", 0, 90000), ("clock_skew", 100000, -80000), ("dup_event", 0, 89000)]
+    assert len({r.anomaly_id for r in found}) == 3
+    assert event_faults(df.limit(0)).count() == 0
