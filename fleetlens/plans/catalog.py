@@ -736,6 +736,26 @@ def topic_driver_state_stream(spark, sf_dir):
     return state.withColumn("rating", F.col("rating").cast("string"))
 
 
+@query
+def expiring_hot_zones_stream(spark, sf_dir):
+    """Six micro-batches over much more than the view's lifetime: only living windows are left to read."""
+    seen = tables.in_batches(tables.pings(spark, sf_dir), 6, BATCH_LATENESS * 3 // 4)
+    path = _drain(spark, "expiring-zones", lambda view, checkpoint: jobs.hot_zones_job(
+        seen, view, checkpoint, drain=True, ttl=ZONE_TTL, window=HOT_WINDOW, lateness=BATCH_LATENESS))
+    rows = views.read_timed(spark, path, "window_end_ms", width=ZONE_TTL, ttl=ZONE_TTL)
+    return rows.drop("batch_id")
+
+
+@query
+def expiring_idle_drivers_stream(spark, sf_dir):
+    """The keyed view of latest sessions, folded without expired drivers after every second batch."""
+    seen = tables.in_batches(tables.pings(spark, sf_dir), 6, BATCH_LATENESS * 3 // 4)
+    path = _drain(spark, "expiring-idle", lambda view, checkpoint: jobs.idle_job(
+        seen, view, checkpoint, drain=True, ttl=ZONE_TTL, fold_every=2, gap=IDLE_GAP, lateness=BATCH_LATENESS))
+    rows = views.read_keyed_view(spark, path, *jobs.IDLE_VIEW)
+    return views.alive(rows, "session_end_ms", ZONE_TTL).drop("batch_id", "written_at_ms")
+
+
 def _frames(spark, path, payload: str):
     """Key and value of kept frames, the value taken apart again."""
     value = F.col("value").cast("string")

@@ -412,4 +412,11 @@ FROM pings WHERE {_PING_FAULTS} IS NULL""",
   'RideRequested' AS event_type, event_id AS ride_id,
   CASE WHEN k % 10 = 2 THEN 'premium' ELSE 'economy' END AS product_tier
 FROM pings WHERE {_REQUEST_FAULTS} IS NULL""",
+    "expiring_hot_zones_stream": _with(_ZONES, f"closed AS (SELECT * FROM hot WHERE window_end_ms <= {_BATCHES_CLOSED})")
+    + f"SELECT * FROM closed WHERE window_end_ms > (SELECT max(window_end_ms) FROM closed) - {_TTL}",
+    "expiring_idle_drivers_stream": _with(
+        _SESSIONS, f"closed AS (SELECT * FROM sessions WHERE session_end_ms <= {_BATCHES_CLOSED})")
+    + f"""SELECT * EXCLUDE (exact_cell, rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY driver_id ORDER BY session_end_ms DESC) AS rn FROM closed)
+WHERE rn = 1 AND session_end_ms > (SELECT max(session_end_ms) FROM closed) - {_TTL}""",
 }

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from fleetlens.functions.timing import millis
+from fleetlens.functions.timing import millis, pane_start
 from fleetlens.operators.changelog import latest_per_key
 from fleetlens.sources.kafka import keyed_json
 
@@ -68,6 +68,61 @@ def frame_writer(path: str, key: Column) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def timed_writer(
+    path: str, time_ms: str, *, width: timedelta, ttl: timedelta | None = None
+) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function that appends each micro-batch to a view partitioned by time.
+
+    A batch overwrites its own folder of each ``width`` of ``time_ms``, so a batch that is run again leaves the view
+    as it was. With ``ttl``, partitions that hold expired rows only are deleted whole. Rows without a time are kept but
+    never read.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        placed = {"part_ms": pane_start(F.col(time_ms), width), "batch_id": F.lit(batch_id)}
+        rows = batch.withColumns(placed).write.mode("overwrite").partitionBy(*placed)
+        rows.option("partitionOverwriteMode", "dynamic").parquet(path)
+        if ttl is not None:
+            drop_partitions(batch.sparkSession, path, width, ttl)
+
+    return write
+
+
+def _partitions(spark: SparkSession, path: str) -> list[int]:
+    """Starts of a timed view's partitions: as many as its lifetime has widths."""
+    fs, folder = _folder(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    starts = [name.removeprefix("part_ms=") for name in names if name.startswith("part_ms=")]
+    return sorted(int(start) for start in starts if start.lstrip("-").isdigit())
+
+
+def drop_partitions(spark: SparkSession, path: str, width: timedelta, ttl: timedelta) -> None:
+    """Delete the partitions of a timed view whose rows are all older than ``ttl`` before the newest row."""
+    starts = _partitions(spark, path)
+    old = [start for start in starts if start + millis(width) <= starts[-1] - millis(ttl)]
+    _delete(spark, [f"{path}/part_ms={start}" for start in old])
+
+
+def read_timed(
+    spark: SparkSession, path: str, time_ms: str, *, width: timedelta, ttl: timedelta,
+    schema: StructType | None = None,
+) -> DataFrame:
+    """Rows of a timed view less than ``ttl`` older than its newest one; only their partitions are read."""
+    starts = _partitions(spark, path)
+    if not starts:
+        return _empty(spark, path, schema).drop("written_at_ms")
+    oldest = starts[-1] - millis(ttl)
+    rows = spark.read.parquet(path).where(F.col("part_ms") >= oldest - oldest % millis(width))
+    newest = rows.where(F.col("part_ms") == starts[-1]).select(F.max(time_ms)).scalar()
+    rows = rows.where(F.col(time_ms) > newest - millis(ttl)).drop("part_ms")
+    return rows.withColumn("batch_id", F.col("batch_id").cast("bigint"))
+
+
+def alive(rows: DataFrame, time_ms: str, ttl: timedelta) -> DataFrame:
+    """Rows less than ``ttl`` older than the newest one."""
+    return rows.where(F.col(time_ms) > rows.select(F.max(time_ms)).scalar() - millis(ttl))
+
+
 def _empty(spark: SparkSession, path: str, schema: StructType | None) -> DataFrame:
     """A view without a finished batch has no rows; its columns must then be given."""
     if schema is None:
@@ -107,13 +162,17 @@ def read_keyed_view(
 
 
 def fold_view(
-    spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str] = ("batch_id",)
+    spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str] = ("batch_id",),
+    expire: tuple[str, timedelta] | None = None,
 ) -> None:
-    """Write the merged view as a new snapshot; readers switch once it is complete."""
+    """Write the merged view as a new snapshot; readers switch once it is complete. ``expire``, a time column in
+    ms and a lifetime, leaves out keys whose row has expired; readers apply ``alive`` to the others."""
     done = _finished(spark, path, "batch_id")
     snapshots = _finished(spark, f"{path}/snapshots", "upto")
     if done and (not snapshots or done[-1] > snapshots[-1]):
         merged = read_keyed_view(spark, path, keys, order)
+        if expire is not None:
+            merged = alive(merged, *expire)
         merged.write.mode("overwrite").parquet(f"{path}/snapshots/upto={done[-1]}")
 
 
@@ -125,19 +184,20 @@ def upsert_writer(
     between: Sequence[str] = ("batch_id",),
     fold_every: int = 50,
     written_at: Column | None = None,
+    expire: tuple[str, timedelta] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function that replaces rows by key.
 
     A batch is first reduced to its latest row per key by ``order``. Between batches
     ``between`` decides, by default the later batch; readers must pass the same. Every
-    ``fold_every`` batches the view is folded into a snapshot in that order.
+    ``fold_every`` batches the view is folded into a snapshot in that order, without what ``expire`` says.
     """
     write = batch_writer(path, written_at)
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         write(latest_per_key(batch, keys, order), batch_id)
         if fold_every and batch_id % fold_every == fold_every - 1:
-            fold_view(batch.sparkSession, path, keys, between)
+            fold_view(batch.sparkSession, path, keys, between, expire)
 
     return upsert
 

@@ -38,6 +38,7 @@ from fleetlens.sources.views import (
     batch_writer,
     read_keyed_view,
     read_version,
+    timed_writer,
     upsert_writer,
     write_version,
 )
@@ -128,9 +129,15 @@ def _publish(check, events, raw, to_topic, letters, topic, checkpoint, drain, op
     return start(raw, write, checkpoint, drain=drain)
 
 
-def hot_zones_job(pings: DataFrame, view: str, checkpoint: str, *, drain=False, **options):
-    """A window's row is final when it appears, so the view only grows."""
-    return start(hot_zones(pings, **options), batch_writer(view), checkpoint, drain=drain)
+def _zone_writer(view: str, ttl: timedelta | None) -> Sink:
+    return batch_writer(view) if ttl is None else timed_writer(view, "window_end_ms", width=ttl, ttl=ttl)
+
+
+def hot_zones_job(pings: DataFrame, view: str, checkpoint: str, *, drain=False,
+                  ttl: timedelta | None = None, **options):
+    """A window's row is final when it appears, so the view only grows; with ``ttl`` (``schemas.VIEW_TTL``)
+    it is kept by time and read with ``views.read_timed``, and old windows are deleted."""
+    return start(hot_zones(pings, **options), _zone_writer(view, ttl), checkpoint, drain=drain)
 
 
 def zone_sketch_job(pings: DataFrame, view: str, checkpoint: str, *, drain=False, **options):
@@ -138,13 +145,18 @@ def zone_sketch_job(pings: DataFrame, view: str, checkpoint: str, *, drain=False
     return start(zone_sketches(pings, **options), batch_writer(view), checkpoint, drain=drain)
 
 
-def surge_job(requests: DataFrame, view: str, checkpoint: str, *, drain=False, **options):
-    return start(surge_zones(requests, **options), batch_writer(view), checkpoint, drain=drain)
+def surge_job(requests: DataFrame, view: str, checkpoint: str, *, drain=False,
+              ttl: timedelta | None = None, **options):
+    """As hot_zones_job, for surge windows."""
+    return start(surge_zones(requests, **options), _zone_writer(view, ttl), checkpoint, drain=drain)
 
 
-def idle_job(pings: DataFrame, view: str, checkpoint: str, *, drain=False, **options):
-    """Keeps each driver's latest session."""
-    sink = upsert_writer(view, *IDLE_VIEW, between=IDLE_VIEW[1])
+def idle_job(pings: DataFrame, view: str, checkpoint: str, *, drain=False,
+             ttl: timedelta | None = None, fold_every: int = 50, **options):
+    """Keeps each driver's latest session; with ``ttl`` folds leave out drivers whose session is older, and
+    readers apply ``views.alive``."""
+    expire = None if ttl is None else (IDLE_VIEW[1][0], ttl)
+    sink = upsert_writer(view, *IDLE_VIEW, between=IDLE_VIEW[1], fold_every=fold_every, expire=expire)
     return start(idle_sessions(pings, **options), sink, checkpoint, drain=drain)
 
 

@@ -11,10 +11,13 @@ from fleetlens.sources.views import (
     batch_writer,
     drop_expired,
     drop_folded,
+    alive,
     fold_view,
     read_keyed_view,
+    read_timed,
     read_view,
     retain,
+    timed_writer,
     upsert_writer,
 )
 
@@ -94,3 +97,37 @@ def test_folding_keeps_the_declared_order(spark, path):
         upsert(spark.createDataFrame([("a", value, at)], "k string, v string, at long"), batch)
         got = read_keyed_view(spark, path, ["k"], ["at"]).first()
         assert got.v == max(arrivals[: batch + 1], key=lambda x: x[1])[0]
+
+
+def test_timed_views_read_and_keep_living_partitions_only(spark, path):
+    width, ttl = timedelta(milliseconds=10), timedelta(milliseconds=25)
+    write = timed_writer(path, "at", width=width, ttl=ttl)
+    for batch, times in enumerate(([0, 9, 12], [11, 31], [31, 55, 56])):
+        for _ in range(2):  # Run again, a batch changes nothing.
+            write(spark.createDataFrame([("k", 1, at) for at in times], COLUMNS), batch)
+    got = read_timed(spark, path, "at", width=width, ttl=ttl)
+    assert sorted((r.at, r.batch_id) for r in got.collect()) == [(55, 2), (56, 2)]
+    plan = got._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "PartitionFilters: [isnotnull(part_ms" in plan
+    write(spark.createDataFrame([("k", 1, 54)], COLUMNS), 3)
+    write(spark.createDataFrame([], COLUMNS), 4)
+    assert sorted(r.at for r in read_timed(spark, path, "at", width=width, ttl=ttl).collect()) == [54, 55, 56]
+    assert {r.part_ms for r in spark.read.parquet(path).select("part_ms").collect()} == {30, 50}
+
+
+def test_a_timed_view_without_rows(spark, path):
+    span = timedelta(seconds=1)
+    with pytest.raises(ValueError, match="no finished batch"):
+        read_timed(spark, path, "at", width=span, ttl=span)
+    assert read_timed(spark, path, "at", width=span, ttl=span, schema=StructType.fromDDL(COLUMNS)).count() == 0
+
+
+def test_folds_leave_out_expired_keys(spark, path):
+    expire = ("at", timedelta(milliseconds=10))
+    upsert = upsert_writer(path, ["k"], ["at"], between=["at"], fold_every=2, expire=expire)
+    upsert(spark.createDataFrame([("a", 1, 1), ("b", 1, 8)], COLUMNS), 0)
+    upsert(spark.createDataFrame([("c", 1, 15)], COLUMNS), 1)
+    assert {r.k for r in spark.read.parquet(f"{path}/snapshots/upto=1").collect()} == {"b", "c"}
+    upsert(spark.createDataFrame([("c", 2, 19), ("a", 2, 16)], COLUMNS), 2)
+    left = alive(read_keyed_view(spark, path, ["k"], ["at"]), *expire)
+    assert {(r.k, r.v) for r in left.collect()} == {("a", 2), ("c", 2)}
