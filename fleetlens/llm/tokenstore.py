@@ -4,15 +4,21 @@ The array is stored in segments, one row of a Parquet table each, in ascending o
 segment's ``payload`` is a small binary file:
 
     8 bytes   magic
-    u32       bytes per id (2 or 4), then u32 number of documents, u64 number of ids, u32 low bits
-    keys      presence bits of the keys, then one signed 64-bit key per document
-    low       the low bits of each document's end, packed
-    high      a bit vector with a one at (end >> low bits) + i for document i
-    ranks     u32 number of ones before every 512th byte of the vector
+    u32       bytes per id (2 or 4), then u32 number of documents, u64 number of ids
+    u32, i64  number of documents without a key, which come first, and the least key
+    keys      the other keys less the least one, a rising sequence
+    ends      the documents' ends, a rising sequence
     ids       little-endian unsigned ids
 
-An end costs about 2 + log2(ids / documents) bits instead of 64. ``select`` finds the i-th one through the
-sampled ranks, and from it a document's end.
+A rising sequence is in Elias-Fano form:
+
+    u32       number of low bits, then u32 sizes of low and high in bytes
+    low       the low bits of each value, packed
+    high      a bit vector with a one at (value >> low bits) + i for value i
+    ranks     u32 number of ones before every 512th byte of the vector
+
+A value costs about 2 + log2(greatest / number) bits instead of 64, keys as well as ends. ``select`` finds the
+i-th one through the sampled ranks, and from it a value. Beside the store, ``starts`` holds where each segment begins.
 """
 
 from __future__ import annotations
@@ -30,10 +36,11 @@ from pyspark.sql import functions as F
 from fleetlens.llm.common import map_arrow, small_batches
 from fleetlens.llm.tokens import pieces
 
-MAGIC = b"EFTOKEN1"
+MAGIC = b"EFTOKEN2"
 SEGMENT = 1 << 20
 BLOCK = 512
-_HEAD = struct.Struct("<8sIIQI")
+_HEAD = struct.Struct("<8sIIQIq")
+_SEQUENCE = struct.Struct("<III")
 _SCHEMA = "part int, segment int, n_docs bigint, n_tokens bigint, payload binary"
 
 
@@ -49,8 +56,10 @@ class EliasFano:
         n = len(values)
         top = int(values[-1]) if n else 0
         bits = max((top // n).bit_length() - 1, 0) if n else 0
-        each = (values[:, None] >> np.arange(bits, dtype=np.uint64)) & np.uint64(1)
-        low = np.packbits(each.astype(np.uint8).ravel(), bitorder="little")
+        each = np.empty((n, bits), dtype=np.uint8)
+        for bit in range(bits):
+            each[:, bit] = (values >> np.uint64(bit)) & np.uint64(1)
+        low = np.packbits(each.ravel(), bitorder="little")
         at = (values >> np.uint64(bits)).astype(np.int64) + np.arange(n)
         flags = np.zeros(int(at[-1]) + 1 if n else 0, dtype=np.uint8)
         flags[at] = 1
@@ -78,45 +87,49 @@ class EliasFano:
         """All values in one pass."""
         high = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n] - np.arange(self.n)
         flags = np.unpackbits(self.low, bitorder="little")[: self.n * self.bits].reshape(self.n, self.bits)
-        low = (flags.astype(np.int64) << np.arange(self.bits)).sum(axis=1)
-        return (high << self.bits) | low
+        out = high << self.bits
+        for bit in range(self.bits):
+            out |= flags[:, bit].astype(np.int64) << bit
+        return out
+
+    def dump(self) -> bytes:
+        parts = (self.low.tobytes(), self.high.tobytes(), self.ranks.astype("<u4").tobytes())
+        return b"".join((_SEQUENCE.pack(self.bits, len(self.low), len(self.high)), *parts))
+
+    @classmethod
+    def load(cls, n: int, payload: bytes, at: int) -> tuple[EliasFano, int]:
+        """The sequence of ``n`` values that begins at ``at``, and where it ends."""
+        bits, n_low, n_high = _SEQUENCE.unpack_from(payload, at)
+        parts = []
+        at += _SEQUENCE.size
+        for kind, count in (("u1", n_low), ("u1", n_high), ("<u4", -(-n_high // BLOCK))):
+            parts.append(np.frombuffer(payload, kind, count, at))
+            at += parts[-1].nbytes
+        return cls(n, bits, *parts), at
 
 
 def pack_segment(keys: list[int | None], ends: np.ndarray, ids: bytes) -> bytes:
-    """Keys, rising ends and little-endian 32-bit ids as one payload."""
-    bounds = EliasFano.encode(ends)
+    """Rising keys, those that are null first, rising ends and little-endian 32-bit ids as one payload."""
     array = np.frombuffer(ids, "<u4")
     width = 2 if not len(array) or int(array.max()) < 1 << 16 else 4
-    known = np.packbits(np.array([k is not None for k in keys], dtype=np.uint8), bitorder="little")
-    head = _HEAD.pack(MAGIC, width, len(keys), len(array), bounds.bits)
-    number = np.array([k or 0 for k in keys], dtype="<i8").tobytes()
-    sizes = struct.pack("<II", len(bounds.low), len(bounds.high))
+    known = np.array([k for k in keys if k is not None], dtype=np.int64)
+    least = int(known[0]) if len(known) else 0
+    # Unsigned, so that the whole range of keys fits.
+    numbers = EliasFano.encode(known.view(np.uint64) - np.int64(least).view(np.uint64))
+    head = _HEAD.pack(MAGIC, width, len(keys), len(array), len(keys) - len(known), least)
     data = array.astype(f"<u{width}").tobytes()
-    ranks = bounds.ranks.astype("<u4").tobytes()
-    return b"".join(
-        (head, sizes, known.tobytes(), number, bounds.low.tobytes(), bounds.high.tobytes(), ranks, data)
-    )
+    return b"".join((head, numbers.dump(), EliasFano.encode(ends).dump(), data))
 
 
 def read_segment(payload: bytes) -> tuple[list[int | None], EliasFano, np.ndarray]:
     """Keys, ends and ids of a payload."""
-    magic, width, n, n_ids, bits = _HEAD.unpack_from(payload)
+    magic, width, n, n_ids, unknown, least = _HEAD.unpack_from(payload)
     if magic != MAGIC:
         raise ValueError("not a token segment")
-    n_low, n_high = struct.unpack_from("<II", payload, _HEAD.size)
-    at = _HEAD.size + 8
-
-    def take(kind: str, count: int) -> np.ndarray:
-        nonlocal at
-        out = np.frombuffer(payload, kind, count, at)
-        at += out.nbytes
-        return out
-
-    known = np.unpackbits(take("u1", -(-n // 8)), bitorder="little")[:n]
-    keys = [int(k) if ok else None for k, ok in zip(take("<i8", n), known)]
-    low, high = take("u1", n_low), take("u1", n_high)
-    ranks = take("<u4", -(-n_high // BLOCK))
-    return keys, EliasFano(n, bits, low, high, ranks), take(f"<u{width}", n_ids)
+    numbers, at = EliasFano.load(n - unknown, payload, _HEAD.size)
+    bounds, at = EliasFano.load(n, payload, at)
+    keys = [None] * unknown + (numbers.all() + np.int64(least)).tolist()
+    return keys, bounds, np.frombuffer(payload, f"<u{width}", n_ids, at)
 
 
 def write(
@@ -166,25 +179,33 @@ def write(
         if keys:
             yield closed()
 
-    rows.mapInArrow(run, _SCHEMA).write.parquet(path)
+    rows.mapInArrow(run, _SCHEMA).write.parquet(f"{path}/segments")
+    _starts(documents.sparkSession.read.schema(_SCHEMA).parquet(f"{path}/segments")).write.parquet(f"{path}/starts")
 
 
-def read(documents_path: str, spark) -> DataFrame:
-    """One row per document of a written store: doc_id, start, n_tokens and ids_crc32, the unsigned crc32
-    of its ids as little-endian unsigned 32-bit numbers."""
-    small_batches(spark)
-    segments = spark.read.schema(_SCHEMA).parquet(documents_path)
+def _starts(segments: DataFrame) -> DataFrame:
+    """How many ids lie before each segment."""
     sizes = segments.select("part", "segment", "n_tokens")
     before = (Window.unboundedPreceding, -1)
     # Two prefix sums: one row per partition, then the segments within each.
     totals = sizes.groupBy("part").agg(F.sum("n_tokens").alias("tokens"))
     base = F.coalesce(F.sum("tokens").over(Window.orderBy("part").rowsBetween(*before)), F.lit(0))
     inner = Window.partitionBy("part").orderBy("segment").rowsBetween(*before)
-    starts = sizes.join(totals.select("part", base.alias("base")), "part").select(
+    return sizes.join(totals.select("part", base.alias("base")), "part").select(
         "part",
         "segment",
         (F.col("base") + F.coalesce(F.sum("n_tokens").over(inner), F.lit(0))).alias("first"),
     )
+
+
+def read(documents_path: str, spark) -> DataFrame:
+    """One row per document of a written store: doc_id, start, n_tokens and ids_crc32, the unsigned crc32
+    of its ids as little-endian unsigned 32-bit numbers.
+
+    Where the starts are below Spark's broadcast size, by that of their files, no payload is shuffled."""
+    small_batches(spark)
+    segments = spark.read.schema(_SCHEMA).parquet(f"{documents_path}/segments")
+    starts = spark.read.schema("part int, segment int, first bigint").parquet(f"{documents_path}/starts")
     rows = segments.join(starts, ["part", "segment"]).select("first", "payload")
 
     def run(batch: pa.RecordBatch) -> dict:

@@ -409,3 +409,15 @@ def test_a_word_repeated_ten_thousand_times_is_tiled_fast():
     start = time.perf_counter()
     assert decontaminate.tiles([[7] * 10_000], [7] * 1200) == [(0, 0, 0, 1200)]
     assert time.perf_counter() - start < 10
+
+
+@pytest.mark.parametrize("low, high", [(-(2**63), 2**63 - 1), (0, 50), (-5, 5), (10**12, 10**12 + 10**6)])
+def test_segments_round_trip(low, high):
+    rng = np.random.default_rng(abs(high) % 1000)
+    for n in range(40):
+        keys = [None] * int(rng.integers(0, 3)) + sorted(rng.integers(low, high, n, endpoint=True).tolist())
+        sizes = rng.integers(1, 5, len(keys))
+        ends, ids = np.cumsum(sizes).astype(np.uint64), rng.integers(0, 70_000, int(sizes.sum())).astype("<u4")
+        read_keys, bounds, read_ids = tokenstore.read_segment(tokenstore.pack_segment(keys, ends, ids.tobytes()))
+        assert read_keys == keys and (read_ids == ids).all()
+        assert [bounds[i] for i in range(len(keys))] == ends.tolist() == bounds.all().tolist()
