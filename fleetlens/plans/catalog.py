@@ -679,6 +679,17 @@ def driver_state_batches_stream(spark, sf_dir):
     return state.withColumn("rating", F.col("rating").cast("string"))
 
 
+@query
+def driver_state_buckets_stream(spark, sf_dir):
+    """The same kept in buckets, of which a batch rewrites those of its keys."""
+    changes = tables.stream_shuffled_driver_changes(spark, sf_dir, 6)
+    path = _drain(spark, "driver-buckets", lambda view, checkpoint: jobs.dimension_job(
+        changes, view, checkpoint, drain=True, buckets=8))
+    latest = views.read_buckets(spark, path)
+    state = latest.where(~changelog.is_delete(latest)).drop("op")
+    return state.withColumn("rating", F.col("rating").cast("string"))
+
+
 @query
 def enriched_rides_latest_stream(spark, sf_dir):
     """Streamed requests and streamed driver changes, joined when read."""

@@ -363,6 +363,7 @@ WHERE abs((n * 37 % 240 - 120) * 1000) > {_SKEW}""",
     "enriched_rides_changed_stream": _CHANGED_ROWS,
     "driver_state_stream": _STATE,
     "driver_state_batches_stream": _STATE,
+    "driver_state_buckets_stream": _STATE,
     # Pings without a time count as of now; they close every earlier window.
     "ingested_zones_stream": _with()
     + f"""SELECT CASE WHEN k % 10 = 8 THEN {_GRID} ELSE h3_cell END AS h3_cell,

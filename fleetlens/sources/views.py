@@ -202,6 +202,68 @@ def upsert_writer(
     return upsert
 
 
+def _bucket_versions(spark: SparkSession, path: str, buckets: Sequence[int] | None = None) -> dict[int, list[int]]:
+    """Versions of each bucket of a bucketed view, oldest first."""
+    fs, folder = _folder(spark, path)
+    if buckets is None:
+        names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+        buckets = [int(name.split("=")[1]) for name in names if name.startswith("bucket=")]
+    found = {}
+    for bucket in buckets:
+        fs, folder = _folder(spark, f"{path}/bucket={bucket}")
+        names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+        found[bucket] = sorted(int(name.split("=")[1]) for name in names if name.startswith("version="))
+    return found
+
+
+def _read_versions(spark: SparkSession, path: str, newest: dict[int, int]) -> DataFrame:
+    folders = [f"{path}/bucket={bucket}/version={version}" for bucket, version in newest.items()]
+    return spark.read.option("basePath", path).parquet(*folders).drop("version")
+
+
+def bucket_writer(
+    path: str, keys: Sequence[str], order: Sequence[str], *, buckets: int = 64, keep: int = 2
+) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function that replaces rows by key in a view hashed into ``buckets`` by key.
+
+    A batch rewrites only the buckets that its keys fall into, each as a new version of that bucket: a folder that
+    appears whole, by a rename, so a lost job leaves the version before it. The last row by ``order`` counts, in
+    whichever batch it comes; a batch that is run again starts from the versions before its own. ``keep``
+    versions of a bucket stay for readers. The number of buckets must stay the same for one view.
+    """
+    if keep < 2:
+        raise ValueError("a batch that is run again needs the version before its own: keep at least 2")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+        latest = latest_per_key(batch, keys, order).withColumn("bucket", bucket).persist()
+        try:
+            # As many numbers as the view has buckets.
+            touched = [row.bucket for row in latest.select("bucket").distinct().collect()]
+            before = {b: [n for n in all_of if n < batch_id]
+                      for b, all_of in _bucket_versions(spark, path, touched).items()}
+            newest = {b: versions[-1] for b, versions in before.items() if versions}
+            rows = latest.unionByName(_read_versions(spark, path, newest)) if newest else latest
+            merged = latest_per_key(rows, keys, order).withColumn("version", F.lit(batch_id))
+            parts = merged.repartition("bucket").write.mode("overwrite").partitionBy("bucket", "version")
+            parts.option("partitionOverwriteMode", "dynamic").parquet(path)
+        finally:
+            latest.unpersist()
+        old = [(b, n) for b, versions in before.items() for n in versions[: 1 - keep]]
+        _delete(spark, [f"{path}/bucket={b}/version={n}" for b, n in old])
+
+    return write
+
+
+def read_buckets(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """The row of each key of a bucketed view: the newest version of every bucket."""
+    newest = {b: versions[-1] for b, versions in _bucket_versions(spark, path).items() if versions}
+    if not newest:
+        return _empty(spark, path, schema).drop("written_at_ms", "batch_id")
+    return _read_versions(spark, path, newest).drop("bucket")
+
+
 def read_version(spark: SparkSession, path: str, upto: int) -> DataFrame | None:
     """The newest version of a rewritten table that is not after ``upto``, if any."""
     done = [n for n in _finished(spark, path, "version") if n <= upto]

@@ -36,6 +36,7 @@ from fleetlens.operators.windows import hot_zones, idle_sessions, surge_zones, z
 from fleetlens.schemas import LOCATION_TOPIC, REQUEST_TOPIC
 from fleetlens.sources.views import (
     batch_writer,
+    bucket_writer,
     read_keyed_view,
     read_version,
     timed_writer,
@@ -252,9 +253,13 @@ def anomaly_table_job(
 
 
 def dimension_job(changes: DataFrame, view: str, checkpoint: str, *, keys=("driver_id",),
-                  fold_every: int = 50, drain=False):
-    """Keeps a captured table's latest change per key, deletes included as such."""
-    sink = upsert_writer(view, list(keys), CHANGE_ORDER, between=CHANGE_ORDER, fold_every=fold_every)
+                  fold_every: int = 50, buckets: int | None = None, drain=False):
+    """Keeps a captured table's latest change per key, deletes included as such. With ``buckets`` a batch
+    rewrites only the buckets of its keys, and the view is read with ``views.read_buckets``."""
+    if buckets is None:
+        sink = upsert_writer(view, list(keys), CHANGE_ORDER, between=CHANGE_ORDER, fold_every=fold_every)
+    else:
+        sink = bucket_writer(view, list(keys), CHANGE_ORDER, buckets=buckets)
     return start(changes, sink, checkpoint, drain=drain)
 
 

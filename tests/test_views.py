@@ -1,5 +1,6 @@
 import time
 from datetime import timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql.types import StructType
@@ -9,10 +10,12 @@ from fleetlens.schemas import VIEW_TTL
 from fleetlens.session import work_dir
 from fleetlens.sources.views import (
     batch_writer,
+    bucket_writer,
     drop_expired,
     drop_folded,
     alive,
     fold_view,
+    read_buckets,
     read_keyed_view,
     read_timed,
     read_view,
@@ -131,3 +134,30 @@ def test_folds_leave_out_expired_keys(spark, path):
     upsert(spark.createDataFrame([("c", 2, 19), ("a", 2, 16)], COLUMNS), 2)
     left = alive(read_keyed_view(spark, path, ["k"], ["at"]), *expire)
     assert {(r.k, r.v) for r in left.collect()} == {("a", 2), ("c", 2)}
+
+
+def test_a_batch_rewrites_the_buckets_of_its_keys(spark, path):
+    write = bucket_writer(path, ["k"], ["at"], buckets=4)
+
+    def folders():
+        return {(p.parent.name, p.name) for p in Path(path).glob("bucket=*/version=*")}
+
+    write(spark.createDataFrame([(f"k{i}", i, 5) for i in range(40)], COLUMNS), 0)
+    assert len(folders()) == 4
+    for _ in range(2):  # Run again, a batch changes nothing.
+        write(spark.createDataFrame([("k1", 100, 6), ("k1", 99, 4)], COLUMNS), 1)
+        assert len(folders()) == 5
+        assert {r.k: r.v for r in read_buckets(spark, path).collect()} == {f"k{i}": i for i in range(40)} | {"k1": 100}
+    write(spark.createDataFrame([("k1", 7, 5), (None, 3, 1)], COLUMNS), 2)
+    write(spark.createDataFrame([], COLUMNS), 3)
+    want = {f"k{i}": i for i in range(40)} | {"k1": 100, None: 3}
+    assert {r.k: r.v for r in read_buckets(spark, path).collect()} == want
+    assert max(len(list(b.glob("version=*"))) for b in Path(path).glob("bucket=*")) == 2
+
+
+def test_a_bucketed_view_without_rows(spark, path):
+    with pytest.raises(ValueError, match="no finished batch"):
+        read_buckets(spark, path)
+    assert read_buckets(spark, path, StructType.fromDDL(COLUMNS)).count() == 0
+    with pytest.raises(ValueError, match="keep"):
+        bucket_writer(path, ["k"], ["at"], keep=1)
