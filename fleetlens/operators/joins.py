@@ -168,6 +168,42 @@ def last_match(candidates: DataFrame) -> DataFrame:
     )
 
 
+def last_matches(
+    requests: DataFrame,
+    pings: DataFrame,
+    *,
+    before: timedelta = BEFORE,
+    after: timedelta = AFTER,
+) -> DataFrame:
+    """``last_match`` of the candidates without listing them: rows in and out are of the order of the input.
+    Batch only.
+
+    A ride's last match is the last ping of a cell up to the end of a request's interval, whoever sent it. Both sides
+    meet in (cell, pane) with panes as wide as the interval, a request in the two panes it touches, and one pass in the
+    order of time looks up each request. Of pings at one instant in a cell one is kept ahead of the shuffle.
+    """
+    width = max(before + after, timedelta(milliseconds=1))
+    asked_ms = F.unix_millis("event_time")
+    low, high = asked_ms - millis(before), asked_ms + millis(after)
+    asked = requests.where("h3_cell is not null and event_time is not null").select(
+        "h3_cell", high.alias("t"), F.lit(None).cast("long").alias("at"), "ride_id", low.alias("low"),
+        F.explode(F.array_distinct(F.array(pane_start(low, width), pane_start(high, width)))).alias("pane"),
+    )
+    ride = dict(requests.dtypes)["ride_id"]
+    seen = (
+        pings.where("h3_cell is not null and event_time is not null")
+        .select("h3_cell", F.unix_millis("event_time").alias("t"))
+        .distinct()
+        .select("h3_cell", "t", F.col("t").alias("at"), F.lit(None).cast(ride).alias("ride_id"),
+                F.lit(None).cast("long").alias("low"), pane_start(F.col("t"), width).alias("pane"))
+    )
+    # Pings, which have no lower end, come before requests that end at the same instant.
+    upto = Window.partitionBy("h3_cell", "pane").orderBy("t", F.col("low").asc_nulls_first())
+    found = seen.unionByName(asked).withColumn("match_time_ms", F.last("at", ignorenulls=True).over(
+        upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return last_match(found.where("match_time_ms >= low").select("ride_id", "h3_cell", "match_time_ms"))
+
+
 def rider_driver_id(rider_id: Column) -> Column:
     """The driver a rider is joined to: the first four digits after the 'rdr-' prefix."""
     return F.concat(F.lit("drv-"), F.substring(rider_id, 5, 4))

@@ -274,6 +274,12 @@ def _match(operator, spark, sf_dir):
     )
 
 
+def _match_repeated(operator, spark, sf_dir):
+    asked = tables.requests(spark, sf_dir).withColumn("ride_id", F.col("rider_id"))
+    pings = tables.pings(spark, sf_dir)
+    return operator(asked, pings, before=MATCH_BEFORE, after=MATCH_AFTER)
+
+
 @query
 def ride_matches(spark, sf_dir):
     return _match(joins.match_rides, spark, sf_dir).select(
@@ -294,19 +300,17 @@ def match_candidates_from_matches(spark, sf_dir):
 @query
 def repeated_ride_candidates(spark, sf_dir):
     """A rider's requests as retries of one ride, in whatever cell each of them was made."""
-    asked = tables.requests(spark, sf_dir).withColumn("ride_id", F.col("rider_id"))
-    pings = tables.pings(spark, sf_dir)
-    return joins.match_candidates(asked, pings, before=MATCH_BEFORE, after=MATCH_AFTER)
+    return _match_repeated(joins.match_candidates, spark, sf_dir)
 
 
 @query
 def repeated_ride_last_match(spark, sf_dir):
-    return joins.last_match(repeated_ride_candidates(spark, sf_dir))
+    return _match_repeated(joins.last_matches, spark, sf_dir)
 
 
 @query
 def last_match(spark, sf_dir):
-    return joins.last_match(match_candidates(spark, sf_dir))
+    return _match(joins.last_matches, spark, sf_dir)
 
 
 @query

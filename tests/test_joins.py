@@ -10,6 +10,7 @@ from fleetlens.functions.records import enriched_map
 from fleetlens.operators.joins import (
     enrich_rides,
     last_match,
+    last_matches,
     match_candidates,
     match_rides,
     pings_in_reach,
@@ -128,3 +129,33 @@ def test_pings_in_reach_are_those_that_match(spark):
     assert rows(near, "driver_id", "event_id") == [("a", "e00001"), ("b", "e00002")]
     columns = ("ride_id", "driver_id", "h3_cell", "match_time_ms")
     assert rows(match_candidates(asked, near), *columns) == rows(match_candidates(asked, seen), *columns)
+
+
+@CALLS
+@given(RIDES, PINGS, st.sampled_from([(60, 120), (0, 0), (500, 3)]), st.integers(1, 4))
+def test_last_matches_are_those_of_all(spark, rides, track, spans, retries):
+    bounds = {name: timedelta(seconds=s) for name, s in zip(("before", "after"), spans)}
+    asked = requests(spark, [(f"r{i // retries}", at, cell) for i, (at, cell) in enumerate(rides)])
+    seen = pings(spark, track)
+    every = match_candidates(asked, seen, **bounds)
+    columns = "ride_id", "h3_cell", "last_match_ms"
+    assert rows(last_matches(asked, seen, **bounds), *columns) == rows(last_match(every), *columns)
+
+
+def test_last_matches_list_no_pairs(spark):
+    """A thousand requests and pings of one interval are a million candidates."""
+    asked = requests(spark, [(f"r{i}", 500 + i / 1000) for i in range(1000)])
+    seen = pings(spark, [(f"d{i}", 450 + i / 1000) for i in range(1000)])
+    found = last_matches(asked, seen)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    assert {r[0] for r in rows(found, "last_match_ms")} == {ms(450.999)}
+
+
+def test_null_rides_and_drivers_have_last_matches(spark):
+    asked = requests(spark, [(None, 100), (None, 300), ("r", 100)])
+    seen = pings(spark, [(None, 90), ("a", 310)])
+    every = match_candidates(asked, seen)
+    columns = "ride_id", "h3_cell", "last_match_ms"
+    found = {tuple(r) for r in last_matches(asked, seen).select(*columns).collect()}
+    assert found == {tuple(r) for r in last_match(every).select(*columns).collect()}
