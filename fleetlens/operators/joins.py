@@ -204,6 +204,28 @@ def last_matches(
     return last_match(found.where("match_time_ms >= low").select("ride_id", "h3_cell", "match_time_ms"))
 
 
+def newest_candidates(
+    requests: DataFrame,
+    pings: DataFrame,
+    k: int,
+    *,
+    before: timedelta = BEFORE,
+    after: timedelta = AFTER,
+) -> DataFrame:
+    """Candidates that hold the ``k`` latest ones, whatever the order of ties. Batch only.
+
+    The last matches of k rides belong to k candidates, so the k-th latest of them is a bound: every candidate from
+    that instant on is listed, all earlier pings are left out. Fewer rides than k set no bound.
+    """
+    newest = last_matches(requests, pings, before=before, after=after)
+    newest = newest.select("last_match_ms").orderBy(F.desc("last_match_ms")).limit(k)
+    bound = newest.select(F.when(F.count("*") == k, F.min("last_match_ms"))).first()[0]
+    if bound is not None:
+        pings = pings.where(F.unix_millis("event_time") >= bound)
+        requests = requests.where(F.unix_millis("event_time") + millis(after) >= bound)
+    return match_candidates(requests, pings, before=before, after=after)
+
+
 def rider_driver_id(rider_id: Column) -> Column:
     """The driver a rider is joined to: the first four digits after the 'rdr-' prefix."""
     return F.concat(F.lit("drv-"), F.substring(rider_id, 5, 4))

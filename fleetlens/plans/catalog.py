@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import timedelta
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -479,7 +480,8 @@ def recently_idle_drivers(spark, sf_dir):
 
 @query
 def recent_matches(spark, sf_dir):
-    return serving.recent_matches(match_candidates(spark, sf_dir), 10)
+    newest = _match(partial(joins.newest_candidates, k=10), spark, sf_dir)
+    return serving.recent_matches(newest, 10)
 
 
 def _last_ride(spark, sf_dir):

@@ -13,9 +13,11 @@ from fleetlens.operators.joins import (
     last_matches,
     match_candidates,
     match_rides,
+    newest_candidates,
     pings_in_reach,
     reduce_matches,
 )
+from fleetlens.operators.serving import recent_matches
 
 CALLS = settings(
     max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
@@ -132,14 +134,16 @@ def test_pings_in_reach_are_those_that_match(spark):
 
 
 @CALLS
-@given(RIDES, PINGS, st.sampled_from([(60, 120), (0, 0), (500, 3)]), st.integers(1, 4))
-def test_last_matches_are_those_of_all(spark, rides, track, spans, retries):
+@given(RIDES, PINGS, st.sampled_from([(60, 120), (0, 0), (500, 3)]), st.integers(1, 6), st.integers(1, 4))
+def test_last_matches_and_newest_candidates_are_those_of_all(spark, rides, track, spans, k, retries):
     bounds = {name: timedelta(seconds=s) for name, s in zip(("before", "after"), spans)}
     asked = requests(spark, [(f"r{i // retries}", at, cell) for i, (at, cell) in enumerate(rides)])
     seen = pings(spark, track)
     every = match_candidates(asked, seen, **bounds)
     columns = "ride_id", "h3_cell", "last_match_ms"
     assert rows(last_matches(asked, seen, **bounds), *columns) == rows(last_match(every), *columns)
+    newest = newest_candidates(asked, seen, k, **bounds)
+    assert recent_matches(newest, k).collect() == recent_matches(every, k).collect()
 
 
 def test_last_matches_list_no_pairs(spark):
@@ -150,6 +154,7 @@ def test_last_matches_list_no_pairs(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan
     assert {r[0] for r in rows(found, "last_match_ms")} == {ms(450.999)}
+    assert newest_candidates(asked, seen, 10).count() == 1000
 
 
 def test_null_rides_and_drivers_have_last_matches(spark):
