@@ -51,6 +51,15 @@ def split_changes(
 ) -> tuple[DataFrame, DataFrame]:
     """(changes, dead letters) from a capture topic's key, value, partition and offset.
 
+    Where both are used, persist :func:`check_changes` and split that with :func:`split_checked`: values are then
+    parsed once.
+    """
+    return split_checked(check_changes(rows, table, keys), topic=topic, failed_at=failed_at)
+
+
+def check_changes(rows: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
+    """Rows of a capture topic that hold a value, with the change it holds and what is wrong with it, if anything.
+
     Values are flattened JSON rows with ``__op``, ``__ts_ms`` and ``__deleted``; decimals and times may be
     text. A change has the columns of ``table`` (DDL) plus op, ts_ms, ``__deleted``, log_partition and seq, the
     offset. A tombstone, a null value, adds nothing after the rewritten delete it follows. A value that is no
@@ -73,7 +82,13 @@ def split_changes(
     )
     for key in keys:
         reason = F.coalesce(reason, F.when(F.col(f"_body.{key}").isNull(), f"{key}: missing"))
-    checked = held.select("*", F.inline(F.array(F.struct(reason.alias("failure_reason")))))
+    return held.select("*", F.inline(F.array(F.struct(reason.alias("failure_reason")))))
+
+
+def split_checked(
+    checked: DataFrame, *, topic: str, failed_at: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(changes, dead letters) from the rows of :func:`check_changes`."""
     good = checked.where("failure_reason is null").select(
         "_body.*", F.col("partition").alias("log_partition"), F.col("offset").alias("seq")
     )

@@ -272,13 +272,14 @@ def stream_shuffled_driver_changes(spark: SparkSession, sf_dir: str, parts: int)
 
 
 def _stream_shuffled_orders(spark: SparkSession, sf_dir: str, parts: int) -> DataFrame:
-    """The changes as a stream of files, one per micro-batch, that are not in the order of time: every file
-    holds changes of the whole span, and a driver's changes lie in several of them."""
+    """The changes as a stream of ``parts`` micro-batches that are not in the order of time: every file holds changes
+    of the whole span, and a driver's changes lie in several of them. A micro-batch has as many files as tasks can
+    read at once, however large the table is."""
     path = work_dir(spark, "shuffled-orders")
-    part = F.pmod(F.xxhash64("o_orderkey"), F.lit(parts))
-    orders = table(spark, sf_dir, "orders").withColumn("part", part)
-    orders.write.partitionBy("part").parquet(path)
-    return read_files(spark, f"{path}/part=*", ORDERS, streaming=True, files_per_batch=1)
+    orders = table(spark, sf_dir, "orders")
+    files = spark.sparkContext.defaultParallelism
+    orders.repartition(parts * files, "o_orderkey").write.parquet(path)
+    return read_files(spark, path, ORDERS, streaming=True, files_per_batch=files)
 
 
 def ride_changes(spark: SparkSession, sf_dir: str) -> DataFrame:

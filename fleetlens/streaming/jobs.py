@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fleetlens.functions.records import anomaly_events
 from fleetlens.functions.timing import LATENESS, millis
-from fleetlens.operators.changelog import CHANGE_ORDER, LOG_ORDER, is_delete, split_changes
+from fleetlens.operators.changelog import CHANGE_ORDER, LOG_ORDER, check_changes, is_delete, split_checked
 from fleetlens.operators.joins import enrich_rides, match_rides, reduce_matches
 from fleetlens.operators.lifecycle import event_faults
 from fleetlens.operators.motion import (
@@ -265,20 +265,21 @@ def dimension_job(changes: DataFrame, view: str, checkpoint: str, *, keys=("driv
 
 def change_log_job(rows: DataFrame, table: str, view: str, letters: str, checkpoint: str, *, topic: str,
                    keys=("driver_id",), fold_every: int = 50, drain=False):
-    """As dimension_job, from a capture topic's own rows (``changelog.split_changes``): changes are ordered by
+    """As dimension_job, from a capture topic's own rows (``changelog.check_changes``): changes are ordered by
     offset, and values that can't be read go to the letters and stop nothing. A key must stay in one
     partition; ``changelog.log_state`` checks that, a stream does not."""
     sink = upsert_writer(view, list(keys), LOG_ORDER, between=LOG_ORDER, fold_every=fold_every)
     to_letters = batch_writer(letters)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        # Values are parsed once for both outputs.
+        checked = check_changes(batch, table, keys).persist()
         try:
-            good, bad = split_changes(batch, table, keys, topic=topic)
+            good, bad = split_checked(checked, topic=topic)
             sink(good, batch_id)
             to_letters(bad, batch_id)
         finally:
-            batch.unpersist()
+            checked.unpersist()
 
     return start(rows, write, checkpoint, drain=drain)
 

@@ -12,6 +12,7 @@ from fleetlens.operators.lifecycle import first_requests
 from fleetlens.operators.motion import anomalies
 from fleetlens.operators.serving import top_hot_zones
 from fleetlens.operators.windows import hot_zones, idle_sessions, surge_zones
+from fleetlens.plans import tables
 from fleetlens.session import work_dir
 from fleetlens.sources.events import read_files, read_pings, read_raw
 from fleetlens.sources.views import batch_writer, read_keyed_view, read_view
@@ -325,3 +326,17 @@ def test_retried_requests_pass_once(spark):
 def test_file_input_has_no_latest(spark):
     with pytest.raises(ValueError, match="earliest"):
         read_files(spark, "/nowhere", "a int", starting="latest")
+
+
+def test_shuffled_changes_have_the_same_batches_however_the_table_lies(spark):
+    """A table of many files is a larger micro-batch, not more of them."""
+    base = work_dir(spark, "orders")
+    orders = spark.range(1000).select(
+        F.col("id").alias("o_orderkey"), (F.col("id") % 50).alias("o_custkey"), F.lit("O").alias("o_orderstatus"),
+        F.lit(1.0).alias("o_totalprice"), F.lit("2024-01-01").cast("timestamp_ntz").alias("o_orderdate"),
+        F.lit("x").alias("o_orderpriority"))
+    orders.repartition(9).write.option("maxRecordsPerFile", 20).parquet(f"{base}/orders.parquet")
+    sizes = []
+    changes = tables.stream_shuffled_driver_changes(spark, base, 6)
+    jobs.start(changes, lambda batch, _: sizes.append(batch.count()), f"{base}/checkpoint", drain=True).awaitTermination()
+    assert len(sizes) == 6 and sum(sizes) == 1000
