@@ -1,12 +1,14 @@
 from datetime import timedelta
 from decimal import Decimal
 
+import pytest
 from fixtures import ms, pings, requests, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from fleetlens.functions.records import enriched_map
+from fleetlens.operators import joins
 from fleetlens.operators.joins import (
     enrich_rides,
     last_match,
@@ -164,3 +166,52 @@ def test_null_rides_and_drivers_have_last_matches(spark):
     columns = "ride_id", "h3_cell", "last_match_ms"
     found = {tuple(r) for r in last_matches(asked, seen).select(*columns).collect()}
     assert found == {tuple(r) for r in last_match(every).select(*columns).collect()}
+
+
+@CALLS
+@given(RIDES, PINGS, st.integers(1, 3), st.sampled_from([50, 100, 3600]))
+def test_blocks_give_the_same_candidates(spark, rides, track, retries, chunk):
+    bounds = {"before": timedelta(seconds=60), "after": timedelta(seconds=120)}
+    asked = requests(spark, [(f"r{i // retries}", at, cell) for i, (at, cell) in enumerate(rides)])
+    seen = pings(spark, track)
+    columns = "ride_id", "driver_id", "h3_cell", "match_time_ms"
+    want = rows(reduce_matches(match_rides(asked, seen, **bounds)), *columns)
+    assert rows(reduce_matches(match_rides(asked, seen, side=3, **bounds)), *columns) == want
+    cut = {"chunk": timedelta(seconds=chunk), **bounds}
+    assert rows(match_candidates(asked, seen, **cut), *columns) == want
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(joins, "BLOCK_PAIRS", 2)
+        assert rows(match_candidates(asked, seen, **cut), *columns) == want
+
+
+def test_pairs_of_rides_are_not_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(joins, "BLOCK_PAIRS", 10)
+    seen = pings(spark, [(f"d{i}", 100 + i) for i in range(20)])
+    once = requests(spark, [(f"r{i}", 100) for i in range(20)])
+    again = requests(spark, [(f"r{i % 10}", 100 + i) for i in range(20)])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    # As with sides that are too large to be broadcast.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = [found._jdf.queryExecution().executedPlan().toString() for found in (
+            match_candidates(once, seen), match_candidates(again, seen),
+            reduce_matches(match_rides(again, seen, side=3)))]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # Of rides with one request only the first branch has rows.
+    plans[0] = "\n".join(line for line in plans[0].splitlines() if line.startswith("   :"))
+    assert all("Inner" in plan for plan in plans)
+    assert [_exchanged_joins(plan) for plan in plans] == [0, 0, 0]
+
+
+def _exchanged_joins(plan: str) -> int:
+    """Joins of pings and requests that lie below an exchange."""
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*"))
+    lines, found = plan.splitlines(), 0
+    for i, line in enumerate(lines):
+        if " Exchange " in f" {line.lstrip(' :+-*')} "[:10]:
+            for under in lines[i + 1 :]:
+                if depth(under) <= depth(line):
+                    break
+                found += "Join" in under and "Inner" in under
+    return found
