@@ -44,7 +44,7 @@ from fleetlens.sources.views import (
     write_version,
 )
 from fleetlens.streaming.detector import anomaly_stream
-from fleetlens.streaming.enrichment import reenriched_rides
+from fleetlens.streaming.enrichment import reenricher, rides_and_changes
 from fleetlens.streaming.slices import sliced_anomaly_stream
 
 Sink = Callable[[DataFrame, int], None]
@@ -319,19 +319,12 @@ def read_enriched(spark: SparkSession, requests_view: str, drivers: DataFrame) -
 
 def reenrich_job(requests: DataFrame, changes: DataFrame, view: str, checkpoint: str, *, drain=False,
                  **options):
-    """Keeps each ride with its driver's current values; a change of the driver replaces the ride's row.
-
-    State with a lifetime asks for a batch after every batch, so a run that drains its input would never
-    end: it goes without batches that bring no data."""
+    """Keeps each ride with its driver's current values; a change of the driver replaces the ride's row. Drivers and
+    waiting rides are kept in tables beside the view."""
     sink = upsert_writer(view, *ENRICHED_VIEW, between=[*ENRICHED_VIEW[1], "batch_id"])
-    conf, name = requests.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
-    before = conf.get(name)
-    conf.set(name, "false" if drain else before)
-    try:
-        # A query keeps the settings that it started with.
-        return start(reenriched_rides(requests, changes, **options), sink, checkpoint, drain=drain)
-    finally:
-        conf.set(name, before)
+    rating = dict(changes.dtypes)["rating"]
+    write = reenricher(sink, f"{view}-state", rating, **options)
+    return start(rides_and_changes(requests, changes), write, checkpoint, drain=drain)
 
 
 def read_rides(spark: SparkSession, view: str) -> DataFrame:
