@@ -2,9 +2,11 @@
 
 from datetime import timedelta
 
-from fixtures import requests
+import pytest
+from fixtures import ms, pings, requests, rows
 from test_streaming import changes, feed
 
+from fleetlens.operators.joins import match_candidates
 from fleetlens.session import work_dir
 from fleetlens.sources.views import batch_writer, read_view
 from fleetlens.streaming import jobs
@@ -42,3 +44,31 @@ def test_changed_rides_run_no_python_per_driver(spark):
     query = jobs.reenrich_job(asked.read(), turned.read(), asked.path("view"), asked.path("checkpoint"), drain=True)
     query.awaitTermination()
     assert [p["stateOperators"] for p in query.recentProgress] == [[]] * len(query.recentProgress) != []
+
+
+COLUMNS = ("ride_id", "driver_id", "match_time_ms", "h3_cell")
+
+
+@pytest.mark.parametrize("slices", [1, 3])
+def test_streamed_matches_keep_and_shuffle_no_pairs(spark, slices):
+    """Late pings, a ride requested again in a later batch, and rows without a cell or time, without state per pair."""
+    asked = [[("r1", 50), ("r2", 60, "c2")], [("r1", 400, "c2"), ("r3", 130), ("r4", 90, None)], [("r5", 395, "c2")]]
+    seen = [[("a", 0), ("b", 20, "c2"), ("a", 55), ("a", 55)], [("a", 70), ("b", 66, "c2"), ("c", 61)],
+            [("a", 300), ("b", 390, "c2"), ("b", 402, "c2"), ("c", 135)]]
+    one, two = feed(spark, requests, *asked), feed(spark, pings, *seen)
+    view = two.path("view")
+    query = jobs.match_job(one.read(), two.read(), view, two.path("checkpoint"), drain=True, slices=slices,
+                           lateness=timedelta(seconds=100))
+    query.awaitTermination()
+    assert all(p["stateOperators"] == [] for p in query.recentProgress)
+    want = match_candidates(requests(spark, sum(asked, [])), pings(spark, sum(seen, [])))
+    got = jobs.read_matches(spark, view)
+    assert rows(got, *COLUMNS) == rows(want, *COLUMNS) and ("r1", "b", ms(402), "c2") in rows(got, *COLUMNS)
+
+
+def test_matches_forget_what_can_match_no_more(spark):
+    one = feed(spark, requests, [("r1", 0)], [("r2", 5000)], [("r3", 10000)])
+    two = feed(spark, pings, [("a", 1)], [("a", 5001)], [("b", 10001)])
+    jobs.match_job(one.read(), two.read(), two.path("view"), two.path("checkpoint"), drain=True).awaitTermination()
+    kept = spark.read.parquet(f"{two.path('view')}-state/rows/version=2")
+    assert rows(kept.where("asked"), "ride_id") == [("r3",)] and rows(kept.where("not asked"), "driver_id") == [("b",)]
