@@ -204,7 +204,7 @@ def anomalies(
     """
     silent = _goes_silent(F.col("next_at"), gap, _as_ms(as_of))
     track = _neighbours(_positions(pings), chunk, (_speed() > mps) | silent, rows=rows)
-    return _found(track, mps, gap, silent)
+    return _found(track.withColumn("speed", _speed()), mps, gap, silent)
 
 
 def _found(track: DataFrame, mps: float, gap: timedelta, silent: Column) -> DataFrame:
@@ -214,8 +214,12 @@ def _found(track: DataFrame, mps: float, gap: timedelta, silent: Column) -> Data
             F.when(silent, _ghost_anomaly(gap)),
         )
     )
-    rows = track.withColumn("speed", _speed()).select(F.explode(found).alias("a"))
-    return rows.select("a.*")
+    return track.select(F.explode(found).alias("a")).select("a.*")
+
+
+def found_in_track(steps: DataFrame, mps: float, gap: timedelta) -> DataFrame:
+    """Anomalies of positions whose ``speed`` and following silence (``silent``) are known."""
+    return _found(steps, mps, gap, F.col("silent"))
 
 
 # Last position per driver; armed until the silence after it has been reported.
@@ -263,7 +267,7 @@ def continue_tracks(
 def track_anomalies(
     track: DataFrame, *, mps: float = SPEED_MPS, gap: timedelta = GHOST_GAP
 ) -> DataFrame:
-    return _found(track, mps, gap, F.col("silent"))
+    return found_in_track(track.withColumn("speed", _speed()), mps, gap)
 
 
 def track_state(track: DataFrame) -> DataFrame:

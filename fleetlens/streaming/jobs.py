@@ -46,7 +46,7 @@ from fleetlens.sources.views import (
 from fleetlens.streaming.detector import anomaly_stream
 from fleetlens.streaming.enrichment import reenricher, rides_and_changes
 from fleetlens.streaming.matching import matcher, merged_matches, requests_and_pings
-from fleetlens.streaming.slices import sliced_anomaly_stream
+from fleetlens.streaming.slices import slices_and_times, stitcher
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -184,9 +184,11 @@ def anomaly_job(pings: DataFrame, view: str, events: str, checkpoint: str, *, dr
 
 def sliced_anomaly_job(pings: DataFrame, view: str, events: str, checkpoint: str, *, drain=False,
                        to_topic: Sink | None = None, **options):
-    """As anomaly_job; a busy driver's pings are sorted by slice, in many tasks."""
-    found = sliced_anomaly_stream(pings, **options)
-    return _start_anomalies(found, view, events, checkpoint, drain, to_topic)
+    """As anomaly_job; a busy driver's pings are sorted by slice, in many tasks. Drivers' last positions are kept in
+    a table beside the view."""
+    write = stitcher(_anomaly_sink(view, events, to_topic), f"{view}-state", **options)
+    read = {name: options[name] for name in ("mps", "width", "lateness") if name in options}
+    return start(slices_and_times(pings, **read), write, checkpoint, drain=drain)
 
 
 def event_fault_job(sent: DataFrame, view: str, events: str, checkpoint: str, *, drain=False,
@@ -197,6 +199,10 @@ def event_fault_job(sent: DataFrame, view: str, events: str, checkpoint: str, *,
 
 def _start_anomalies(found: DataFrame, view: str, events: str, checkpoint: str, drain: bool,
                      to_topic: Sink | None = None):
+    return start(found, _anomaly_sink(view, events, to_topic), checkpoint, drain=drain)
+
+
+def _anomaly_sink(view: str, events: str, to_topic: Sink | None = None) -> Sink:
     to_view, to_events = batch_writer(view), batch_writer(events)
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -210,7 +216,7 @@ def _start_anomalies(found: DataFrame, view: str, events: str, checkpoint: str,
         finally:
             batch.unpersist()
 
-    return start(found, write, checkpoint, drain=drain)
+    return write
 
 
 def anomaly_table_job(

@@ -2,33 +2,27 @@
 
 The first stage groups pings by (driver, time slice) in built-in window state. A slice closes once the
 watermark passes its end: its pings are then sorted, its speed violations found, and its first and last positions
-handed on, all without Python. The second stage keeps a driver's last position and one event-time timer, reads one row
-per slice whatever the slice held, and joins the slices: speed across their borders, and silences. A late ping
+handed on. The second stage keeps the drivers' last positions in a table, reads one row per slice whatever the slice
+held, and joins the slices of a micro-batch: speed across their borders, and silences. Neither runs Python. A late ping
 within the watermark is in its place in the order of event times.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
+from collections.abc import Callable
 from datetime import timedelta
 
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from fleetlens.functions.geo import haversine_m
 from fleetlens.functions.timing import LATENESS, interval, millis, watermarked
-from fleetlens.operators.motion import GHOST_GAP, SPEED, SPEED_MPS
-from fleetlens.streaming.detector import ANOMALY_COLUMNS, _anomaly_id, _ghost, _metres
-
-# The processor travels with the query, so workers need not have this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from fleetlens.operators.motion import GHOST_GAP, SPEED_MPS, found_in_track
+from fleetlens.sources.views import read_version, write_version
 
 SLICE = timedelta(minutes=1)
-_NAMES = [column.split()[0] for column in ANOMALY_COLUMNS.split(", ")]
+_POSITIONS = [f"{end}_{name}" for end in ("first", "last") for name in ("lat", "lon", "at")]
+_STATE = "driver_id string, lat double, lon double, at bigint, armed boolean"
 
 
 def _moved(before: Column, after: Column) -> Column:
@@ -63,83 +57,81 @@ def closed_slices(
     return timed.select("driver_id", "event_time", F.inline("rows"))
 
 
-class Stitcher(StatefulProcessor):
-    """Joins a driver's slices in the order of time; a timer finds the silence after the last one."""
-
-    def __init__(self, mps: float, gap_ms: int, width_ms: int) -> None:
-        self.mps, self.gap_ms, self.width_ms = mps, gap_ms, width_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        # timer: when the silence after this position gets known; null once it has been reported.
-        self.last = handle.getValueState("last", "lat double, lon double, at bigint, timer bigint")
-
-    def close(self) -> None:
-        pass
-
-    def _deadline(self, at: int) -> int:
-        """When the slice that holds the end of the allowed silence is closed: until then a ping may still show up."""
-        return ((at + self.gap_ms) // self.width_ms + 1) * self.width_ms
-
-    def _fast(self, driver: str, before: tuple, after: tuple, speed: float) -> tuple:
-        severity = "critical" if speed > 2 * self.mps else "high"
-        return (_anomaly_id(SPEED, driver, after[2]), SPEED, driver, severity, after[2], speed,
-                *before[:2], *after[:2], after[2] - before[2])
-
-    def _across(self, driver: str, before: tuple, after: tuple, armed: bool) -> Iterator[tuple]:
-        elapsed = after[2] - before[2]
-        if elapsed > 0:
-            speed = float(_metres(*before[:2], *after[:2])) / (elapsed / 1000.0)
-            if speed > self.mps:
-                yield self._fast(driver, before, after, speed)
-        if armed and elapsed > self.gap_ms:
-            yield _ghost(driver, *before, self.gap_ms)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        (driver,) = key
-        table = pd.concat(list(rows))
-        found = []
-        for r in table[~table["edge"]].itertuples(index=False):
-            before, after = (r.first_lat, r.first_lon, int(r.first_at)), (r.last_lat, r.last_lon, int(r.last_at))
-            found.append(self._fast(driver, before, after, float(r.speed)))
-        known = self.last.get()
-        last, timer = ((known[0], known[1], int(known[2])), known[3]) if known else (None, None)
-        armed = known is None or timer is not None
-        for r in table[table["edge"]].sort_values("first_at").itertuples(index=False):
-            if last is not None:
-                found += self._across(driver, last, (r.first_lat, r.first_lon, int(r.first_at)), armed)
-            last, armed = (r.last_lat, r.last_lon, int(r.last_at)), True
-        if timer is not None:
-            self.handle.deleteTimer(int(timer))
-        timer = self._deadline(last[2]) if armed else None
-        if armed and timer <= timerValues.getCurrentWatermarkInMs():
-            found.append(_ghost(driver, *last, self.gap_ms))
-            timer = None
-        if timer is not None:
-            self.handle.registerTimer(timer)
-        self.last.update((*last, timer))
-        if found:
-            yield pd.DataFrame(found, columns=_NAMES)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        lat, lon, at, _ = self.last.get()
-        self.last.update((lat, lon, at, None))
-        yield pd.DataFrame([_ghost(key[0], lat, lon, int(at), self.gap_ms)], columns=_NAMES)
-
-
-def sliced_anomaly_stream(
-    pings: DataFrame,
-    *,
-    mps: float = SPEED_MPS,
-    gap: timedelta = GHOST_GAP,
-    width: timedelta = SLICE,
-    lateness: timedelta = LATENESS,
+def slices_and_times(
+    pings: DataFrame, *, mps: float = SPEED_MPS, width: timedelta = SLICE, lateness: timedelta = LATENESS
 ) -> DataFrame:
-    """Anomalies of a ping stream, each once its slice is closed; a silence is known once the slice that
-    holds its end is closed. ``width`` must not be above ``gap``: a slice then holds no silence inside."""
+    """The rows of :func:`closed_slices`, and for the watermark a row with the time of each ping."""
+    closed = closed_slices(pings, mps=mps, width=width, lateness=lateness)
+    closed = closed.select("driver_id", "edge", *_POSITIONS, "speed", F.lit(None).cast("bigint").alias("arrived"))
+    times = pings.where("driver_id is not null").select(F.unix_millis("event_time").alias("arrived"))
+    return closed.unionByName(times, allowMissingColumns=True)
+
+
+def stitch(
+    state: DataFrame, edges: DataFrame, mark: int, *, mps: float, gap: timedelta, width: timedelta
+) -> DataFrame:
+    """Known last positions and closed slices of each driver in the order of time, with the position before each and
+    whether a silence follows it: known once the slice that holds the end of the allowed silence is closed, as until
+    then a ping may still show up. ``mark`` is the watermark in ms."""
+    here = [F.col(name).alias(f"{end}_{name}") for end in ("first", "last") for name in ("lat", "lon", "at")]
+    known = state.select("driver_id", *here, "armed", F.lit(True).alias("known"))
+    fresh = edges.select("driver_id", *_POSITIONS, F.lit(True).alias("armed"), F.lit(False).alias("known"))
+    track = Window.partitionBy("driver_id").orderBy(F.desc("known"), "first_at")
+    joined = known.unionByName(fresh).withColumns({
+        **{f"prev_{name}": F.lag(f"last_{name}").over(track) for name in ("lat", "lon", "at")},
+        "next_at": F.lead("first_at").over(track),
+    })
+    due = F.col("last_at") + millis(gap)
+    closes = due - F.pmod(due, F.lit(millis(width))) + millis(width)
+    silent = F.when(F.col("next_at").isNull(), closes <= mark).otherwise(F.col("next_at") > due)
+    elapsed = F.col("first_at") - F.col("prev_at")
+    metres = haversine_m(F.col("prev_lat"), F.col("prev_lon"), F.col("first_lat"), F.col("first_lon"))
+    return joined.withColumns({
+        "silent": F.col("armed") & silent, "speed": F.when(elapsed > 0, metres / (elapsed / F.lit(1000.0))),
+    })
+
+
+def stitcher(
+    sink: Callable[[DataFrame, int], None], state: str, *, mps: float = SPEED_MPS, gap: timedelta = GHOST_GAP,
+    width: timedelta = SLICE, lateness: timedelta = LATENESS,
+) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function over :func:`slices_and_times`: anomalies to ``sink``, each once its slice is closed; a
+    silence is known once the slice that holds its end is closed. ``width`` must not be above ``gap``: a slice then
+    holds no silence inside. Version n of the state is what batches up to n left."""
     if width > gap:
         raise ValueError("a slice must not be wider than the gap")
-    slices = closed_slices(pings, mps=mps, width=width, lateness=lateness)
-    return slices.groupBy("driver_id").transformWithStateInPandas(
-        Stitcher(mps, millis(gap), millis(width)), ANOMALY_COLUMNS, "append", "eventTime"
-    )
+
+    def moved(rows: DataFrame, before: str, after: str) -> DataFrame:
+        names = ("lat", "lon", "at")
+        return rows.select("driver_id", "speed", *(F.col(f"{before}_{n}").alias(f"prev_{n}") for n in names),
+                           *(F.col(f"{after}_{n}").alias(n) for n in names), F.lit(False).alias("silent"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.persist()
+        last, times = f"{state}/last", f"{state}/newest"
+        try:
+            before, upto = read_version(spark, last, batch_id - 1), read_version(spark, times, batch_id - 1)
+            newest = None if upto is None else upto.first()[0]
+            # As Spark's own: it follows the batches before this one.
+            mark = 0 if newest is None else max(newest - millis(lateness), 0)
+            if before is None:
+                before = spark.createDataFrame([], _STATE)
+            edges = batch.where("edge")
+            track = stitch(before, edges, mark, mps=mps, gap=gap, width=width).persist()
+            quiet = track.where("silent").select(
+                "driver_id", F.lit(None).cast("double").alias("speed"), "prev_lat", "prev_lon", "prev_at",
+                F.col("last_lat").alias("lat"), F.col("last_lon").alias("lon"), F.col("last_at").alias("at"), "silent")
+            steps = moved(batch.where("not edge"), "first", "last").unionByName(moved(track, "prev", "first"))
+            sink(found_in_track(steps.unionByName(quiet), mps, gap), batch_id)
+            ends = track.where("next_at is null").select(
+                "driver_id", F.col("last_lat").alias("lat"), F.col("last_lon").alias("lon"),
+                F.col("last_at").alias("at"), (F.col("armed") & ~F.col("silent")).alias("armed"))
+            write_version(ends, last, batch_id)
+            arrived = F.greatest(F.max("arrived"), F.lit(newest).cast("bigint"))
+            write_version(batch.agg(arrived.alias("newest")), times, batch_id)
+            track.unpersist()
+        finally:
+            batch.unpersist()
+
+    return write

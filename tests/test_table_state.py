@@ -72,3 +72,16 @@ def test_matches_forget_what_can_match_no_more(spark):
     jobs.match_job(one.read(), two.read(), two.path("view"), two.path("checkpoint"), drain=True).awaitTermination()
     kept = spark.read.parquet(f"{two.path('view')}-state/rows/version=2")
     assert rows(kept.where("asked"), "ride_id") == [("r3",)] and rows(kept.where("not asked"), "driver_id") == [("b",)]
+
+
+def test_slices_of_many_drivers_are_joined_without_python(spark):
+    """Only the slices themselves are keyed state; positions and silences of drivers are joined from a table."""
+    source = feed(spark, pings, [(f"d{i}", i) for i in range(40)], [("d1", 900, "c1", 39.0, -122.0)], [("zz", 100_000)])
+    view = source.path("view")
+    query = jobs.sliced_anomaly_job(source.read(), view, source.path("log"), source.path("checkpoint"), drain=True)
+    query.awaitTermination()
+    names = {op["operatorName"] for p in query.recentProgress for op in p["stateOperators"]}
+    assert names == {"stateStoreSave"}
+    got = rows(read_view(spark, view), "anomaly_type", "driver_id", "detected_at_ms")
+    ghosts = [("ghost_driver", f"d{i}", ms(i + 300)) for i in range(40)] + [("ghost_driver", "d1", ms(1200))]
+    assert got == sorted([*ghosts, ("speed_violation", "d1", ms(900))])
