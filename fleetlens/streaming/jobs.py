@@ -43,7 +43,6 @@ from fleetlens.sources.views import (
     upsert_writer,
     write_version,
 )
-from fleetlens.streaming.detector import anomaly_stream
 from fleetlens.streaming.enrichment import reenricher, rides_and_changes
 from fleetlens.streaming.matching import matcher, merged_matches, requests_and_pings
 from fleetlens.streaming.slices import slices_and_times, stitcher
@@ -176,10 +175,16 @@ def read_matches(spark: SparkSession, view: str) -> DataFrame:
 
 
 def anomaly_job(pings: DataFrame, view: str, events: str, checkpoint: str, *, drain=False,
-                to_topic: Sink | None = None, **options):
+                to_topic: Sink | None = None, mps: float = SPEED_MPS, gap: timedelta = GHOST_GAP,
+                lateness: timedelta = LATENESS, chunk: timedelta | None = CHUNK):
     """Flat rows to the view for ranked reads, nested events to the outgoing log and, keyed by driver, to
-    ``to_topic`` if given (``kafka.topic_writer`` or ``views.frame_writer``)."""
-    return _start_anomalies(anomaly_stream(pings, **options), view, events, checkpoint, drain, to_topic)
+    ``to_topic`` if given (``kafka.topic_writer`` or ``views.frame_writer``).
+
+    As anomaly_table_job with its table beside the view, but pings behind the watermark, which follows the batches
+    before, are left out."""
+    write = _table_writer(_anomaly_sink(view, events, to_topic), f"{view}-state", mps=mps, gap=gap,
+                          lateness=lateness, chunk=chunk, late=False)
+    return start(pings.where(F.col("event_time").isNotNull()), write, checkpoint, drain=drain)
 
 
 def sliced_anomaly_job(pings: DataFrame, view: str, events: str, checkpoint: str, *, drain=False,
@@ -232,14 +237,20 @@ def anomaly_table_job(
     chunk: timedelta = CHUNK,
     drain: bool = False,
 ):
-    """As anomaly_job, with the drivers' last positions in a table instead of keyed state.
+    """As anomaly_job, with a table of its own and pings behind the watermark.
 
     Each micro-batch runs the batch operators: no Python per driver, and a busy driver's
     share is cut into chunks. It rewrites one row per driver, so it suits larger batches. A
-    ping behind the watermark still counts if it is its driver's newest; keyed state drops it.
+    ping behind the watermark still counts if it is its driver's newest; anomaly_job drops it.
     State version n holds what batches up to n left, which makes a replay repeatable.
     """
 
+    write = _table_writer(_anomaly_sink(view, events), state, mps=mps, gap=gap, lateness=lateness, chunk=chunk)
+    return start(pings.where(F.col("event_time").isNotNull()), write, checkpoint, drain=drain)
+
+
+def _table_writer(sink: Sink, state: str, *, mps: float, gap: timedelta, lateness: timedelta,
+                  chunk: timedelta | None, late: bool = True) -> Sink:
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         before = read_version(spark, state, batch_id - 1)
@@ -248,17 +259,17 @@ def anomaly_table_job(
         latest = before.agg(F.max("at")).first()[0]
         arrived = batch.agg(F.max(F.unix_millis("event_time"))).first()[0]
         newest = max((t for t in (latest, arrived) if t is not None), default=0)
+        if not late and latest is not None:
+            batch = batch.where(F.unix_millis("event_time") > latest - millis(lateness))
         track = continue_tracks(before, batch, as_of_ms=newest - millis(lateness), mps=mps,
                                 gap=gap, chunk=chunk).persist()
         try:
-            found = track_anomalies(track, mps=mps, gap=gap)
-            batch_writer(view)(found, batch_id)
-            batch_writer(events)(anomaly_events(found), batch_id)
+            sink(track_anomalies(track, mps=mps, gap=gap), batch_id)
             write_version(track_state(track), state, batch_id)
         finally:
             track.unpersist()
 
-    return start(pings.where(F.col("event_time").isNotNull()), write, checkpoint, drain=drain)
+    return write
 
 
 def dimension_job(changes: DataFrame, view: str, checkpoint: str, *, keys=("driver_id",),

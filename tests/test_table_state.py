@@ -85,3 +85,14 @@ def test_slices_of_many_drivers_are_joined_without_python(spark):
     got = rows(read_view(spark, view), "anomaly_type", "driver_id", "detected_at_ms")
     ghosts = [("ghost_driver", f"d{i}", ms(i + 300)) for i in range(40)] + [("ghost_driver", "d1", ms(1200))]
     assert got == sorted([*ghosts, ("speed_violation", "d1", ms(900))])
+
+
+def test_streamed_anomalies_keep_a_table_and_drop_late_pings(spark):
+    """No keyed state and no Python per driver; a driver first seen behind the watermark is left out."""
+    source = feed(spark, pings, [("a", 0)], [("zz", 5000)], [("b", 10)], [("zz", 100_000)])
+    view = source.path("view")
+    query = jobs.anomaly_job(source.read(), view, source.path("log"), source.path("checkpoint"), drain=True)
+    query.awaitTermination()
+    assert all(p["stateOperators"] == [] for p in query.recentProgress)
+    got = rows(read_view(spark, view), "anomaly_type", "driver_id", "detected_at_ms")
+    assert got == [("ghost_driver", "a", ms(300)), ("ghost_driver", "zz", ms(5300))]
