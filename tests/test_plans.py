@@ -102,3 +102,10 @@ def test_hot_cell_is_split_at_run_time(spark):
     assert "skew=true" in text
     assert found == 20000 == sum(r.h3_cell == "hot" for r in rows)
     assert reduce_matches(matches).where("h3_cell = 'hot'").count() == 500
+
+
+def test_matches_are_compared_by_ready_bounds(spark):
+    """The join's condition compares instants and adds no interval for each pair."""
+    text = plan(match_rides(requests(spark, [("r", 100, "c")]), pings(spark, [("a", 100, "c")])))
+    joins = [line for line in text.splitlines() if "Join" in line]
+    assert len(joins) == 1 and "first_time" in joins[0] and "INTERVAL" not in joins[0]
