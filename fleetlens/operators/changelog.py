@@ -67,21 +67,29 @@ def check_changes(rows: DataFrame, table: str, keys: Sequence[str]) -> DataFrame
     """
     text = F.col("value").cast("string")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    body = F.from_json(text, f"{table}, {_CAPTURED}, {_CORRUPT} string", options)
-    held = rows.where("value is not null").withColumn("_body", body)
-    # Parsers stop at the end of a value: one object alone is one both inside an array and inside an object.
-    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
-    inside = F.schema_of_variant(F.try_parse_json(F.concat(F.lit('{"body":'), text, F.lit("}"))))
-    whole = alone & F.startswith(inside, F.lit("OBJECT<body: OBJECT"))
-    op = F.col("_body.__op")
+    inside = F.concat(F.lit('{"body":'), text, F.lit("}"))
+    read = F.from_json(inside, f"body struct<{table}, {_CAPTURED}>, {_CORRUPT} string", options)
+    held = rows.where("value is not null").withColumn("_read", read)
+    # Parsers stop at the end of a value: one object alone is one both inside an array and inside an object. The strict
+    # parser also knows keys that come twice.
+    listed = F.concat(F.lit("["), text, F.lit("]"))
+    sound = (
+        F.col(f"_read.{_CORRUPT}").isNull() & F.col("_read.body").isNotNull() & F.try_parse_json(listed).isNotNull()
+    )
+    # Only of values that aren't sound: whether they are objects at least.
+    kind = F.schema_of_variant(F.try_parse_json(inside))
+    whole = (F.json_array_length(listed) == 1) & F.startswith(kind, F.lit("OBJECT<body: OBJECT"))
+    unsound = F.when(F.coalesce(whole, F.lit(False)), "value: a field of another type").otherwise(
+        "value: not a JSON object"
+    )
+    op = F.col("_read.body.__op")
     reason = (
-        F.when(~F.coalesce(whole, F.lit(False)), "value: not a JSON object")
-        .when(F.col(f"_body.{_CORRUPT}").isNotNull(), "value: a field of another type")
+        F.when(~sound, unsound)
         .when(op.isNull(), "__op: missing")
         .when(~op.isin(*_OPS), "__op: unknown")
     )
     for key in keys:
-        reason = F.coalesce(reason, F.when(F.col(f"_body.{key}").isNull(), f"{key}: missing"))
+        reason = F.coalesce(reason, F.when(F.col(f"_read.body.{key}").isNull(), f"{key}: missing"))
     return held.select("*", F.inline(F.array(F.struct(reason.alias("failure_reason")))))
 
 
@@ -90,10 +98,10 @@ def split_checked(
 ) -> tuple[DataFrame, DataFrame]:
     """(changes, dead letters) from the rows of :func:`check_changes`."""
     good = checked.where("failure_reason is null").select(
-        "_body.*", F.col("partition").alias("log_partition"), F.col("offset").alias("seq")
+        "_read.body.*", F.col("partition").alias("log_partition"), F.col("offset").alias("seq")
     )
-    good = good.withColumnsRenamed({"__op": "op", "__ts_ms": "ts_ms"}).drop(_CORRUPT)
-    bad = checked.where("failure_reason is not null").drop("_body")
+    good = good.withColumnsRenamed({"__op": "op", "__ts_ms": "ts_ms"})
+    bad = checked.where("failure_reason is not null").drop("_read")
     return good, dead_letters(bad, topic, stage="deserialize", failed_at=failed_at)
 
 

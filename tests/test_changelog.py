@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from fleetlens.operators.changelog import current_state, log_state, moved_keys, split_changes, topic_changes
+from fleetlens.operators.changelog import check_changes, current_state, log_state, moved_keys, split_changes, topic_changes
 
 COLUMNS = "driver_id string, name string, op string, ts_ms bigint, seq bigint, __deleted string"
 
@@ -100,3 +100,20 @@ def test_state_of_no_changes(spark):
     good, bad = split_changes(
         spark.createDataFrame([], LOG), "driver_id string", ["driver_id"], topic="t")
     assert log_state(good, ["driver_id"]).count() == bad.count() == moved_keys(good, ["driver_id"]).count() == 0
+
+
+def test_values_that_only_lenient_readers_take(spark):
+    good = '{"k":"a","__op":"u"}'
+    values = {
+        good: None, f" {good}\n": None, good + "x": "not a JSON object", good + "}": "not a JSON object",
+        good + "]": "not a JSON object", good + "," + good: "not a JSON object", good + ',"x":1': "not a JSON object",
+        good + "} {": "not a JSON object", f"[{good}]": "not a JSON object", "null": "not a JSON object",
+        "": "not a JSON object", good.replace('"u"', '"u","k":"b"'): "not a JSON object",
+        good.replace('"u"', '"u","n":"x"'): "a field of another type", good.replace("'", '"'): None,
+        good.replace('"', "'"): "not a JSON object", good.replace('"u"', '"u","y":NaN'): "not a JSON object",
+    }
+    given = [(b"k", value.encode(), 0, i) for i, value in enumerate(values)]
+    rows = spark.createDataFrame(given, "key binary, value binary, partition int, offset bigint")
+    got = check_changes(rows, "k string, n int", ["k"]).select("value", "failure_reason").collect()
+    found = {bytes(r.value).decode(): r.failure_reason for r in got}
+    assert found == {value: reason and f"value: {reason}" for value, reason in values.items()}

@@ -8,6 +8,7 @@ import pytest
 from fixtures import pings, requests
 from pyspark.sql import functions as F
 
+from fleetlens.operators.changelog import check_changes
 from fleetlens.operators.joins import match_rides, reduce_matches
 from fleetlens.operators.windows import idle_sessions
 from fleetlens.plans.catalog import QUERIES
@@ -109,3 +110,11 @@ def test_matches_are_compared_by_ready_bounds(spark):
     text = plan(match_rides(requests(spark, [("r", 100, "c")]), pings(spark, [("a", 100, "c")])))
     joins = [line for line in text.splitlines() if "Join" in line]
     assert len(joins) == 1 and "first_time" in joins[0] and "INTERVAL" not in joins[0]
+
+
+def test_sound_changes_are_not_described(spark):
+    """The schema of a value is only worked out for values that aren't sound."""
+    rows = spark.createDataFrame([(b"k", b"{}", 0, 1)], "key binary, value binary, partition int, offset bigint")
+    text = plan(check_changes(rows, "k string", ["k"]))
+    first = re.search(r"CASE WHEN (.*?) THEN", text)[1]
+    assert "parseJson" in first and "schemaOfVariant" not in first
