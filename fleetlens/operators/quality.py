@@ -64,10 +64,14 @@ def _is_number(field: str) -> Column:
     return kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
 
 
-def _text(field: str) -> Column:
+def _string(field: str) -> Column:
     return F.when(_kind(field) == "STRING", _as(field, "string"))
 
 
+def _text(field: str) -> Column:
+    return F.col(f"texts.{field}")
+
+
 def _double(field: str) -> Column:
     """A JSON number, or text that is written like one."""
     text = _text(field)
@@ -76,11 +80,16 @@ def _double(field: str) -> Column:
     )
 
 
-def _whole(field: str) -> Column:
-    """A whole number, also one written as 12.0 or as text."""
-    decimal = F.when(_is_number(field), _as(field, "decimal(38,6)")).when(
+def _decimal(field: str) -> Column:
+    """Of a whole number that isn't written as one."""
+    return F.when(_is_number(field) & (_kind(field) != "BIGINT"), _as(field, "decimal(38,6)")).when(
         _text(field).rlike(_NUMBER), _text(field).try_cast("decimal(38,6)")
     )
+
+
+def _whole(field: str) -> Column:
+    """A whole number, also one written as 12.0 or as text."""
+    decimal = F.col(f"decimals.{field}")
     other = F.when(decimal == F.floor(decimal), decimal.try_cast("bigint"))
     return F.when(_kind(field) == "BIGINT", _as(field, "bigint")).otherwise(other)
 
@@ -132,17 +141,27 @@ def _values(fields: dict, read: Callable[[str], Column] | None = None, prefix: s
 
 
 def _checked(raw: DataFrame, schema: str, fields: dict, checks: list[Column]) -> DataFrame:
-    """``body`` with typed fields, and what is wrong with the value."""
+    """``body`` with typed fields, and what is wrong with the value.
+
+    In steps, each of which becomes a method of its own that is small enough to be compiled.
+    """
     kinds = _values(fields, lambda field: F.schema_of_variant(F.col(f"body.{field}")))
     parsed = _computed_once(_parsed(raw, schema), kinds=kinds)
+    parsed = _computed_once(parsed, texts=_values(fields, _string))
+    whole = {name: _decimal for name, own in fields.items() if own is _whole}
+    parsed = _computed_once(parsed, decimals=_values(whole))
     parsed = _computed_once(parsed, typed=_values(fields))
+    half = len(checks) // 2
+    parsed = _computed_once(parsed, _first=F.array(*checks[:half]))
+    parsed = _computed_once(parsed, _last=F.array(*checks[half:]))
     unreadable = F.col("body").isNull()
     reason = F.when(unreadable, "value: not a JSON object").otherwise(
-        F.concat_ws("; ", *checks)
+        F.concat_ws("; ", "_first", "_last")
     )
     stage = F.when(unreadable, "deserialize").otherwise("validate")
     found = _computed_once(parsed, failure_reason=reason, failure_stage=stage)
-    return found.drop("body", "kinds").withColumnRenamed("typed", "body")
+    steps = ("body", "kinds", "texts", "decimals", "_first", "_last")
+    return found.drop(*steps).withColumnRenamed("typed", "body")
 
 
 _POINT = {"lat": _double, "lon": _double, "h3_cell": _text}

@@ -77,8 +77,12 @@ def _k() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 
 
+def _cell_of(k: Column) -> Column:
+    return _numbered("c", 2, k % 16)
+
+
 def _cell() -> Column:
-    return _numbered("c", 2, _k() % 16)
+    return _cell_of(_k())
 
 
 def _lat() -> Column:
@@ -464,9 +468,9 @@ def stream_raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _raw_requests(events: DataFrame) -> DataFrame:
     """Ride requests as submitted JSON; the last digit of k picks a fault for some of them."""
     fault = F.col("fault")
-    point = F.struct(_lat().alias("lat"), _lon().alias("lon"), _cell().alias("h3_cell"))
-    away = F.struct(F.lit(-90.0).alias("lat"), F.lit(180.0).alias("lon"), _cell().alias("h3_cell"))
-    off = F.struct(F.lit(-90.5).alias("lat"), _lon().alias("lon"), _cell().alias("h3_cell"))
+    point = F.struct("lat", "lon", "h3_cell")
+    away = F.struct(F.lit(-90.0).alias("lat"), F.lit(180.0).alias("lon"), "h3_cell")
+    off = F.struct(F.lit(-90.5).alias("lat"), "lon", "h3_cell")
     tier = F.when(fault == 1, "luxury").when(fault == 2, "premium")
     body = F.struct(
         F.when(fault == 3, "").otherwise(F.col("event_id").cast("string")).alias("ride_id"),
@@ -476,6 +480,9 @@ def _raw_requests(events: DataFrame) -> DataFrame:
         tier.alias("product_tier"),
         F.unix_millis(F.col("ts").cast("timestamp")).alias("occurred_at_ms"),
     )
-    events = events.withColumn("fault", _k() % 10)
+    # The number is read from its text once, and not for each use.
+    events = events.withColumn("k", _k()).withColumns({
+        "fault": F.col("k") % 10, "lat": _lat(), "lon": _lon(), "h3_cell": _cell_of(F.col("k")),
+    })
     text = F.when(fault == 8, "{not json").otherwise(F.to_json(body))
     return events.select(F.col("event_id").cast("string").alias("key"), text.alias("value"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.operators.changelog import check_changes
 from fleetlens.operators.joins import match_rides, reduce_matches
+from fleetlens.operators.quality import check_pings, check_requests
 from fleetlens.operators.windows import idle_sessions
 from fleetlens.plans.catalog import QUERIES
 from fleetlens.session import work_dir
@@ -112,6 +113,16 @@ def test_matches_are_compared_by_ready_bounds(spark):
     assert len(joins) == 1 and "first_time" in joins[0] and "INTERVAL" not in joins[0]
 
 
+@pytest.mark.parametrize("check", [check_pings, check_requests])
+def test_checks_are_methods_that_get_compiled(spark, check):
+    """The virtual machine only interprets methods above 8000 bytes."""
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        check(spark.createDataFrame([("{}",)], "value string")).explain("codegen")
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", text.getvalue())]
+    assert sizes and max(sizes) < 8000
+
+
 def test_sound_changes_are_not_described(spark):
     """The schema of a value is only worked out for values that aren't sound."""
     rows = spark.createDataFrame([(b"k", b"{}", 0, 1)], "key binary, value binary, partition int, offset bigint")
