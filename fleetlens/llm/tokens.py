@@ -20,13 +20,15 @@ class _Cores(dict):
     """Ids of runs that the tokenizer never splits before its merges, as little-endian bytes."""
 
     def __init__(self, tokenizer) -> None:
-        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.tokenizer, self.tokenize = tokenizer, tokenizer.model.tokenize
+        self.ids = [i.to_bytes(4, "little") for i in range(max(tokenizer.get_vocab().values()) + 1)]
 
     def __missing__(self, core: str) -> bytes:
         if len(self) > MOST_CORES:
             self.clear()
         if core.isascii():
-            out = b"".join(t.id.to_bytes(4, "little") for t in self.model.tokenize(core))
+            ids = self.ids
+            out = b"".join([ids[t.id] for t in self.tokenize(core)])
         else:
             out = _bytes(self.tokenizer.encode(core, add_special_tokens=False).ids)
         self[core] = out

@@ -257,6 +257,12 @@ def test_pieces_equal_the_tokenizer():
         assert encode(text) == encoded(text, 0)[:-1].tobytes()
 
 
+def test_ids_are_written_from_a_table():
+    cores = pieces(word_vocabulary()).cores
+    assert [cores.ids[i] for i in (0, 258, 49407)] == [i.to_bytes(4, "little") for i in (0, 258, 49407)]
+    assert cores["unbelievabletoken"] == encoded("unbelievabletoken", 0)[:-1].tobytes()
+
+
 def test_packing_of_odd_rows(spark, odd):
     got = packing.pack(odd, word_vocabulary(), length=64, open_windows=2).collect()
     want = Counter((i, len(encoded(t, 2))) for i, t in ODD)
