@@ -215,3 +215,28 @@ def _exchanged_joins(plan: str) -> int:
                     break
                 found += "Join" in under and "Inner" in under
     return found
+
+
+@pytest.fixture
+def many_partitions(spark):
+    """More shuffle partitions than blocks, and no broadcasts."""
+    settings = {"spark.sql.shuffle.partitions": "500", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_matches_stay_in_their_blocks_with_many_partitions(spark, many_partitions):
+    """Few blocks were dealt again by all keys of the join, and every match was shuffled."""
+    asked = requests(spark, [(f"r{i % 10}", 100 + i) for i in range(20)])
+    seen = pings(spark, [(f"d{i}", 100 + i) for i in range(20)])
+    plan = _plan(reduce_matches(match_rides(asked, seen, side=2)))
+    assert "Inner" in plan and _exchanged_joins(plan) == 0
+    assert plan.count("Exchange") == 2
