@@ -240,3 +240,18 @@ def test_matches_stay_in_their_blocks_with_many_partitions(spark, many_partition
     plan = _plan(reduce_matches(match_rides(asked, seen, side=2)))
     assert "Inner" in plan and _exchanged_joins(plan) == 0
     assert plan.count("Exchange") == 2
+
+
+def test_candidates_of_repeated_rides_stay_in_their_blocks_with_many_partitions(spark, many_partitions, monkeypatch):
+    """Spans and requests are copied to blocks as they are; panes and sizes are looked up inside a block."""
+    monkeypatch.setattr(joins, "BLOCK_PAIRS", 50)
+    again = requests(spark, [(f"r{i % 10}", 100 + i) for i in range(20)])
+    seen = pings(spark, [(f"d{i % 15}", 100 + i) for i in range(20)])
+    several = match_candidates(again, seen)
+    text = _plan(several)
+    assert _exchanged_joins(text[text.index("WindowGroupLimit"):]) == 0
+    lines = text[text.index("WindowGroupLimit"):].splitlines()
+    dealt = [i for i, line in enumerate(lines) if "shufflepartitionidpassthrough" in line]
+    assert len(dealt) == 2 and not any("Generate explode(array" in line for line in lines[dealt[1]:])
+    want = rows(reduce_matches(match_rides(again, seen)), "ride_id", "driver_id", "h3_cell", "match_time_ms")
+    assert rows(several, "ride_id", "driver_id", "h3_cell", "match_time_ms") == want
